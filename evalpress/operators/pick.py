@@ -37,18 +37,20 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str | Colu
     return df.groupBy(*keys).agg(best).select(*keys, "_row.*")
 
 
-def argmax_first(df: DataFrame, metric: str, position: str, group: Sequence[str] = ()) -> DataFrame:
+def argmax_first(df: DataFrame, metric: str, position: str | Column, group: Sequence[str] = ()) -> DataFrame:
     """Row with the highest metric, null counted as 0, first position on ties."""
-    key = F.struct(F.coalesce(F.col(metric).cast("double"), F.lit(0.0)), -F.col(position))
-    row = F.max_by(F.struct(*[F.col(c) for c in df.columns if c not in group]), key).alias("_row")
+    pos = F.col(position) if isinstance(position, str) else position
+    key = F.struct(-F.coalesce(F.col(metric).cast("double"), F.lit(0.0)), pos)
+    row = F.min_by(F.struct(*[F.col(c) for c in df.columns if c not in group]), key).alias("_row")
     return df.groupBy(*group).agg(row).select(*group, "_row.*")
 
 
-def argmin_default(df: DataFrame, metric: str, position: str, default: float = 9e9,
+def argmin_default(df: DataFrame, metric: str, position: str | Column, default: float = 9e9,
                    group: Sequence[str] = ()) -> DataFrame:
     """Row with the lowest metric; null and zero count as ``default``."""
     m = F.col(metric).cast("double")
-    key = F.struct(F.when(m.isNull() | (m == 0), F.lit(default)).otherwise(m), F.col(position))
+    pos = F.col(position) if isinstance(position, str) else position
+    key = F.struct(F.when(m.isNull() | (m == 0), F.lit(default)).otherwise(m), pos)
     row = F.min_by(F.struct(*[F.col(c) for c in df.columns if c not in group]), key).alias("_row")
     return df.groupBy(*group).agg(row).select(*group, "_row.*")
 

@@ -43,8 +43,14 @@ def sql_in(values) -> str:
 
 
 def with_(*ctes: str) -> str:
-    """Join CTE bodies ``name AS (...)`` into one WITH clause."""
-    return "WITH " + ",\n".join(ctes) + "\n"
+    """Join CTE bodies ``name AS (...)`` into one WITH clause; a CTE listed
+    twice (shared by two parts) is kept once."""
+    seen, out = set(), []
+    for c in ctes:
+        if c not in seen:
+            seen.add(c)
+            out.append(c)
+    return "WITH " + ",\n".join(out) + "\n"
 
 
 # ====================================================================== FX1

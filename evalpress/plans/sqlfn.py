@@ -66,7 +66,7 @@ def quant_label(x: str, fallback: str = "none") -> str:
 
 def clean_ref(x: str) -> str:
     s = f"string_split(trim(coalesce({x}, '')), ' ')[1]"
-    seg = f"list_filter(string_split({s}, '/'), e -> e LIKE '%--%')[1]"
+    seg = f"list_filter(string_split({s}, '/'), lambda e: e LIKE '%--%')[1]"
     tail = f"string_split(rtrim({s}, '/'), '/')[-1]"
     return (f"(CASE WHEN {s} = '' THEN '' WHEN {seg} IS NOT NULL THEN {seg} "
             f"WHEN regexp_full_match({s}, '[\\w.-]+/[\\w.-]+') THEN {s} ELSE {tail} END)")
@@ -74,7 +74,7 @@ def clean_ref(x: str) -> str:
 
 def engine_repo(x: str) -> str:
     raw = f"trim(coalesce({x}, ''))"
-    seg = f"list_filter(string_split({raw}, '/'), e -> e LIKE '%--%')[1]"
+    seg = f"list_filter(string_split({raw}, '/'), lambda e: e LIKE '%--%')[1]"
     return (f"(CASE WHEN {seg} IS NOT NULL THEN {replace_first_dashes(seg)} "
             f"WHEN regexp_full_match({raw}, '[\\w.-]+/[\\w.-]+') THEN {raw} ELSE '' END)")
 
