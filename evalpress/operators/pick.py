@@ -142,3 +142,17 @@ def discover_keys(df: DataFrame, map_col: str, position: str, hidden: Sequence[s
     e = e.where(F.col("value").isNotNull() & ~F.col("key").isin(list(hidden)))
     return (e.groupBy("key").agg(F.min(F.struct(F.col(position), F.col("kpos"))).alias("_first"))
             .select("key", F.col("_first")[position].alias("first_row"), F.col("_first")["kpos"].alias("first_kpos")))
+
+
+def typed_sort_keys(df: DataFrame, cell: str) -> DataFrame:
+    """Sort keys for a display column: numeric when every non-blank cell is a
+    number with optional unit, else natural text order; blanks last.  The
+    column type is decided by one global aggregate (one row, broadcast)."""
+    from evalpress.functions import columns as C
+    k = df.withColumns({"_blank": C.cell_blank(cell), "_num": C.cell_number(cell)})
+    kind = k.agg(F.min(F.col("_blank") | F.col("_num").isNotNull()).alias("_all_num"))
+    k = k.crossJoin(F.broadcast(kind))
+    return k.withColumns({
+        "_num_key": F.when(F.col("_all_num"), F.col("_num")),
+        "_text_key": F.when(~F.col("_all_num"), C.natural_sort_key(cell)),
+    }).drop("_num", "_all_num")
