@@ -56,12 +56,12 @@ HARDWARE_SAAS = "saas-cloud"
 SERVED_BY = {"llm_local": "vllm", "llm_saas": "litellm-proxy", "guardrails": "vllm",
              "tts_de": "tts-adapter", "t2i": "diffusers"}
 CONFIGS = ("llm_local", "llm_saas", "guardrails", "tts_de", "t2i")
-RUBRIC_BASE = "https://github.com/MvdB/southbyte-vllm/blob/main/testplan/playbooks"
+RUBRIC_BASE = "https://example.org/playbooks"  # parameter: where the rubric files are published
 IMAGE_JUDGE_MODEL = "qwen/qwen3.7-plus"
 JUDGE_REASON_GUARD = "kein Judge — der Testsatz ist gelabelt, gemessen wird gegen das Label"
 JUDGE_REASON_TTS = ("kein Judge — WER/CER gegen den Ausgangstext; die ASR-Modelle "
                     "stehen unter instruments")
-JUDGE_NOTE_IMAGE = "Default aus eval/orchestrate_images.py; im Lauf nicht protokolliert"
+JUDGE_NOTE_IMAGE = "default of the image orchestrator; not recorded in the run"
 HW_LOCAL = {"name": "NVIDIA DGX Spark", "soc": "GB10", "arch": "sm_120",
             "memory_gb": 128, "cpu_arch": "aarch64"}
 HW_SAAS = {"name": "SaaS API",

@@ -177,7 +177,7 @@ def serving_version(profile_text: ColumnOrName) -> tuple[Column, Column, Column]
 def fmt_num(x: ColumnOrName, decimals: int = 3) -> Column:
     """Display cell: dash for null, fixed decimals for floats."""
     c = _c(x)
-    return F.when(c.isNull(), F.lit("—")).otherwise(F.format_string(f"%.{decimals}f", c))
+    return F.when(c.isNull(), F.lit("—")).otherwise(F.format_string(f"%.{decimals}f", F.bround(c, decimals)))
 
 
 def fmt_int(x: ColumnOrName) -> Column:

@@ -128,8 +128,11 @@ def tts_mart(spark: SparkSession, sf: str) -> DataFrame:
         "asr_wer_mean": F.col("wer_mean"), "asr_wer_capped_mean": F.col("wer_capped_mean"),
         "asr_wer_best_mean": F.col("wer_best_mean"), "asr_cer_mean": F.col("cer_mean"),
     }
-    staged = t.select(*[v.alias(k) for k, v in cols.items()], F.col("voice").alias("_entity"))
-    return _revision(spark, sf, staged).select(*[c for c, _ in TTS_COLUMNS], "_entity")
+    extra = [F.col("voice").alias("_entity"), F.col("judge1").alias("_asr1"), F.col("judge2").alias("_asr2"),
+             F.col("protocol").alias("_protocol"), F.col("testset").alias("_testset")]
+    staged = t.select(*[v.alias(k) for k, v in cols.items()], *extra)
+    return _revision(spark, sf, staged).select(*[c for c, _ in TTS_COLUMNS], *[e for e in
+                                               ("_entity", "_asr1", "_asr2", "_protocol", "_testset")])
 
 
 TTS_ROWS_SQL = f"""tts AS (
@@ -151,12 +154,14 @@ TTS_SQL_BODY = f"""
          t.sec_per_char_median, t.sec_per_char_mean, t.wer_judge1_mean AS asr_wer_whisper,
          t.wer_judge2_mean AS asr_wer_voxtral, t.wer_mean AS asr_wer_mean,
          t.wer_capped_mean AS asr_wer_capped_mean, t.wer_best_mean AS asr_wer_best_mean,
-         t.cer_mean AS asr_cer_mean, t.voice AS entity
+         t.cer_mean AS asr_cer_mean, t.voice AS entity, t.judge1 AS asr1, t.judge2 AS asr2,
+         t.protocol AS tprotocol, t.testset
   FROM tts t CROSS JOIN feed LEFT JOIN fx6 m ON m.name = coalesce(t.engine, '')"""
 
 TTS_CTES = [fx.FX3_RESCORE_SQL, fx.FX3_SUMMARY_SQL, TTS_ROWS_SQL, fx.FEED_DATE_SQL, fx.FX6_SQL,
             fx.FX7_STORE_SQL, f"tts0 AS ({TTS_SQL_BODY})",
-            "tts_mart AS (SELECT t.* EXCLUDE (entity), nullif(st.sha, '') AS model_revision, t.entity "
+            "tts_mart AS (SELECT t.* EXCLUDE (entity, asr1, asr2, tprotocol, testset), nullif(st.sha, '') AS model_revision, "
+            "t.entity, t.asr1, t.asr2, t.tprotocol, t.testset "
             "FROM tts0 t LEFT JOIN store st ON st.id = t.model_id)"]
 
 

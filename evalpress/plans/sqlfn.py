@@ -109,7 +109,7 @@ def serving(text: str) -> tuple[str, str, str]:
 
 
 def fmt_num(x: str, decimals: int = 3) -> str:
-    return f"(CASE WHEN {x} IS NULL THEN '—' ELSE printf('%.{decimals}f', {x}) END)"
+    return f"(CASE WHEN {x} IS NULL THEN '—' ELSE printf('%.{decimals}f', round_even({x}, {decimals})) END)"
 
 
 def fmt_int(x: str) -> str:
