@@ -274,13 +274,12 @@ def q_report_json(spark, sf):
 FROM fx1 WHERE run_dir LIKE '2024-%' GROUP BY run_dir""")
 def q_path_select(spark, sf):
     root = RJ.write_reports(spark, sf)
-    recs = RJ.valid_records(RJ.read_reports(spark, root, dir_glob="2024-*"))
-    files = recs.select("run_dir", "stem", "path", "summary.total_tests")
+    files = RJ.list_report_files(spark, root, dir_glob="2024-*")
     return files.groupBy("run_dir").agg(F.countDistinct("stem").alias("n_files"))
 
 
 @query("src_file_mtime")
 def q_file_mtime(spark, sf):
     root = RJ.write_reports(spark, sf)
-    recs = RJ.read_reports(spark, root)
-    return recs.groupBy("run_dir").agg(F.to_date(F.max("mtime")).alias("newest_file_date"))
+    files = RJ.list_report_files(spark, root)
+    return files.groupBy("run_dir").agg(F.to_date(F.max("modificationTime")).alias("newest_file_date"))

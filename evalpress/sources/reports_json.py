@@ -81,6 +81,18 @@ def read_reports(spark: SparkSession, root: str, dir_glob: str = "*") -> DataFra
                      F.col("_metadata.file_modification_time").alias("mtime"))
 
 
+def list_report_files(spark: SparkSession, root: str, dir_glob: str = "*") -> DataFrame:
+    """Candidate report files by glob, without reading their content: run
+    directory and file stem from the path, names that are not reports
+    dropped (case-insensitive)."""
+    files = (spark.read.format("binaryFile").option("pathGlobFilter", "*.json").option("basePath", root)
+             .load(f"{root}/run_dir={dir_glob}").select("path", "length", "modificationTime"))
+    files = files.select(
+        F.regexp_extract("path", r"/run_dir=([^/]+)/", 1).alias("run_dir"),
+        F.regexp_extract("path", r"/stem=([^/]+)/", 1).alias("stem"), "path", "length", "modificationTime")
+    return files.where(~F.col("stem").rlike(NOT_A_REPORT))
+
+
 def valid_records(df: DataFrame) -> DataFrame:
     """Drop malformed records and files that are not reports."""
     return df.where(F.col("_corrupt").isNull() & ~F.col("stem").rlike(NOT_A_REPORT))
