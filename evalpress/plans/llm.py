@@ -22,6 +22,7 @@ from evalpress.operators import gates, pick, publish
 from evalpress.plans import fixtures as fx
 from evalpress.plans import sqlfn as S
 from evalpress.plans.schemas import LLM_COLUMNS
+from evalpress.plans.stage import staged
 
 ALLOWED = fx.ALLOWED_PLAYBOOKS
 
@@ -32,8 +33,10 @@ def reports(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def report_rows(spark: SparkSession, sf: str, reps: DataFrame | None = None) -> DataFrame:
-    """Every report with case counts over the allowed playbooks and its subject."""
-    reps = reps if reps is not None else reports(spark, sf)
+    """Every report with case counts over the allowed playbooks and its subject
+    (materialised once per session when built from the fixture)."""
+    if reps is None:
+        return staged(spark, sf, "report_rows", lambda: report_rows(spark, sf, reports(spark, sf)))
     allowed_pb = publish.filter_map_keys("playbooks", ALLOWED)
     total, err = gates.map_case_counts(allowed_pb)
     return reps.select(
@@ -54,12 +57,25 @@ def gated_rows(spark: SparkSession, sf: str, rows: DataFrame | None = None) -> D
 
 def cohort_table(spark: SparkSession, sf: str, rows: DataFrame | None = None,
                  min_files: int = 3, min_rows: int = 3) -> tuple[DataFrame, DataFrame]:
-    """(classified directories, surviving rows)."""
+    """(classified directories, surviving rows).
+
+    One aggregation per run directory gives all three counts at once: candidate
+    files, rows surviving the error gate and the deny-list, and SaaS rows among
+    them.  The directory table is tiny (one row per run) and is joined back.
+    """
     rows = rows if rows is not None else report_rows(spark, sf)
-    files = gates.cohort_sizes(rows, "run_dir", "n_files").where(F.col("n_files") >= min_files)
-    gated = gated_rows(spark, sf, rows).join(files.select("run_dir"), "run_dir", "left_semi")
-    sized = gates.min_cohort(gated, "run_dir", min_rows)
-    return gates.classify_cohort(sized, "run_dir", "is_saas"), sized
+    deny = fx.deny_list(spark, sf).select("name").distinct().withColumn("_denied", F.lit(True))
+    flagged = rows.join(deny, "name", "left")
+    ok = gates.error_share_ok() & ~F.coalesce(F.col("_denied"), F.lit(False))
+    stats = flagged.groupBy("run_dir").agg(
+        F.count(F.lit(1)).alias("n_files"),
+        F.count_if(ok).alias("n_rows"),
+        F.count_if(ok & F.col("is_saas")).alias("n_flagged"))
+    classified = (stats.where((F.col("n_files") >= min_files) & (F.col("n_rows") >= min_rows))
+                  .select("run_dir", "n_rows", "n_flagged",
+                          (F.col("n_flagged") * 2 >= F.col("n_rows")).alias("is_saas")))
+    sized = flagged.where(ok).drop("_denied").join(classified.select("run_dir"), "run_dir", "left_semi")
+    return classified, sized
 
 
 def cohort_rows(spark: SparkSession, sf: str, kind: str, pin: str | None = fx.PINNED_LOCAL_COHORT,
@@ -108,9 +124,10 @@ def llm_mart(spark: SparkSession, sf: str, config: str, rows: DataFrame | None =
         "valid": F.lit(True),
     }
     staged = r.select(*[v.alias(k) for k, v in {**header, **metrics}.items()],
-                      F.col("name").alias("_entity"), F.col("judge").alias("_judge"))
+                      F.col("name").alias("_entity"), F.col("judge").alias("_judge"),
+                      F.col("run").alias("_run"), F.col("run_dir").alias("_run_dir"))
     out = staged.join(store, "model_id", "left")
-    return out.select(*[F.col(c) for c, _ in LLM_COLUMNS], "_entity", "_judge")
+    return out.select(*[F.col(c) for c, _ in LLM_COLUMNS], "_entity", "_judge", "_run", "_run_dir")
 
 
 # ------------------------------------------------------------------- SQL

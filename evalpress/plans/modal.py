@@ -59,8 +59,8 @@ def guard_mart(spark: SparkSession, sf: str) -> DataFrame:
               "latency_ms_mean", "latency_ms_p95"):
         cols[k] = m[k]
     staged = g.select(*[v.alias(k) for k, v in cols.items() if k != "model_revision"],
-                      F.col("label").alias("_entity"))
-    return _revision(spark, sf, staged).select(*[c for c, _ in GUARD_COLUMNS], "_entity")
+                      F.col("label").alias("_entity"), F.col("mtime").alias("_mtime"))
+    return _revision(spark, sf, staged).select(*[c for c, _ in GUARD_COLUMNS], "_entity", "_mtime")
 
 
 GUARD_SQL_BODY = f"""
@@ -129,10 +129,10 @@ def tts_mart(spark: SparkSession, sf: str) -> DataFrame:
         "asr_wer_best_mean": F.col("wer_best_mean"), "asr_cer_mean": F.col("cer_mean"),
     }
     extra = [F.col("voice").alias("_entity"), F.col("judge1").alias("_asr1"), F.col("judge2").alias("_asr2"),
-             F.col("protocol").alias("_protocol"), F.col("testset").alias("_testset")]
+             F.col("protocol").alias("_protocol"), F.col("testset").alias("_testset"), F.col("run").alias("_run")]
     staged = t.select(*[v.alias(k) for k, v in cols.items()], *extra)
     return _revision(spark, sf, staged).select(*[c for c, _ in TTS_COLUMNS], *[e for e in
-                                               ("_entity", "_asr1", "_asr2", "_protocol", "_testset")])
+                                               ("_entity", "_asr1", "_asr2", "_protocol", "_testset", "_run")])
 
 
 TTS_ROWS_SQL = f"""tts AS (
@@ -205,8 +205,9 @@ def image_mart(spark: SparkSession, sf: str) -> DataFrame:
         "ocr_text_exact_rate": F.lit(None).cast("double"),
         "judge_adherence_score_mean": F.col("adherence_score_mean"),
     }
-    staged = d.select(*[v.alias(k) for k, v in cols.items()], F.col("model").alias("_entity"))
-    return _revision(spark, sf, staged).select(*[c for c, _ in T2I_COLUMNS], "_entity")
+    staged = d.select(*[v.alias(k) for k, v in cols.items()], F.col("model").alias("_entity"),
+                      F.col("run_dir").alias("_run_dir"))
+    return _revision(spark, sf, staged).select(*[c for c, _ in T2I_COLUMNS], "_entity", "_run_dir")
 
 
 IMG_DIRS_SQL = """img_lines AS (

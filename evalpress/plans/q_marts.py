@@ -77,14 +77,16 @@ def q_anchor(spark, sf):
 
 
 def _data_dates(spark, sf):
-    """Date texts of the four sources shown in the summary."""
-    rows = llm.report_rows(spark, sf)
-    loc = llm.cohort_rows(spark, sf, "local", rows=rows).select(F.col("run").alias("d"))
-    saas = llm.cohort_rows(spark, sf, "saas", rows=rows).select(F.col("run").alias("d"))
-    guards = fx.fx2_guards(spark, sf).select(F.col("mtime").alias("d"))
-    imgs = modal.image_latest(spark, sf).select(F.col("run_dir").alias("d"))
-    tts = fx.fx3_rescore(spark, sf).select(F.col("run").alias("d"))
-    return loc.unionByName(saas).unionByName(guards).unionByName(imgs).unionByName(tts)
+    """Date texts of the four sources shown in the summary (run names,
+    guard file dates, image run directories, TTS suite runs)."""
+    m = runs.marts(spark, sf)
+    parts = [m["llm_local"].select(F.col("_run").alias("d")), m["llm_saas"].select(F.col("_run").alias("d")),
+             m["guardrails"].select(F.col("_mtime").alias("d")), m["t2i"].select(F.col("_run_dir").alias("d")),
+             m["tts_de"].select(F.col("_run").alias("d"))]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
 
 
 def _data_date(spark, sf):
@@ -105,14 +107,16 @@ def q_max_date(spark, sf):
 
 
 def _summary(spark, sf):
-    rows = llm.report_rows(spark, sf)
-    loc = llm.cohort_rows(spark, sf, "local", rows=rows)
-    saas = llm.cohort_rows(spark, sf, "saas", rows=rows)
-    one = (loc.agg(F.max("run_dir").alias("_loc"), F.count(F.lit(1)).alias("_nl"))
-           .crossJoin(saas.agg(F.max("run_dir").alias("_saas"), F.count(F.lit(1)).alias("_ns")))
-           .crossJoin(fx.fx2_guards(spark, sf).agg(F.count(F.lit(1)).alias("n_guard")))
-           .crossJoin(modal.image_latest(spark, sf).agg(F.count(F.lit(1)).alias("n_image")))
-           .crossJoin(fx.fx3_rescore(spark, sf).agg(F.count(F.lit(1)).alias("n_tts")))
+    """Run id (local cohort, else SaaS cohort, else unknown), data date and
+    counts; every input is one row after a global aggregate."""
+    m = runs.marts(spark, sf)
+
+    def n(cfg, alias):
+        return m[cfg].agg(F.count(F.lit(1)).alias(alias))
+
+    one = (m["llm_local"].agg(F.max("_run_dir").alias("_loc"), F.count(F.lit(1)).alias("_nl"))
+           .crossJoin(m["llm_saas"].agg(F.max("_run_dir").alias("_saas"), F.count(F.lit(1)).alias("_ns")))
+           .crossJoin(n("guardrails", "n_guard")).crossJoin(n("t2i", "n_image")).crossJoin(n("tts_de", "n_tts"))
            .crossJoin(_data_date(spark, sf)))
     return one.select(
         F.coalesce("_loc", "_saas", F.lit("unknown")).alias("run"), F.col("data_date").alias("date"),

@@ -16,6 +16,7 @@ from evalpress.plans import fixtures as fx
 from evalpress.plans import llm, modal
 from evalpress.plans import sqlfn as S
 from evalpress.plans.schemas import HEADER, RUNS
+from evalpress.plans.stage import staged
 from evalpress.sources.tables import table
 
 # the judge playbook texts are taken from the first documents; a block starts
@@ -24,14 +25,16 @@ PLAYBOOK_MARKER = "The"
 
 
 def marts(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
-    rows = llm.report_rows(spark, sf)
-    return {
-        "llm_local": llm.llm_mart(spark, sf, "llm_local", rows),
-        "llm_saas": llm.llm_mart(spark, sf, "llm_saas", rows),
-        "guardrails": modal.guard_mart(spark, sf),
-        "tts_de": modal.tts_mart(spark, sf),
-        "t2i": modal.image_mart(spark, sf),
+    """The five metric tables (with the extra columns run metadata needs),
+    each materialised once per session."""
+    build = {
+        "llm_local": lambda: llm.llm_mart(spark, sf, "llm_local"),
+        "llm_saas": lambda: llm.llm_mart(spark, sf, "llm_saas"),
+        "guardrails": lambda: modal.guard_mart(spark, sf),
+        "tts_de": lambda: modal.tts_mart(spark, sf),
+        "t2i": lambda: modal.image_mart(spark, sf),
     }
+    return {cfg: staged(spark, sf, "mart_" + cfg, fn) for cfg, fn in build.items()}
 
 
 def header_union(spark: SparkSession, sf: str, m: dict[str, DataFrame] | None = None) -> DataFrame:
