@@ -34,14 +34,13 @@ def filter_allowed(df: DataFrame, col: str, allowed: Sequence[str]) -> DataFrame
 
 
 def filter_allowed_df(df: DataFrame, col: str, allow_df: DataFrame, allow_col: str = "name") -> DataFrame:
-    """Allow-list as a DataFrame (read from config): an empty list raises inside
-    the plan, so nothing is published from an unreadable list."""
-    n = allow_df.agg(F.count(F.lit(1)).alias("_n_allowed"))
-    guarded = df.crossJoin(F.broadcast(n)).where(
-        F.when(F.col("_n_allowed") == 0,
-               F.raise_error(F.lit("no playbook is released: allow-list empty"))).otherwise(F.lit(True)))
-    return guarded.drop("_n_allowed").join(
-        allow_df.select(F.col(allow_col).alias(col)).distinct(), col, "left_semi")
+    """Allow-list as a DataFrame (read from config).  Emptiness is checked
+    with one tiny job before the plan is built (an in-plan ``raise_error``
+    can be skipped when the optimizer proves the semi join empty), so an
+    empty or unreadable list aborts instead of publishing nothing silently."""
+    if allow_df.select(allow_col).where(F.col(allow_col).isNotNull()).limit(1).count() == 0:
+        raise PublicationError("no playbook is released: the allow-list is empty, nothing is built")
+    return df.join(allow_df.select(F.col(allow_col).alias(col)).distinct(), col, "left_semi")
 
 
 def filter_map_keys(map_col: Column | str, allowed: Sequence[str]) -> Column:

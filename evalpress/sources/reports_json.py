@@ -94,7 +94,9 @@ def list_report_files(spark: SparkSession, root: str, dir_glob: str = "*") -> Da
 
 
 def valid_records(df: DataFrame) -> DataFrame:
-    """Drop malformed records and files that are not reports."""
+    """Drop malformed records and files that are not reports.  The caller must
+    read at least one data column besides ``_corrupt`` (Spark only detects a
+    malformed record when it parses fields)."""
     return df.where(F.col("_corrupt").isNull() & ~F.col("stem").rlike(NOT_A_REPORT))
 
 
