@@ -35,11 +35,6 @@ def unmatched_keys(rows: DataFrame, runs: DataFrame, key: str = "run_id") -> Dat
     return j.where((F.col("n_rows") != 1) | (F.col("n_runs") != 1))
 
 
-def rules_frame(spark: SparkSession, rules: Sequence[tuple[str, str]]) -> DataFrame:
-    """The rule list (a bounded parameter) as a small table."""
-    return spark.createDataFrame(list(rules), "rule string, pattern string")
-
-
 def string_columns(schema: T.StructType, prefix: str = "") -> list[str]:
     """Paths of every string leaf, nested structs included (arrays excluded)."""
     out = []
@@ -54,15 +49,17 @@ def string_columns(schema: T.StructType, prefix: str = "") -> list[str]:
 
 def leak_columns(df: DataFrame, keys: Sequence[str], columns: Sequence[str],
                  rules: Sequence[tuple[str, str]]) -> DataFrame:
-    """Unpivot the string columns, test each value against each rule (the
-    rule table is a bounded parameter, broadcast) and count findings per
-    (column, rule).  Patterns are applied as row-wise ``rlike``."""
-    stack = ", ".join(f"'{c}', `{c.split('.')[0]}`" if "." not in c else f"'{c}', {c}" for c in columns)
+    """Unpivot the string columns, test each value against every rule and
+    count findings per (column, rule).  Each rule is its own ``rlike`` with a
+    literal pattern (compiled once per task, no pairing of rows with a rule
+    table); the matched rule names are exploded and counted."""
+    stack = ", ".join(f"'{c}', `{c}`" if "." not in c else f"'{c}', {c}" for c in columns)
     long = df.selectExpr(*[f"`{k}`" for k in keys], f"stack({len(columns)}, {stack}) AS (column_name, v)")
     long = long.where(F.col("v").isNotNull())
-    rl = rules_frame(df.sparkSession, rules)
-    hits = long.crossJoin(F.broadcast(rl)).where(F.expr("v rlike pattern"))
-    return hits.groupBy("column_name", "rule").agg(F.count(F.lit(1)).alias("n"))
+    hits = F.filter(F.array(*[F.when(F.col("v").rlike(p), F.lit(n)) for n, p in rules]),
+                    lambda x: x.isNotNull())
+    found = long.select("column_name", F.explode(hits).alias("rule"))
+    return found.groupBy("column_name", "rule").agg(F.count(F.lit(1)).alias("n"))
 
 
 def leak_text(df: DataFrame, key: str, text: str, rules: Sequence[tuple[str, str]], cut: int = 40) -> DataFrame:
