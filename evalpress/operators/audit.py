@@ -63,15 +63,16 @@ def leak_columns(df: DataFrame, keys: Sequence[str], columns: Sequence[str],
 
 
 def leak_text(df: DataFrame, key: str, text: str, rules: Sequence[tuple[str, str]], cut: int = 40) -> DataFrame:
-    """One finding per match, the match cut to ``cut`` characters.  Each rule
-    is one expression, so the patterns stay literals for the JVM regex cache."""
-    out = None
-    for name, pattern in rules:
-        m = df.select(F.col(key), F.lit(name).alias("rule"),
-                      F.explode(F.regexp_extract_all(F.col(text), F.lit(pattern), 0)).alias("m"))
-        m = m.select(key, "rule", F.substring("m", 1, cut).alias("match"))
-        out = m if out is None else out.unionByName(m)
-    return out
+    """One finding per match, the match cut to ``cut`` characters.  One pass
+    over the table: every rule is a literal-pattern ``regexp_extract_all``,
+    the per-rule match lists are concatenated and exploded once."""
+    def tagged(name: str, pattern: str):
+        return F.transform(F.regexp_extract_all(F.col(text), F.lit(pattern), 0),
+                           lambda m: F.struct(F.lit(name).alias("rule"), m.alias("m")))
+
+    per_rule = [tagged(n, p) for n, p in rules]
+    found = df.select(F.col(key), F.explode(F.concat(*per_rule)).alias("f"))
+    return found.select(key, F.col("f.rule").alias("rule"), F.substring("f.m", 1, cut).alias("match"))
 
 
 def json_keys(df: DataFrame, col: str) -> DataFrame:

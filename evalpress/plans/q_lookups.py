@@ -191,16 +191,23 @@ def _lenient_sql(v, t):
   count_if(nullif(CAST({c} AS VARCHAR), '') IS NOT NULL AND {_lenient_sql(f'CAST({c} AS VARCHAR)', t)} IS NULL) AS n_rejected
 FROM {tb}""" for tb, c, t in _LENIENT))
 def q_cast_lenient(spark, sf):
+    """One pass per table: every (column, type) check is an element of an
+    array that is exploded once, then counted."""
     from evalpress.operators.typed import cast_lenient
     types = {"int": T.IntegerType(), "double": T.DoubleType(), "date": T.DateType(), "bool": T.BooleanType()}
     out = None
-    for tb, c, t in _LENIENT:
-        v = F.col(c).cast("string")
-        r = cast_lenient(v, types[t])
-        part = table(spark, sf, tb).agg(
-            F.count(r).alias("n_accepted"),
-            F.count_if(C.nz(v).isNotNull() & r.isNull()).alias("n_rejected")).select(
-            F.lit(c).alias("column_name"), F.lit(t).alias("type_name"), "n_accepted", "n_rejected")
+    for tb in dict.fromkeys(t for t, _, _ in _LENIENT):
+        checks = []
+        for t2, c, t in _LENIENT:
+            if t2 != tb:
+                continue
+            v = F.col(c).cast("string")
+            r = cast_lenient(v, types[t])
+            checks.append(F.struct(F.lit(c).alias("column_name"), F.lit(t).alias("type_name"),
+                                   r.isNotNull().alias("ok"), (C.nz(v).isNotNull() & r.isNull()).alias("bad")))
+        e = table(spark, sf, tb).select(F.explode(F.array(*checks)).alias("x")).select("x.*")
+        part = e.groupBy("column_name", "type_name").agg(F.count_if("ok").alias("n_accepted"),
+                                                         F.count_if("bad").alias("n_rejected"))
         out = part if out is None else out.unionByName(part)
     return out
 
