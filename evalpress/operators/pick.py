@@ -14,7 +14,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from evalpress.session import scratch_root
 
 
 def _cols(xs) -> list[Column]:
@@ -123,8 +122,8 @@ def rank_within(df: DataFrame, part: Sequence[str], order: Sequence[Column], out
     w = Window.partitionBy("_pid", *part).orderBy(*order)
     # the task ids must be the same for the counts and the rows they offset:
     # cut lineage once (reliable checkpoint in the shared checkpoint dir)
-    scratch_root(df.sparkSession)
-    numbered = ranged.withColumn("_rn", F.row_number().over(w)).checkpoint(eager=True)
+    from evalpress.plans.stage import checkpointed
+    numbered = checkpointed(ranged.withColumn("_rn", F.row_number().over(w)))
     counts = numbered.groupBy("_pid", *part).agg(F.count(F.lit(1)).alias("_cnt"))
     w_off = Window.partitionBy(*part).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     if not part:

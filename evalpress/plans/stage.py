@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from evalpress.session import scratch_root
@@ -22,11 +23,21 @@ def staged(spark: SparkSession, sf: str, name: str, build: Callable[[], DataFram
     key = (spark.sparkContext.applicationId, sf, name)
     df = _STAGED.get(key)
     if df is None:
-        scratch_root(spark)
-        df = build().checkpoint(eager=True)
+        df = checkpointed(build())
         _STAGED[key] = df
     return df
 
 
+def checkpointed(df: DataFrame) -> DataFrame:
+    """Reliable checkpoint that computes the plan once: the rows are persisted
+    while the checkpoint files are written (writing re-reads the RDD), then
+    released; the returned DataFrame reads the checkpoint files."""
+    scratch_root(df.sparkSession)
+    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
+    out = cached.checkpoint(eager=True)
+    cached.unpersist()
+    return out
+
+
 def clear() -> None:
     _STAGED.clear()
