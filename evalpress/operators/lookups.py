@@ -87,6 +87,9 @@ def merge_status_cache(ids: DataFrame, cache: DataFrame, store: DataFrame, mode:
 def status_counts(status: DataFrame) -> DataFrame:
     """Ids per status with the resolved share; ids stay rows, never one list."""
     per = status.groupBy("status").agg(F.count(F.lit(1)).alias("n_ids"))
-    tot = status.agg(F.count(F.lit(1)).alias("_total"), F.count_if(F.col("status") == "ok").alias("_ok"))
+    # the total comes from the per-status table (a handful of rows), so the
+    # status table itself is read once
+    tot = per.agg(F.sum("n_ids").alias("_total"),
+                  F.coalesce(F.sum(F.when(F.col("status") == "ok", F.col("n_ids"))), F.lit(0)).alias("_ok"))
     return per.crossJoin(F.broadcast(tot)).select(
         "status", "n_ids", (F.col("_ok").cast("double") / F.col("_total")).alias("ok_share"))

@@ -49,46 +49,56 @@ def report_rows(spark: SparkSession, sf: str, reps: DataFrame | None = None) ->
     )
 
 
+def deny(spark: SparkSession, sf: str) -> DataFrame:
+    """The deny-list, distinct names (materialised once per session)."""
+    return staged(spark, sf, "deny", lambda: fx.deny_list(spark, sf).select("name").distinct())
+
+
 def gated_rows(spark: SparkSession, sf: str, rows: DataFrame | None = None) -> DataFrame:
     rows = rows if rows is not None else report_rows(spark, sf)
     kept = gates.gate_error_rate(rows)
-    return publish.exclude_subjects(kept, "name", fx.deny_list(spark, sf))
+    return publish.exclude_subjects(kept, "name", deny(spark, sf))
 
 
-def cohort_table(spark: SparkSession, sf: str, rows: DataFrame | None = None,
-                 min_files: int = 3, min_rows: int = 3) -> tuple[DataFrame, DataFrame]:
-    """(classified directories, surviving rows).
+def cohort_table(spark: SparkSession, sf: str, min_files: int = 3,
+                 min_rows: int = 3) -> tuple[DataFrame, DataFrame]:
+    """(classified directories, surviving rows), materialised once per
+    session and threshold pair; every cohort query reads them.
 
     One aggregation per run directory gives all three counts at once: candidate
     files, rows surviving the error gate and the deny-list, and SaaS rows among
     them.  The directory table is tiny (one row per run) and is joined back.
     """
-    rows = rows if rows is not None else report_rows(spark, sf)
-    deny = fx.deny_list(spark, sf).select("name").distinct().withColumn("_denied", F.lit(True))
-    flagged = rows.join(deny, "name", "left")
+    key = f"cohort_{min_files}_{min_rows}"
+    rows = report_rows(spark, sf)
+    denied = deny(spark, sf).withColumn("_denied", F.lit(True))
+    flagged = rows.join(denied, "name", "left")
     ok = gates.error_share_ok() & ~F.coalesce(F.col("_denied"), F.lit(False))
-    stats = flagged.groupBy("run_dir").agg(
-        F.count(F.lit(1)).alias("n_files"),
-        F.count_if(ok).alias("n_rows"),
-        F.count_if(ok & F.col("is_saas")).alias("n_flagged"))
-    classified = (stats.where((F.col("n_files") >= min_files) & (F.col("n_rows") >= min_rows))
-                  .select("run_dir", "n_rows", "n_flagged",
-                          (F.col("n_flagged") * 2 >= F.col("n_rows")).alias("is_saas")))
-    sized = flagged.where(ok).drop("_denied").join(classified.select("run_dir"), "run_dir", "left_semi")
+
+    def classify():
+        stats = flagged.groupBy("run_dir").agg(
+            F.count(F.lit(1)).alias("n_files"),
+            F.count_if(ok).alias("n_rows"),
+            F.count_if(ok & F.col("is_saas")).alias("n_flagged"))
+        return (stats.where((F.col("n_files") >= min_files) & (F.col("n_rows") >= min_rows))
+                .select("run_dir", "n_rows", "n_flagged", (F.col("n_flagged") * 2 >= F.col("n_rows")).alias("is_saas")))
+
+    classified = staged(spark, sf, key + "_dirs", classify)
+    sized = staged(spark, sf, key + "_rows", lambda: flagged.where(ok).drop("_denied").join(
+        classified.select("run_dir"), "run_dir", "left_semi"))
     return classified, sized
 
 
-def cohort_rows(spark: SparkSession, sf: str, kind: str, pin: str | None = fx.PINNED_LOCAL_COHORT,
-                rows: DataFrame | None = None) -> DataFrame:
-    classified, sized = cohort_table(spark, sf, rows)
+def cohort_rows(spark: SparkSession, sf: str, kind: str, pin: str | None = fx.PINNED_LOCAL_COHORT) -> DataFrame:
+    classified, sized = cohort_table(spark, sf)
     chosen = (pick.pick_cohort_pinned(classified, "run_dir", pin) if kind == "local"
               else pick.pick_cohort_latest(classified, "run_dir"))
     return sized.join(F.broadcast(chosen), "run_dir", "left_semi")
 
 
-def llm_mart(spark: SparkSession, sf: str, config: str, rows: DataFrame | None = None) -> DataFrame:
+def llm_mart(spark: SparkSession, sf: str, config: str) -> DataFrame:
     is_saas = config == "llm_saas"
-    r = cohort_rows(spark, sf, "saas" if is_saas else "local", rows=rows)
+    r = cohort_rows(spark, sf, "saas" if is_saas else "local")
     meta = fx.fx6_meta(spark, sf).select("name", "hf_repo")
     store = fx.fx7_store(spark, sf).select(F.col("id").alias("model_id"), C.nz("sha").alias("model_revision"))
     r = r.join(meta, "name", "left").crossJoin(F.broadcast(fx.feed_date(spark, sf)))

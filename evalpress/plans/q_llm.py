@@ -47,7 +47,7 @@ def q_filter_public(spark, sf):
 @query("filter_excluded_models", W(*BASE) + """SELECT run_dir, count(*) AS n_reports
 FROM rows WHERE name NOT IN (SELECT name FROM deny) GROUP BY run_dir""")
 def q_filter_excluded(spark, sf):
-    rows = publish.exclude_subjects(llm.report_rows(spark, sf), "name", fx.deny_list(spark, sf))
+    rows = publish.exclude_subjects(llm.report_rows(spark, sf), "name", llm.deny(spark, sf))
     return rows.groupBy("run_dir").agg(F.count(F.lit(1)).alias("n_reports"))
 
 
@@ -69,7 +69,7 @@ def q_gate(spark, sf):
 FROM rows WHERE NOT is_saas AND name NOT IN (SELECT name FROM deny) GROUP BY run_dir, name""")
 def q_validity(spark, sf):
     rows = llm.report_rows(spark, sf).where(~F.col("is_saas"))
-    rows = publish.exclude_subjects(rows, "name", fx.deny_list(spark, sf))
+    rows = publish.exclude_subjects(rows, "name", llm.deny(spark, sf))
     v = gates.validity(rows.select("run_dir", "name", "stem", "total", "err"))
     return pick.latest_per_key(v, ["run_dir", "name"], ["stem"])
 
@@ -284,6 +284,6 @@ def q_sorted_structs(spark, sf):
   UNION ALL SELECT s.name, 'saas', 1 FROM sized s JOIN saas_cohort c USING (run_dir)) u GROUP BY name""")
 def q_union_same(spark, sf):
     rows = llm.report_rows(spark, sf)
-    loc = llm.cohort_rows(spark, sf, "local", rows=rows).select("name", F.lit("local").alias("cohort"), F.lit(0).alias("o"))
-    saas = llm.cohort_rows(spark, sf, "saas", rows=rows).select("name", F.lit("saas").alias("cohort"), F.lit(1).alias("o"))
+    loc = llm.cohort_rows(spark, sf, "local").select("name", F.lit("local").alias("cohort"), F.lit(0).alias("o"))
+    saas = llm.cohort_rows(spark, sf, "saas").select("name", F.lit("saas").alias("cohort"), F.lit(1).alias("o"))
     return pick.first_per_key(loc.unionByName(saas), ["name"], ["o"]).select("name", "cohort")

@@ -116,8 +116,8 @@ def q_merge_cache(spark, sf):
 WHERE missing <> ''""")
 def q_metadata_gaps(spark, sf):
     rows = llm.report_rows(spark, sf)
-    loc = llm.cohort_rows(spark, sf, "local", rows=rows).select("name", "profile", "is_saas", F.lit(0).alias("o"))
-    saas = llm.cohort_rows(spark, sf, "saas", rows=rows).select("name", "profile", "is_saas", F.lit(1).alias("o"))
+    loc = llm.cohort_rows(spark, sf, "local").select("name", "profile", "is_saas", F.lit(0).alias("o"))
+    saas = llm.cohort_rows(spark, sf, "saas").select("name", "profile", "is_saas", F.lit(1).alias("o"))
     first = pick.first_per_key(loc.unionByName(saas), ["name"], ["o"])
     meta = fx.fx6_meta(spark, sf)
     lic = L.with_license(first, fx.fx7_license_cache(spark, sf), meta)

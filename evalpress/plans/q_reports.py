@@ -64,7 +64,7 @@ POSITION_SQL = position_sql()
 
 @query("build_roster", W(*llm.BASE_SQL, *ROSTER_SQL[:2]) + "SELECT name, profile, active, na FROM roster")
 def q_build_roster(spark, sf):
-    return R.build_roster(fx.fx5_roster_raw(spark, sf), fx.deny_list(spark, sf))
+    return R.build_roster(fx.fx5_roster_raw(spark, sf), llm.deny(spark, sf))
 
 
 @query("filter_roster_visible", W(*ROSTER_CTES) + "SELECT name, active, na, has_report FROM rs WHERE in_roster")
@@ -89,7 +89,8 @@ FROM rsr GROUP BY status, status_rank""")
 def q_status_hist(spark, sf):
     rs = R.roster_status(spark, sf)
     per = rs.groupBy("status", "status_rank").agg(F.count(F.lit(1)).alias("n"))
-    tot = rs.agg((F.count_if(F.col("status") == "valid").cast("double") / F.count(F.lit(1))).alias("valid_share"))
+    tot = per.agg((F.coalesce(F.sum(F.when(F.col("status") == "valid", F.col("n"))), F.lit(0)).cast("double")
+                   / F.sum("n")).alias("valid_share"))
     return per.crossJoin(F.broadcast(tot))
 
 

@@ -38,10 +38,10 @@ def local_reports(spark: SparkSession, sf: str, rows: DataFrame | None = None) -
     """All non-SaaS reports of the chosen local cohort directory, valid or not;
     last file per name wins."""
     rows = rows if rows is not None else llm.report_rows(spark, sf)
-    classified, _ = llm.cohort_table(spark, sf, rows)
+    classified, _ = llm.cohort_table(spark, sf)
     chosen = pick.pick_cohort_pinned(classified, "run_dir", fx.PINNED_LOCAL_COHORT)
     r = rows.join(F.broadcast(chosen), "run_dir", "left_semi").where(~F.col("is_saas"))
-    r = exclude_subjects(r, "name", fx.deny_list(spark, sf))
+    r = exclude_subjects(r, "name", llm.deny(spark, sf))
     v = gates.validity(r.select("name", "stem", "total", "err", "profile", "pass_rate", "overall",
                                 "knockouts", "pb", "playbooks"))
     return pick.latest_per_key(v, ["name"], ["stem"])
@@ -49,9 +49,9 @@ def local_reports(spark: SparkSession, sf: str, rows: DataFrame | None = None) -
 
 def roster_status(spark: SparkSession, sf: str, running: str | None = RUNNING_PROFILE) -> DataFrame:
     rows = llm.report_rows(spark, sf)
-    roster = build_roster(fx.fx5_roster_raw(spark, sf), fx.deny_list(spark, sf))
+    roster = build_roster(fx.fx5_roster_raw(spark, sf), llm.deny(spark, sf))
     reps = local_reports(spark, sf, rows)
-    valid = (llm.cohort_rows(spark, sf, "local", rows=rows)
+    valid = (llm.cohort_rows(spark, sf, "local")
              .select("name", F.col("pass_rate").alias("_v_pass_rate"), F.lit(True).alias("_in_valid"),
                      F.col("overall").alias("v_overall"), F.col("knockouts").alias("v_knockouts"),
                      F.col("pb")["01_quality"]["pass_rate"].alias("v_quality")))
