@@ -249,8 +249,11 @@ def q_sink_summary(spark, sf):
 
 @query("dataset_manifest")
 def q_manifest(spark, sf):
-    q_sink_parquet(spark, sf)
-    return sinks.manifest(spark, _sink_dir(spark, sf, "data/t2i"))
+    """Files of the built dataset (all tables, run metadata, JSON lines)."""
+    from evalpress.plans.build import emit_dataset
+    target = _sink_dir(spark, sf, "build")
+    emit_dataset(spark, sf, target).collect()
+    return sinks.manifest(spark, target)
 
 
 @query("assert_no_raw_fields")
