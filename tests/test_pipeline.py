@@ -1,0 +1,40 @@
+"""Pipeline-level behaviour on the smallest tables."""
+from pyspark.sql import functions as F
+
+from evalpress.plans import llm, roster
+from evalpress.plans.build import emit_dataset
+from evalpress.session import scratch_root
+from tests.conftest import SMALL
+
+
+def test_scratch_root_uses_checkpoint_dir(spark):
+    root = scratch_root(spark)
+    assert root
+    assert spark.sparkContext.getCheckpointDir() is not None
+
+
+def test_cohorts_split_and_pin(spark):
+    classified, sized = llm.cohort_table(spark, SMALL)
+    kinds = {r["run_dir"]: r["is_saas"] for r in classified.collect()}
+    assert True in kinds.values() and False in kinds.values()
+    local = llm.cohort_rows(spark, SMALL, "local").select("run_dir").distinct().collect()
+    assert [r[0] for r in local] == ["2024-01-08"]
+    # a gated row never has an error share above 0.3
+    assert sized.where(F.col("err") * 10 > F.col("total") * 3).count() == 0
+
+
+def test_roster_statuses(spark):
+    rs = roster.roster_status(spark, SMALL, running=roster.RUNNING_PROFILE)
+    statuses = {r[0] for r in rs.select("status").distinct().collect()}
+    assert {"valid", "pending"} <= statuses
+    assert statuses <= {"valid", "running", "degraded", "pending", "na"}
+    # N/A beats a degraded report; a roster row in the valid set is valid
+    assert rs.where(F.col("in_valid_set") & (F.col("status") != "valid") & F.col("in_roster")).count() == 0
+
+
+def test_emit_dataset_verdict(spark, tmp_path):
+    row = emit_dataset(spark, SMALL, str(tmp_path / "ds")).first()
+    assert row["one_to_one"] is True
+    assert row["n_leaks"] == 0 and row["n_missing"] == 0
+    written = spark.read.parquet(str(tmp_path / "ds" / "data" / "t2i"))
+    assert written.count() > 0
