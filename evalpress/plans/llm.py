@@ -103,7 +103,9 @@ def llm_mart(spark: SparkSession, sf: str, config: str) -> DataFrame:
     store = fx.fx7_store(spark, sf).select(F.col("id").alias("model_id"), C.nz("sha").alias("model_revision"))
     r = r.join(meta, "name", "left").crossJoin(F.broadcast(fx.feed_date(spark, sf)))
     basis = C.nz("hf_repo")
-    model_id = basis if is_saas else C.canonical_id(C.strip_variant(F.coalesce("profile", F.lit(""))))
+    if not is_saas:
+        r = r.withColumn("_base_profile", C.strip_variant(F.coalesce("profile", F.lit(""))))
+    model_id = basis if is_saas else C.canonical_id("_base_profile")
     datum = F.coalesce(C.date_prefix("run"), F.col("feed_date"))
     perf_text = F.col("playbooks")[PERF_PLAYBOOK]["perf_response"]
     median = C.json_number(perf_text, "throughput_median_tok_s")

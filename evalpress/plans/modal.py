@@ -36,7 +36,10 @@ def guard_rows(spark: SparkSession, sf: str) -> DataFrame:
 
 def guard_mart(spark: SparkSession, sf: str) -> DataFrame:
     g = guard_rows(spark, sf).join(_meta(spark, sf), F.col("full_name") == F.col("_meta_name"), "left")
-    mid = C.canonical_id("served_model")
+    # the id is a column first, so the quantisation label reads it instead of
+    # nesting the whole id expression in every branch
+    g = g.withColumn("_mid", C.canonical_id("served_model"))
+    mid = F.col("_mid")
     m = F.col("metrics")
     cols = {
         "run_id": F.concat_ws("/", F.lit("guardrails"), F.col("label"), F.col("mtime")),
@@ -187,7 +190,8 @@ def image_mart(spark: SparkSession, sf: str) -> DataFrame:
     d = (d.join(dirs, d["model"] == dirs["_dir_name"], "left")
          .join(_meta(spark, sf), F.col("model") == F.col("_meta_name"), "left")
          .crossJoin(F.broadcast(fx.feed_date(spark, sf))))
-    mid = C.canonical_id(F.coalesce("dir", F.lit("")))
+    d = d.withColumn("_mid", C.canonical_id(F.coalesce("dir", F.lit(""))))
+    mid = F.col("_mid")
     datum = F.coalesce(C.date_prefix("run_dir"), F.col("feed_date"))
     cols = {
         "run_id": F.concat_ws("/", F.lit("t2i"), F.col("model"), F.coalesce(C.nz("run_dir"), datum)),

@@ -11,13 +11,24 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
 FACT_TABLES = frozenset({"events", "documents", "pages"})
 
 
+_READ: dict[tuple[str, str], DataFrame] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One driver table; Catalyst prunes columns and pushes filters into the
-    scan (filters and pruning pass through the repartition below)."""
+    scan (filters and pruning pass through the repartition below).  The
+    DataFrame is immutable, so one read (file listing, footer) per session is
+    reused by every query."""
     if name not in TABLES:
         raise KeyError(f"unknown table {name!r}")
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return spread(df) if name in FACT_TABLES else df
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (spark.sparkContext.applicationId, path)
+    df = _READ.get(key)
+    if df is None:
+        df = spark.read.parquet(path)
+        df = spread(df) if name in FACT_TABLES else df
+        _READ[key] = df
+    return df
 
 
 def spread(df: DataFrame) -> DataFrame:
