@@ -35,8 +35,12 @@ def spread(df: DataFrame) -> DataFrame:
     """Give CPU-bound row work at least one task per core.  A file with one
     row group is one scan task; only then are rows dealt out round-robin.  On
     a large input (more splits than cores) this is a no-op, no shuffle."""
-    n = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(n) if df.rdd.getNumPartitions() < n else df
+    try:
+        n = df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 -- no SparkContext (remote session): leave the scan as is
+        return df
+    return df.repartition(n) if splits < n else df
 
 
 def sf_tag(sf_dir: str) -> str:
