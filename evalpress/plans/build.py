@@ -59,9 +59,13 @@ def main() -> None:
     ap = argparse.ArgumentParser(description="Build the evaluation dataset.")
     ap.add_argument("--sf", required=True)
     ap.add_argument("--target", default=None)
+    ap.add_argument("--reports", default=None, help="read LLM reports from this file drop")
     a = ap.parse_args()
     from evalpress.session import build_session
     spark = build_session()
+    if a.reports:
+        from evalpress.plans.llm import use_report_files
+        use_report_files(spark, a.sf, a.reports)
     row = emit_dataset(spark, a.sf, a.target).first().asDict()
     print(json.dumps(row))
 

@@ -22,7 +22,7 @@ from evalpress.operators import gates, pick, publish
 from evalpress.plans import fixtures as fx
 from evalpress.plans import sqlfn as S
 from evalpress.plans.schemas import LLM_COLUMNS
-from evalpress.plans.stage import staged
+from evalpress.plans.stage import replace, staged
 
 ALLOWED = fx.ALLOWED_PLAYBOOKS
 
@@ -54,6 +54,15 @@ def deny(spark: SparkSession, sf: str) -> DataFrame:
     return staged(spark, sf, "deny", lambda: fx.deny_list(spark, sf).select("name").distinct())
 
 
+def use_report_files(spark: SparkSession, sf: str, root: str) -> DataFrame:
+    """Read the LLM reports from a report file drop (``run_dir=*/stem=*``)
+    instead of the events fixture; every LLM query of this session and scale
+    folder then runs on the files."""
+    from evalpress.sources import reports_json as RJ
+    return replace(spark, sf, "report_rows",
+                   lambda: report_rows(spark, sf, RJ.reports_from_records(RJ.read_reports(spark, root))))
+
+
 def gated_rows(spark: SparkSession, sf: str, rows: DataFrame | None = None) -> DataFrame:
     rows = rows if rows is not None else report_rows(spark, sf)
     kept = gates.gate_error_rate(rows)

@@ -39,5 +39,14 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return out
 
 
+def replace(spark: SparkSession, sf: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """Swap the source of one staged table; everything staged from it for
+    this session and scale folder is dropped so it is rebuilt on demand."""
+    app = spark.sparkContext.applicationId
+    for key in [k for k in _STAGED if k[0] == app and k[1] == sf]:
+        del _STAGED[key]
+    return staged(spark, sf, name, build)
+
+
 def clear() -> None:
     _STAGED.clear()

@@ -104,3 +104,43 @@ def cases_from_records(df: DataFrame) -> DataFrame:
     e = df.select("run_dir", "stem", F.explode("playbooks").alias("playbook", "pb"))
     return e.select("run_dir", "stem", "playbook", F.explode("pb.results").alias("r")).select(
         "run_dir", "stem", "playbook", "r.*")
+
+
+def reports_from_records(records: DataFrame) -> DataFrame:
+    """Report files -> one row per report in the shape the LLM pipeline reads
+    (meta and summary fields, map playbook -> aggregates).
+
+    Works on any number of records per report (a file may hold its playbooks
+    in slices): case counts are summed over slices, the first performance
+    case is the smallest position, the playbook aggregates are taken as
+    written.  Every step is an aggregation with partial combine; the map has
+    at most one entry per playbook.
+    """
+    recs = valid_records(records)
+    e = recs.select("run_dir", "stem", "meta", "summary", F.explode("playbooks").alias("playbook", "pb"))
+    perf = F.filter(F.col("pb.results"), lambda r: r["test_id"] == F.lit("perf_benchmark"))
+    first_perf = F.try_element_at(F.array_sort(F.transform(perf, lambda r: F.struct(r["pos"], r["response"]))),
+                                  F.lit(1))
+    sl = e.select(
+        "run_dir", "stem", "meta", "summary", "playbook",
+        F.col("pb.pass_rate").alias("pass_rate"), F.col("pb.mean_score").alias("mean_score"),
+        F.col("pb.passed").alias("passed"),
+        F.coalesce(F.size("pb.results"), F.lit(0)).alias("n_results"),
+        F.coalesce(F.size(F.filter(F.col("pb.results"), lambda r: r["verdict"] == F.lit("error"))), F.lit(0))
+        .alias("n_err"),
+        F.coalesce(F.size("pb.knockouts"), F.lit(0)).alias("n_ko"),
+        first_perf.alias("perf"))
+    pb = sl.groupBy("run_dir", "stem", "playbook").agg(
+        F.max("meta").alias("meta"), F.max("summary").alias("summary"),
+        F.max("pass_rate").alias("pass_rate"), F.max("mean_score").alias("mean_score"),
+        F.sum("n_results").cast("int").alias("total"), F.max("passed").alias("passed"),
+        F.sum("n_ko").cast("int").alias("n_knockouts"), F.sum("n_err").cast("int").alias("n_error"),
+        F.min("perf").alias("perf"))
+    entry = F.struct(F.col("pass_rate"), F.col("mean_score"), F.col("total"), F.col("passed"),
+                     F.col("n_knockouts"), F.col("n_error"), F.col("perf.response").alias("perf_response"))
+    rep = pb.groupBy("run_dir", "stem").agg(
+        F.max("meta").alias("meta"), F.max("summary").alias("summary"),
+        F.map_from_entries(F.collect_list(F.struct(F.col("playbook"), entry))).alias("playbooks"))
+    return rep.select("run_dir", "stem", "meta.model", "meta.source", "meta.profile", "meta.run", "meta.judge",
+                      "summary.overall", "summary.pass_rate", "summary.knockouts", "summary.total_tests",
+                      "playbooks")

@@ -38,3 +38,16 @@ def test_emit_dataset_verdict(spark, tmp_path):
     assert row["n_leaks"] == 0 and row["n_missing"] == 0
     written = spark.read.parquet(str(tmp_path / "ds" / "data" / "t2i"))
     assert written.count() > 0
+
+
+def test_use_report_files_switches_source(spark, tmp_path):
+    import tempfile
+    from evalpress.plans import stage
+    from evalpress.sources import reports_json as RJ
+    sf = SMALL.rstrip("/") + "/"   # a distinct staging key for this test
+    root = RJ.write_reports(spark, SMALL, root=tempfile.mkdtemp(prefix="evalpress-src-") + "/r")
+    before = llm.cohort_rows(spark, SMALL, "local").select("name").collect()
+    llm.use_report_files(spark, sf, root)
+    after = llm.cohort_rows(spark, sf, "local").select("name").collect()
+    assert sorted(before) == sorted(after)
+    stage.replace(spark, sf, "unused", lambda: spark.range(1))

@@ -65,3 +65,21 @@ def test_sinks_roundtrip(spark):
     assert sinks.same_rows(pq, back).count() == 0
     m = sinks.manifest(spark, root + "/runs_parquet")
     assert m.where(F.col("rel_path").endswith(".parquet")).count() >= 1
+
+
+def test_reports_from_files_match_fixture(spark):
+    from evalpress.plans import fixtures as fx
+    from evalpress.plans import llm
+    from tests.conftest import SMALL
+    root = RJ.write_reports(spark, SMALL, root=tempfile.mkdtemp(prefix="evalpress-rep-") + "/r")
+    from_files = llm.report_rows(spark, SMALL, RJ.reports_from_records(RJ.read_reports(spark, root)))
+    from_fixture = llm.report_rows(spark, SMALL, fx.fx1_reports(fx.fx1_cases(spark, SMALL)))
+    cols = ["run_dir", "stem", "name", "is_saas", "total", "err", "pass_rate", "overall", "knockouts", "run"]
+    a, b = from_files.select(*cols), from_fixture.select(*cols)
+    assert a.count() == b.count()
+    assert a.exceptAll(b).count() == 0
+    pa = from_files.select("run_dir", "stem", F.explode("pb").alias("k", "v")).select(
+        "run_dir", "stem", "k", "v.pass_rate", "v.mean_score", "v.n_error", "v.perf_response")
+    pb = from_fixture.select("run_dir", "stem", F.explode("pb").alias("k", "v")).select(
+        "run_dir", "stem", "k", "v.pass_rate", "v.mean_score", "v.n_error", "v.perf_response")
+    assert pa.exceptAll(pb).count() == 0 and pb.exceptAll(pa).count() == 0
