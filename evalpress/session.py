@@ -33,6 +33,35 @@ def build_session(cpus: int | None = None, master: str | None = None,
     return spark
 
 
+def cluster_conf(total_cores: int, shuffle_bytes_estimate: int | None = None) -> dict[str, str]:
+    """Settings for a large cluster (e.g. 1000 executors reading ~100 TB).
+
+    Shuffle partitions follow the larger of 3x the cores and the shuffle
+    volume at ~200 MB per partition; AQE then coalesces small partitions and
+    splits skewed ones (a key holding a third of the rows is split into
+    advisory-size pieces on the join side).  Broadcasts stay behind the
+    measured-size threshold.  ``spark.checkpoint.dir`` must be a shared folder
+    (HDFS/S3-compatible) so lineage cuts survive lost executors.
+    """
+    parts = 3 * total_cores
+    if shuffle_bytes_estimate:
+        parts = max(parts, shuffle_bytes_estimate // (200 * 1024 * 1024))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": str(512 * 1024 * 1024),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * 1024 * 1024),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "3",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(512 * 1024 * 1024),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
+        "spark.sql.session.timeZone": "UTC",
+        "spark.ui.enabled": "false",
+    }
+
+
 def scratch_root(spark: SparkSession) -> str:
     """Shared folder for written tables.
 
