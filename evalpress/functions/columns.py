@@ -33,6 +33,12 @@ def nz(x: ColumnOrName) -> Column:
     return F.nullif(_c(x), F.lit(""))
 
 
+def pystrip(x: ColumnOrName) -> Column:
+    """Python's ``str.strip()``: remove leading and trailing whitespace of any
+    kind (``trim`` removes spaces only)."""
+    return F.regexp_replace(_c(x), r"(?U)^\s+|\s+\z", "")
+
+
 def first_nonnull(*cols: ColumnOrName) -> Column:
     """Value chain: the first non-null, non-empty candidate."""
     return F.coalesce(*[nz(c) for c in cols])
@@ -69,7 +75,7 @@ def canonical_id(x: ColumnOrName) -> Column:
     The last path segment is taken only when it holds ``--``; then the first
     ``--`` is replaced.  A plain ``owner/name`` passes, anything else is null.
     """
-    s = F.trim(F.coalesce(_c(x).cast("string"), F.lit("")))
+    s = pystrip(F.coalesce(_c(x).cast("string"), F.lit("")))
     last = F.substring_index(s, "/", -1)
     s2 = F.when(last.contains("--"),
                 F.substring_index(F.regexp_replace(s, "/+$", ""), "/", -1)).otherwise(s)
@@ -91,7 +97,7 @@ def quant_label(x: ColumnOrName, fallback: str = "none") -> Column:
 
 def clean_ref(x: ColumnOrName) -> Column:
     """Strip machine paths from a model reference."""
-    s = F.substring_index(F.trim(F.coalesce(_c(x).cast("string"), F.lit(""))), " ", 1)
+    s = F.substring_index(pystrip(F.coalesce(_c(x).cast("string"), F.lit(""))), " ", 1)
     seg = F.try_element_at(F.filter(F.split(s, "/"), lambda e: e.contains("--")), F.lit(1))
     tail = F.substring_index(F.regexp_replace(s, "/+$", ""), "/", -1)
     return (F.when(s == "", F.lit(""))
@@ -103,7 +109,7 @@ def clean_ref(x: ColumnOrName) -> Column:
 def engine_repo(x: ColumnOrName) -> Column:
     """Engine repository of a voice: first ``owner--name`` segment as
     ``owner/name``, else a plain ``owner/name``, else ''."""
-    raw = F.trim(F.coalesce(_c(x).cast("string"), F.lit("")))
+    raw = pystrip(F.coalesce(_c(x).cast("string"), F.lit("")))
     seg = F.try_element_at(F.filter(F.split(raw, "/"), lambda e: e.contains("--")), F.lit(1))
     return (F.when(seg.isNotNull(), replace_first_dashes(seg))
             .when(raw.rlike(_OWNER_NAME), raw)

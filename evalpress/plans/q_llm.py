@@ -241,18 +241,18 @@ def q_normalise(spark, sf):
 @query("link_url", W(*BASE, fx.FX6_SQL) + f"""SELECT run_dir, count_if(link <> '') AS n_with_link,
   count_if(link = '') AS n_without_link
 FROM (SELECT g.run_dir,
-        CASE WHEN g.is_saas THEN coalesce(nullif({S.provider('g.profile', 2, '')}, ''),
-                                          CASE WHEN nullif(m.hf_repo, '') IS NOT NULL
-                                               THEN 'https://huggingface.co/' || m.hf_repo END, '')
-             ELSE {S.hub_link('g.profile')} END AS link
+        coalesce(nullif(CASE WHEN g.is_saas THEN {S.provider('g.profile', 2, '')} ELSE {S.hub_link('g.profile')} END, ''),
+                 CASE WHEN nullif(m.hf_repo, '') IS NOT NULL THEN 'https://huggingface.co/' || m.hf_repo END, '')
+          AS link
       FROM gated g LEFT JOIN fx6 m ON m.name = g.name) t
 GROUP BY run_dir""")
 def q_link(spark, sf):
     g = llm.gated_rows(spark, sf).join(fx.fx6_meta(spark, sf).select("name", "hf_repo"), "name", "left")
-    saas_link = F.coalesce(C.nz(C.provider_case("profile", 2, "")),
-                           F.when(C.nz("hf_repo").isNotNull(), F.concat(F.lit("https://huggingface.co/"), "hf_repo")),
-                           F.lit(""))
-    link = F.when(F.col("is_saas"), saas_link).otherwise(C.hub_link_from_profile("profile"))
+    # provider or hub link first; the metadata repo is the fallback for every row
+    first = F.when(F.col("is_saas"), C.provider_case("profile", 2, "")).otherwise(C.hub_link_from_profile("profile"))
+    link = F.coalesce(C.nz(first),
+                      F.when(C.nz("hf_repo").isNotNull(), F.concat(F.lit("https://huggingface.co/"), "hf_repo")),
+                      F.lit(""))
     return g.withColumn("link", link).groupBy("run_dir").agg(
         F.count_if(F.col("link") != "").alias("n_with_link"),
         F.count_if(F.col("link") == "").alias("n_without_link"))

@@ -14,6 +14,10 @@ def q(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
 
+def pystrip(x: str) -> str:
+    return f"regexp_replace({x}, '^\\s+|\\s+$', '', 'g')"
+
+
 def nz(x: str) -> str:
     return f"nullif({x}, '')"
 
@@ -44,7 +48,7 @@ def replace_first_dashes(x: str) -> str:
 
 
 def canonical_id(x: str) -> str:
-    s = f"trim(coalesce({x}, ''))"
+    s = pystrip(f"coalesce({x}, '')")
     last = f"string_split({s}, '/')[-1]"
     s2 = f"(CASE WHEN {last} LIKE '%--%' THEN string_split(rtrim({s}, '/'), '/')[-1] ELSE {s} END)"
     return (f"(CASE WHEN {s} = '' THEN NULL WHEN {s2} LIKE '%--%' THEN {replace_first_dashes(s2)} "
@@ -65,7 +69,7 @@ def quant_label(x: str, fallback: str = "none") -> str:
 
 
 def clean_ref(x: str) -> str:
-    s = f"string_split(trim(coalesce({x}, '')), ' ')[1]"
+    s = f"string_split({pystrip(f'coalesce({x}, {chr(39)}{chr(39)})')}, ' ')[1]"
     seg = f"list_filter(string_split({s}, '/'), lambda e: e LIKE '%--%')[1]"
     tail = f"string_split(rtrim({s}, '/'), '/')[-1]"
     return (f"(CASE WHEN {s} = '' THEN '' WHEN {seg} IS NOT NULL THEN {seg} "
@@ -73,7 +77,7 @@ def clean_ref(x: str) -> str:
 
 
 def engine_repo(x: str) -> str:
-    raw = f"trim(coalesce({x}, ''))"
+    raw = pystrip(f"coalesce({x}, '')")
     seg = f"list_filter(string_split({raw}, '/'), lambda e: e LIKE '%--%')[1]"
     return (f"(CASE WHEN {seg} IS NOT NULL THEN {replace_first_dashes(seg)} "
             f"WHEN regexp_full_match({raw}, '[\\w.-]+/[\\w.-]+') THEN {raw} ELSE '' END)")
