@@ -27,8 +27,13 @@ def q_model_meta(spark, sf):
     return names.join(fx.fx6_meta(spark, sf), "name", "left")
 
 
+def _refs(spark, sf):
+    """FX9 raw references; the profiles come from the (staged) report rows."""
+    return fx.fx9_refs(spark, sf, llm.report_rows(spark, sf))
+
+
 def _ids(spark, sf):
-    refs = fx.fx9_refs(spark, sf)
+    refs = _refs(spark, sf)
     return refs.select(C.canonical_id("raw").alias("id")).where(F.col("id").isNotNull()).distinct()
 
 
@@ -139,14 +144,14 @@ def q_slugify(spark, sf):
 @query("canonical_id", W(fx.FX1_SQL, fx.FX9_SQL) + f"""SELECT {S.canonical_id('raw')} AS id, count(*) AS n_raw
 FROM fx9 GROUP BY id""")
 def q_canonical(spark, sf):
-    refs = fx.fx9_refs(spark, sf)
+    refs = _refs(spark, sf)
     return refs.groupBy(C.canonical_id("raw").alias("id")).agg(F.count(F.lit(1)).alias("n_raw"))
 
 
 @query("clean_ref", W(fx.FX1_SQL, fx.FX9_SQL) + f"""SELECT {S.clean_ref('raw')} AS cleaned, count(*) AS n,
   contains({S.clean_ref('raw')}, '/hf_models/') AS has_store_path FROM fx9 GROUP BY cleaned""")
 def q_clean_ref(spark, sf):
-    refs = fx.fx9_refs(spark, sf).select(C.clean_ref("raw").alias("cleaned"))
+    refs = _refs(spark, sf).select(C.clean_ref("raw").alias("cleaned"))
     return refs.groupBy("cleaned").agg(F.count(F.lit(1)).alias("n")).withColumn(
         "has_store_path", F.col("cleaned").contains("/hf_models/"))
 

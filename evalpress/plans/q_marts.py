@@ -213,7 +213,7 @@ def _sink_dir(spark, sf, name):
 
 @query("sink_metric_parquet", modal.image_mart_sql())
 def q_sink_parquet(spark, sf):
-    t2i = modal.image_mart(spark, sf).select(*[c for c, _ in T2I_COLUMNS])
+    t2i = runs.marts(spark, sf)["t2i"].select(*[c for c, _ in T2I_COLUMNS])
     return sinks.write_metric_parquet(t2i, _sink_dir(spark, sf, "data/t2i"), "t2i")
 
 
@@ -221,7 +221,7 @@ def q_sink_parquet(spark, sf):
     f"SELECT '{c}' AS column_name, count({c}) AS n_nonnull, {i} AS position FROM img_mart"
     for i, (c, _) in enumerate(T2I_COLUMNS)))
 def q_readback(spark, sf):
-    t2i = modal.image_mart(spark, sf).select(*[c for c, _ in T2I_COLUMNS])
+    t2i = runs.marts(spark, sf)["t2i"].select(*[c for c, _ in T2I_COLUMNS])
     back = sinks.write_metric_parquet(t2i, _sink_dir(spark, sf, "data/t2i_readback"), "t2i")
     return sinks.column_profile(back).select("column_name", "n_nonnull", "position")
 
