@@ -64,7 +64,7 @@ def main() -> None:
     from evalpress.session import build_session
     spark = build_session()
     if a.reports:
-        from evalpress.plans.llm import use_report_files
+        from evalpress.plans.cohorts import use_report_files
         use_report_files(spark, a.sf, a.reports)
     row = emit_dataset(spark, a.sf, a.target).first().asDict()
     print(json.dumps(row))

@@ -1,4 +1,4 @@
-"""LLM report pipeline: gates, cohorts and the two LLM metric tables.
+"""LLM reports: gates, cohorts and the two LLM metric tables.
 
 Spark side and DuckDB side are kept together so the two can be read against
 each other.  Stages:

@@ -8,19 +8,19 @@ from evalpress.constants import PERF_TEST_ID
 from evalpress.functions import columns as C
 from evalpress.operators import gates, pick, publish
 from evalpress.plans import fixtures as fx
-from evalpress.plans import llm
+from evalpress.plans import cohorts
 from evalpress.plans import sqlfn as S
 from evalpress.plans.registry import query
 from evalpress.plans.schemas import LLM_COLUMNS
 
 W = fx.with_
-BASE = llm.BASE_SQL
+BASE = cohorts.BASE_SQL
 ALLOWED = fx.ALLOWED_PLAYBOOKS
-ALLOWED_IN = llm.ALLOWED_IN
+ALLOWED_IN = cohorts.ALLOWED_IN
 
 
 def _slice(spark, sf):
-    rows = llm.cohort_rows(spark, sf, "local")
+    rows = cohorts.cohort_rows(spark, sf, "local")
     return rows.select("run_dir", "name", "stem", C.normalise_rate("pass_rate").alias("pass_rate"))
 
 
@@ -33,7 +33,7 @@ query("pick_cohort_pinned", SLICE_SQL)(_slice)
 @query("pick_cohort_latest", W(*BASE) + f"""SELECT s.run_dir, s.name, s.stem, {S.rate('s.pass_rate')} AS pass_rate
 FROM sized s JOIN saas_cohort c ON s.run_dir = c.run_dir""")
 def q_pick_latest(spark, sf):
-    rows = llm.cohort_rows(spark, sf, "saas")
+    rows = cohorts.cohort_rows(spark, sf, "saas")
     return rows.select("run_dir", "name", "stem", C.normalise_rate("pass_rate").alias("pass_rate"))
 
 
@@ -47,19 +47,19 @@ def q_filter_public(spark, sf):
 @query("filter_excluded_models", W(*BASE) + """SELECT run_dir, count(*) AS n_reports
 FROM rows WHERE name NOT IN (SELECT name FROM deny) GROUP BY run_dir""")
 def q_filter_excluded(spark, sf):
-    rows = publish.exclude_subjects(llm.report_rows(spark, sf), "name", llm.deny(spark, sf))
+    rows = publish.exclude_subjects(cohorts.report_rows(spark, sf), "name", cohorts.deny(spark, sf))
     return rows.groupBy("run_dir").agg(F.count(F.lit(1)).alias("n_reports"))
 
 
 @query("agg_case_counts", W(*BASE) + "SELECT run_dir, stem, total, err FROM rows")
 def q_case_counts(spark, sf):
-    return llm.report_rows(spark, sf).select("run_dir", "stem", "total", "err")
+    return cohorts.report_rows(spark, sf).select("run_dir", "stem", "total", "err")
 
 
 @query("gate_error_rate", W(*BASE) + """SELECT run_dir, stem, total, err FROM rows
 WHERE total > 0 AND err * 10 <= total * 3""")
 def q_gate(spark, sf):
-    return gates.gate_error_rate(llm.report_rows(spark, sf)).select("run_dir", "stem", "total", "err")
+    return gates.gate_error_rate(cohorts.report_rows(spark, sf)).select("run_dir", "stem", "total", "err")
 
 
 @query("scan_report_validity", W(*BASE) + """SELECT run_dir, name, arg_max(stem, stem) AS stem,
@@ -68,8 +68,8 @@ def q_gate(spark, sf):
   arg_max(total > 0 AND err * 10 <= total * 3, stem) AS valid
 FROM rows WHERE NOT is_saas AND name NOT IN (SELECT name FROM deny) GROUP BY run_dir, name""")
 def q_validity(spark, sf):
-    rows = llm.report_rows(spark, sf).where(~F.col("is_saas"))
-    rows = publish.exclude_subjects(rows, "name", llm.deny(spark, sf))
+    rows = cohorts.report_rows(spark, sf).where(~F.col("is_saas"))
+    rows = publish.exclude_subjects(rows, "name", cohorts.deny(spark, sf))
     v = gates.validity(rows.select("run_dir", "name", "stem", "total", "err"))
     return pick.latest_per_key(v, ["run_dir", "name"], ["stem"])
 
@@ -79,9 +79,9 @@ def q_validity(spark, sf):
 FROM (SELECT run_dir, count(*) AS n_files FROM rows GROUP BY run_dir) f
 LEFT JOIN (SELECT run_dir, count(*) AS n_rows FROM gated GROUP BY run_dir) g USING (run_dir)""")
 def q_min_cohort(spark, sf):
-    rows = llm.report_rows(spark, sf)
+    rows = cohorts.report_rows(spark, sf)
     files = gates.cohort_sizes(rows, "run_dir", "n_files")
-    g = llm.gated_rows(spark, sf, rows)
+    g = cohorts.gated_rows(spark, sf, rows)
     g = g.join(files.where(F.col("n_files") >= 3).select("run_dir"), "run_dir", "left_semi")
     n = gates.cohort_sizes(g, "run_dir", "n_rows")
     out = files.join(n, "run_dir", "left").withColumn("n_rows", F.coalesce("n_rows", F.lit(0)))
@@ -90,7 +90,7 @@ def q_min_cohort(spark, sf):
 
 @query("classify_cohort", W(*BASE) + "SELECT run_dir, n_rows, n_flagged, is_saas FROM classified")
 def q_classify(spark, sf):
-    classified, _ = llm.cohort_table(spark, sf)
+    classified, _ = cohorts.cohort_table(spark, sf)
     return classified
 
 
@@ -103,17 +103,17 @@ def q_first_match(spark, sf):
 
 
 def _mart_sql(config):
-    return llm.llm_mart_sql(config)
+    return cohorts.llm_mart_sql(config)
 
 
 @query("mart_llm_local", _mart_sql("llm_local"))
 def q_mart_local(spark, sf):
-    return llm.llm_mart(spark, sf, "llm_local").select(*[c for c, _ in LLM_COLUMNS])
+    return cohorts.llm_mart(spark, sf, "llm_local").select(*[c for c, _ in LLM_COLUMNS])
 
 
 @query("mart_llm_saas", _mart_sql("llm_saas"))
 def q_mart_saas(spark, sf):
-    return llm.llm_mart(spark, sf, "llm_saas").select(*[c for c, _ in LLM_COLUMNS])
+    return cohorts.llm_mart(spark, sf, "llm_saas").select(*[c for c, _ in LLM_COLUMNS])
 
 
 @query("sort_pass_rate", W(*BASE) + """SELECT run_dir, stem,
@@ -121,7 +121,7 @@ def q_mart_saas(spark, sf):
     AS rank
 FROM gated""")
 def q_sort_pass_rate(spark, sf):
-    g = llm.gated_rows(spark, sf).select("run_dir", "stem", "pass_rate")
+    g = cohorts.gated_rows(spark, sf).select("run_dir", "stem", "pass_rate")
     key = F.coalesce(C.tcast(C.nz("pass_rate"), "double"), F.lit(0.0))
     return pick.rank_within(g, ["run_dir"], [key.desc(), F.col("stem")]).select("run_dir", "stem", "rank")
 
@@ -129,7 +129,7 @@ def q_sort_pass_rate(spark, sf):
 @query("project_playbook_aggregates", W(fx.FX1_SQL, fx.FX1_PB_SQL) + f"""SELECT run_dir, stem, playbook,
   pass_rate, mean_score, total, passed, n_knockouts FROM fx1_pb WHERE playbook IN {ALLOWED_IN}""")
 def q_pb_aggs(spark, sf):
-    reps = llm.reports(spark, sf)
+    reps = cohorts.reports(spark, sf)
     m = publish.filter_map_keys("playbooks", ALLOWED)
     e = reps.select("run_dir", "stem", F.explode(m).alias("playbook", "agg"))
     return e.select("run_dir", "stem", "playbook", "agg.pass_rate", "agg.mean_score", "agg.total",
@@ -140,7 +140,7 @@ def q_pb_aggs(spark, sf):
   nullif(judge, '') AS judge, coalesce(TRY_CAST(nullif(pass_rate, '') AS DOUBLE), 0) AS pass_rate_sort
 FROM rows""")
 def q_null_default(spark, sf):
-    r = llm.report_rows(spark, sf)
+    r = cohorts.report_rows(spark, sf)
     return r.select("run_dir", "stem",
                     F.coalesce("knockouts", F.lit(0)).cast("int").alias("judge_knockouts"),
                     C.nz("judge").alias("judge"),
@@ -154,7 +154,7 @@ def q_null_default(spark, sf):
   (nullif(model, '') IS NULL) AS subject_fell_back
 FROM rows CROSS JOIN feed""")
 def q_fallback(spark, sf):
-    r = llm.report_rows(spark, sf).crossJoin(F.broadcast(fx.feed_date(spark, sf)))
+    r = cohorts.report_rows(spark, sf).crossJoin(F.broadcast(fx.feed_date(spark, sf)))
     return r.select("run_dir", "stem",
                     F.coalesce(C.date_prefix("run"), F.col("feed_date")).alias("measured_at"),
                     C.subject_basename("model", "stem").alias("name"),
@@ -165,7 +165,7 @@ def q_fallback(spark, sf):
 @query("subject_basename", W(*BASE) + """SELECT name, count(*) AS n_reports,
   count_if(nullif(model, '') IS NULL) AS n_from_stem FROM rows GROUP BY name""")
 def q_basename(spark, sf):
-    r = llm.report_rows(spark, sf)
+    r = cohorts.report_rows(spark, sf)
     return r.groupBy("name").agg(F.count(F.lit(1)).alias("n_reports"),
                                  F.count_if(C.nz("model").isNull()).alias("n_from_stem"))
 
@@ -182,7 +182,7 @@ FROM rows r JOIN (SELECT run_dir, stem, sum(passed) AS passed FROM fx1_pb GROUP
   USING (run_dir, stem)
 GROUP BY label""")
 def q_quant(spark, sf):
-    r = llm.report_rows(spark, sf).withColumn("passed", _passed_fold(F.col("playbooks")))
+    r = cohorts.report_rows(spark, sf).withColumn("passed", _passed_fold(F.col("playbooks")))
     g = r.groupBy(C.quant_label("profile").alias("label")).agg(
         F.count(F.lit(1)).alias("n_reports"),
         F.sum("total_tests").cast("long").alias("n_cases"),
@@ -194,7 +194,7 @@ def q_quant(spark, sf):
   count(DISTINCT profile) AS n_profiles, CAST(sum(total_tests) AS BIGINT) AS n_cases
 FROM rows GROUP BY base_profile""")
 def q_strip_variant(spark, sf):
-    r = llm.report_rows(spark, sf)
+    r = cohorts.report_rows(spark, sf)
     return r.groupBy(C.strip_variant("profile").alias("base_profile")).agg(
         F.countDistinct("profile").alias("n_profiles"),
         F.sum("total_tests").cast("long").alias("n_cases"))
@@ -227,7 +227,7 @@ FROM (SELECT run_dir, playbook, {S.rate('pass_rate')} AS rate FROM fx1_pb
       UNION ALL SELECT run_dir, 'summary', {S.rate('pass_rate')} FROM fx1_rep) u
 GROUP BY run_dir, playbook""")
 def q_normalise(spark, sf):
-    reps = llm.reports(spark, sf)
+    reps = cohorts.reports(spark, sf)
     pbs = reps.select("run_dir", F.explode("playbooks").alias("playbook", "agg")).select(
         "run_dir", "playbook", C.normalise_rate(F.col("agg.pass_rate")).alias("rate"))
     summ = reps.select("run_dir", F.lit("summary").alias("playbook"), C.normalise_rate("pass_rate").alias("rate"))
@@ -247,7 +247,7 @@ FROM (SELECT g.run_dir,
       FROM gated g LEFT JOIN fx6 m ON m.name = g.name) t
 GROUP BY run_dir""")
 def q_link(spark, sf):
-    g = llm.gated_rows(spark, sf).join(fx.fx6_meta(spark, sf).select("name", "hf_repo"), "name", "left")
+    g = cohorts.gated_rows(spark, sf).join(fx.fx6_meta(spark, sf).select("name", "hf_repo"), "name", "left")
     # provider or hub link first; the metadata repo is the fallback for every row
     first = F.when(F.col("is_saas"), C.provider_case("profile", 2, "")).otherwise(C.hub_link_from_profile("profile"))
     link = F.coalesce(C.nz(first),
@@ -258,13 +258,13 @@ def q_link(spark, sf):
         F.count_if(F.col("link") == "").alias("n_without_link"))
 
 
-@query("withheld_playbooks", llm.llm_mart_sql("llm_local", final=f"""SELECT m.run_id,
+@query("withheld_playbooks", cohorts.llm_mart_sql("llm_local", final=f"""SELECT m.run_id,
   (SELECT string_agg(playbook, ',' ORDER BY playbook)
    FROM (SELECT DISTINCT playbook FROM fx1 WHERE playbook NOT IN {ALLOWED_IN})) AS excluded
 FROM mart m"""))
 def q_withheld(spark, sf):
     w = publish.withheld_playbooks(fx.fx1_cases(spark, sf), "playbook", ALLOWED)
-    mart = llm.llm_mart(spark, sf, "llm_local").select("run_id")
+    mart = cohorts.llm_mart(spark, sf, "llm_local").select("run_id")
     return mart.crossJoin(F.broadcast(w)).select("run_id", F.concat_ws(",", "excluded").alias("excluded"))
 
 
@@ -273,7 +273,7 @@ def q_withheld(spark, sf):
 FROM fx1_pb""")
 def q_sorted_structs(spark, sf):
     from evalpress.operators.nested import map_to_sorted_structs
-    reps = llm.reports(spark, sf)
+    reps = cohorts.reports(spark, sf)
     arr = map_to_sorted_structs(F.col("playbooks"), "playbook")
     e = reps.select("run_dir", "stem", F.posexplode(arr).alias("idx", "pb"))
     return e.select("run_dir", "stem", F.col("idx").cast("long").alias("idx"), "pb.playbook", "pb.total")
@@ -283,7 +283,7 @@ def q_sorted_structs(spark, sf):
   SELECT s.name, 'local' AS cohort, 0 AS o FROM sized s JOIN local_cohort c USING (run_dir)
   UNION ALL SELECT s.name, 'saas', 1 FROM sized s JOIN saas_cohort c USING (run_dir)) u GROUP BY name""")
 def q_union_same(spark, sf):
-    rows = llm.report_rows(spark, sf)
-    loc = llm.cohort_rows(spark, sf, "local").select("name", F.lit("local").alias("cohort"), F.lit(0).alias("o"))
-    saas = llm.cohort_rows(spark, sf, "saas").select("name", F.lit("saas").alias("cohort"), F.lit(1).alias("o"))
+    rows = cohorts.report_rows(spark, sf)
+    loc = cohorts.cohort_rows(spark, sf, "local").select("name", F.lit("local").alias("cohort"), F.lit(0).alias("o"))
+    saas = cohorts.cohort_rows(spark, sf, "saas").select("name", F.lit("saas").alias("cohort"), F.lit(1).alias("o"))
     return pick.first_per_key(loc.unionByName(saas), ["name"], ["o"]).select("name", "cohort")

@@ -9,27 +9,27 @@ from evalpress.functions import columns as C
 from evalpress.operators import lookups as L
 from evalpress.operators import pick
 from evalpress.plans import fixtures as fx
-from evalpress.plans import llm
+from evalpress.plans import cohorts
 from evalpress.plans import sqlfn as S
 from evalpress.plans.registry import query
 from evalpress.sources import config_text as CT
 from evalpress.sources.tables import table
 
 W = fx.with_
-BASE = llm.BASE_SQL
+BASE = cohorts.BASE_SQL
 
 
 # ----------------------------------------------------------------- metadata
 @query("join_model_meta", W(*BASE, fx.FX6_SQL) + """SELECT n.name, m.hf_repo, m.release_date, m.license
 FROM (SELECT DISTINCT name FROM rows) n LEFT JOIN fx6 m ON m.name = n.name""")
 def q_model_meta(spark, sf):
-    names = llm.report_rows(spark, sf).select("name").distinct()
+    names = cohorts.report_rows(spark, sf).select("name").distinct()
     return names.join(fx.fx6_meta(spark, sf), "name", "left")
 
 
 def _refs(spark, sf):
     """FX9 raw references; the profiles come from the (staged) report rows."""
-    return fx.fx9_refs(spark, sf, llm.report_rows(spark, sf))
+    return fx.fx9_refs(spark, sf, cohorts.report_rows(spark, sf))
 
 
 def _ids(spark, sf):
@@ -48,7 +48,7 @@ def q_revision(spark, sf):
 
 
 def _license_rows(spark, sf):
-    g = llm.gated_rows(spark, sf)
+    g = cohorts.gated_rows(spark, sf)
     return L.with_license(g, fx.fx7_license_cache(spark, sf), fx.fx6_meta(spark, sf))
 
 
@@ -120,9 +120,9 @@ def q_merge_cache(spark, sf):
   LEFT JOIN lic_cache lc ON lc.profile = coalesce(g.profile, '') LEFT JOIN fx6 m ON m.name = g.name) t
 WHERE missing <> ''""")
 def q_metadata_gaps(spark, sf):
-    rows = llm.report_rows(spark, sf)
-    loc = llm.cohort_rows(spark, sf, "local").select("name", "profile", "is_saas", F.lit(0).alias("o"))
-    saas = llm.cohort_rows(spark, sf, "saas").select("name", "profile", "is_saas", F.lit(1).alias("o"))
+    rows = cohorts.report_rows(spark, sf)
+    loc = cohorts.cohort_rows(spark, sf, "local").select("name", "profile", "is_saas", F.lit(0).alias("o"))
+    saas = cohorts.cohort_rows(spark, sf, "saas").select("name", "profile", "is_saas", F.lit(1).alias("o"))
     first = pick.first_per_key(loc.unionByName(saas), ["name"], ["o"])
     meta = fx.fx6_meta(spark, sf)
     lic = L.with_license(first, fx.fx7_license_cache(spark, sf), meta)

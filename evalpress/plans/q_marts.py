@@ -9,7 +9,7 @@ from evalpress.functions import columns as C
 from evalpress.operators import audit, lookups as L
 from evalpress.operators.publish import raw_field_report
 from evalpress.plans import fixtures as fx
-from evalpress.plans import llm, modal, runs
+from evalpress.plans import cohorts, modal, runs
 from evalpress.plans import sqlfn as S
 from evalpress.plans.q_lookups import REG_SQL, IDS_SQL
 from evalpress.plans.registry import query

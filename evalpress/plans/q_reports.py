@@ -7,7 +7,7 @@ from evalpress.constants import BEST_DIRECTION, GUARD_HIDDEN_METRICS, NO_VALUE
 from evalpress.functions import columns as C
 from evalpress.operators import lookups as L, pick
 from evalpress.plans import fixtures as fx
-from evalpress.plans import llm, modal
+from evalpress.plans import cohorts, modal
 from evalpress.plans import roster as R
 from evalpress.plans import sqlfn as S
 from evalpress.plans.registry import query
@@ -49,7 +49,7 @@ ROSTER_SQL = [
     """rsr AS (SELECT *, CASE status WHEN 'valid' THEN 0 WHEN 'running' THEN 1 WHEN 'degraded' THEN 2
                                     WHEN 'pending' THEN 3 WHEN 'na' THEN 4 END AS status_rank FROM rs)""",
 ]
-ROSTER_CTES = llm.BASE_SQL + ROSTER_SQL
+ROSTER_CTES = cohorts.BASE_SQL + ROSTER_SQL
 def position_sql(t: str = "") -> str:
     """Status rank, pass rate of valid rows descending, lower-case name."""
     p = f"{t}." if t else ""
@@ -62,9 +62,9 @@ def position_sql(t: str = "") -> str:
 POSITION_SQL = position_sql()
 
 
-@query("build_roster", W(*llm.BASE_SQL, *ROSTER_SQL[:2]) + "SELECT name, profile, active, na FROM roster")
+@query("build_roster", W(*cohorts.BASE_SQL, *ROSTER_SQL[:2]) + "SELECT name, profile, active, na FROM roster")
 def q_build_roster(spark, sf):
-    return R.build_roster(fx.fx5_roster_raw(spark, sf), llm.deny(spark, sf))
+    return R.build_roster(fx.fx5_roster_raw(spark, sf), cohorts.deny(spark, sf))
 
 
 @query("filter_roster_visible", W(*ROSTER_CTES) + "SELECT name, active, na, has_report FROM rs WHERE in_roster")
@@ -156,7 +156,7 @@ def _llm_report_sql(kind: str) -> str:
     link = (f"(CASE WHEN s.is_saas THEN {S.provider('s.profile', 2, '')} ELSE {S.hub_link('s.profile')} END)")
     lic = f"""CASE WHEN s.is_saas THEN {S.provider('s.profile', 1, 'proprietär (API)')} ELSE {_LOCAL_LICENSE_SQL} END"""
     pbs = ", ".join(f"{_pct_sql(f'w.pr_{c}')} AS {c}_cell" for c in ("quality", "german", "bias", "code"))
-    return W(*llm.BASE_SQL, llm.pb_wide_sql(), fx.FX6_SQL, fx.FX7_LIC_SQL) + f"""SELECT s.stem, s.name,
+    return W(*cohorts.BASE_SQL, cohorts.pb_wide_sql(), fx.FX6_SQL, fx.FX7_LIC_SQL) + f"""SELECT s.stem, s.name,
   CASE WHEN {link} = '' AND nullif(m.hf_repo, '') IS NOT NULL THEN 'https://huggingface.co/' || m.hf_repo
        ELSE {link} END AS link,
   {_release_sql('m.release_date')} AS release, {_overall_sql('s.overall', 's.pass_rate')} AS overall_cell,

@@ -10,7 +10,7 @@ from evalpress.functions import columns as C
 from evalpress.operators import gates, lookups as L, pick
 from evalpress.operators.publish import exclude_subjects
 from evalpress.plans import fixtures as fx
-from evalpress.plans import llm
+from evalpress.plans import cohorts
 
 # parameter: the profile currently being served (status "running")
 RUNNING_PROFILE = "owner6--u1000"
@@ -37,21 +37,21 @@ def build_roster(raw: DataFrame, deny: DataFrame) -> DataFrame:
 def local_reports(spark: SparkSession, sf: str, rows: DataFrame | None = None) -> DataFrame:
     """All non-SaaS reports of the chosen local cohort directory, valid or not;
     last file per name wins."""
-    rows = rows if rows is not None else llm.report_rows(spark, sf)
-    classified, _ = llm.cohort_table(spark, sf)
+    rows = rows if rows is not None else cohorts.report_rows(spark, sf)
+    classified, _ = cohorts.cohort_table(spark, sf)
     chosen = pick.pick_cohort_pinned(classified, "run_dir", fx.PINNED_LOCAL_COHORT)
     r = rows.join(F.broadcast(chosen), "run_dir", "left_semi").where(~F.col("is_saas"))
-    r = exclude_subjects(r, "name", llm.deny(spark, sf))
+    r = exclude_subjects(r, "name", cohorts.deny(spark, sf))
     v = gates.validity(r.select("name", "stem", "total", "err", "profile", "pass_rate", "overall",
                                 "knockouts", "pb", "playbooks"))
     return pick.latest_per_key(v, ["name"], ["stem"])
 
 
 def roster_status(spark: SparkSession, sf: str, running: str | None = RUNNING_PROFILE) -> DataFrame:
-    rows = llm.report_rows(spark, sf)
-    roster = build_roster(fx.fx5_roster_raw(spark, sf), llm.deny(spark, sf))
+    rows = cohorts.report_rows(spark, sf)
+    roster = build_roster(fx.fx5_roster_raw(spark, sf), cohorts.deny(spark, sf))
     reps = local_reports(spark, sf, rows)
-    valid = (llm.cohort_rows(spark, sf, "local")
+    valid = (cohorts.cohort_rows(spark, sf, "local")
              .select("name", F.col("pass_rate").alias("_v_pass_rate"), F.lit(True).alias("_in_valid"),
                      F.col("overall").alias("v_overall"), F.col("knockouts").alias("v_knockouts"),
                      F.col("pb")["01_quality"]["pass_rate"].alias("v_quality")))
@@ -122,7 +122,7 @@ def perf_values(playbooks: Column) -> tuple[Column, Column]:
 
 def llm_report(spark: SparkSession, sf: str, kind: str) -> DataFrame:
     """Display table of one LLM cohort, ranked by pass rate."""
-    rows = llm.cohort_rows(spark, sf, kind)
+    rows = cohorts.cohort_rows(spark, sf, kind)
     meta = fx.fx6_meta(spark, sf)
     r = L.with_license(rows, fx.fx7_license_cache(spark, sf), meta)
     r = r.join(meta.select("name", F.col("release_date"), F.col("hf_repo")), "name", "left")

@@ -13,7 +13,7 @@ from evalpress.functions import columns as C
 from evalpress.functions.text import marker_block, version_line
 from evalpress.operators import publish
 from evalpress.plans import fixtures as fx
-from evalpress.plans import llm, modal
+from evalpress.plans import cohorts, modal
 from evalpress.plans import sqlfn as S
 from evalpress.plans.schemas import HEADER, RUNS
 from evalpress.plans.stage import staged
@@ -28,8 +28,8 @@ def marts(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
     """The five metric tables (with the extra columns run metadata needs),
     each materialised once per session."""
     build = {
-        "llm_local": lambda: llm.llm_mart(spark, sf, "llm_local"),
-        "llm_saas": lambda: llm.llm_mart(spark, sf, "llm_saas"),
+        "llm_local": lambda: cohorts.llm_mart(spark, sf, "llm_local"),
+        "llm_saas": lambda: cohorts.llm_mart(spark, sf, "llm_saas"),
         "guardrails": lambda: modal.guard_mart(spark, sf),
         "tts_de": lambda: modal.tts_mart(spark, sf),
         "t2i": lambda: modal.image_mart(spark, sf),
@@ -149,11 +149,11 @@ def flatten_runs(r: DataFrame) -> DataFrame:
 
 # ------------------------------------------------------------------- SQL
 def _llm_cte(config: str) -> str:
-    return (f"{config}_mart AS (SELECT m.*, nullif(st.sha, '') AS model_revision FROM ({llm.llm_mart_sql_body(config)}) m "
+    return (f"{config}_mart AS (SELECT m.*, nullif(st.sha, '') AS model_revision FROM ({cohorts.llm_mart_sql_body(config)}) m "
             "LEFT JOIN store st ON st.id = m.model_id)")
 
 
-ALL_MART_CTES = (llm.BASE_SQL + [llm.pb_wide_sql(), fx.FX6_SQL, fx.FX7_STORE_SQL, _llm_cte("llm_local"),
+ALL_MART_CTES = (cohorts.BASE_SQL + [cohorts.pb_wide_sql(), fx.FX6_SQL, fx.FX7_STORE_SQL, _llm_cte("llm_local"),
                                  _llm_cte("llm_saas")]
                  + modal.GUARD_CTES + modal.TTS_CTES + modal.IMG_CTES)
 
@@ -176,7 +176,7 @@ PROV_SQL = f"""prov AS (
         FROM documents WHERE doc_id < {len(_PROV_KEYS)}) t WHERE b IS NOT NULL)"""
 
 WITHHELD_SQL = f"""withheld AS (SELECT coalesce(string_agg(playbook, ',' ORDER BY playbook), '') AS excluded
-  FROM (SELECT DISTINCT playbook FROM fx1 WHERE playbook NOT IN {llm.ALLOWED_IN}))"""
+  FROM (SELECT DISTINCT playbook FROM fx1 WHERE playbook NOT IN {cohorts.ALLOWED_IN}))"""
 
 
 def _serving_sql(ref: str):

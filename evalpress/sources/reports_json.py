@@ -107,7 +107,7 @@ def cases_from_records(df: DataFrame) -> DataFrame:
 
 
 def reports_from_records(records: DataFrame) -> DataFrame:
-    """Report files -> one row per report in the shape the LLM pipeline reads
+    """Report files -> one row per report in the shape the LLM report flow reads
     (meta and summary fields, map playbook -> aggregates).
 
     Works on any number of records per report (a file may hold its playbooks

@@ -1,7 +1,7 @@
 """Pipeline-level behaviour on the smallest tables."""
 from pyspark.sql import functions as F
 
-from evalpress.plans import llm, roster
+from evalpress.plans import cohorts, roster
 from evalpress.plans.build import emit_dataset
 from evalpress.session import scratch_root
 from tests.conftest import SMALL
@@ -14,10 +14,10 @@ def test_scratch_root_uses_checkpoint_dir(spark):
 
 
 def test_cohorts_split_and_pin(spark):
-    classified, sized = llm.cohort_table(spark, SMALL)
+    classified, sized = cohorts.cohort_table(spark, SMALL)
     kinds = {r["run_dir"]: r["is_saas"] for r in classified.collect()}
     assert True in kinds.values() and False in kinds.values()
-    local = llm.cohort_rows(spark, SMALL, "local").select("run_dir").distinct().collect()
+    local = cohorts.cohort_rows(spark, SMALL, "local").select("run_dir").distinct().collect()
     assert [r[0] for r in local] == ["2024-01-08"]
     # a gated row never has an error share above 0.3
     assert sized.where(F.col("err") * 10 > F.col("total") * 3).count() == 0
@@ -46,8 +46,8 @@ def test_use_report_files_switches_source(spark, tmp_path):
     from evalpress.sources import reports_json as RJ
     sf = SMALL.rstrip("/") + "/"   # a distinct staging key for this test
     root = RJ.write_reports(spark, SMALL, root=tempfile.mkdtemp(prefix="evalpress-src-") + "/r")
-    before = llm.cohort_rows(spark, SMALL, "local").select("name").collect()
-    llm.use_report_files(spark, sf, root)
-    after = llm.cohort_rows(spark, sf, "local").select("name").collect()
+    before = cohorts.cohort_rows(spark, SMALL, "local").select("name").collect()
+    cohorts.use_report_files(spark, sf, root)
+    after = cohorts.cohort_rows(spark, sf, "local").select("name").collect()
     assert sorted(before) == sorted(after)
     stage.replace(spark, sf, "unused", lambda: spark.range(1))

@@ -69,11 +69,11 @@ def test_sinks_roundtrip(spark):
 
 def test_reports_from_files_match_fixture(spark):
     from evalpress.plans import fixtures as fx
-    from evalpress.plans import llm
+    from evalpress.plans import cohorts
     from tests.conftest import SMALL
     root = RJ.write_reports(spark, SMALL, root=tempfile.mkdtemp(prefix="evalpress-rep-") + "/r")
-    from_files = llm.report_rows(spark, SMALL, RJ.reports_from_records(RJ.read_reports(spark, root)))
-    from_fixture = llm.report_rows(spark, SMALL, fx.fx1_reports(fx.fx1_cases(spark, SMALL)))
+    from_files = cohorts.report_rows(spark, SMALL, RJ.reports_from_records(RJ.read_reports(spark, root)))
+    from_fixture = cohorts.report_rows(spark, SMALL, fx.fx1_reports(fx.fx1_cases(spark, SMALL)))
     cols = ["run_dir", "stem", "name", "is_saas", "total", "err", "pass_rate", "overall", "knockouts", "run"]
     a, b = from_files.select(*cols), from_fixture.select(*cols)
     assert a.count() == b.count()

@@ -3,7 +3,7 @@ import tempfile
 
 from pyspark.sql import functions as F
 
-from evalpress.plans import llm
+from evalpress.plans import cohorts
 from evalpress.sources import reports_json as RJ
 from evalpress.streaming.ingest import read_counts, start_report_ingest
 from tests.conftest import SMALL
@@ -15,6 +15,6 @@ def test_stream_matches_batch(spark):
     q = start_report_ingest(spark, root, f"{scratch}/counts", f"{scratch}/ckpt", max_files_per_trigger=50)
     q.awaitTermination(300)
     got = read_counts(spark, f"{scratch}/counts")
-    want = llm.report_rows(spark, SMALL).where(F.col("total") > 0).select("run_dir", "stem", "total", "err")
+    want = cohorts.report_rows(spark, SMALL).where(F.col("total") > 0).select("run_dir", "stem", "total", "err")
     assert got.count() == want.count()
     assert got.exceptAll(want).count() == 0
