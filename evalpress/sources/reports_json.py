@@ -144,3 +144,20 @@ def reports_from_records(records: DataFrame) -> DataFrame:
     return rep.select("run_dir", "stem", "meta.model", "meta.source", "meta.profile", "meta.run", "meta.judge",
                       "summary.overall", "summary.pass_rate", "summary.knockouts", "summary.total_tests",
                       "playbooks")
+
+
+def ingest_to_parquet(spark: SparkSession, root: str, target: str) -> DataFrame:
+    """Parse the report files once into a Parquet table partitioned by run
+    directory (columnar, splittable, prunable by directory); malformed
+    records and files that are not reports are left out.  Returns the table
+    as read back."""
+    recs = valid_records(read_reports(spark, root)).drop("_corrupt", "path", "mtime")
+    recs.write.mode("overwrite").option("compression", "zstd").partitionBy("run_dir").parquet(target)
+    return read_ingested(spark, target)
+
+
+def read_ingested(spark: SparkSession, target: str) -> DataFrame:
+    """Report records from the ingested table, in the file reader's shape."""
+    schema = T.StructType([f for f in READ_SCHEMA.fields if f.name != "_corrupt"])
+    df = spark.read.schema(schema).parquet(target)
+    return df.withColumn("_corrupt", F.lit(None).cast("string"))

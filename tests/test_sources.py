@@ -83,3 +83,15 @@ def test_reports_from_files_match_fixture(spark):
     pb = from_fixture.select("run_dir", "stem", F.explode("pb").alias("k", "v")).select(
         "run_dir", "stem", "k", "v.pass_rate", "v.mean_score", "v.n_error", "v.perf_response")
     assert pa.exceptAll(pb).count() == 0 and pb.exceptAll(pa).count() == 0
+
+
+def test_ingest_to_parquet_roundtrip(spark):
+    from tests.conftest import SMALL
+    scratch = tempfile.mkdtemp(prefix="evalpress-ing-")
+    root = RJ.write_reports(spark, SMALL, root=scratch + "/r")
+    ing = RJ.ingest_to_parquet(spark, root, scratch + "/pq")
+    a = RJ.reports_from_records(ing)
+    b = RJ.reports_from_records(RJ.read_reports(spark, root))
+    cols = ["run_dir", "stem", "model", "pass_rate", "total_tests"]
+    assert a.select(cols).exceptAll(b.select(cols)).count() == 0
+    assert a.count() == b.count()
