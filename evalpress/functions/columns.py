@@ -229,11 +229,15 @@ def truthy(x: ColumnOrName) -> Column:
     return F.when(s.isNull() | (s == ""), F.lit(None).cast("boolean")).otherwise(F.lit(True))
 
 
-def natural_sort_key(x: ColumnOrName, width: int = 20) -> Column:
-    """Text key that orders embedded digit runs by value (b2 before b10)."""
-    s = F.lower(F.coalesce(_c(x), F.lit("")))
-    return F.regexp_replace(F.regexp_replace(s, r"(\d+)", "0000000000000000000000$1"),
-                            r"0*(\d{" + str(width) + r"})", "$1")
+def natural_sort_key(x: ColumnOrName, width: int = 20, locale: str = "de") -> Column:
+    """Text key in locale order with embedded digit runs ordered by value
+    (b2 before b10): digit runs are zero-padded to a fixed width, then the
+    key carries the locale collation (ICU), so umlauts sort with their base
+    letters."""
+    s = F.coalesce(_c(x), F.lit(""))
+    padded = F.regexp_replace(F.regexp_replace(s, r"(\d+)", "0000000000000000000000$1"),
+                              r"0*(\d{" + str(width) + r"})", "$1")
+    return F.collate(padded, locale)
 
 
 _NUM_CELL = r"(?i)\A-?\d+(?:\.\d+)?(?:%|s|ms|x|×|GB|GiB|MB|tok/s)?\z"
