@@ -93,8 +93,9 @@ def cohort_table(spark: SparkSession, sf: str, min_files: int = 3,
                 .select("run_dir", "n_rows", "n_flagged", (F.col("n_flagged") * 2 >= F.col("n_rows")).alias("is_saas")))
 
     classified = staged(spark, sf, key + "_dirs", classify)
-    sized = staged(spark, sf, key + "_rows", lambda: flagged.where(ok).drop("_denied").join(
-        classified.select("run_dir"), "run_dir", "left_semi"))
+    # surviving rows: a filter and a semi join over staged tables (the
+    # directory table is one row per run, so AQE broadcasts it)
+    sized = flagged.where(ok).drop("_denied").join(classified.select("run_dir"), "run_dir", "left_semi")
     return classified, sized
 
 
