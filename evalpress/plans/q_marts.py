@@ -4,16 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from evalpress.constants import CONFIGS, EXPECTED_ROWS, LEAK_RULES
+from evalpress.constants import EXPECTED_ROWS, LEAK_RULES
 from evalpress.functions import columns as C
 from evalpress.operators import audit, lookups as L
 from evalpress.operators.publish import raw_field_report
 from evalpress.plans import fixtures as fx
-from evalpress.plans import cohorts, modal, runs
+from evalpress.plans import modal, runs
 from evalpress.plans import sqlfn as S
-from evalpress.plans.q_lookups import REG_SQL, IDS_SQL
+from evalpress.plans.q_lookups import REG_SQL
 from evalpress.plans.registry import query
-from evalpress.plans.schemas import HEADER, RUNS, T2I_COLUMNS, TABLE_COLUMNS
+from evalpress.plans.schemas import RUNS, T2I_COLUMNS, TABLE_COLUMNS
 from evalpress.session import scratch_path
 from evalpress.sources import reports_json as RJ
 from evalpress.sources import sinks

@@ -50,6 +50,8 @@ ROSTER_SQL = [
                                     WHEN 'pending' THEN 3 WHEN 'na' THEN 4 END AS status_rank FROM rs)""",
 ]
 ROSTER_CTES = cohorts.BASE_SQL + ROSTER_SQL
+
+
 def position_sql(t: str = "") -> str:
     """Status rank, pass rate of valid rows descending, lower-case name."""
     p = f"{t}." if t else ""
