@@ -44,5 +44,9 @@ def spread(df: DataFrame) -> DataFrame:
 
 
 def sf_tag(sf_dir: str) -> str:
-    """Short name of a scale-factor folder, used to key written fixtures."""
-    return sf_dir.rstrip("/").rsplit("/", 1)[-1]
+    """Short name of a scale-factor folder, used to key written fixtures:
+    the folder name plus a hash of the full path (two folders of the same
+    name never share written files)."""
+    import hashlib
+    path = sf_dir.rstrip("/")
+    return path.rsplit("/", 1)[-1] + "-" + hashlib.sha1(path.encode()).hexdigest()[:8]
