@@ -55,11 +55,32 @@ def emit_dataset(spark: SparkSession, sf: str, target: str | None = None) -> Dat
     return verdict.crossJoin(one)
 
 
+SITE_TABLES = ("report_llm_local", "report_llm_saas", "report_guards", "report_image", "report_tts")
+
+
+def emit_site_tables(spark: SparkSession, sf: str, target: str | None = None) -> DataFrame:
+    """The display tables and the summary as JSON lines (the data of the
+    overview page); returns one row per written table with its row count,
+    read back from the files."""
+    from evalpress.plans.registry import QUERIES
+    from evalpress.plans import catalog  # noqa: F401  (registers the queries)
+    from evalpress.plans.q_marts import q_sink_summary
+    target = target or scratch_path(spark, "site", sf_tag(sf))
+    out = None
+    for name in SITE_TABLES:
+        back = sinks.write_runs_jsonl(QUERIES[name](spark, sf), f"{target}/{name}", None)
+        part = back.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("table"), "rows")
+        out = part if out is None else out.unionByName(part)
+    summary = q_sink_summary(spark, sf)
+    return out.unionByName(summary.agg(F.count(F.lit(1)).alias("rows")).select(F.lit("summary").alias("table"), "rows"))
+
+
 def main() -> None:
     ap = argparse.ArgumentParser(description="Build the evaluation dataset.")
     ap.add_argument("--sf", required=True)
     ap.add_argument("--target", default=None)
     ap.add_argument("--reports", default=None, help="read LLM reports from this file drop")
+    ap.add_argument("--site", action="store_true", help="also write the display tables and summary")
     a = ap.parse_args()
     from evalpress.session import build_session
     spark = build_session()
@@ -68,6 +89,9 @@ def main() -> None:
         use_report_files(spark, a.sf, a.reports)
     row = emit_dataset(spark, a.sf, a.target).first().asDict()
     print(json.dumps(row))
+    if a.site:
+        site = a.target + "/site" if a.target else None
+        print(json.dumps({r["table"]: r["rows"] for r in emit_site_tables(spark, a.sf, site).collect()}))
 
 
 if __name__ == "__main__":

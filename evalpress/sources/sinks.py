@@ -20,10 +20,11 @@ def write_metric_parquet(df: DataFrame, path: str, origin: str = "") -> DataFram
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def write_runs_jsonl(df: DataFrame, path: str, schema: T.StructType) -> DataFrame:
-    """JSON lines with nulls written out (the default would drop null fields)."""
+def write_runs_jsonl(df: DataFrame, path: str, schema: T.StructType | None = None) -> DataFrame:
+    """JSON lines with nulls written out (the default would drop null fields);
+    read back with ``schema`` (default: the written DataFrame's schema)."""
     df.write.mode("overwrite").option("ignoreNullFields", "false").json(path)
-    return df.sparkSession.read.schema(schema).json(path)
+    return df.sparkSession.read.schema(schema or df.schema).json(path)
 
 
 def write_runs_parquet(df: DataFrame, path: str) -> DataFrame:

@@ -51,3 +51,10 @@ def test_use_report_files_switches_source(spark, tmp_path):
     after = cohorts.cohort_rows(spark, sf, "local").select("name").collect()
     assert sorted(before) == sorted(after)
     stage.replace(spark, sf, "unused", lambda: spark.range(1))
+
+
+def test_emit_site_tables(spark, tmp_path):
+    from evalpress.plans.build import SITE_TABLES, emit_site_tables
+    got = {r["table"]: r["rows"] for r in emit_site_tables(spark, SMALL, str(tmp_path / "site")).collect()}
+    assert set(got) == set(SITE_TABLES) | {"summary"}
+    assert got["summary"] == 1 and all(v > 0 for v in got.values())
