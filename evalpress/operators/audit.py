@@ -7,6 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from evalpress.operators.lookups import MISSING
+
 
 def expected_counts(rows: DataFrame, expected: Mapping[str, int], config: str = "config") -> DataFrame:
     """Actual rows per config against the expectation table (full outer)."""
@@ -102,6 +104,6 @@ def verdict(counts: DataFrame, leaks: DataFrame, status: DataFrame) -> DataFrame
     """One row: all counts as expected, no leak finding, no missing id."""
     c = counts.agg(F.bool_and("ok").alias("counts_ok"))
     lk = leaks.agg(F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("n_leaks"))
-    ms = status.agg(F.count_if(F.col("status") == "missing").alias("n_missing"))
+    ms = status.agg(F.count_if(F.col("status") == MISSING).alias("n_missing"))
     one = c.crossJoin(lk).crossJoin(ms)
     return one.withColumn("passed", F.col("counts_ok") & (F.col("n_leaks") == 0) & (F.col("n_missing") == 0))

@@ -12,7 +12,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from evalpress.constants import NO_VALUE, SAAS_LICENSE_DEFAULT
+from evalpress.constants import NO_VALUE, REGISTRY_STATUSES, SAAS_LICENSE_DEFAULT
+
+OK, GATED, MISSING, UNDETERMINED, ERROR = REGISTRY_STATUSES
 from evalpress.functions import columns as C
 
 
@@ -59,12 +61,12 @@ def registry_status(ids: DataFrame, cache: DataFrame, store: DataFrame, mode: st
          .join(c, F.col(id_col) == F.col("_c_id"), "left")
          .join(s, F.col(id_col) == F.col("_s_id"), "left"))
     in_store = F.coalesce(F.col("_in_store"), F.lit(False))
-    first = F.coalesce(F.col("_c_status"), F.when(in_store, F.lit("ok")).otherwise(F.lit("undetermined")))
+    first = F.coalesce(F.col("_c_status"), F.when(in_store, F.lit(OK)).otherwise(F.lit(UNDETERMINED)))
     detail = F.when(F.col("_c_status").isNotNull(), F.col("_c_detail")).otherwise(F.lit("offline"))
-    lifted = (first == "undetermined") & in_store
+    lifted = (first == UNDETERMINED) & in_store
     return j.select(
         F.col(id_col).alias("id"),
-        F.when(lifted, F.lit("ok")).otherwise(first).alias("status"),
+        F.when(lifted, F.lit(OK)).otherwise(first).alias("status"),
         F.when(lifted, F.lit("in store")).otherwise(detail).alias("detail"),
         in_store.alias("in_store"))
 
@@ -78,7 +80,7 @@ def merge_status_cache(ids: DataFrame, cache: DataFrame, store: DataFrame, mode:
     s = store.select("id").distinct().withColumn("_in_store", F.lit(True))
     answers = new.join(s, "id", "left").select(
         "id", F.lit(mode).alias("mode"),
-        F.when(F.col("_in_store"), F.lit("ok")).otherwise(F.lit("undetermined")).alias("status"),
+        F.when(F.col("_in_store"), F.lit(OK)).otherwise(F.lit(UNDETERMINED)).alias("status"),
         F.lit("looked up").alias("detail"), F.lit("new").alias("origin"))
     old = cache.select("id", "mode", "status", "detail", F.lit("cached").alias("origin"))
     return old.unionByName(answers)
@@ -90,6 +92,6 @@ def status_counts(status: DataFrame) -> DataFrame:
     # the total comes from the per-status table (a handful of rows), so the
     # status table itself is read once
     tot = per.agg(F.sum("n_ids").alias("_total"),
-                  F.coalesce(F.sum(F.when(F.col("status") == "ok", F.col("n_ids"))), F.lit(0)).alias("_ok"))
+                  F.coalesce(F.sum(F.when(F.col("status") == OK, F.col("n_ids"))), F.lit(0)).alias("_ok"))
     return per.crossJoin(F.broadcast(tot)).select(
         "status", "n_ids", (F.col("_ok").cast("double") / F.col("_total")).alias("ok_share"))

@@ -21,6 +21,7 @@ ALLOWED_PLAYBOOKS = ("01_quality", "02_german_language", "03_bias", "05_code",
                      "06_performance")
 PROFILE_SUFFIX_BY_USER = ("", "-NVFP4", "-FP8", "-bnb-4bit", "-NVFP4-DFlash")
 PINNED_LOCAL_COHORT = "2024-01-08"
+# stands in for constants.GUARD_NAME on the test corpus (labels are src0..src19)
 GUARD_STATIC_MAP = tuple((f"src{i}", f"u{i * 3}") for i in range(10))
 NEEDLE_RULES = ((1, "blue", "B"), (2, "ring", "R"), (3, "o", "O"))
 CACHE_MODE = "anon"
@@ -289,10 +290,6 @@ GUARD_MAP_SQL = ("guard_map AS (SELECT * FROM (VALUES "
                  + ") t(slug, name))")
 
 
-def guard_static_map(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(list(GUARD_STATIC_MAP), "slug string, name string")
-
-
 # ====================================================================== FX3
 def fx3_rescore(spark: SparkSession, sf: str) -> DataFrame:
     li = table(spark, sf, "lineitem")

@@ -24,10 +24,13 @@ def _meta(spark, sf) -> DataFrame:
 
 
 # ------------------------------------------------------------------ guards
-def guard_rows(spark: SparkSession, sf: str) -> DataFrame:
-    """Guard reports with slug, detail flag and looked-up full name."""
+def guard_rows(spark: SparkSession, sf: str, name_map: dict[str, str] | None = None) -> DataFrame:
+    """Guard reports with slug, detail flag and looked-up full name.  The
+    slug -> name map is a bounded parameter: the fixture's map for the test
+    corpus, ``constants.GUARD_NAME`` for real guard reports."""
     g = fx.fx2_guards(spark, sf)
-    smap = fx.guard_static_map(spark).withColumnRenamed("name", "full_name")
+    pairs = list((name_map if name_map is not None else dict(fx.GUARD_STATIC_MAP)).items())
+    smap = spark.createDataFrame(pairs, "slug string, full_name string")
     g = g.withColumn("slug", C.slugify("label")).withColumn(
         "has_detail", F.coalesce(F.size("per_case"), F.lit(0)) > 0)
     return g.join(F.broadcast(smap), "slug", "left").withColumn(
