@@ -11,6 +11,7 @@ from evalpress.operators.publish import drop_raw_fields
 from evalpress.plans import fixtures as fx
 from evalpress.plans import sqlfn as S
 from evalpress.plans.schemas import GUARD_COLUMNS, T2I_COLUMNS, TTS_COLUMNS
+from evalpress.plans.stage import staged
 from evalpress.sources.config_text import first_child
 
 
@@ -28,8 +29,11 @@ def guard_rows(spark: SparkSession, sf: str, name_map: dict[str, str] | None = N
     """Guard reports with slug, detail flag and looked-up full name.  The
     slug -> name map is a bounded parameter: the fixture's map for the test
     corpus, ``constants.GUARD_NAME`` for real guard reports."""
+    if name_map is None:
+        # one row per guard report, read by several outputs: staged once
+        return staged(spark, sf, "guard_rows", lambda: guard_rows(spark, sf, dict(fx.GUARD_STATIC_MAP)))
     g = fx.fx2_guards(spark, sf)
-    pairs = list((name_map if name_map is not None else dict(fx.GUARD_STATIC_MAP)).items())
+    pairs = list(name_map.items())
     smap = spark.createDataFrame(pairs, "slug string, full_name string")
     g = g.withColumn("slug", C.slugify("label")).withColumn(
         "has_detail", F.coalesce(F.size("per_case"), F.lit(0)) > 0)

@@ -13,7 +13,7 @@ from evalpress.plans import cohorts
 from evalpress.plans import sqlfn as S
 from evalpress.plans.registry import query
 from evalpress.sources import config_text as CT
-from evalpress.sources.tables import table
+from evalpress.sources.tables import spread, table
 
 W = fx.with_
 BASE = cohorts.BASE_SQL
@@ -210,7 +210,8 @@ def q_cast_lenient(spark, sf):
             r = cast_lenient(v, types[t])
             checks.append(F.struct(F.lit(c).alias("column_name"), F.lit(t).alias("type_name"),
                                    r.isNotNull().alias("ok"), (C.nz(v).isNotNull() & r.isNull()).alias("bad")))
-        e = table(spark, sf, tb).select(F.explode(F.array(*checks)).alias("x")).select("x.*")
+        # every row is cast several ways: give the row work one task per core
+        e = spread(table(spark, sf, tb)).select(F.explode(F.array(*checks)).alias("x")).select("x.*")
         part = e.groupBy("column_name", "type_name").agg(F.count_if("ok").alias("n_accepted"),
                                                          F.count_if("bad").alias("n_rejected"))
         out = part if out is None else out.unionByName(part)
