@@ -181,14 +181,17 @@ def tts_mart_sql() -> str:
 
 # ------------------------------------------------------------------- image
 def image_dirs(spark: SparkSession, sf: str) -> DataFrame:
-    return first_child(fx.fx8_image_config(spark, sf), "dir")
+    """Subject -> model directory from the image config (staged once)."""
+    return staged(spark, sf, "image_dirs", lambda: first_child(fx.fx8_image_config(spark, sf), "dir"))
 
 
 def image_latest(spark: SparkSession, sf: str) -> DataFrame:
     """Newest run per subject by sorted path; the subject falls back to the
     directory name."""
-    imgs = fx.fx4_images(spark, sf).withColumn("model", F.coalesce(C.nz("model"), F.col("run_dir")))
-    return pick.latest_per_key(imgs, ["model"], ["run_dir"])
+    def build():
+        imgs = fx.fx4_images(spark, sf).withColumn("model", F.coalesce(C.nz("model"), F.col("run_dir")))
+        return pick.latest_per_key(imgs, ["model"], ["run_dir"])
+    return staged(spark, sf, "image_latest", build)
 
 
 def image_mart(spark: SparkSession, sf: str) -> DataFrame:
