@@ -158,7 +158,7 @@ def identify(docs: DataFrame, params: Params = Params()) -> DataFrame:
     return out.select("doc_id", held.alias("held_out"), "lang_pred", "score")
 
 
-def keep_known(docs: DataFrame, min_score: float = 0.3, params: Params = Params()) -> DataFrame:
+def keep_known(docs: DataFrame, min_score: float = 0.2, params: Params = Params()) -> DataFrame:
     """The documents whose language is recognised: not ``und``, and a score of
     ``min_score`` at least.  Rows keep all their columns."""
     model = fit(*training_rows(docs, not_held_out(), params), params)
