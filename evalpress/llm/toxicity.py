@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from evalpress.llm.common import fraction_class, staged
+from evalpress.llm.common import fraction_class, small, staged
 
 
 @dataclass(frozen=True)
@@ -80,7 +80,7 @@ def profile(word: str, p: Params) -> dict[int, float]:
 class Landmarks:
     """Kernel values of many words against the landmarks."""
 
-    def __init__(self, words: list[str], p: Params):
+    def __init__(self, words: list[str], p: Params, known: int = 400_000):
         self.words, self.p = words, p
         profiles = [profile(w, p) for w in words]
         self.codes = np.array(sorted({k for x in profiles for k in x}), np.uint64)
@@ -89,6 +89,9 @@ class Landmarks:
         for j, x in enumerate(profiles):
             for k, v in x.items():
                 self.matrix[at[k], j] = v
+        self.known = known
+        self.settled: set[str] = set()
+        self.vectors: dict[str, np.ndarray] = {}  # of the settled words with a value of floor or more
         self.maybe = np.zeros(1 << 18, bool)
         self.maybe[self._slot(self.codes)] = True
 
@@ -154,22 +157,29 @@ class Landmarks:
             return np.zeros(0, np.int64), np.zeros((0, len(self.words)), np.float32)
         return np.concatenate(kept), np.concatenate(rows)
 
-    def features(self, texts: list[str | None]) -> np.ndarray:
-        """One row per text: its best value against each landmark."""
-        number: dict[str, int] = {}
-        each = []
-        for t in texts:
-            found = units(t, self.p.unit) if t else ()
-            each.append(np.fromiter([number.setdefault(u, len(number)) for u in found], np.int64, len(found)))
-        at, v = self.values([clean(u) for u in number])
-        row = np.full(len(number) + 1, -1)
-        row[at] = np.arange(len(at))
+    def features(self, texts: list[str | None], piece: int = 2_000_000) -> np.ndarray:
+        """One row per text: its best value against each landmark.  Texts are
+        taken up to ``piece`` characters at a time; words settled before are
+        remembered, up to ``known`` of them."""
         out = np.zeros((len(texts), len(self.words)), np.float32)
-        for o, ids in zip(out, each):
-            r = row[ids]
-            r = r[r >= 0]
-            if len(r):
-                o[:] = v[r].max(0)
+        at = 0
+        while at < len(texts):
+            size, end = 0, at
+            while end < len(texts) and (end == at or size + len(texts[end] or "") <= piece):
+                size += len(texts[end] or "")
+                end += 1
+            each = [units(t, self.p.unit) if t else set() for t in texts[at:end]]
+            every = set().union(*each)
+            if len(self.settled) + len(every - self.settled) > self.known:
+                self.settled, self.vectors = set(), {}
+            new = list(every - self.settled)
+            self.settled.update(new)
+            hits, v = self.values([clean(u) for u in new])
+            self.vectors.update((new[k], row) for k, row in zip(hits.tolist(), v))
+            for o, found in zip(out[at:end], each):
+                for u in found & self.vectors.keys():
+                    np.maximum(o, self.vectors[u], out=o)
+            at = end
         return out
 
 
@@ -229,7 +239,7 @@ def learnable(docs: DataFrame, labels: DataFrame) -> DataFrame:
     several labels is toxic if one of them says so."""
     known = (labels.where(may_learn() & F.col("toxic").isNotNull())
              .groupBy("doc_id").agg(F.max(F.col("toxic").cast("int")).alias("_toxic")))
-    return docs.select("doc_id", "text").where(F.col("text").isNotNull() & may_learn()).join(known, "doc_id")
+    return docs.select("doc_id", "text").where(F.col("text").isNotNull() & may_learn()).join(small(staged(known)), "doc_id")
 
 
 def landmark_words(rows: DataFrame, p: Params) -> list[str]:
