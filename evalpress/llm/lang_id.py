@@ -12,6 +12,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from evalpress.llm.common import fraction_class
 
@@ -140,8 +141,8 @@ def predict(docs: DataFrame, model: Model, id_cols: list[str], text_col: str = "
                 names=id_cols + ["lang_pred", "score"])
 
     src = docs.select(*id_cols, text_col)
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in src.schema.fields[:-1])
-    return src.mapInArrow(run, f"{schema}, lang_pred string, score double")
+    out = T.StructType(src.schema.fields[:-1]).add("lang_pred", "string").add("score", "double")
+    return src.mapInArrow(run, out)
 
 
 def not_held_out() -> Column:
@@ -162,6 +163,5 @@ def keep_known(docs: DataFrame, min_score: float = 0.2, params: Params = Params(
     """The documents whose language is recognised: not ``und``, and a score of
     ``min_score`` at least.  Rows keep all their columns."""
     model = fit(*training_rows(docs, not_held_out(), params), params)
-    cols = docs.columns
-    extra = predict(docs, model, cols)
-    return extra.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= min_score)).select(*[F.col(f"`{c}`") for c in cols])
+    found = predict(docs.select(F.struct("*").alias("_row"), "text"), model, ["_row"])
+    return found.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= min_score)).select("_row.*")

@@ -143,11 +143,12 @@ class Landmarks:
         ow, ok, ov = ow[order], ok[order], ov[order]
         norm = np.sqrt(whole[left_over]).astype(np.float32)
         kept, rows = [], []
-        for at in range(0, len(left_over), chunk):
-            lo, hi = np.searchsorted(ow, [at, at + chunk])
-            x = np.zeros((min(chunk, len(left_over) - at), len(self.codes)), np.float32)
-            np.add.at(x, (ow[lo:hi] - at, ok[lo:hi]), ov[lo:hi])
-            v = np.minimum(x @ self.matrix / norm[at:at + len(x), None], 1.0)
+        first = np.searchsorted(ow, np.arange(len(left_over) + 1))
+        for at in range(0, len(left_over), chunk):  # sums of landmark rows, by word
+            end = min(at + chunk, len(left_over))
+            lo, hi = first[at], first[end]
+            v = np.add.reduceat(self.matrix[ok[lo:hi]] * ov[lo:hi, None].astype(np.float32), first[at:end] - lo)
+            v = np.minimum(v / norm[at:end, None], 1.0)
             good = np.flatnonzero(v.max(1) >= p.floor)
             kept.append(left_over[at + good])
             v = v[good]
