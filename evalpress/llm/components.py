@@ -33,38 +33,53 @@ def components(edges: DataFrame, most: int = 60) -> DataFrame:
                        .select(F.col("v").alias("node"), F.col("v").alias("label")))
 
 
-def bucket_classes(buckets: DataFrame, verify: Callable[[DataFrame], DataFrame], stars: int = 3) -> DataFrame:
+def bucket_classes(buckets: DataFrame, verify: Callable[[DataFrame], DataFrame],
+                   shared: Callable[[DataFrame], DataFrame], least: float, stars: int = 3) -> DataFrame:
     """(node, label): components of the verified links among nodes that share
     a bucket; nodes without a link are left out.
 
     ``buckets``: (key, node), staged; ``verify`` keeps the true links of pairs
-    (a, b).  Instead of all pairs of a bucket, each round draws one hub per
+    (a, b).  Instead of all pairs of a bucket, each round takes one hub per
     bucket and pairs it with the members of other classes, so a bucket of n
-    alike nodes costs n pairs.  Buckets that still hold several classes after
-    the rounds get all pairs between different classes, so no link between
-    classes is missed."""
+    alike nodes costs n pairs; the first hubs are the nodes with most company.
+    Buckets that still hold several classes after the rounds get their pairs
+    between different classes, so no link between classes is missed, but for
+    those that cannot be alike: ``shared`` gives (node, n, u), the sizes of the
+    nodes' sets and how many of their items no other such node has.  Two sets
+    have min(n - u) items in common at most, which bounds their Jaccard
+    similarity; ``least`` is what a link needs."""
     links = labels = None
+    company = staged(buckets.join(buckets.groupBy("key").agg(F.count("*").alias("c")).where("c > 1"), "key")
+                     .groupBy("node").agg(F.sum("c").alias("c")))
+    buckets = staged(buckets.join(company, "node"))  # others are alone in all their buckets
 
     def now() -> DataFrame:
         if labels is None:
             return buckets.withColumn("label", F.col("node"))
-        return buckets.join(labels, "node", "left").select("key", "node", F.coalesce("label", "node").alias("label"))
+        return buckets.join(labels, "node", "left").select("key", "node", "c", F.coalesce("label", "node").alias("label"))
 
     for turn in range(stars + 1):
         rows = now()
+        first = -F.col("c") if turn == 0 else F.lit(0).cast("long")
         open_keys = (rows.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"),
-                                             F.min(F.struct(F.xxhash64("node", F.lit(turn)), "node", "label")).alias("h"))
+                                             F.min(F.struct(first, F.xxhash64("node", F.lit(turn)), "node", "label")).alias("h"))
                      .where("lo <> hi").select("key", F.col("h.node").alias("hub"), F.col("h.label").alias("hub_label")))
         if turn < stars:
             pairs = (rows.join(open_keys, "key").where(F.col("label") != F.col("hub_label"))
                      .select(F.least("hub", "node").alias("a"), F.greatest("hub", "node").alias("b")).distinct())
         else:
-            left = staged(rows.join(open_keys.select("key"), "key"))
-            pairs = (left.alias("x").join(left.alias("y"), "key").where(F.col("x.label") < F.col("y.label"))
+            left = staged(rows.join(open_keys.select("key"), "key").select("key", "node", "label"))
+            known = shared(left.select("node").distinct())
+            left = staged(left.join(known.where(F.col("n") - F.col("u") >= F.col("n") * least), "node"))
+            common = F.least(F.col("x.n") - F.col("x.u"), F.col("y.n") - F.col("y.u"))
+            may = common * (1 + least) >= (F.col("x.n") + F.col("y.n")) * least - 1e-6
+            pairs = (left.alias("x").join(left.alias("y"), "key").where((F.col("x.label") < F.col("y.label")) & may)
                      .select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct())
         pairs = staged(pairs)
         if pairs.isEmpty():
-            break
+            if turn < stars:
+                break
+            continue
         found = staged(verify(pairs).select(F.col("a").alias("u"), F.col("b").alias("v")))
         links = found if links is None else links.union(found)
         labels = staged(components(links))

@@ -4,9 +4,10 @@ Two lines are alike if one edit at most (a character inserted, deleted or
 replaced) turns one into the other.  All steps are DataFrame expressions:
 
 1. Equal lines meet on two hashes of the line.
-2. A line is seen as stretches of ``stretch`` characters.  Alike lines agree on
-   everything outside one stretch, so only lines that share such a key with
-   another line go on, with that stretch.
+2. Alike lines agree on their first or on their second half, so only lines that
+   share a half with another line go on.  These are seen as stretches of
+   ``stretch`` characters: alike lines agree on everything outside one stretch,
+   so only stretches go on whose outside another line shares.
 3. Of each such stretch all deletion variants are emitted as hashed keys (at
    most ``stretch`` + 2), tagged by what the deletion stands for.  Lines that
    meet on a variant are checked by edit distance; the earliest line stays.
@@ -20,38 +21,57 @@ from evalpress.llm.common import NULL_ID, small, staged
 
 STRETCH = 64
 MIN_CHARS = 20
+BLANK = " \t\r\f\v"
 
 
 def lines(docs: DataFrame, min_chars: int) -> DataFrame:
-    """(_id, _h, _pos, _a, _b, _line): every trimmed line of ``min_chars``
-    characters at least, with its document's keys and two hashes."""
+    """(_id, _h, _pos, _line): every trimmed line of ``min_chars`` characters
+    at least, with its document's keys."""
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID).cast("long")).alias("_id"),
                        F.xxhash64(text).alias("_h"), F.posexplode(F.split(text, "\n")).alias("_pos", "_raw"))
-    rows = rows.select("_id", "_h", "_pos", F.regexp_replace("_raw", r"^\s+|\s+$", "").alias("_line"))
-    return (rows.where(F.char_length("_line") >= min_chars)
-            .select("_id", "_h", "_pos", F.xxhash64("_line").alias("_a"), F.xxhash64(F.lit(1), "_line").alias("_b"), "_line"))
+    return (rows.select("_id", "_h", "_pos", F.trim("_raw", F.lit(BLANK)).alias("_line"))
+            .where(F.char_length("_line") >= min_chars))
+
+
+def half_keys(line: Column, min_chars: int) -> Column:
+    """Hashes of both halves, as the shorter and as the longer line of a pair;
+    the halves are cut where the shorter line's are."""
+    n = F.char_length(line)
+
+    def role(size: Column) -> list[Column]:
+        cut = F.floor(size / 2).cast("int")
+        rest = (size - cut).cast("int")
+        return [F.xxhash64(size, F.lit(0), F.left(line, cut)), F.xxhash64(size, F.lit(1), F.right(line, rest))]
+
+    return F.when(n > min_chars, F.array(*role(n), *role(n - 1))).otherwise(F.array(*role(n)))
 
 
 def stretch_keys(line: Column, stretch: int, min_chars: int) -> Column:
     """(key, longer, part) of every stretch.  A key hashes all of the line but
     the stretch; ``longer``: the line as the longer of a pair whose shorter
-    line has one character less, so its stretch has one more."""
+    line has one character less, so its stretch has one more.  Outsides are
+    hashed by the hashes of their stretches, which takes linear time."""
     n = F.char_length(line)
+    cut = lambda x: F.regexp_extract_all(x, F.lit(f"(?s).{{1,{stretch}}}"), F.lit(0))
+    hashed = lambda x: F.transform(x, lambda s: F.xxhash64(s))
+    parts = cut(line)
+    head, shifted = hashed(parts), hashed(cut(F.substr(line, F.lit(2))))
 
-    def role(size: Column, extra: int) -> Column:
+    def role(size: Column, tail: Column, extra: bool) -> Column:
         count = F.ceil(size / F.lit(float(stretch))).cast("int")
 
         def key(c: Column) -> Column:
-            at = c * stretch
-            return F.struct(
-                F.xxhash64(size, c, F.left(line, at), F.substr(line, at + stretch + 1 + extra, n)).alias("key"),
-                F.lit(bool(extra)).alias("longer"), F.substr(line, at + 1, F.lit(stretch + extra)).alias("part"))
+            part = F.get(parts, c)
+            if extra:
+                part = F.concat(part, F.coalesce(F.left(F.get(parts, c + 1), F.lit(1)), F.lit("")))
+            outside = F.xxhash64(size, c, F.slice(head, 1, c), F.slice(tail, c + 2, n))
+            return F.struct(outside.alias("key"), F.lit(extra).alias("longer"), part.alias("part"))
 
         return F.transform(F.sequence(F.lit(0), count - 1), key)
 
-    return F.concat(role(n, 0), F.when(n > min_chars, role(n - 1, 1)).otherwise(F.array().cast(
-        "array<struct<key:bigint,longer:boolean,part:string>>")))
+    none = F.array().cast("array<struct<key:bigint,longer:boolean,part:string>>")
+    return F.concat(role(n, head, False), F.when(n > min_chars, role(n - 1, shifted, True)).otherwise(none))
 
 
 def variants(key: Column, longer: Column, part: Column) -> Column:
@@ -69,13 +89,20 @@ def variants(key: Column, longer: Column, part: Column) -> Column:
             .otherwise(own))
 
 
-def alike_lines(rows: DataFrame, stretch: int, min_chars: int) -> DataFrame:
-    """(_a, _b) of the different lines that have an earlier alike line."""
-    keys = rows.select("_a", F.explode(F.transform(stretch_keys(F.col("_line"), stretch, min_chars), lambda s: s["key"])).alias("key"))
-    shared = staged(keys.groupBy("key").agg(F.min("_a").alias("lo"), F.max("_a").alias("hi")).where("lo <> hi").select("key"))
-    ref = F.struct("_id", "_h", "_pos")
-    parts = (rows.select(ref.alias("ref"), "_a", "_b", F.explode(stretch_keys(F.col("_line"), stretch, min_chars)).alias("s"))
-             .select("ref", "_a", "_b", "s.key", "s.longer", "s.part").join(small(shared), "key"))
+def alike_lines(docs: DataFrame, table: DataFrame, stretch: int, min_chars: int) -> DataFrame:
+    """(_a, _b) of the different lines that have an earlier alike line;
+    ``table`` has the hashes of all lines and of their halves."""
+    halves = table.select("_a", F.explode("_halves").alias("half"))
+    shared = staged(halves.groupBy("half").agg(F.min("_a").alias("lo"), F.max("_a").alias("hi")).where("lo <> hi").select("half"))
+    close = (table.select(F.struct("_id", "_h", "_pos").alias("ref"), "_a", "_b", F.explode("_halves").alias("half"))
+             .join(small(shared), "half").groupBy("_a", "_b").agg(F.min("ref").alias("ref")))
+    close = staged(close.select("_a", "_b", "ref", "ref._id", "ref._h", "ref._pos"))
+    text = (lines(docs, min_chars).join(small(close), ["_id", "_h", "_pos"])
+            .select("_a", "_b", "ref", "_line").dropDuplicates(["_a", "_b"]))
+    every = staged(text.select("_a", "_b", "ref", F.explode(stretch_keys(F.col("_line"), stretch, min_chars)).alias("s"))
+                   .select("_a", "_b", "ref", "s.key", "s.longer", "s.part"))
+    open_keys = staged(every.groupBy("key").agg(F.min("_a").alias("lo"), F.max("_a").alias("hi")).where("lo <> hi").select("key"))
+    parts = every.join(small(open_keys), "key")
     parts = staged(parts.groupBy("key", "longer", "_a", "_b").agg(F.min("ref").alias("ref"), F.first("part").alias("part")))
     keyed = parts.select("_a", "_b", "ref", "key", "longer", F.explode(variants(F.col("key"), F.col("longer"), F.col("part"))).alias("variant"))
     # two longer lines of an inserted character need not be alike, so a longer
@@ -98,10 +125,12 @@ def alike_lines(rows: DataFrame, stretch: int, min_chars: int) -> DataFrame:
 def repeated_lines(docs: DataFrame, min_chars: int = MIN_CHARS, stretch: int = STRETCH) -> DataFrame:
     """(_id, _h, _gone): the numbers of the lines to remove, per document that
     has some; rows repeating id and text are one document."""
-    rows = lines(docs, min_chars)
+    rows = staged(lines(docs, min_chars).select(
+        "_id", "_h", "_pos", F.xxhash64("_line").alias("_a"), F.xxhash64(F.lit(1), "_line").alias("_b"),
+        half_keys(F.col("_line"), min_chars).alias("_halves")))
     equal = (rows.groupBy("_a", "_b").agg(F.min(F.struct("_id", "_h", "_pos")).alias("first"), F.count("*").alias("n"))
              .where("n > 1").select("_a", "_b", "first"))
-    near = alike_lines(rows, stretch, min_chars).withColumn("near", F.lit(True))
+    near = alike_lines(docs, rows, stretch, min_chars).withColumn("near", F.lit(True))
     marked = staged(equal.join(near, ["_a", "_b"], "full").select("_a", "_b", "first", F.coalesce("near", F.lit(False)).alias("near")))
     gone = (rows.select("_id", "_h", "_pos", "_a", "_b").join(small(marked), ["_a", "_b"])
             .where(F.col("near") | (F.struct("_id", "_h", "_pos") > F.col("first"))))

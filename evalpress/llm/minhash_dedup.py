@@ -135,25 +135,47 @@ def signatures(docs: DataFrame, p: Params) -> DataFrame:
     return src.mapInArrow(run, "_id long, _h long, _g long, keys array<long>")
 
 
-def verified(docs: DataFrame, texts: DataFrame, pairs: DataFrame, p: Params) -> DataFrame:
-    """The pairs (a, b) of text nodes whose shingle sets are alike enough."""
-    need = staged(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-                  .join(texts.select("node", "_id"), "node"))
+def shingle_sets(docs: DataFrame, texts: DataFrame, nodes: DataFrame, p: Params) -> DataFrame:
+    """(node, s, w) of the text nodes: their shingles as ascending 32-bit
+    hashes, and their weights if they have any."""
+    need = staged(nodes.join(texts.select("node", "_id"), "node"))
     src = docs.select(order_id().alias("_id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("node"), "text")
 
     def sets(batches):
         for b in batches:
             item, weight = [], []
             for t in b.column(1).to_pylist():
-                v, w = shingles(t, p.words)
+                v, w = shingles(t or "", p.words)
                 v, at = np.unique((v >> np.uint64(32)).astype(np.uint32), return_index=True)
                 item.append(v.tobytes())
                 weight.append(w[at].astype(np.float32).tobytes() if p.weighted else b"")
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(item, pa.binary()), pa.array(weight, pa.binary())],
                                              names=["node", "s", "w"])
 
-    own = staged(src.join(small(need), ["node", "_id"], "left_semi").select("node", "text")
-                 .mapInArrow(sets, "node long, s binary, w binary").dropDuplicates(["node"]))
+    return staged(src.join(small(need), ["node", "_id"], "left_semi").select("node", "text")
+                  .mapInArrow(sets, "node long, s binary, w binary").dropDuplicates(["node"]))
+
+
+def shared_items(docs: DataFrame, texts: DataFrame, nodes: DataFrame, p: Params) -> DataFrame:
+    """(node, n, u): shingles of each node, and how many no other node has."""
+    own = shingle_sets(docs, texts, nodes, p)
+
+    def items(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0), pa.array([np.frombuffer(s, np.uint32).astype(np.int64) for s in b.column(1).to_pylist()], pa.list_(pa.int64()))],
+                names=["node", "items"])
+
+    single = (own.mapInArrow(items, "node long, items array<long>").select("node", F.explode("items").alias("item"))
+              .groupBy("item").agg(F.count("*").alias("c"), F.min("node").alias("node")).where("c = 1")
+              .groupBy("node").agg(F.count("*").alias("u")))
+    return own.select("node", (F.octet_length("s") / 4).alias("n")).join(single, "node", "left").select(
+        "node", "n", F.coalesce("u", F.lit(0)).alias("u"))
+
+
+def verified(docs: DataFrame, texts: DataFrame, pairs: DataFrame, p: Params) -> DataFrame:
+    """The pairs (a, b) of text nodes whose shingle sets are alike enough."""
+    own = shingle_sets(docs, texts, pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct(), p)
     side = lambda n, k: own.select(F.col("node").alias(n), F.struct("s", "w").alias(k))
     full = (pairs.join(side("a", "x"), "a").join(side("b", "y"), "b")
             .select("a", "b", "x.s", F.col("y.s").alias("t"), "x.w", F.col("y.w").alias("u")))
@@ -180,7 +202,10 @@ def near_classes(docs: DataFrame, p: Params = Params()) -> DataFrame:
     texts = staged(rows.groupBy("_h", "_g").agg(F.min("_id").alias("_id"), F.first("keys").alias("keys"))
                    .select(F.col("_h").alias("node"), "_g", "_id", "keys"))
     buckets = staged(texts.select(F.explode("keys").alias("key"), "node"))
-    labels = bucket_classes(buckets, lambda pairs: verified(docs, texts, pairs, p))
+    # a weighted similarity is not bounded by the items in common: any pair may be alike
+    bound = 0.0 if p.weighted else p.similarity
+    labels = bucket_classes(buckets, lambda pairs: verified(docs, texts, pairs, p),
+                            lambda nodes: shared_items(docs, texts, nodes, p), bound)
     labelled = texts.join(labels, "node", "left").select("node", "_g", "_id", F.coalesce("label", "node").alias("label"))
     classes = labelled.groupBy("label").agg(F.min(F.struct("_id", "node", "_g")).alias("_first"), F.count("*").alias("class_texts"))
     of_text = labelled.join(classes, "label").select(F.col("node").alias("_h"), "_g", "_first", "class_texts")
