@@ -43,7 +43,7 @@ def fraction_class(col: str, mod: int) -> Column:
 
 
 #: rows of a side that may be broadcast; a wider side takes the shuffle join
-BROADCAST_ROWS = 1_000_000
+BROADCAST_ROWS = 500_000
 
 
 def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:

@@ -392,11 +392,15 @@ def open_blocks(p: Params, parts: int):
 
     def run(batches):
         keep: list[list] = []
+        hot: list[tuple] = []
         size = 0
 
         def flush():
-            nonlocal keep, size
+            nonlocal keep, hot, size
             out: list[tuple] = []
+            if hot:
+                i, h, k, names = (np.concatenate(c) for c in zip(*hot))
+                out += dealt(target(names, parts), WINDOW, i, h, k, np.ones(len(k), np.int64), names)
             if keep:
                 ids, hs, at, n, v = (np.array(c, k) for c, k in zip(list(zip(*keep))[:5], (np.int64, np.int64, np.int64, np.int64, U)))
                 data = [k[5] for k in keep]
@@ -406,7 +410,7 @@ def open_blocks(p: Params, parts: int):
                 for s, e in zip(cut.tolist(), [*cut[1:].tolist(), len(order)]):
                     o = order[s:e]
                     out.append((int(to[o[0]]), DATA, *[c[o].tobytes() for c in (ids, hs, at, n, v)], b"".join(data[k] for k in o)))
-            keep, size = [], 0
+            keep, hot, size = [], [], 0
             return out
 
         for marks, i, h, text, _ in texts_after_marks(batches):
@@ -417,9 +421,8 @@ def open_blocks(p: Params, parts: int):
                     size += n + p.length
                 elif state == BY_WINDOW:
                     names = np.array([xxhash.xxh3_64_intdigest(text[k:k + p.length]) for k in range(at, at + n)], U)
-                    whole = np.full(n, 1, np.int64)
-                    yield rows_batch(list(dealt(target(names, parts), WINDOW, np.full(n, i, np.int64), np.full(n, h, np.int64),
-                                                np.arange(at, at + n), whole, names)))
+                    hot.append((np.full(n, i, np.int64), np.full(n, h, np.int64), np.arange(at, at + n), names))
+                    size += 40 * n
             if size >= 8 * p.batch:
                 yield rows_batch(flush())
         yield rows_batch(flush())
