@@ -3,7 +3,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from evalpress.llm.common import staged
@@ -41,46 +41,54 @@ def bucket_classes(buckets: DataFrame, verify: Callable[[DataFrame], DataFrame],
     ``buckets``: (key, node), staged; ``verify`` keeps the true links of pairs
     (a, b).  Instead of all pairs of a bucket, each round takes one hub per
     bucket and pairs it with the members of other classes, so a bucket of n
-    alike nodes costs n pairs; the first hubs are the nodes with most company.
-    Buckets that still hold several classes after the rounds get their pairs
-    between different classes, so no link between classes is missed, but for
-    those that cannot be alike: ``shared`` gives (node, n, u), the sizes of the
-    nodes' sets and how many of their items no other such node has.  Two sets
-    have min(n - u) items in common at most, which bounds their Jaccard
-    similarity; ``least`` is what a link needs."""
+    alike nodes costs n pairs.  The first hubs are the nodes with most company,
+    the next those with fewest items of their own, the last are drawn.  Buckets
+    that still hold several classes after the rounds get their pairs between
+    different classes, each pair in one bucket, so no link between classes is
+    missed, but for those that cannot be alike: ``shared`` gives (node, n, u),
+    the sizes of the nodes' sets and how many of their items no other node of
+    an open bucket has.  Two sets have min(n - u) items in common at most,
+    which bounds their Jaccard similarity; ``least`` is what a link needs."""
+    company = staged(buckets.join(buckets.groupBy("key").agg(F.count("*").alias("_c")).where("_c > 1"), "key")
+                     .groupBy("node").agg(F.sum("_c").alias("c"), F.collect_list("key").alias("keys")))  # at most its bands
+    rows = company.select(F.explode("keys").alias("key"), "node", (-F.col("c")).cast("double").alias("rank"),
+                          F.lit(0.0).alias("n"), F.lit(0.0).alias("u"))
     links = labels = None
-    company = staged(buckets.join(buckets.groupBy("key").agg(F.count("*").alias("c")).where("c > 1"), "key")
-                     .groupBy("node").agg(F.sum("c").alias("c")))
-    buckets = staged(buckets.join(company, "node"))  # others are alone in all their buckets
 
-    def now() -> DataFrame:
+    def labelled() -> DataFrame:
         if labels is None:
-            return buckets.withColumn("label", F.col("node"))
-        return buckets.join(labels, "node", "left").select("key", "node", "c", F.coalesce("label", "node").alias("label"))
+            return rows.withColumn("label", F.col("node"))
+        return rows.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+
+    def alike(x: str, y: str) -> Column:
+        n, u = (lambda k: F.col(f"{k}.n")), (lambda k: F.col(f"{k}.u"))
+        common = F.least(n(x) - u(x), n(y) - u(y))
+        return common * (1 + least) >= (n(x) + n(y)) * least - 1e-6
 
     for turn in range(stars + 1):
-        rows = now()
-        first = -F.col("c") if turn == 0 else F.lit(0).cast("long")
-        open_keys = (rows.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"),
-                                             F.min(F.struct(first, F.xxhash64("node", F.lit(turn)), "node", "label")).alias("h"))
-                     .where("lo <> hi").select("key", F.col("h.node").alias("hub"), F.col("h.label").alias("hub_label")))
+        now = staged(labelled())
+        hubs = (now.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.min(F.struct(
+            "rank" if turn < 2 else F.lit(0.0).alias("rank"), F.xxhash64("node", F.lit(turn)).alias("draw"), "node", "label", "n", "u")).alias("y"))
+            .where("lo <> hi").select("key", "y"))
         if turn < stars:
-            pairs = (rows.join(open_keys, "key").where(F.col("label") != F.col("hub_label"))
-                     .select(F.least("hub", "node").alias("a"), F.greatest("hub", "node").alias("b")).distinct())
-        else:
-            left = staged(rows.join(open_keys.select("key"), "key").select("key", "node", "label"))
-            known = shared(left.select("node").distinct())
-            left = staged(left.join(known.where(F.col("n") - F.col("u") >= F.col("n") * least), "node"))
-            common = F.least(F.col("x.n") - F.col("x.u"), F.col("y.n") - F.col("y.u"))
-            may = common * (1 + least) >= (F.col("x.n") + F.col("y.n")) * least - 1e-6
-            pairs = (left.alias("x").join(left.alias("y"), "key").where((F.col("x.label") < F.col("y.label")) & may)
+            pairs = (now.alias("x").join(hubs, "key").where((F.col("x.label") != F.col("y.label")) & alike("x", "y"))
                      .select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct())
+        else:
+            left = staged(now.join(hubs.select("key"), "key").join(company.select("node", "keys"), "node"))
+            once = F.array_min(F.array_intersect("x.keys", "y.keys")) == F.col("x.key")
+            pairs = (left.alias("x").join(left.alias("y"), (F.col("x.key") == F.col("y.key")) & (F.col("x.label") < F.col("y.label"))
+                                          & alike("x", "y") & once)
+                     .select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")))
         pairs = staged(pairs)
-        if pairs.isEmpty():
-            if turn < stars:
-                break
-            continue
-        found = staged(verify(pairs).select(F.col("a").alias("u"), F.col("b").alias("v")))
-        links = found if links is None else links.union(found)
-        labels = staged(components(links))
+        if not pairs.isEmpty():
+            found = staged(verify(pairs).select(F.col("a").alias("u"), F.col("b").alias("v")))
+            links = found if links is None else links.union(found)
+            labels = staged(components(links))
+        if turn == 0:  # only open buckets go on, without nodes that have too many items of their own
+            now = labelled()
+            keys = now.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("key")
+            held = staged(now.join(keys, "key").select("key", "node"))
+            known = shared(held.select("node").distinct()).where(F.col("n") - F.col("u") >= F.col("n") * least)
+            rows = staged(held.join(known, "node").select("key", "node", (F.col("u") / F.col("n")).alias("rank"),
+                                                          F.col("n").cast("double").alias("n"), F.col("u").cast("double").alias("u")))
     return labels if labels is not None else buckets.select("node", F.col("node").alias("label")).limit(0)
