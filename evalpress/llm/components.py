@@ -34,7 +34,7 @@ def components(edges: DataFrame, most: int = 60) -> DataFrame:
 
 
 def bucket_classes(buckets: DataFrame, verify: Callable[[DataFrame], DataFrame],
-                   shared: Callable[[DataFrame], DataFrame], least: float, stars: int = 3) -> DataFrame:
+                   shared: Callable[[DataFrame], DataFrame], least: float, stars: int = 5) -> DataFrame:
     """(node, label): components of the verified links among nodes that share
     a bucket; nodes without a link are left out.
 
@@ -42,8 +42,8 @@ def bucket_classes(buckets: DataFrame, verify: Callable[[DataFrame], DataFrame],
     (a, b).  Instead of all pairs of a bucket, each round takes one hub per
     bucket and pairs it with the members of other classes, so a bucket of n
     alike nodes costs n pairs.  The first hubs are the nodes with most company,
-    the next those with fewest items of their own, the last are drawn.  Buckets
-    that still hold several classes after the rounds get their pairs between
+    the next those with fewest items of their own, the others are drawn among
+    nodes with about as few.  Buckets that still hold several classes after the rounds get their pairs between
     different classes, each pair in one bucket, so no link between classes is
     missed, but for those that cannot be alike: ``shared`` gives (node, n, u),
     the sizes of the nodes' sets and how many of their items no other node of
@@ -68,7 +68,7 @@ def bucket_classes(buckets: DataFrame, verify: Callable[[DataFrame], DataFrame],
     for turn in range(stars + 1):
         now = staged(labelled())
         hubs = (now.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.min(F.struct(
-            "rank" if turn < 2 else F.lit(0.0).alias("rank"), F.xxhash64("node", F.lit(turn)).alias("draw"), "node", "label", "n", "u")).alias("y"))
+            (F.col("rank") if turn < 2 else F.floor(F.col("rank") * 50)).alias("rank"), F.xxhash64("node", F.lit(turn)).alias("draw"), "node", "label", "n", "u")).alias("y"))
             .where("lo <> hi").select("key", "y"))
         if turn < stars:
             pairs = (now.alias("x").join(hubs, "key").where((F.col("x.label") != F.col("y.label")) & alike("x", "y"))
