@@ -50,3 +50,12 @@ def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """A staged table of narrow rows, marked for broadcast only if its counted
     rows stay under ``rows``; otherwise unchanged (shuffle join)."""
     return F.broadcast(df) if df.count() <= rows else df
+
+
+def bounded_batches(df: DataFrame, rows: int = 2000) -> DataFrame:
+    """``df``; its session hands Python at most ``rows`` rows at a time (unless
+    a smaller number is set), since a row can be a long text."""
+    key, conf = "spark.sql.execution.arrow.maxRecordsPerBatch", df.sparkSession.conf
+    if not 0 < int(conf.get(key, "10000")) <= rows:
+        conf.set(key, str(rows))
+    return df

@@ -16,7 +16,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from evalpress.llm.common import shuffle_parts, small, staged
+from evalpress.llm.common import bounded_batches, small, staged
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[(?P<cdata>.*?)(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
@@ -203,8 +203,7 @@ def extract(pages: DataFrame, share: float = 0.2, least: int = 10) -> DataFrame:
     pages of their own; an empty table gives no rows; other columns are
     ignored.  Pages are counted by (host, hash) with partial sums, so a host
     with most pages is no hot task."""
-    spark = pages.sparkSession
-    src = pages.select("page_id", "url", "html").withColumn(
+    src = bounded_batches(pages).select("page_id", "url", "html").withColumn(
         "_host", F.coalesce(F.lower(F.regexp_extract("url", HOST, 1)), F.lit("")))
 
     def hashes(batches):

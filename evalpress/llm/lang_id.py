@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from evalpress.llm.common import fraction_class
+from evalpress.llm.common import bounded_batches, fraction_class
 
 UNKNOWN = "und"
 
@@ -140,7 +140,7 @@ def predict(docs: DataFrame, model: Model, id_cols: list[str], text_col: str = "
                 [b.column(k) for k in range(len(id_cols))] + [pa.array(lang, pa.string()), pa.array(score, pa.float64())],
                 names=id_cols + ["lang_pred", "score"])
 
-    src = docs.select(*id_cols, text_col)
+    src = bounded_batches(docs.select(*id_cols, text_col))
     out = T.StructType(src.schema.fields[:-1]).add("lang_pred", "string").add("score", "double")
     return src.mapInArrow(run, out)
 

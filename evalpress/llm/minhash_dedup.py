@@ -16,7 +16,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from evalpress.llm.common import NULL_ID, order_id, small, staged
+from evalpress.llm.common import NULL_ID, bounded_batches, order_id, small, staged
 from evalpress.llm.components import bucket_classes
 
 
@@ -114,7 +114,7 @@ def probability_jaccard(a: np.ndarray, wa: np.ndarray, b: np.ndarray, wb: np.nda
 def signatures(docs: DataFrame, p: Params) -> DataFrame:
     """(_id, _h, _g, keys) per row: order id, two hashes of the text (a null
     one as empty), and the band keys; equal texts in a batch are hashed once."""
-    src = docs.select(order_id().alias("_id"), F.coalesce("text", F.lit("")).alias("text"))
+    src = bounded_batches(docs).select(order_id().alias("_id"), F.coalesce("text", F.lit("")).alias("text"))
     src = src.select("_id", F.xxhash64("text").alias("_h"), F.xxhash64(F.lit(1), "text").alias("_g"), "text")
 
     def run(batches):

@@ -13,6 +13,8 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 
+from evalpress.llm.common import bounded_batches
+
 
 @dataclass(frozen=True)
 class Bands:
@@ -110,6 +112,6 @@ def quality_rules(docs: DataFrame, conf: Bands = Bands(), id_col: str = "doc_id"
                 [b.column(0)] + [pa.array([r[k] for r in rows], kind) for k, kind in _ARROW],
                 names=[id_col] + [k for k, _ in _ARROW])
 
-    src = docs.select(id_col, text_col)
+    src = bounded_batches(docs.select(id_col, text_col))
     kind = src.schema[id_col].dataType.simpleString()
     return src.mapInArrow(run, f"`{id_col}` {kind}, {RESULT}")

@@ -30,7 +30,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from evalpress.llm.common import NULL_ID, shuffle_parts, small, staged
+from evalpress.llm.common import NULL_ID, bounded_batches, shuffle_parts, small, staged
 
 U = np.uint64
 GRAM = 27  # three levels of triples
@@ -565,7 +565,7 @@ def removed(docs: DataFrame, p: Params = Params(), full: bool = False) -> DataFr
     Only texts with marks are shuffled.  They are picked by a broadcast of
     their keys while these are few, else by a shuffle join."""
     parts = shuffle_parts(docs.sparkSession)
-    texts = keyed(docs, F.col("text"), F.col("doc_id"))
+    texts = keyed(bounded_batches(docs), F.col("text"), F.col("doc_id"))
     deal = lambda d: d.repartition(parts, "part")
     states = staged(deal(texts.mapInArrow(find_blocks(p, parts), ROW)).mapInArrow(settle(parts), ROW))
 

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from evalpress.llm.common import fraction_class, small, staged
+from evalpress.llm.common import bounded_batches, fraction_class, small, staged
 
 
 @dataclass(frozen=True)
@@ -307,7 +307,7 @@ def score(docs: DataFrame, model: Model, id_cols: list[str], text_col: str = "te
             yield pa.RecordBatch.from_arrays([b.column(i) for i in range(n)] + [pa.array(s.astype(np.float64))],
                                              names=id_cols + ["score"])
 
-    src = docs.select(*id_cols, text_col)
+    src = bounded_batches(docs.select(*id_cols, text_col))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in src.schema.fields[:-1])
     return src.mapInArrow(run, f"{schema}, score double")
 
