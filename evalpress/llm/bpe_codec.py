@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from evalpress.llm.common import bounded_batches
+from evalpress.llm.common import bounded_batches, tidy
 
 END = "\0"  # stands for the end-of-word mark in vocabulary strings
 NEVER = 1 << 60
@@ -234,4 +234,4 @@ def encode_decode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col:
     src = bounded_batches(docs.select(id_col, text_col))
     kind = src.schema[id_col].dataType.simpleString()
     more = ", ids array<int>, decoded string" if full else ""
-    return src.mapInArrow(run, f"`{id_col}` {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string{more}")
+    return src.mapInArrow(tidy(run), f"`{id_col}` {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string{more}")

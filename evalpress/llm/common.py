@@ -1,8 +1,12 @@
 """Helpers shared by the text operators."""
 from __future__ import annotations
 
+import ctypes
+import gc
 import uuid
+from collections.abc import Callable, Iterable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -59,3 +63,26 @@ def bounded_batches(df: DataFrame, rows: int = 2000) -> DataFrame:
     if not 0 < int(conf.get(key, "10000")) <= rows:
         conf.set(key, str(rows))
     return df
+
+
+def release() -> None:
+    """Hands memory that a reused Python worker no longer needs back to the system."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
+def tidy(run: Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable:
+    """``run`` for mapInArrow, with memory handed back before and after it."""
+
+    def wrapped(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
+        try:
+            yield from run(batches)
+        finally:
+            release()
+
+    return wrapped

@@ -16,7 +16,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from evalpress.llm.common import bounded_batches, small, staged
+from evalpress.llm.common import bounded_batches, small, staged, tidy
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[(?P<cdata>.*?)(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
@@ -211,7 +211,7 @@ def extract(pages: DataFrame, share: float = 0.2, least: int = 10) -> DataFrame:
             found = [list(subtree_hashes(t)) if t else [] for t in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(found, pa.list_(pa.int64()))], names=["_host", "_nodes"])
 
-    seen = src.select("_host", "html").mapInArrow(hashes, "_host string, _nodes array<long>")
+    seen = src.select("_host", "html").mapInArrow(tidy(hashes), "_host string, _nodes array<long>")
     # a null node stands for the page itself, so one count gives both numbers
     counts = (seen.select("_host", F.explode(F.concat(F.array(F.lit(None).cast("long")), "_nodes")).alias("_node"))
               .groupBy("_host", "_node").agg(F.count("*").alias("_n")).where((F.col("_n") >= least) | F.col("_node").isNull()))
@@ -230,4 +230,4 @@ def extract(pages: DataFrame, share: float = 0.2, least: int = 10) -> DataFrame:
                 names=["page_id", "url", "text", "n_chars"])
 
     kind = src.schema["page_id"].dataType.simpleString()
-    return joined.mapInArrow(texts, f"page_id {kind}, url string, text string, n_chars long")
+    return joined.mapInArrow(tidy(texts), f"page_id {kind}, url string, text string, n_chars long")

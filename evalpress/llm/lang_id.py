@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from evalpress.llm.common import bounded_batches, fraction_class
+from evalpress.llm.common import bounded_batches, fraction_class, tidy
 
 UNKNOWN = "und"
 
@@ -142,7 +142,7 @@ def predict(docs: DataFrame, model: Model, id_cols: list[str], text_col: str = "
 
     src = bounded_batches(docs.select(*id_cols, text_col))
     out = T.StructType(src.schema.fields[:-1]).add("lang_pred", "string").add("score", "double")
-    return src.mapInArrow(run, out)
+    return src.mapInArrow(tidy(run), out)
 
 
 def not_held_out() -> Column:

@@ -16,7 +16,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from evalpress.llm.common import NULL_ID, bounded_batches, order_id, small, staged
+from evalpress.llm.common import NULL_ID, bounded_batches, order_id, small, staged, tidy
 from evalpress.llm.components import bucket_classes
 
 
@@ -132,7 +132,7 @@ def signatures(docs: DataFrame, p: Params) -> DataFrame:
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), pa.array(out, pa.list_(pa.int64()))],
                                              names=["_id", "_h", "_g", "keys"])
 
-    return src.mapInArrow(run, "_id long, _h long, _g long, keys array<long>")
+    return src.mapInArrow(tidy(run), "_id long, _h long, _g long, keys array<long>")
 
 
 def shingle_sets(docs: DataFrame, texts: DataFrame, nodes: DataFrame, p: Params) -> DataFrame:
@@ -153,7 +153,7 @@ def shingle_sets(docs: DataFrame, texts: DataFrame, nodes: DataFrame, p: Params)
                                              names=["node", "s", "w"])
 
     return staged(src.join(small(need), ["node", "_id"], "left_semi").select("node", "text")
-                  .mapInArrow(sets, "node long, s binary, w binary").dropDuplicates(["node"]))
+                  .mapInArrow(tidy(sets), "node long, s binary, w binary").dropDuplicates(["node"]))
 
 
 def shared_items(docs: DataFrame, texts: DataFrame, nodes: DataFrame, p: Params) -> DataFrame:
@@ -166,7 +166,7 @@ def shared_items(docs: DataFrame, texts: DataFrame, nodes: DataFrame, p: Params)
                 [b.column(0), pa.array([np.frombuffer(s, np.uint32).astype(np.int64) for s in b.column(1).to_pylist()], pa.list_(pa.int64()))],
                 names=["node", "items"])
 
-    single = (own.mapInArrow(items, "node long, items array<long>").select("node", F.explode("items").alias("item"))
+    single = (own.mapInArrow(tidy(items), "node long, items array<long>").select("node", F.explode("items").alias("item"))
               .groupBy("item").agg(F.count("*").alias("c"), F.min("node").alias("node")).where("c = 1")
               .groupBy("node").agg(F.count("*").alias("u")))
     return own.select("node", (F.octet_length("s") / 4).alias("n")).join(single, "node", "left").select(
@@ -191,7 +191,7 @@ def verified(docs: DataFrame, texts: DataFrame, pairs: DataFrame, p: Params) ->
             keep = pa.array([alike(*x) for x in zip(*[b.column(k).to_pylist() for k in range(2, 6)])], pa.bool_())
             yield pa.RecordBatch.from_arrays([b.column(0).filter(keep), b.column(1).filter(keep)], names=["a", "b"])
 
-    return full.mapInArrow(check, "a long, b long")
+    return full.mapInArrow(tidy(check), "a long, b long")
 
 
 def near_classes(docs: DataFrame, p: Params = Params()) -> DataFrame:

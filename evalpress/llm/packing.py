@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from evalpress.llm.bpe_codec import byte_chars
-from evalpress.llm.common import bounded_batches
+from evalpress.llm.common import bounded_batches, tidy
 
 #: pre-tokens of the byte-level vocabulary (fixed pattern of its file format)
 PATTERN = r"'(?:[stmd]|re|ve|ll)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -134,7 +134,7 @@ def cut_documents(docs: DataFrame, path: str, eos: int, size: int, unit: int) ->
 
     src = bounded_batches(docs).select("doc_id", "text", F.xxhash64(F.lit(11), "doc_id", F.length("text")).alias("_mix"))
     kind = src.schema["doc_id"].dataType.simpleString()
-    return src.mapInArrow(run, f"doc_id {kind}, _mix long, start long, length long, ids_crc32 long, doc_tokens long")
+    return src.mapInArrow(tidy(run), f"doc_id {kind}, _mix long, start long, length long, ids_crc32 long, doc_tokens long")
 
 
 def pack(docs: DataFrame, path: str, eos: int = 1, size: int = 2048, unit: int = 256,

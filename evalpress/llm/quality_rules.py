@@ -13,7 +13,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 
-from evalpress.llm.common import bounded_batches
+from evalpress.llm.common import bounded_batches, tidy
 
 
 @dataclass(frozen=True)
@@ -114,4 +114,4 @@ def quality_rules(docs: DataFrame, conf: Bands = Bands(), id_col: str = "doc_id"
 
     src = bounded_batches(docs.select(id_col, text_col))
     kind = src.schema[id_col].dataType.simpleString()
-    return src.mapInArrow(run, f"`{id_col}` {kind}, {RESULT}")
+    return src.mapInArrow(tidy(run), f"`{id_col}` {kind}, {RESULT}")

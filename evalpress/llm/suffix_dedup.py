@@ -30,7 +30,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from evalpress.llm.common import NULL_ID, bounded_batches, shuffle_parts, small, staged
+from evalpress.llm.common import NULL_ID, bounded_batches, shuffle_parts, small, staged, tidy
 
 U = np.uint64
 GRAM = 27  # three levels of triples
@@ -554,7 +554,7 @@ def marked_texts(marks: DataFrame, open_only: bool) -> DataFrame:
             both = np.unique(np.stack([ids[pick], hs[pick]], 1), axis=0)
             yield pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], names=["_id", "_h"])
 
-    return staged(marks.mapInArrow(run, "_id long, _h long").distinct())
+    return staged(marks.mapInArrow(tidy(run), "_id long, _h long").distinct())
 
 
 def removed(docs: DataFrame, p: Params = Params(), full: bool = False) -> DataFrame:
@@ -567,17 +567,17 @@ def removed(docs: DataFrame, p: Params = Params(), full: bool = False) -> DataFr
     parts = shuffle_parts(docs.sparkSession)
     texts = keyed(bounded_batches(docs), F.col("text"), F.col("doc_id"))
     deal = lambda d: d.repartition(parts, "part")
-    states = staged(deal(texts.mapInArrow(find_blocks(p, parts), ROW)).mapInArrow(settle(parts), ROW))
+    states = staged(deal(texts.mapInArrow(tidy(find_blocks(p, parts)), ROW)).mapInArrow(tidy(settle(parts)), ROW))
 
     def meet(marks: DataFrame, picked: DataFrame) -> DataFrame:
-        sent = texts.join(picked, ["_id", "_h"], "left_semi").mapInArrow(send_texts(parts), ROW)
+        sent = texts.join(picked, ["_id", "_h"], "left_semi").mapInArrow(tidy(send_texts(parts)), ROW)
         return marks.unionByName(sent).repartition(parts, "part").sortWithinPartitions("part", "kind")
 
-    opened = meet(states, small(marked_texts(states, True))).mapInArrow(open_blocks(p, parts), ROW)
-    marks = states.unionByName(staged(deal(opened).mapInArrow(resolve(p, parts), ROW)))
+    opened = meet(states, small(marked_texts(states, True))).mapInArrow(tidy(open_blocks(p, parts)), ROW)
+    marks = states.unionByName(staged(deal(opened).mapInArrow(tidy(resolve(p, parts)), ROW)))
     picked = small(marked_texts(marks, False))
     result = RESULT + ", _kept string" * full
-    changed = meet(marks, picked).mapInArrow(finish(p, full), result)
+    changed = meet(marks, picked).mapInArrow(tidy(finish(p, full)), result)
     if full:
         return changed.where("n_removed > 0")
     whole = texts.join(picked, ["_id", "_h"], "left_anti").select(

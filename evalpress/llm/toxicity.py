@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from evalpress.llm.common import bounded_batches, fraction_class, small, staged
+from evalpress.llm.common import bounded_batches, fraction_class, small, staged, tidy
 
 
 @dataclass(frozen=True)
@@ -277,7 +277,7 @@ def fit(docs: DataFrame, labels: DataFrame, p: Params = Params()) -> Model:
             f = shared.value.features(b.column(1).to_pylist())
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([x.tobytes() for x in f], pa.binary())], names=["y", "f"])
 
-    got = sample.select(F.col("_toxic").alias("y"), "text").mapInArrow(featurise, "y int, f binary").collect()
+    got = sample.select(F.col("_toxic").alias("y"), "text").mapInArrow(tidy(featurise), "y int, f binary").collect()
     if not got:
         return none
     f = np.stack([np.frombuffer(r["f"], np.float32) for r in got]).astype(np.float64)
@@ -309,7 +309,7 @@ def score(docs: DataFrame, model: Model, id_cols: list[str], text_col: str = "te
 
     src = bounded_batches(docs.select(*id_cols, text_col))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in src.schema.fields[:-1])
-    return src.mapInArrow(run, f"{schema}, score double")
+    return src.mapInArrow(tidy(run), f"{schema}, score double")
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, p: Params = Params(), limit: float = 0.7) -> DataFrame:
