@@ -56,7 +56,7 @@ def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.count() <= rows else df
 
 
-def bounded_batches(df: DataFrame, rows: int = 2000) -> DataFrame:
+def bounded_batches(df: DataFrame, rows: int = 1000) -> DataFrame:
     """``df``; its session hands Python at most ``rows`` rows at a time (unless
     a smaller number is set), since a row can be a long text."""
     key, conf = "spark.sql.execution.arrow.maxRecordsPerBatch", df.sparkSession.conf

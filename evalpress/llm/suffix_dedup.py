@@ -44,7 +44,7 @@ class Params:
 
     length: int = 100
     hot: int = 256
-    piece: int = 1 << 20
+    piece: int = 1 << 18
     batch: int = 1 << 20
 
 
