@@ -45,10 +45,12 @@ def first_nonnull(*cols: ColumnOrName) -> Column:
 
 
 def falsy_default(x: ColumnOrName, default) -> Column:
-    """Python's ``x or default``: null, 0 and '' all take the default."""
+    """Python's ``x or default``: null, '', false and zero of any numeric type
+    take the default; a text ``'0'`` does not."""
     c = _c(x)
-    return F.when(c.isNull() | (c.cast("string") == "") | (c.cast("string") == "0"),
-                  F.lit(default)).otherwise(c)
+    s = c.cast("string")
+    zero = (F.typeof(c) != "string") & F.coalesce((tcast(s, "double") == 0) | (s == "false"), s == "false")
+    return F.when(c.isNull() | (s == "") | zero, F.lit(default)).otherwise(c)
 
 
 def date_prefix(x: ColumnOrName) -> Column:
@@ -136,7 +138,7 @@ def json_number(text: ColumnOrName, key: str) -> Column:
 
 def normalise_rate(x: ColumnOrName) -> Column:
     """Pass rate to 0..1: values above 1 are percents; rounded to 4 places."""
-    v = tcast(nz(_c(x).cast("string")), "double")
+    v = lenient_double(x)
     return F.when(v > 1.0, F.round(v / 100.0, 4)).otherwise(F.round(v, 4))
 
 
@@ -207,14 +209,19 @@ def voice_from_run(run: ColumnOrName) -> Column:
     return F.regexp_replace(_c(run), r"^\d{4}-\d{2}-\d{2}_suite_", "")
 
 
+_NUMBER = r"(?i)\A[+-]?(?:(?:\d+\.?\d*|\.\d+)(?:e[+-]?\d+)?|inf|infinity|nan)\z"
+
+
 def lenient_int(x: ColumnOrName) -> Column:
     """'' and null -> null; numbers via double, truncated; bad -> null."""
-    d = tcast(nz(F.trim(_c(x).cast("string"))), "double")
-    return tcast(d, "int")
+    return tcast(lenient_double(x), "int")
 
 
 def lenient_double(x: ColumnOrName) -> Column:
-    return tcast(nz(F.trim(_c(x).cast("string"))), "double")
+    """Number text to double; '' , null and anything else -> null.  A cast alone
+    would also take type suffixes (``1.0f``, ``3d``)."""
+    s = pystrip(_c(x).cast("string"))
+    return F.when(s.rlike(_NUMBER), tcast(s, "double"))
 
 
 def strict_date(x: ColumnOrName) -> Column:
@@ -229,15 +236,18 @@ def truthy(x: ColumnOrName) -> Column:
     return F.when(s.isNull() | (s == ""), F.lit(None).cast("boolean")).otherwise(F.lit(True))
 
 
-def natural_sort_key(x: ColumnOrName, width: int = 20, locale: str = "de") -> Column:
+def natural_sort_key(x: ColumnOrName, locale: str = "de") -> Column:
     """Text key in locale order with embedded digit runs ordered by value
-    (b2 before b10): digit runs are zero-padded to a fixed width, then the
-    key carries the locale collation (ICU), so umlauts sort with their base
-    letters."""
+    (b2 before b10): each digit run loses its leading zeros and is led by its
+    length, so runs of any length compare by value; then the key carries the
+    locale collation (ICU), so umlauts sort with their base letters."""
     s = F.coalesce(_c(x), F.lit(""))
-    padded = F.regexp_replace(F.regexp_replace(s, r"(\d+)", "0000000000000000000000$1"),
-                              r"0*(\d{" + str(width) + r"})", "$1")
-    return F.collate(padded, locale)
+
+    def part(t: Column) -> Column:
+        digits = F.regexp_replace(t, "^0+", "")
+        return F.when(t.rlike(r"\A\d"), F.concat(F.lpad(F.length(digits).cast("string"), 10, "0"), digits)).otherwise(t)
+
+    return F.collate(F.array_join(F.transform(F.regexp_extract_all(s, F.lit(r"\d+|\D+"), 0), part), ""), locale)
 
 
 _NUM_CELL = r"(?i)\A-?\d+(?:\.\d+)?(?:%|s|ms|x|×|GB|GiB|MB|tok/s)?\z"

@@ -15,18 +15,23 @@ def expected_counts(rows: DataFrame, expected: Mapping[str, int], config: str =
     spark = rows.sparkSession
     exp = spark.createDataFrame(list(expected.items()), f"{config} string, expected int")
     act = rows.groupBy(config).agg(F.count(F.lit(1)).alias("actual"))
-    j = act.join(F.broadcast(exp), config, "full_outer")
+    j = act.join(exp, config, "full_outer")
     return j.select(config, F.coalesce("actual", F.lit(0)).alias("actual"), "expected",
                     (F.coalesce("actual", F.lit(0)) == F.coalesce("expected", F.lit(-1))).alias("ok"))
 
 
 def one_to_one(rows: DataFrame, runs: DataFrame, key: str = "run_id", config: str = "config") -> DataFrame:
-    """Per config: metric rows, run-metadata rows, distinct keys, verdict."""
-    r = rows.groupBy(config).agg(F.count(F.lit(1)).alias("n_rows"), F.countDistinct(key).alias("n_keys"))
-    m = runs.groupBy(config).agg(F.count(F.lit(1)).alias("n_runs"))
-    j = r.join(m, config, "full_outer").fillna(0, ["n_rows", "n_keys", "n_runs"])
-    return j.select(config, "n_rows", "n_runs", "n_keys",
-                    ((F.col("n_rows") == F.col("n_runs")) & (F.col("n_rows") == F.col("n_keys"))).alias("one_to_one"))
+    """Per config: metric rows, run-metadata rows, different keys of the metric
+    rows, keys that are not exactly once on both sides, verdict.  One
+    aggregation per key over both sides, then one per config."""
+    side = lambda d, r, m: d.select(config, key, F.lit(r).alias("_r"), F.lit(m).alias("_m"))
+    per = (side(rows, 1, 0).unionByName(side(runs, 0, 1)).groupBy(config, key)
+           .agg(F.sum("_r").alias("_r"), F.sum("_m").alias("_m")))
+    off = (F.col("_r") != 1) | (F.col("_m") != 1) | F.col(key).isNull()
+    j = per.groupBy(config).agg(F.sum("_r").alias("n_rows"), F.sum("_m").alias("n_runs"),
+                                F.count_if((F.col("_r") > 0) & F.col(key).isNotNull()).alias("n_keys"),
+                                F.count_if(off).alias("n_unmatched"))
+    return j.withColumn("one_to_one", F.col("n_unmatched") == 0)
 
 
 def unmatched_keys(rows: DataFrame, runs: DataFrame, key: str = "run_id") -> DataFrame:

@@ -101,8 +101,10 @@ def forward_fill(df: DataFrame, part: str, order: str, value: str, out: str,
     w_chunks = (Window.partitionBy(part).orderBy("_chunk")
                 .rowsBetween(Window.unboundedPreceding, -1))
     carry = chunks.withColumn("_carry", F.last("_tail", ignorenulls=True).over(w_chunks)).drop("_tail")
-    res = local.join(carry, [part, "_chunk"], "left")
-    return res.withColumn(out, F.coalesce("_local", "_carry")).drop("_chunk", "_local", "_carry")
+    carry = carry.select(F.col(part).alias("_cpart"), F.col("_chunk").alias("_cchunk"), "_carry")
+    same = F.col(part).eqNullSafe(F.col("_cpart")) & F.col("_chunk").eqNullSafe(F.col("_cchunk"))
+    res = local.join(carry, same, "left")
+    return res.withColumn(out, F.coalesce("_local", "_carry")).drop("_chunk", "_local", "_carry", "_cpart", "_cchunk")
 
 
 def rank_within(df: DataFrame, part: Sequence[str], order: Sequence[Column], out: str = "rank",

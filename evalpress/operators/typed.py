@@ -41,6 +41,8 @@ def project_typed(df: DataFrame, columns: Sequence[tuple[str, T.DataType]],
             out.append(F.col(src).alias(name))
         elif isinstance(have[src], T.StringType):
             out.append(cast_lenient(F.col(src), dtype).alias(name))
+        elif isinstance(dtype, T.BooleanType) and isinstance(have[src], T.NumericType):
+            out.append((F.col(src) != 0).alias(name))
         else:
             out.append(cast_lenient(F.col(src).cast("string"), dtype).alias(name))
     return df.select(*out)

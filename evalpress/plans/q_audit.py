@@ -42,14 +42,19 @@ def q_leak_columns(spark, sf):
     return out
 
 
-_TEXT_RULES = tuple(r for r in RULES if r[0] != "page_host")
+_TEXTS = (("documents", "doc_id", "text"), ("pages", "page_id", "url"), ("pages", "page_id", "html"))
 
 
 @query("audit_leak_text", " UNION ALL ".join(
-    f"""SELECT doc_id, '{n}' AS rule, substr(m, 1, 40) AS match
-FROM (SELECT doc_id, unnest(regexp_extract_all(text, '{p}')) AS m FROM documents) t""" for n, p in _TEXT_RULES))
+    f"""SELECT '{t}' AS table_name, '{c}' AS column_name, {k} AS row_id, '{n}' AS rule, substr(m, 1, 40) AS match
+FROM (SELECT {k}, unnest(regexp_extract_all({c}, '{p}')) AS m FROM {t}) t""" for t, k, c in _TEXTS for n, p in RULES))
 def q_leak_text(spark, sf):
-    return audit.leak_text(table(spark, sf, "documents"), "doc_id", "text", _TEXT_RULES)
+    out = None
+    for t, k, c in _TEXTS:
+        found = audit.leak_text(table(spark, sf, t), k, c, RULES).select(
+            F.lit(t).alias("table_name"), F.lit(c).alias("column_name"), F.col(k).alias("row_id"), "rule", "match")
+        out = found if out is None else out.unionByName(found)
+    return out
 
 
 @query("audit_field_names", f"""SELECT key, count(*) AS n_rows, regexp_matches(key, '{WITHHELD_FIELD_PATTERN}') AS withheld

@@ -142,9 +142,9 @@ FROM rows""")
 def q_null_default(spark, sf):
     r = cohorts.report_rows(spark, sf)
     return r.select("run_dir", "stem",
-                    F.coalesce("knockouts", F.lit(0)).cast("int").alias("judge_knockouts"),
+                    C.falsy_default("knockouts", 0).cast("int").alias("judge_knockouts"),
                     C.nz("judge").alias("judge"),
-                    F.coalesce(C.tcast(C.nz("pass_rate"), "double"), F.lit(0.0)).alias("pass_rate_sort"))
+                    C.falsy_default(C.lenient_double("pass_rate"), 0.0).alias("pass_rate_sort"))
 
 
 @query("fallback_first_nonnull", W(*BASE) + f"""SELECT run_dir, stem,
@@ -283,7 +283,6 @@ def q_sorted_structs(spark, sf):
   SELECT s.name, 'local' AS cohort, 0 AS o FROM sized s JOIN local_cohort c USING (run_dir)
   UNION ALL SELECT s.name, 'saas', 1 FROM sized s JOIN saas_cohort c USING (run_dir)) u GROUP BY name""")
 def q_union_same(spark, sf):
-    rows = cohorts.report_rows(spark, sf)
     loc = cohorts.cohort_rows(spark, sf, "local").select("name", F.lit("local").alias("cohort"), F.lit(0).alias("o"))
     saas = cohorts.cohort_rows(spark, sf, "saas").select("name", F.lit("saas").alias("cohort"), F.lit(1).alias("o"))
     return pick.first_per_key(loc.unionByName(saas), ["name"], ["o"]).select("name", "cohort")

@@ -13,7 +13,7 @@ from evalpress.plans import cohorts
 from evalpress.plans import sqlfn as S
 from evalpress.plans.registry import query
 from evalpress.sources import config_text as CT
-from evalpress.sources.tables import spread, table
+from evalpress.sources.tables import table
 
 W = fx.with_
 BASE = cohorts.BASE_SQL
@@ -113,17 +113,21 @@ def q_merge_cache(spark, sf):
   SELECT g.name, concat_ws(', ',
       CASE WHEN {S.release_key('m.release_date')} IS NULL THEN 'release_date' END,
       CASE WHEN ({LICENSE_SQL}) = '—' THEN 'license' END) AS missing
-  FROM (SELECT name, arg_min(profile, o) AS profile, arg_min(is_saas, o) AS is_saas FROM (
-          SELECT s.name, s.profile, s.is_saas, 0 AS o, s.stem FROM sized s JOIN local_cohort c USING (run_dir)
-          UNION ALL SELECT s.name, s.profile, s.is_saas, 1, s.stem FROM sized s JOIN saas_cohort c USING (run_dir)) u
-        GROUP BY name) g
+  FROM (SELECT name, f.profile AS profile, f.is_saas AS is_saas FROM (
+          SELECT name, arg_min({{'profile': profile, 'is_saas': is_saas}}, (o, -pr, stem)) AS f FROM (
+            SELECT s.name, s.profile, s.is_saas, 0 AS o, s.stem, coalesce(TRY_CAST(nullif(s.pass_rate, '') AS DOUBLE), 0) AS pr
+            FROM sized s JOIN local_cohort c USING (run_dir)
+            UNION ALL SELECT s.name, s.profile, s.is_saas, 1, s.stem, coalesce(TRY_CAST(nullif(s.pass_rate, '') AS DOUBLE), 0)
+            FROM sized s JOIN saas_cohort c USING (run_dir)) u
+          GROUP BY name) k) g
   LEFT JOIN lic_cache lc ON lc.profile = coalesce(g.profile, '') LEFT JOIN fx6 m ON m.name = g.name) t
 WHERE missing <> ''""")
 def q_metadata_gaps(spark, sf):
-    rows = cohorts.report_rows(spark, sf)
-    loc = cohorts.cohort_rows(spark, sf, "local").select("name", "profile", "is_saas", F.lit(0).alias("o"))
-    saas = cohorts.cohort_rows(spark, sf, "saas").select("name", "profile", "is_saas", F.lit(1).alias("o"))
-    first = pick.first_per_key(loc.unionByName(saas), ["name"], ["o"])
+    rate = F.coalesce(C.lenient_double("pass_rate"), F.lit(0.0))
+    loc, saas = (cohorts.cohort_rows(spark, sf, kind).select("name", "profile", "is_saas", "stem", (-rate).alias("_rate"),
+                                                             F.lit(o).alias("o"))
+                 for o, kind in enumerate(("local", "saas")))
+    first = pick.first_per_key(loc.unionByName(saas), ["name"], ["o", "_rate", "stem"]).drop("o", "_rate", "stem")
     meta = fx.fx6_meta(spark, sf)
     lic = L.with_license(first, fx.fx7_license_cache(spark, sf), meta)
     j = lic.join(meta.select("name", "release_date"), "name", "left")
@@ -196,8 +200,8 @@ def _lenient_sql(v, t):
   count_if(nullif(CAST({c} AS VARCHAR), '') IS NOT NULL AND {_lenient_sql(f'CAST({c} AS VARCHAR)', t)} IS NULL) AS n_rejected
 FROM {tb}""" for tb, c, t in _LENIENT))
 def q_cast_lenient(spark, sf):
-    """One pass per table: every (column, type) check is an element of an
-    array that is exploded once, then counted."""
+    """One pass per table: two conditional counts per (column, type) check in
+    one aggregate, whose single row is then unfolded."""
     from evalpress.operators.typed import cast_lenient
     types = {"int": T.IntegerType(), "double": T.DoubleType(), "date": T.DateType(), "bool": T.BooleanType()}
     out = None
@@ -209,11 +213,9 @@ def q_cast_lenient(spark, sf):
             v = F.col(c).cast("string")
             r = cast_lenient(v, types[t])
             checks.append(F.struct(F.lit(c).alias("column_name"), F.lit(t).alias("type_name"),
-                                   r.isNotNull().alias("ok"), (C.nz(v).isNotNull() & r.isNull()).alias("bad")))
-        # every row is cast several ways: give the row work one task per core
-        e = spread(table(spark, sf, tb)).select(F.explode(F.array(*checks)).alias("x")).select("x.*")
-        part = e.groupBy("column_name", "type_name").agg(F.count_if("ok").alias("n_accepted"),
-                                                         F.count_if("bad").alias("n_rejected"))
+                                   F.count_if(r.isNotNull()).alias("n_accepted"),
+                                   F.count_if(C.nz(v).isNotNull() & r.isNull()).alias("n_rejected")))
+        part = table(spark, sf, tb).agg(F.array(*checks).alias("x")).select(F.inline("x"))
         out = part if out is None else out.unionByName(part)
     return out
 

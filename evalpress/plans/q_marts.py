@@ -161,12 +161,13 @@ def q_expected(spark, sf):
     return audit.expected_counts(runs.header_union(spark, sf), EXPECTED_ROWS)
 
 
-@query("audit_one_to_one", runs.runs_sql([HDR], """SELECT config, count(*) AS n_rows,
-  (SELECT count(*) FROM runs_flat r WHERE r.config = h.config) AS n_runs,
-  count(DISTINCT run_id) AS n_keys,
-  count(*) = (SELECT count(*) FROM runs_flat r WHERE r.config = h.config) AND count(*) = count(DISTINCT run_id)
-    AS one_to_one
-FROM hdr h GROUP BY config"""))
+@query("audit_one_to_one", runs.runs_sql([HDR], """SELECT config, CAST(sum(nr) AS BIGINT) AS n_rows,
+  CAST(sum(nm) AS BIGINT) AS n_runs, count_if(nr > 0 AND run_id IS NOT NULL) AS n_keys,
+  count_if(nr <> 1 OR nm <> 1 OR run_id IS NULL) AS n_unmatched,
+  count_if(nr <> 1 OR nm <> 1 OR run_id IS NULL) = 0 AS one_to_one
+FROM (SELECT config, run_id, sum(r) AS nr, sum(m) AS nm FROM (
+        SELECT config, run_id, 1 AS r, 0 AS m FROM hdr UNION ALL SELECT config, run_id, 0, 1 FROM runs_flat) u
+      GROUP BY config, run_id) k GROUP BY config"""))
 def q_one_to_one(spark, sf):
     m = runs.marts(spark, sf)
     return audit.one_to_one(runs.header_union(spark, sf, m), runs.runs_table(spark, sf, m))

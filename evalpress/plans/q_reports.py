@@ -29,9 +29,11 @@ ROSTER_SQL = [
  FROM rows r LEFT JOIN fx1_pb q ON q.run_dir = r.run_dir AND q.stem = r.stem AND q.playbook = '01_quality'
  WHERE r.run_dir IN (SELECT run_dir FROM local_cohort) AND NOT r.is_saas
    AND r.name NOT IN (SELECT name FROM deny) GROUP BY r.name)""",
-    """vset AS (SELECT s.name, s.pass_rate, s.overall, s.knockouts, q.pass_rate AS quality
- FROM sized s JOIN local_cohort c USING (run_dir)
- LEFT JOIN fx1_pb q ON q.run_dir = s.run_dir AND q.stem = s.stem AND q.playbook = '01_quality')""",
+    """vset AS (SELECT name, f.pass_rate AS pass_rate, f.overall AS overall, f.knockouts AS knockouts, f.quality AS quality
+ FROM (SELECT s.name, arg_max({'pass_rate': s.pass_rate, 'overall': s.overall, 'knockouts': s.knockouts, 'quality': q.pass_rate},
+                              (-coalesce(TRY_CAST(nullif(s.pass_rate, '') AS DOUBLE), 0), s.stem)) AS f
+       FROM sized s JOIN local_cohort c USING (run_dir)
+       LEFT JOIN fx1_pb q ON q.run_dir = s.run_dir AND q.stem = s.stem AND q.playbook = '01_quality' GROUP BY s.name) k)""",
     f"""rs AS (SELECT coalesce(o.name, r.name) AS name,
    CASE WHEN o.name IS NULL THEN CASE WHEN r.valid THEN 'valid' ELSE 'degraded' END
         WHEN v.name IS NOT NULL THEN 'valid'

@@ -51,10 +51,13 @@ def roster_status(spark: SparkSession, sf: str, running: str | None = RUNNING_PR
     rows = cohorts.report_rows(spark, sf)
     roster = build_roster(fx.fx5_roster_raw(spark, sf), cohorts.deny(spark, sf))
     reps = local_reports(spark, sf, rows)
+    # a subject with several files counts once: the last one by falling pass rate, then file name
     valid = (cohorts.cohort_rows(spark, sf, "local")
              .select("name", F.col("pass_rate").alias("_v_pass_rate"), F.lit(True).alias("_in_valid"),
                      F.col("overall").alias("v_overall"), F.col("knockouts").alias("v_knockouts"),
-                     F.col("pb")["01_quality"]["pass_rate"].alias("v_quality")))
+                     F.col("pb")["01_quality"]["pass_rate"].alias("v_quality"), F.col("stem").alias("_v_stem")))
+    valid = pick.latest_per_key(valid, ["name"], [-F.coalesce(C.lenient_double("_v_pass_rate"), F.lit(0.0)), "_v_stem"]
+                                ).drop("_v_stem")
     rep_cols = reps.select(F.col("name").alias("_r_name"), F.col("profile").alias("_r_profile"),
                            F.col("total").alias("_r_total"), F.col("valid").alias("_r_valid"),
                            F.col("err_rate").alias("_r_err_rate"), F.col("knockouts").alias("r_knockouts"),

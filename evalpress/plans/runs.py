@@ -19,8 +19,8 @@ from evalpress.plans.schemas import HEADER, RUNS
 from evalpress.plans.stage import staged
 from evalpress.sources.tables import table
 
-# the judge playbook texts are taken from the first documents; a block starts
-# at a line beginning with this marker (the test corpus has no YAML playbooks)
+# the documents stand for the judge playbooks' texts; a block starts at a line
+# beginning with this marker (the test corpus has no YAML playbooks)
 PLAYBOOK_MARKER = "The"
 
 
@@ -49,15 +49,23 @@ def header_union(spark: SparkSession, sf: str, m: dict[str, DataFrame] | None =
 
 def judge_provenance(spark: SparkSession, sf: str) -> DataFrame:
     """One row: the judge playbooks (name, prompt version, block hash, rubric
-    url) sorted by name.  Bounded by the four judge playbooks."""
+    url) sorted by name.  Bounded by the four judge playbooks.
+
+    Every document belongs to one playbook.  A playbook's hash is one over
+    the number of its blocks and the sums of four slices of their hashes: free
+    of order, so partial sums combine and no text is gathered.  Its version is
+    that of its first document that states one."""
     keys = [k for k, _ in PLAYBOOK_COLUMN]
-    docs = table(spark, sf, "documents").where(F.col("doc_id") < len(keys))
-    key = F.element_at(F.array(*[F.lit(k) for k in keys]), (F.col("doc_id") + 1).cast("int"))
-    block = marker_block("text", PLAYBOOK_MARKER)
-    pb = docs.select(key.alias("playbook"), block.alias("block"), version_line("text").alias("version"))
-    pb = pb.where(F.col("block").isNotNull()).select(F.struct(
-        F.col("playbook"), F.col("version").alias("prompt_version"),
-        F.sha2("block", 256).alias("prompt_sha256"),
+    key = F.element_at(F.array(*[F.lit(k) for k in keys]), (F.pmod(F.col("doc_id"), F.lit(len(keys))) + 1).cast("int"))
+    docs = table(spark, sf, "documents").select(
+        "doc_id", key.alias("playbook"), F.sha2(marker_block("text", PLAYBOOK_MARKER), 256).alias("hash"),
+        version_line("text").alias("version"))
+    slices = [F.sum(F.conv(F.substring("hash", 1 + 15 * k, 15), 16, 10).cast("decimal(20,0)")).cast("string") for k in range(4)]
+    pb = docs.where(F.col("hash").isNotNull()).groupBy("playbook").agg(
+        F.sha2(F.concat_ws(":", F.count(F.lit(1)).cast("string"), *slices), 256).alias("hash"),
+        F.min_by("version", F.when(F.col("version").isNotNull(), F.col("doc_id"))).alias("version"))
+    pb = pb.select(F.struct(
+        F.col("playbook"), F.col("version").alias("prompt_version"), F.col("hash").alias("prompt_sha256"),
         F.concat(F.lit(RUBRIC_BASE + "/"), F.col("playbook"), F.lit(".yaml")).alias("rubric_url")).alias("p"))
     return pb.agg(F.coalesce(F.sort_array(F.collect_list("p")),
                              F.array().cast(RUNS["judge"].dataType["playbooks"].dataType)).alias("playbooks"))
@@ -121,13 +129,15 @@ def runs_table(spark: SparkSession, sf: str, m: dict[str, DataFrame] | None = No
     return out
 
 
+HARDWARE_LEAVES = ("name", "soc", "arch", "cpu_arch", "memory_gb", "note")
+
+
 def flatten_runs(r: DataFrame) -> DataFrame:
     """Flat view of run metadata for comparison."""
     pbs = F.col("judge.playbooks")
     return r.select(
         "run_id", "config", "entity", "model_id", "measured_at", "valid",
-        F.col("hardware.name").alias("hardware_name"), F.col("hardware.memory_gb").alias("hardware_memory_gb"),
-        F.col("hardware.note").alias("hardware_note"),
+        *[F.col(f"hardware.{k}").alias(f"hardware_{k}") for k in HARDWARE_LEAVES],
         F.col("serving.stack").alias("serving_stack"), F.col("serving.image").alias("serving_image"),
         F.col("serving.version").alias("serving_version"),
         F.col("serving.version_source").alias("serving_version_source"),
@@ -135,9 +145,11 @@ def flatten_runs(r: DataFrame) -> DataFrame:
         F.col("judge.recorded_in_run").alias("judge_recorded_in_run"),
         F.col("judge.reason").alias("judge_reason"), F.col("judge.note").alias("judge_note"),
         F.size(pbs).cast("int").alias("judge_n_playbooks"),
-        F.concat_ws(";", F.transform(pbs, lambda p: F.concat_ws(":", p["playbook"], p["prompt_sha256"])))
+        F.concat_ws(";", F.transform(pbs, lambda p: F.concat_ws(
+            ":", p["playbook"], F.coalesce(p["prompt_version"], F.lit("")), p["prompt_sha256"], p["rubric_url"])))
         .alias("judge_playbooks"),
         F.col("instruments.asr_whisper").alias("instruments_asr_whisper"),
+        F.col("instruments.asr_voxtral").alias("instruments_asr_voxtral"),
         F.col("instruments.protocol").alias("instruments_protocol"),
         F.col("instruments.testset").alias("instruments_testset"),
         F.col("instruments.n_repeats").alias("instruments_n_repeats"),
@@ -169,16 +181,25 @@ def header_union_sql() -> str:
 
 _PROV_KEYS = [k for k, _ in PLAYBOOK_COLUMN]
 PROV_SQL = f"""prov AS (
-  SELECT count(*) AS n_pb, coalesce(string_agg(playbook || ':' || sha256(b), ';' ORDER BY playbook), '') AS pbs
-  FROM (SELECT {fx.sql_list(_PROV_KEYS)}[doc_id + 1] AS playbook,
-               nullif(regexp_replace(regexp_extract(text, '(?m)^{PLAYBOOK_MARKER}[^\\n]*(\\n([ \\t][^\\n]*)?)*', 0),
-                                     '\\s+$', ''), '') AS b
-        FROM documents WHERE doc_id < {len(_PROV_KEYS)}) t WHERE b IS NOT NULL)"""
+  SELECT count(*) AS n_pb, coalesce(string_agg(
+    playbook || ':' || coalesce(version, '') || ':' || digest || ':{RUBRIC_BASE}/' || playbook || '.yaml', ';' ORDER BY playbook), '') AS pbs
+  FROM (SELECT playbook, arg_min(v, doc_id) AS version, sha256(concat_ws(':', count(*)::VARCHAR, {", ".join(
+      f"sum(CAST('0x' || substr(sha256(b), {1 + 15 * k}, 15) AS BIGINT))::VARCHAR" for k in range(4))})) AS digest
+        FROM (SELECT doc_id, nullif(regexp_extract(text, '(?m)^version:\\s*"?([^"\\n]+)"?', 1), '') AS v,
+                     {fx.sql_list(_PROV_KEYS)}[doc_id % {len(_PROV_KEYS)} + 1] AS playbook,
+                     nullif(regexp_replace(regexp_extract(text, '(?m)^{PLAYBOOK_MARKER}[^\\n]*(\\n([ \\t][^\\n]*)?)*', 0),
+                                           '\\s+$', ''), '') AS b
+              FROM documents) t WHERE b IS NOT NULL GROUP BY playbook) d)"""
 
 WITHHELD_SQL = f"""withheld AS (SELECT coalesce(string_agg(playbook, ',' ORDER BY playbook), '') AS excluded
   FROM (SELECT DISTINCT playbook FROM fx1 WHERE playbook NOT IN {cohorts.ALLOWED_IN}))"""
 
 
+def _hardware_sql(values: dict) -> str:
+    literal = lambda v: "NULL" if v is None else f"'{v}'" if isinstance(v, str) else str(v)
+    return ", ".join(f"{literal(values.get(k))} AS hardware_{k}" for k in HARDWARE_LEAVES)
+
+
 def _serving_sql(ref: str):
     img, ver, src = S.serving("pt.text")
     return img, ver, src
@@ -187,13 +208,12 @@ def _serving_sql(ref: str):
 def runs_flat_sql() -> str:
     img, ver, src = S.serving("pt.text")
     cols_common = "run_id, '{cfg}' AS config, entity, model_id, strftime(measured_at, '%Y-%m-%d') AS measured_at, valid"
-    hw_local = f"'{HW_LOCAL['name']}' AS hardware_name, {HW_LOCAL['memory_gb']} AS hardware_memory_gb, NULL AS hardware_note"
-    hw_saas = f"'{HW_SAAS['name']}' AS hardware_name, NULL AS hardware_memory_gb, '{HW_SAAS['note']}' AS hardware_note"
+    hw_local, hw_saas = _hardware_sql(HW_LOCAL), _hardware_sql(HW_SAAS)
     serv_vllm = (f"served_by AS serving_stack, {img} AS serving_image, {ver} AS serving_version, "
                  f"{src} AS serving_version_source")
     serv_none = (f"served_by AS serving_stack, '' AS serving_image, '' AS serving_version, "
                  f"'{VERSION_SOURCE_NOT_VLLM}' AS serving_version_source")
-    no_instr = ("NULL AS instruments_asr_whisper, NULL AS instruments_protocol, NULL AS instruments_testset, "
+    no_instr = ("NULL AS instruments_asr_whisper, NULL AS instruments_asr_voxtral, NULL AS instruments_protocol, NULL AS instruments_testset, "
                 "NULL AS instruments_n_repeats, NULL AS instruments_ocr_model, NULL AS instruments_ocr_recorded_in_run")
     parts = []
     for cfg in ("llm_local", "llm_saas"):
@@ -210,11 +230,11 @@ FROM {MART_CTE[cfg]} m CROSS JOIN prov CROSS JOIN withheld
 FROM guard_mart m LEFT JOIN profile_text pt ON pt.profile = {S.strip_variant('m.served_model_ref')}""")
     parts.append(f"""SELECT {cols_common.format(cfg='tts_de')}, {hw_local}, {serv_none},
   NULL, NULL, NULL, '{JUDGE_REASON_TTS}', NULL, NULL, '',
-  nullif(asr1, ''), nullif(tprotocol, ''), nullif(testset, ''), n_repeats, NULL, NULL, ''
+  nullif(asr1, ''), nullif(asr2, ''), nullif(tprotocol, ''), nullif(testset, ''), n_repeats, NULL, NULL, ''
 FROM tts_mart""")
     parts.append(f"""SELECT {cols_common.format(cfg='t2i')}, {hw_local}, {serv_none},
   '{IMAGE_JUDGE_MODEL}', NULL, false, NULL, '{JUDGE_NOTE_IMAGE}', 0, '',
-  NULL, NULL, NULL, NULL, '{IMAGE_JUDGE_MODEL}', false, ''
+  NULL, NULL, NULL, NULL, NULL, '{IMAGE_JUDGE_MODEL}', false, ''
 FROM img_mart""")
     return " UNION ALL ".join(parts)
 

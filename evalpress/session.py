@@ -24,7 +24,7 @@ def build_session(cpus: int | None = None, master: str | None = None,
          .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
          .config("spark.sql.adaptive.skewJoin.enabled", "true")
          .config("spark.sql.session.timeZone", "UTC")
-         .config("spark.driver.memory", os.environ.get("EVALPRESS_DRIVER_MEMORY", "16g"))
+         .config("spark.driver.memory", os.environ.get("EVALPRESS_DRIVER_MEMORY", "8g"))
          .config("spark.sql.execution.arrow.pyspark.enabled", "true"))
     for k, v in (extra or {}).items():
         b = b.config(k, v)
@@ -65,8 +65,9 @@ def cluster_conf(total_cores: int, shuffle_bytes_estimate: int | None = None) ->
 def scratch_root(spark: SparkSession) -> str:
     """Shared folder for written tables.
 
-    The cluster's ``spark.checkpoint.dir`` wins.  Only when it is unset (local
-    tests) is a private folder created and registered as checkpoint dir.
+    The cluster's ``spark.checkpoint.dir`` wins.  Only when it is unset and
+    the master is local (tests) is a private folder created and registered as
+    checkpoint dir; a cluster without the setting is an error.
     """
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if conf_dir:
@@ -75,6 +76,8 @@ def scratch_root(spark: SparkSession) -> str:
     current = sc.getCheckpointDir()
     if current:
         return current.rstrip("/")
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise RuntimeError("spark.checkpoint.dir must name a shared folder: executors do not see the driver's own")
     local = tempfile.mkdtemp(prefix="evalpress-ckpt-")
     sc.setCheckpointDir(local)
     return sc.getCheckpointDir().rstrip("/")

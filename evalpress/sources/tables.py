@@ -7,42 +7,23 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
           "embeddings pages benchmark labels conversations").split()
 
 
-# fact tables whose rows feed CPU-heavy expressions (derivations, regex scans)
-FACT_TABLES = frozenset({"events", "documents", "pages"})
-
-
 _READ: dict[tuple[str, str], DataFrame] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One driver table; Catalyst prunes columns and pushes filters into the
-    scan (filters and pruning pass through the repartition below).  The
-    DataFrame is immutable, so one read (file listing, footer) per session is
-    reused by every query."""
+    scan, and the scan's splits are its tasks.  The DataFrame is immutable, so
+    one read (file listing, footer) per session is reused by every query."""
     if name not in TABLES:
         raise KeyError(f"unknown table {name!r}")
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
     key = (spark.sparkContext.applicationId, path)
     df = _READ.get(key)
     if df is None:
-        df = spark.read.parquet(path)
-        df = spread(df) if name in FACT_TABLES else df
-        _READ[key] = df
+        df = _READ[key] = spark.read.parquet(path)
     return df
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Give CPU-bound row work at least one task per core.  A file with one
-    row group is one scan task; only then are rows dealt out round-robin.  On
-    a large input (more splits than cores) this is a no-op, no shuffle."""
-    try:
-        n = df.sparkSession.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 -- no SparkContext (remote session): leave the scan as is
-        return df
-    return df.repartition(n) if splits < n else df
-
-
 def sf_tag(sf_dir: str) -> str:
     """Short name of a scale-factor folder, used to key written fixtures:
     the folder name plus a hash of the full path (two folders of the same

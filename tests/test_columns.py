@@ -96,3 +96,26 @@ def test_marker_block(spark):
 def test_display_cells(spark):
     assert one(spark, [0.0625, None, 1.5], C.fmt_num, "double") == ["0.062", "—", "1.500"]
     assert one(spark, [0.125, 0.5, None], C.fmt_percent, "double") == ["12%", "50%", "—"]
+
+
+def test_numbers_with_type_suffixes_are_rejected(spark):
+    given = ["1.0f", "3d", "2L", "1e3", "+.5", "7.", "\t4 ", "0x10", "inf"]
+    assert one(spark, given, C.lenient_double) == [None, None, None, 1000.0, 0.5, 7.0, 4.0, None, float("inf")]
+    assert one(spark, given, C.lenient_int) == [None, None, None, 1000, 0, 7, 4, None, None]
+    assert one(spark, ["1.0f", "96.5", "0.5"], C.normalise_rate) == [None, 0.965, 0.5]
+
+
+def test_falsy_default_by_type(spark):
+    df = spark.sql("SELECT * FROM VALUES (0, 0.0D, false, '', '0'), (2, 2.5D, true, 'x', 'y'), "
+                   "(null, null, null, null, null) t(i, d, b, e, s)")
+    got = [tuple(r) for r in df.select(
+        C.falsy_default("i", 9), C.falsy_default("d", 9.0), C.falsy_default("b", True), C.falsy_default("e", "z"),
+        C.falsy_default("s", "z")).collect()]
+    assert got == [(9, 9.0, True, "z", "0"), (2, 2.5, True, "x", "y"), (9, 9.0, True, "z", "z")]
+
+
+def test_natural_order_of_long_digit_runs(spark):
+    given = ["a1" + "0" * 21, "a" + "9" * 21, "a10", "a9", "a007", "b2", "a" + "1" * 25]
+    df = spark.createDataFrame([(x,) for x in given], "s string")
+    got = [r["s"] for r in df.orderBy(C.natural_sort_key("s")).collect()]
+    assert got == ["a007", "a9", "a10", "a" + "9" * 21, "a1" + "0" * 21, "a" + "1" * 25, "b2"]

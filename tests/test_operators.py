@@ -157,3 +157,28 @@ def test_leak_text_cut(spark):
     got = sorted((r["rule"], r["match"]) for r in audit.leak_text(df, "id", "t", rules).collect())
     assert got[0] == ("email", "a.b@x.org") and got[1] == ("email", "c@y.net")
     assert len(got[2][1]) == 40
+
+
+def test_one_to_one_compares_keys(spark):
+    rows = spark.createDataFrame([("c", "r1"), ("c", "r2"), ("d", "s")], "config string, run_id string")
+    runs = spark.createDataFrame([("c", "r1"), ("c", "r3"), ("d", "s")], "config string, run_id string")
+    got = {r["config"]: (r["n_rows"], r["n_runs"], r["n_keys"], r["n_unmatched"], r["one_to_one"])
+           for r in audit.one_to_one(rows, runs).collect()}
+    assert got == {"c": (2, 2, 2, 2, False), "d": (1, 1, 1, 0, True)}
+    twice = audit.one_to_one(rows.union(rows), runs.union(runs)).collect()
+    assert not any(r["one_to_one"] for r in twice)
+
+
+def test_forward_fill_null_part(spark):
+    df = spark.createDataFrame([(None, 0, "x"), (None, 5, None), ("p", 0, None), ("p", 9, None)],
+                               "part string, pos int, v string")
+    got = {(r["part"], r["pos"]): r["o"] for r in pick.forward_fill(df, "part", "pos", "v", "o", chunk=4).collect()}
+    assert got == {(None, 0): "x", (None, 5): "x", ("p", 0): None, ("p", 9): None}
+
+
+def test_zero_as_boolean(spark):
+    from pyspark.sql import types as T
+    from evalpress.operators.typed import project_typed
+    df = spark.sql("SELECT * FROM VALUES (0, 'x'), (3, ''), (null, null) t(n, s)")
+    got = [tuple(r) for r in project_typed(df, [("n", T.BooleanType()), ("s", T.BooleanType())]).collect()]
+    assert got == [(False, True), (True, None), (None, None)]
