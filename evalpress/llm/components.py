@@ -6,54 +6,68 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from evalpress.llm.common import staged
+from evalpress.llm.common import small, staged
 
 
-def components(edges: DataFrame, most: int = 60) -> DataFrame:
-    """(node, label) of every node of the edges (u, v): the least node that it
-    is linked to.  Large and small stars alternate until nothing changes; only
+def star_edges(edges: DataFrame, rounds: int | None = None) -> DataFrame:
+    """Edges (u, v) with v < u and the components of ``edges``.  Large and small
+    stars alternate until nothing changes, or for ``rounds`` rounds; only
     minima are taken per node, so a hub never gathers its neighbours."""
-    now = staged(edges.select("u", "v").where("u <> v").distinct())
+    now = edges.select("u", "v").where("u <> v")
     mark = None
-    for _ in range(most):
+    for _ in range(rounds or 60):
         both = now.union(now.select("v", "u"))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
         down = large.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
         root = down.groupBy("u").agg(F.min("v").alias("m"))
-        small = (down.join(root, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        near = (down.join(root, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .union(root.select("u", F.col("m").alias("v"))).where("u <> v").distinct())
-        now = staged(small)
+        now = staged(near)
+        if rounds:
+            continue
         got = now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if got == mark:
             break
         mark = got
-    label = now.groupBy("u").agg(F.min("v").alias("label")).select(F.col("u").alias("node"), "label")
-    return label.union(now.select("v", "v").distinct().join(now.select(F.col("u").alias("v")), "v", "left_anti")
-                       .select(F.col("v").alias("node"), F.col("v").alias("label")))
+    return now
 
 
-def bucket_classes(buckets: DataFrame, verify: Callable[[DataFrame], DataFrame],
+def least_linked(stars: DataFrame) -> DataFrame:
+    """(node, label) of every node of the star edges: the least node it points to, itself for a centre."""
+    return stars.union(stars.select("v", "v")).groupBy("u").agg(F.min("v").alias("label")).withColumnRenamed("u", "node")
+
+
+def components(edges: DataFrame) -> DataFrame:
+    """(node, label) of every node of the edges (u, v): the least node that it is linked to."""
+    return least_linked(star_edges(edges))
+
+
+def bucket_classes(buckets: DataFrame, sets: Callable[[DataFrame], DataFrame],
+                   verify: Callable[[DataFrame, DataFrame], DataFrame],
                    shared: Callable[[DataFrame], DataFrame], least: float, stars: int = 5) -> DataFrame:
     """(node, label): components of the verified links among nodes that share
     a bucket; nodes without a link are left out.
 
-    ``buckets``: (key, node), staged; ``verify`` keeps the true links of pairs
-    (a, b).  Instead of all pairs of a bucket, each round takes one hub per
+    ``buckets``: (key, node), staged; ``sets`` gives the staged item sets of
+    nodes; ``verify`` keeps the true links of pairs (a, b), given the sets of
+    their nodes.  Instead of all pairs of a bucket, each round takes one hub per
     bucket and pairs it with the members of other classes, so a bucket of n
     alike nodes costs n pairs.  The first hubs are the nodes with most company,
     the next those with fewest items of their own, the others are drawn among
     nodes with about as few.  Buckets that still hold several classes after the rounds get their pairs between
     different classes, each pair in one bucket, so no link between classes is
-    missed, but for those that cannot be alike: ``shared`` gives (node, n, u),
-    the sizes of the nodes' sets and how many of their items no other node of
+    missed, but for those that cannot be alike: ``shared`` gives (node, n, u) of
+    sets, their sizes and how many of their items no other node of
     an open bucket has.  Two sets have min(n - u) items in common at most,
-    which bounds their Jaccard similarity; ``least`` is what a link needs."""
+    which bounds their Jaccard similarity; ``least`` is what a link needs.
+    Classes between the rounds need not be whole (two classes may be one
+    component), so two rounds of stars do there."""
     company = staged(buckets.join(buckets.groupBy("key").agg(F.count("*").alias("_c")).where("_c > 1"), "key")
                      .groupBy("node").agg(F.sum("_c").alias("c"), F.collect_list("key").alias("keys")))  # at most its bands
     rows = company.select(F.explode("keys").alias("key"), "node", (-F.col("c")).cast("double").alias("rank"),
                           F.lit(0.0).alias("n"), F.lit(0.0).alias("u"))
-    links = labels = None
+    links = labels = own = None
 
     def labelled() -> DataFrame:
         if labels is None:
@@ -81,14 +95,21 @@ def bucket_classes(buckets: DataFrame, verify: Callable[[DataFrame], DataFrame],
                      .select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")))
         pairs = staged(pairs)
         if not pairs.isEmpty():
-            found = staged(verify(pairs).select(F.col("a").alias("u"), F.col("b").alias("v")))
-            links = found if links is None else links.union(found)
-            labels = staged(components(links))
+            nodes = staged(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct())
+            of_pairs = sets(nodes) if own is None else own.join(small(nodes), "node", "left_semi")
+            found = staged(verify(pairs, of_pairs).select(F.col("a").alias("u"), F.col("b").alias("v")))
+            whole = turn >= stars - 1
+            links = star_edges(found if links is None else links.union(found), None if whole else 2)
+            labels = least_linked(links)
+        elif turn == stars - 1 and links is not None:
+            links = star_edges(links)
+            labels = least_linked(links)
         if turn == 0:  # only open buckets go on, without nodes that have too many items of their own
             now = labelled()
             keys = now.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("key")
             held = staged(now.join(keys, "key").select("key", "node"))
-            known = shared(held.select("node").distinct()).where(F.col("n") - F.col("u") >= F.col("n") * least)
+            own = sets(held.select("node").distinct())
+            known = shared(own).where(F.col("n") - F.col("u") >= F.col("n") * least)
             rows = staged(held.join(known, "node").select("key", "node", (F.col("u") / F.col("n")).alias("rank"),
                                                           F.col("n").cast("double").alias("n"), F.col("u").cast("double").alias("u")))
     return labels if labels is not None else buckets.select("node", F.col("node").alias("label")).limit(0)

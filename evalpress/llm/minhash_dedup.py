@@ -156,9 +156,8 @@ def shingle_sets(docs: DataFrame, texts: DataFrame, nodes: DataFrame, p: Params)
                   .mapInArrow(tidy(sets), "node long, s binary, w binary").dropDuplicates(["node"]))
 
 
-def shared_items(docs: DataFrame, texts: DataFrame, nodes: DataFrame, p: Params) -> DataFrame:
-    """(node, n, u): shingles of each node, and how many no other node has."""
-    own = shingle_sets(docs, texts, nodes, p)
+def shared_items(own: DataFrame) -> DataFrame:
+    """(node, n, u) of shingle sets: the shingles of each node, and how many no other node has."""
 
     def items(batches):
         for b in batches:
@@ -173,9 +172,8 @@ def shared_items(docs: DataFrame, texts: DataFrame, nodes: DataFrame, p: Params)
         "node", "n", F.coalesce("u", F.lit(0)).alias("u"))
 
 
-def verified(docs: DataFrame, texts: DataFrame, pairs: DataFrame, p: Params) -> DataFrame:
-    """The pairs (a, b) of text nodes whose shingle sets are alike enough."""
-    own = shingle_sets(docs, texts, pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct(), p)
+def verified(pairs: DataFrame, own: DataFrame, p: Params) -> DataFrame:
+    """The pairs (a, b) of text nodes whose shingle sets, among ``own``, are alike enough."""
     side = lambda n, k: own.select(F.col("node").alias(n), F.struct("s", "w").alias(k))
     full = (pairs.join(side("a", "x"), "a").join(side("b", "y"), "b")
             .select("a", "b", "x.s", F.col("y.s").alias("t"), "x.w", F.col("y.w").alias("u")))
@@ -204,8 +202,8 @@ def near_classes(docs: DataFrame, p: Params = Params()) -> DataFrame:
     buckets = staged(texts.select(F.explode("keys").alias("key"), "node"))
     # a weighted similarity is not bounded by the items in common: any pair may be alike
     bound = 0.0 if p.weighted else p.similarity
-    labels = bucket_classes(buckets, lambda pairs: verified(docs, texts, pairs, p),
-                            lambda nodes: shared_items(docs, texts, nodes, p), bound)
+    labels = bucket_classes(buckets, lambda nodes: shingle_sets(docs, texts, nodes, p),
+                            lambda pairs, own: verified(pairs, own, p), shared_items, bound)
     labelled = texts.join(labels, "node", "left").select("node", "_g", "_id", F.coalesce("label", "node").alias("label"))
     classes = labelled.groupBy("label").agg(F.min(F.struct("_id", "node", "_g")).alias("_first"), F.count("*").alias("class_texts"))
     of_text = labelled.join(classes, "label").select(F.col("node").alias("_h"), "_g", "_first", "class_texts")
