@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 
 from evalpress.llm.common import small, staged
 
+#: longs of parity bits per set
+PARITY_WORDS = 16
+
 
 def star_edges(edges: DataFrame, rounds: int | None = None) -> DataFrame:
     """Edges (u, v) with v < u and the components of ``edges``.  Large and small
@@ -45,7 +48,8 @@ def components(edges: DataFrame) -> DataFrame:
 
 def bucket_classes(buckets: DataFrame, sets: Callable[[DataFrame], DataFrame],
                    verify: Callable[[DataFrame, DataFrame], DataFrame],
-                   shared: Callable[[DataFrame], DataFrame], least: float, stars: int = 5) -> DataFrame:
+                   shared: Callable[[DataFrame], DataFrame], parities: Callable[[DataFrame], DataFrame],
+                   least: float, stars: int = 5) -> DataFrame:
     """(node, label): components of the verified links among nodes that share
     a bucket; nodes without a link are left out.
 
@@ -61,6 +65,10 @@ def bucket_classes(buckets: DataFrame, sets: Callable[[DataFrame], DataFrame],
     sets, their sizes and how many of their items no other node of
     an open bucket has.  Two sets have min(n - u) items in common at most,
     which bounds their Jaccard similarity; ``least`` is what a link needs.
+    ``parities`` gives (node, bits) of sets: ``PARITY_WORDS`` longs, whose bits
+    are the parities of the items of as many residues; each bit in which two
+    sets differ needs an item that only one of them has, and alike sets have few
+    such items.  A round without new links is the last before the pairs.
     Classes between the rounds need not be whole (two classes may be one
     component), so two rounds of stars do there."""
     company = staged(buckets.join(buckets.groupBy("key").agg(F.count("*").alias("_c")).where("_c > 1"), "key")
@@ -79,7 +87,12 @@ def bucket_classes(buckets: DataFrame, sets: Callable[[DataFrame], DataFrame],
         common = F.least(n(x) - u(x), n(y) - u(y))
         return common * (1 + least) >= (n(x) + n(y)) * least - 1e-6
 
-    for turn in range(stars + 1):
+    def few_differ(x: str, y: str) -> Column:
+        differ = sum((F.bit_count(F.col(f"{x}.bits")[k].bitwiseXOR(F.col(f"{y}.bits")[k])) for k in range(PARITY_WORDS)), F.lit(0))
+        return differ * (1 + least) <= (F.col(f"{x}.n") + F.col(f"{y}.n")) * (1 - least) + 1e-6
+
+    turn = 0
+    while turn <= stars:
         now = staged(labelled())
         hubs = (now.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.min(F.struct(
             (F.col("rank") if turn < 2 else F.floor(F.col("rank") * 50)).alias("rank"), F.xxhash64("node", F.lit(turn)).alias("draw"), "node", "label", "n", "u")).alias("y"))
@@ -88,20 +101,23 @@ def bucket_classes(buckets: DataFrame, sets: Callable[[DataFrame], DataFrame],
             pairs = (now.alias("x").join(hubs, "key").where((F.col("x.label") != F.col("y.label")) & alike("x", "y"))
                      .select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct())
         else:
-            left = staged(now.join(hubs.select("key"), "key").join(company.select("node", "keys"), "node"))
+            left = staged(now.join(hubs.select("key"), "key").join(company.select("node", "keys"), "node")
+                          .join(parities(own), "node"))
             once = F.array_min(F.array_intersect("x.keys", "y.keys")) == F.col("x.key")
             pairs = (left.alias("x").join(left.alias("y"), (F.col("x.key") == F.col("y.key")) & (F.col("x.label") < F.col("y.label"))
-                                          & alike("x", "y") & once)
+                                          & alike("x", "y") & few_differ("x", "y") & once)
                      .select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")))
         pairs = staged(pairs)
-        if not pairs.isEmpty():
+        none = pairs.isEmpty()
+        last = none or turn >= stars - 1
+        if not none:
             nodes = staged(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct())
             of_pairs = sets(nodes) if own is None else own.join(small(nodes), "node", "left_semi")
             found = staged(verify(pairs, of_pairs).select(F.col("a").alias("u"), F.col("b").alias("v")))
-            whole = turn >= stars - 1
-            links = star_edges(found if links is None else links.union(found), None if whole else 2)
+            last = last or found.isEmpty()
+            links = star_edges(found if links is None else links.union(found), None if last else 2)
             labels = least_linked(links)
-        elif turn == stars - 1 and links is not None:
+        elif links is not None and turn < stars:
             links = star_edges(links)
             labels = least_linked(links)
         if turn == 0:  # only open buckets go on, without nodes that have too many items of their own
@@ -112,4 +128,5 @@ def bucket_classes(buckets: DataFrame, sets: Callable[[DataFrame], DataFrame],
             known = shared(own).where(F.col("n") - F.col("u") >= F.col("n") * least)
             rows = staged(held.join(known, "node").select("key", "node", (F.col("u") / F.col("n")).alias("rank"),
                                                           F.col("n").cast("double").alias("n"), F.col("u").cast("double").alias("u")))
+        turn = stars if last and turn < stars else turn + 1
     return labels if labels is not None else buckets.select("node", F.col("node").alias("label")).limit(0)

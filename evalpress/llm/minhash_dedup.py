@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from evalpress.llm.common import NULL_ID, bounded_batches, order_id, small, staged, tidy
-from evalpress.llm.components import bucket_classes
+from evalpress.llm.components import PARITY_WORDS, bucket_classes
 
 
 @dataclass(frozen=True)
@@ -172,6 +172,20 @@ def shared_items(own: DataFrame) -> DataFrame:
         "node", "n", F.coalesce("u", F.lit(0)).alias("u"))
 
 
+def item_parities(own: DataFrame) -> DataFrame:
+    """(node, bits) of shingle sets: bit b is the parity of the number of
+    shingles whose hash modulo the number of bits is b."""
+    size = 64 * PARITY_WORDS
+
+    def run(batches):
+        for b in batches:
+            bits = [np.packbits((np.bincount(np.frombuffer(s, np.uint32) % size, minlength=size) & 1).astype(np.uint8)).view(np.int64)
+                    for s in b.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(bits, pa.list_(pa.int64()))], names=["node", "bits"])
+
+    return own.select("node", "s").mapInArrow(tidy(run), "node long, bits array<long>")
+
+
 def verified(pairs: DataFrame, own: DataFrame, p: Params) -> DataFrame:
     """The pairs (a, b) of text nodes whose shingle sets, among ``own``, are alike enough."""
     side = lambda n, k: own.select(F.col("node").alias(n), F.struct("s", "w").alias(k))
@@ -203,7 +217,7 @@ def near_classes(docs: DataFrame, p: Params = Params()) -> DataFrame:
     # a weighted similarity is not bounded by the items in common: any pair may be alike
     bound = 0.0 if p.weighted else p.similarity
     labels = bucket_classes(buckets, lambda nodes: shingle_sets(docs, texts, nodes, p),
-                            lambda pairs, own: verified(pairs, own, p), shared_items, bound)
+                            lambda pairs, own: verified(pairs, own, p), shared_items, item_parities, bound)
     labelled = texts.join(labels, "node", "left").select("node", "_g", "_id", F.coalesce("label", "node").alias("label"))
     classes = labelled.groupBy("label").agg(F.min(F.struct("_id", "node", "_g")).alias("_first"), F.count("*").alias("class_texts"))
     of_text = labelled.join(classes, "label").select(F.col("node").alias("_h"), "_g", "_first", "class_texts")

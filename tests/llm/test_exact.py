@@ -287,6 +287,19 @@ def test_near_duplicates_brute_force(spark):
         [(None, None, True), (3, None, False), (3, 3, True)])
 
 
+def test_parity_bits_never_exceed_the_difference(spark):
+    rng = np.random.default_rng(5)
+    sets = [np.unique(rng.integers(0, 2 ** 32, int(k), dtype=np.uint32)) for k in (0, 1, 30, 400, 5000)]
+    sets.append(np.concatenate([sets[3][10:], sets[2]]))
+    own = spark.createDataFrame([(i, bytearray(np.sort(s).tobytes())) for i, s in enumerate(sets)], "node long, s binary")
+    bits = {r.node: np.array(r.bits, np.int64).view(np.uint64) for r in minhash_dedup.item_parities(own).collect()}
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets):
+            differ = int(np.bitwise_count(bits[i] ^ bits[j]).sum())
+            assert differ <= len(np.setxor1d(a, b)) and (i != j or differ == 0)
+            assert len(bits[i]) == minhash_dedup.PARITY_WORDS
+
+
 def test_weighted_classes(spark):
     rng = random.Random(70)
     head, line = words(rng, 60, 5000), " ".join(["same old words come again"] * 80)
