@@ -195,23 +195,27 @@ HOST = r"^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?//(?:[^/?#@]*@)?([^/?#:]*)"
 def extract(pages: DataFrame, share: float = 0.2, least: int = 10) -> DataFrame:
     """page_id, url, text, n_chars of every page.
 
-    A subtree is part of a host's template if at least ``least`` pages and a
-    ``share`` of the host's pages have it; so a host has at most its subtrees a
-    page divided by ``share`` such subtrees, a bounded list.  Articles and the
-    paragraphs in them are never deleted as template.  Null or empty html gives
-    an empty text; a null url belongs to the host ''; repeated rows count as
-    pages of their own; an empty table gives no rows; other columns are
-    ignored.  Pages are counted by (host, hash) with partial sums, so a host
-    with most pages is no hot task."""
+    A subtree is part of a host's template if at least ``least`` different pages
+    and a ``share`` of the host's different pages have it; so a host has at most
+    its subtrees a page divided by ``share`` such subtrees, a bounded list.
+    Copies of a page (equal html on one host) count as one page, so that many of
+    them do not make its own text a template.  Articles and the paragraphs in
+    them are never deleted as template.  Null or empty html gives an empty text
+    and counts as no page; a null url belongs to the host ''; an empty table
+    gives no rows; other columns are ignored.  Pages are made distinct and
+    counted with partial results, so a host with most pages or a page with most
+    copies is no hot task."""
     src = bounded_batches(pages).select("page_id", "url", "html").withColumn(
-        "_host", F.coalesce(F.lower(F.regexp_extract("url", HOST, 1)), F.lit("")))
+        "_host", F.coalesce(F.lower(F.regexp_extract("url", HOST, 1)), F.lit(""))).withColumn("_page", F.xxhash64("html"))
 
     def hashes(batches):
         for b in batches:
-            found = [list(subtree_hashes(t)) if t else [] for t in b.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(found, pa.list_(pa.int64()))], names=["_host", "_nodes"])
+            found = [list(subtree_hashes(t)) for t in b.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(found, pa.list_(pa.int64()))],
+                                             names=["_host", "_page", "_nodes"])
 
-    seen = src.select("_host", "html").mapInArrow(tidy(hashes), "_host string, _nodes array<long>")
+    seen = src.where("html <> ''").select("_host", "_page", "html").mapInArrow(
+        tidy(hashes), "_host string, _page long, _nodes array<long>").dropDuplicates(["_host", "_page"])
     # a null node stands for the page itself, so one count gives both numbers
     counts = (seen.select("_host", F.explode(F.concat(F.array(F.lit(None).cast("long")), "_nodes")).alias("_node"))
               .groupBy("_host", "_node").agg(F.count("*").alias("_n")).where((F.col("_n") >= least) | F.col("_node").isNull()))

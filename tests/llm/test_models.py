@@ -132,6 +132,19 @@ def test_template_removal(spark):
     assert collected(html_extract.extract(df.limit(0))) == []
 
 
+def test_copies_of_a_page_are_no_template(spark):
+    """30 copies of a page among 60 pages of a host keep their text, with and
+    without an article; what different pages share still goes."""
+    box = "<div><p>Our shop has been here since 1900.</p></div>"
+    for inner in ("<article><div><p>The copied story.</p></div></article>", "<div><p>The copied story.</p></div>"):
+        copy = f"<body>{box}{inner}</body>"
+        rows = [(i, "https://a.example/c", copy) for i in range(30)]
+        rows += [(100 + i, f"https://a.example/{i}", f"<body>{box}<div><p>Story {i}</p></div></body>") for i in range(30)]
+        df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(4)
+        by = {r["page_id"]: r["text"] for r in collected(html_extract.extract(df))}
+        assert all(by[i] == "The copied story." and by[100 + i] == f"Story {i}" for i in range(30))
+
+
 def test_articles_of_the_tables(spark):
     """The page writer's articles come out whole, on all pages."""
     import html
