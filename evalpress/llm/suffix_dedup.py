@@ -15,7 +15,9 @@ anchors deal the work out and most of it is settled early:
 
 An anchor with very many different blocks (a common line in ever new
 surroundings) would make one task hot; its windows are instead dealt out by a
-hash of their bytes, so each task still sees all copies of a window.
+hash of their bytes, so each task still sees all copies of a window.  Such an
+anchor is found in a batch by its number of blocks, and over all batches by the
+bytes of its different blocks.
 """
 from __future__ import annotations
 
@@ -40,7 +42,9 @@ GRAM = 27  # three levels of triples
 class Params:
     """``length`` bytes of a repeat (at least 40); ``hot``: different blocks of
     an anchor in one batch from which its windows are dealt out by their own
-    bytes; ``piece`` and ``batch``: bytes handled at once (memory only)."""
+    bytes; ``piece`` and ``batch``: bytes handled at once (memory only).  An
+    anchor whose different blocks have more than ``batch`` bytes over all
+    batches is dealt out by window too."""
 
     length: int = 100
     hot: int = 256
@@ -312,9 +316,10 @@ def find_blocks(p: Params, parts: int):
     return run
 
 
-def settle(parts: int):
+def settle(p: Params, parts: int):
     """Block records of an anchor to states: equal to an earlier block, alone
-    (left out), or still open."""
+    (left out), or still open.  Open blocks of an anchor go to one task only if
+    all of them fit into a batch."""
 
     def run(batches):
         rows = list(table_rows(batches))
@@ -328,7 +333,8 @@ def settle(parts: int):
         lead = firsts(v, h)
         group = np.cumsum(firsts(v)) - 1
         different = np.bincount(group, lead, minlength=group[-1] + 1 if len(group) else 0)[group]
-        in_hot = np.isin(v, hot)
+        size = np.bincount(group, lead * (n + p.length - 1), minlength=group[-1] + 1 if len(group) else 0)[group]
+        in_hot = np.isin(v, hot) | (different > 1) & (size > p.batch)
         state = np.where(~lead, SETTLED, np.where(in_hot, BY_WINDOW, BY_ANCHOR)).astype(np.int8)
         told = ~lead | in_hot | (different > 1) | (twice > 0)
         ids, hs, at, n, state, v = (c[told] for c in (ids, hs, at, n, state, v))
@@ -388,7 +394,9 @@ def texts_after_marks(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[Marks
 
 def open_blocks(p: Params, parts: int):
     """Texts with open blocks: the blocks' bytes to the task of the anchor, or,
-    for a hot anchor, a hash of each window to the task of the hash."""
+    for a hot anchor, a hash of each window to the task of the hash.  Later
+    copies of a window in what leaves at once are settled here, so a common
+    window is sent once a time."""
 
     def run(batches):
         keep: list[list] = []
@@ -400,7 +408,17 @@ def open_blocks(p: Params, parts: int):
             out: list[tuple] = []
             if hot:
                 i, h, k, names = (np.concatenate(c) for c in zip(*hot))
-                out += dealt(target(names, parts), WINDOW, i, h, k, np.ones(len(k), np.int64), names)
+                order = np.lexsort((k, h, i, names))
+                i, h, k, names = (c[order] for c in (i, h, k, names))
+                new = firsts(names, i, h, k)  # a repeated row is one text
+                lead = firsts(names)
+                out += dealt(target(names[lead], parts), WINDOW, i[lead], h[lead], k[lead],
+                             np.ones(int(lead.sum()), np.int64), names[lead])
+                i, h, k = (c[new & ~lead] for c in (i, h, k))
+                order = np.lexsort((k, h, i))
+                i, h, k = (c[order] for c in (i, h, k))
+                s, count = runs_of(np.ones(len(k), bool), np.cumsum(firsts(i, h, k - np.arange(len(k)))))
+                out += dealt(home(i[s], h[s], parts), SETTLED, i[s], h[s], k[s], count, np.zeros(len(s), np.int8), np.ones(len(s), U))
             if keep:
                 ids, hs, at, n, v = (np.array(c, k) for c, k in zip(list(zip(*keep))[:5], (np.int64, np.int64, np.int64, np.int64, U)))
                 data = [k[5] for k in keep]
@@ -443,6 +461,7 @@ def resolve(p: Params, parts: int):
 
     def run(batches):
         rows = list(table_rows(batches))
+        yield rows_batch([(r[0], SETTLED, *r[2:8]) for r in rows if r[1] == SETTLED])
         ids, hs, at, n, names = unpacked((r[2:7] for r in rows if r[1] == WINDOW), np.int64, np.int64, np.int64, np.int64, U)
         if len(ids):
             order = np.lexsort((at, hs, ids, names))
@@ -567,7 +586,7 @@ def removed(docs: DataFrame, p: Params = Params(), full: bool = False) -> DataFr
     parts = shuffle_parts(docs.sparkSession)
     texts = keyed(bounded_batches(docs), F.col("text"), F.col("doc_id"))
     deal = lambda d: d.repartition(parts, "part")
-    states = staged(deal(texts.mapInArrow(tidy(find_blocks(p, parts)), ROW)).mapInArrow(tidy(settle(parts)), ROW))
+    states = staged(deal(texts.mapInArrow(tidy(find_blocks(p, parts)), ROW)).mapInArrow(tidy(settle(p, parts)), ROW))
 
     def meet(marks: DataFrame, picked: DataFrame) -> DataFrame:
         sent = texts.join(picked, ["_id", "_h"], "left_semi").mapInArrow(tidy(send_texts(parts)), ROW)

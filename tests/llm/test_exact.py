@@ -7,6 +7,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -93,6 +94,37 @@ def test_suffix_dedup_edges(spark):
     assert got[2]["_row"] == "x2" and got[1]["text"] == t
 
 
+def test_suffix_dedup_common_passage_in_small_batches():
+    """A passage in a fifth of the rows of many small batches is not hot in any
+    of them; its blocks' bytes still do not all go to one task."""
+    rng, p = random.Random(5), suffix_dedup.Params(batch=20000)
+    passage = words(random.Random(6), 60)
+    texts = [(words(rng, 60, 10 ** 6) + (passage + words(rng, 60, 10 ** 6) if i % 5 == 0 else "")).encode() for i in range(2000)]
+    kinds = (pa.int64(), pa.int64(), pa.binary())
+    batches = [pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(([*range(s, s + 50)], [7] * 50, texts[s:s + 50]), kinds)],
+                                          names=["_id", "_h", "_text"]) for s in range(0, 2000, 50)]
+    found = list(suffix_dedup.find_blocks(p, 1)(batches))
+    assert not any(r[1] == suffix_dedup.HOT_MARK for r in suffix_dedup.table_rows(found))
+    rows = suffix_dedup.table_rows(suffix_dedup.settle(p, 1)(found))
+    _, _, _, n, state, v = suffix_dedup.unpacked([r[2:8] for r in rows], *[np.int64] * 4, np.int8, np.uint64)
+    at_anchor = Counter()
+    for count, key in zip(n[state == suffix_dedup.BY_ANCHOR].tolist(), v[state == suffix_dedup.BY_ANCHOR].tolist()):
+        at_anchor[key] += count + p.length - 1
+    assert max(at_anchor.values(), default=0) <= p.batch and (state == suffix_dedup.BY_WINDOW).sum() > 100
+
+
+def test_suffix_dedup_common_passage_brute_force(spark):
+    rng = random.Random(7)
+    passage, run = words(random.Random(6), 60), "a" * 300
+    rows = [(i, words(rng, 20, 10 ** 6) + (passage + run[:100 + i] + words(rng, 20, 10 ** 6) if i % 5 == 0 else "")) for i in range(200)]
+    rows.append(rows[10])
+    got = collected(suffix_dedup.repeated_bytes(docs(spark, rows).repartition(8), suffix_dedup.Params(batch=2000)))
+    want = brute_suffix(rows)
+    assert len(got) == len(rows)
+    for r in got:
+        assert (r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) == want[(r["doc_id"], dict(rows)[r["doc_id"]])]
+
+
 def test_suffix_ranks_are_suffix_order():
     rng = np.random.default_rng(0)
     for n in range(1, 60):
