@@ -163,22 +163,58 @@ def next_and_edited(docs: DataFrame) -> DataFrame:
     return wide.select("_id", "doc_id", "n_chars", "edited_sha256", "_a", "_b", "_c")
 
 
+def near_groups(wide: DataFrame, asked: Column, radius: int) -> DataFrame:
+    """(_fp, _n, _first, _last_doc, _near, _near_docs, _found) of the different
+    fingerprints ``_a`` of the rows that are ``asked``: its documents, the first
+    and last of them, the other fingerprints within ``radius``, their documents,
+    and the list of these fingerprints, which has at most one entry per choice
+    of ``radius`` bits (43,744 for 3), however many documents there are."""
+    groups = staged(wide.groupBy(F.col("_a").alias("_fp")).agg(
+        F.count("*").alias("_n"), F.min_by("doc_id", "_id").alias("_first"), F.max_by("doc_id", "_id").alias("_last_doc"),
+        F.max(F.coalesce(asked, F.lit(False))).alias("_asked")))
+    queries = groups.where("_asked").select("_fp", "_n", "_first", "_last_doc")
+    pairs = near_pairs(groups.select("_fp"), queries.select("_fp"), radius)
+    found = groups.select(F.col("_fp").alias("found"), F.col("_n").alias("_docs"), F.col("_first").alias("_doc"))
+    entry = F.struct("distance", as_hex(F.col("found")).alias("fingerprint"), F.col("_docs").alias("n_docs"), F.col("_doc").alias("doc_id"))
+    near = pairs.join(found, "found").groupBy(F.col("query").alias("_fp")).agg(
+        F.count("*").alias("_near"), F.sum("_docs").alias("_near_docs"), F.array_sort(F.collect_list(entry)).alias("_found"))
+    return queries.join(near, "_fp", "left")
+
+
 def compare_edited(docs: DataFrame, radius: int = 3, every: int = 50) -> DataFrame:
     """Per document: doc_id, n_chars, edited_sha256, fingerprint,
-    edited_fingerprint, near_edited, near_next, and ``n_near``: for documents
-    whose id is divisible by ``every`` (the search's queries) how many other
-    fingerprints of all documents are within ``radius``, else null.
+    edited_fingerprint, near_edited, near_next, and for documents whose id is
+    divisible by ``every`` (the search's queries), else null:
+
+    ``n_near``: other fingerprints of all documents within ``radius``;
+    ``n_near_docs``: other documents within ``radius``, those of the same
+    fingerprint (distance 0: copies, other case, spacing or order) included;
+    ``near``: per fingerprint within ``radius`` its distance, itself, its number
+    of other documents and one of their ids, by distance.  All documents of a
+    fingerprint are the rows that have it in ``fingerprint``.
 
     A null text is an empty one; a text without words has fingerprint 0.
     Documents without an id come before all others; repeated rows follow one
-    another; a single document is its own next one; an empty table gives no
-    rows; other columns are ignored."""
+    another and are documents of their own; a single document is its own next
+    one; an empty table gives no rows; other columns are ignored."""
     wide = staged(next_and_edited(docs))
     asked = F.col("doc_id").cast("long") % every == 0
-    near = (near_pairs(wide.select(F.col("_a").alias("_fp")), wide.where(asked).select(F.col("_a").alias("_fp")), radius)
-            .groupBy(F.col("query").alias("_q")).agg(F.count("*").alias("_near")))
-    return wide.join(near, wide["_a"] == near["_q"], "left").select(
-        "doc_id", "n_chars", "edited_sha256", as_hex(F.col("_a")).alias("fingerprint"),
-        as_hex(F.col("_b")).alias("edited_fingerprint"), likeness(F.col("_a"), F.col("_b")).alias("near_edited"),
-        likeness(F.col("_a"), F.col("_c")).alias("near_next"),
-        F.when(asked, F.coalesce("_near", F.lit(0))).cast("long").alias("n_near"))
+    near = near_groups(wide, asked, radius)
+    others = F.col("_n") - 1
+    partner = F.when(F.col("_first") == F.col("doc_id"), F.col("_last_doc")).otherwise(F.col("_first"))
+    same = F.struct(F.lit(0).alias("distance"), as_hex(F.col("_a")).alias("fingerprint"), others.alias("n_docs"), partner.alias("doc_id"))
+    kind = f"array<struct<distance:int,fingerprint:string,n_docs:bigint,doc_id:{docs.schema['doc_id'].dataType.simpleString()}>>"
+    none = F.array().cast(kind)
+    listed = F.concat(F.when(others > 0, F.array(same).cast(kind)).otherwise(none), F.coalesce(F.col("_found").cast(kind), none))
+    own = ["doc_id", "n_chars", "edited_sha256", as_hex(F.col("_a")).alias("fingerprint"),
+           as_hex(F.col("_b")).alias("edited_fingerprint"), likeness(F.col("_a"), F.col("_b")).alias("near_edited"),
+           likeness(F.col("_a"), F.col("_c")).alias("near_next")]
+    # only queries meet the search's results; no other row moves
+    is_query = F.coalesce(asked, F.lit(False))
+    queries = wide.where(is_query).join(near, F.col("_a") == F.col("_fp")).select(
+        *own, F.coalesce("_near", F.lit(0)).cast("long").alias("n_near"),
+        (others + F.coalesce("_near_docs", F.lit(0))).cast("long").alias("n_near_docs"), listed.alias("near"))
+    null = F.lit(None)
+    rest = wide.where(~is_query).select(*own, null.cast("long").alias("n_near"), null.cast("long").alias("n_near_docs"),
+                                        null.cast(kind).alias("near"))
+    return queries.unionByName(rest)

@@ -396,6 +396,30 @@ def test_simhash(spark):
     assert len(many) == 4
 
 
+def test_simhash_finds_copies_and_names_partners(spark):
+    rng = random.Random(3)
+    base = words(rng, 400).split()
+    close = [" ".join([*base[:k], f"new{k}", *base[k + 1:]]) for k in range(40)]
+    rows = [(0, "one two three four"), (1, "one two three four"), (50, "ONE  two four three"), (None, "one two three four")]
+    rows += [(100, "no copy of this anywhere")] + [(150 + 50 * k, t) for k, t in enumerate(close)] + [(7, close[0])]
+    got = collected(simhash.compare_edited(docs(spark, rows, clash=True).repartition(3)))
+    fp = [(r["doc_id"], int(r["fingerprint"], 16)) for r in got]
+    bits = lambda a, b: bin(a ^ b).count("1")
+    seen = set()
+    for k, r in enumerate(got):
+        if r["doc_id"] is None or r["doc_id"] % 50:
+            assert r["near"] is r["n_near_docs"] is r["n_near"] is None
+            continue
+        others = [(bits(f, fp[k][1]), f, i) for j, (i, f) in enumerate(fp) if j != k and bits(f, fp[k][1]) <= 3]
+        assert r["n_near_docs"] == len(others) == sum(e["n_docs"] for e in r["near"])
+        assert Counter((d, f"{f:016x}") for d, f, _ in others) == {(e["distance"], e["fingerprint"]): e["n_docs"] for e in r["near"]}
+        assert all((e["distance"], int(e["fingerprint"], 16), e["doc_id"]) in others for e in r["near"])
+        assert [e["distance"] for e in r["near"]] == sorted(e["distance"] for e in r["near"])
+        seen.update(e["distance"] for e in r["near"])
+    by = {r["doc_id"]: r for r in got}
+    assert by[0]["n_near_docs"] == by[50]["n_near_docs"] == 3 and by[0]["n_near"] == 0 and by[100]["near"] == [] and len(seen) > 1
+
+
 def test_block_tables_find_all(spark):
     rng = random.Random(9)
     base = [rng.getrandbits(64) for _ in range(40)]
