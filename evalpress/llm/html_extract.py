@@ -8,8 +8,10 @@ from __future__ import annotations
 
 import html
 import re
-from bisect import bisect_right
+from bisect import bisect_left, bisect_right
+from collections.abc import Callable
 from dataclasses import dataclass
+from itertools import accumulate
 
 import pyarrow as pa
 import xxhash
@@ -46,6 +48,11 @@ AROUND = {"ad", "ads", "adv", "advert", "adverts", "advertisement", "advertising
 NAMED = re.compile(r"""(?:^|\s)(class|id|role|aria-label)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.I)
 HIDDEN = re.compile(r"""(?:^|\s)(?:hidden(?=[\s>=/]|$)|aria-hidden\s*=\s*["']?true|style\s*=\s*["'][^"']*display\s*:\s*none)""", re.I)
 WORDS = re.compile(r"[a-z]+")
+#: words that make a name tell of a state of something else: no-sidebar, has-banner, comments-open
+STATE = {"no", "not", "non", "has", "have", "with", "without", "is", "hide", "show", "open", "opened", "closed", "none", "free",
+         "enabled", "disabled", "active", "inactive", "on", "off"}
+#: elements whose text tells where a page's main part is
+PROSE = {"p", "pre", "blockquote"}
 
 
 @dataclass
@@ -60,50 +67,95 @@ class Page:
 
 
 def around(attrs: str) -> bool:
-    """Whether the attributes name a part around the article."""
-    if "=" not in attrs and "hidden" not in attrs:
+    """Whether the attributes name a part around the article: one of their
+    names is such a word, or begins or ends with one (sidebar, sidebar-left,
+    left-sidebar) and does not begin or end with a word of state."""
+    if "=" not in attrs:
         return False
     for _, value in NAMED.findall(attrs):
-        if not AROUND.isdisjoint(WORDS.findall(re.sub(r"(?<=[a-z])(?=[A-Z])", " ", value).lower())):
-            return True
-    return bool(HIDDEN.search(attrs))
+        for name in value.strip("\"'").split():
+            parts = WORDS.findall(re.sub(r"(?<=[a-z])(?=[A-Z])", " ", name).lower())
+            if parts and not AROUND.isdisjoint((parts[0], parts[-1])) and STATE.isdisjoint((parts[0], parts[-1])):
+                return True
+    return False
+
+
+def hidden(attrs: str) -> bool:
+    return ("=" in attrs or "hidden" in attrs) and bool(HIDDEN.search(attrs))
+
+
+def covered(spans: list[tuple[int, int]]) -> Callable[[int], bool]:
+    """Whether an offset is in one of the spans, which are nested or apart."""
+    outer: list[tuple[int, int]] = []
+    for s, e in sorted(spans, key=lambda x: (x[0], -x[1])):
+        if not outer or s >= outer[-1][1]:
+            outer.append((s, e))
+    starts = [s for s, _ in outer]
+
+    def holds(o: int) -> bool:
+        k = bisect_right(starts, o) - 1
+        return k >= 0 and o < outer[k][1]
+
+    return holds
+
+
+def named_parts(named: list[tuple[int, int, bool]], texts: list[tuple[int, str, bool, bool, bool]]) -> list[tuple[int, int]]:
+    """(start, end) of the named elements that are left out.  One stays if it
+    holds most of the page's paragraph text, or if it holds an article and no
+    paragraph of an article or main element is outside of all such parts."""
+    prose = [(o, len(t.strip()), inside) for o, t, skip, inside, within in texts if within and not skip]
+    at = [o for o, _, _ in prose]
+    before = [0, *accumulate(n for _, n, _ in prose)]
+    amount = lambda s, e: before[bisect_left(at, e)] - before[bisect_left(at, s)]
+    gone = [(s, e, holds) for s, e, holds in named if 2 * amount(s, e) <= before[-1]]
+    if any(holds for _, _, holds in gone):
+        out = covered([(s, e) for s, e, _ in gone])
+        outside = any(n and inside and not out(o) for o, n, inside in prose)
+        gone = [(s, e, holds) for s, e, holds in gone if outside or not holds]
+    return [(s, e) for s, e, _ in gone]
 
 
 def parse(page: str) -> Page:
     """One pass over the tags with implied ends (a block closes an open
     paragraph, an item the item before).  Text outside every article or main
-    element counts only if the page has none."""
-    texts: list[tuple[int, str, bool, bool]] = []
+    element counts only if the page has none.  An element named as a part
+    around the article is left out with all below it (see ``named_parts``); an
+    article is never left out by its own name."""
+    texts: list[tuple[int, str, bool, bool, bool]] = []  # offset, text, skipped, in an article, in a paragraph
     breaks: list[int] = []
     nodes: list[tuple[int, int, bool]] = []
-    stack: list[tuple[str, int, bool, bool]] = []  # tag, start, skipped, in an article
-    has_article = False
+    stack: list[tuple[str, int, bool, bool, bool, bool]] = []  # tag, start, skipped, in an article, in a paragraph, named
+    articles: list[int] = []
+    named: list[tuple[int, int, bool]] = []  # start, end, whether it holds an article and is in none
     at = 0
-    skipped = inside = False
+    skipped = inside = prose = False
 
     def pop(to: int, end: int) -> None:
-        nonlocal skipped, inside
+        nonlocal skipped, inside, prose
         while len(stack) > to:
-            tag, start, skip, within = stack.pop()
+            tag, start, skip, within, _, by_name = stack.pop()
+            if by_name:
+                named.append((start, end, not any(x[0] == "article" for x in stack)
+                              and bool(articles) and articles[-1] > start))
             if tag in CONTAINER:
                 nodes.append((start, end, tag in ("article", "main") or within and tag in ("p", "li", "blockquote")))
             if tag in BLOCK:
                 breaks.append(end)
-        skipped, inside = (stack[-1][2], stack[-1][3]) if stack else (False, False)
+        skipped, inside, prose = stack[-1][2:5] if stack else (False, False, False)
 
     pos, size = 0, len(page)
     while pos < size:
         m = TOKEN.search(page, pos)
         end = m.start() if m else size
         if end > at:
-            texts.append((at, page[at:end], skipped, inside))
+            texts.append((at, page[at:end], skipped, inside, prose))
         if not m:
             break
         pos = at = m.end()
         tag = m["tag"]
         if tag is None:
             if m["cdata"]:
-                texts.append((m.start(), html.escape(m["cdata"]), skipped, inside))
+                texts.append((m.start(), html.escape(m["cdata"]), skipped, inside, prose))
             continue
         tag = tag.lower()
         if m["close"]:
@@ -141,13 +193,17 @@ def parse(page: str) -> Page:
             pos = at = stop.end() if stop else size
             continue
         article = tag in ("article", "main")
-        skip = skipped or tag in SKIP or tag == "header" and not inside \
-            or tag not in ("html", "body", "main") and around(attrs)
-        has_article |= article and not skip
-        stack.append((tag, m.start(), skip, inside or article))
-        skipped, inside = skip, inside or article
+        skip = skipped or tag in SKIP or tag == "header" and not inside or tag not in ("html", "body", "main") and hidden(attrs)
+        by_name = not skip and not article and tag not in ("html", "body") and around(attrs)
+        if article and not skip:
+            articles.append(m.start())
+        stack.append((tag, m.start(), skip, inside or article, prose or tag in PROSE, by_name))
+        skipped, inside, prose = skip, inside or article, prose or tag in PROSE
     pop(0, size)
-    return Page([(o, t, not skip and (within or not has_article)) for o, t, skip, within in texts], breaks, nodes, has_article)
+    out = covered(named_parts(named, texts) if named else [])
+    has_article = any(not out(o) for o in articles)
+    return Page([(o, t, not skip and (within or not has_article) and not out(o)) for o, t, skip, within, _ in texts],
+                breaks, nodes, has_article)
 
 
 def subtree_hash(page: str, start: int, end: int) -> int:

@@ -116,6 +116,23 @@ def test_page_text():
     assert html_extract.main_text("<script>x", set()) == "" and html_extract.main_text("<", set()) == "<"
 
 
+def test_names_of_wrappers_do_not_lose_the_article():
+    text = lambda body: html_extract.main_text(f"<html><body>{body}</body></html>", set())
+    story = "<p>The long story of this page.</p>"
+    for wrapper in ("div class='page no-sidebar'", "div id=content class=has-banner", "div class=search-results", "div id='ad'",
+                    "section class='widget sidebar-left'"):
+        end = f"</{wrapper.split()[0]}>"
+        assert text(f"<div><p>By</p></div><{wrapper}><article><h1>Head</h1>{story}</article>{end}") == "Head The long story of this page."
+        assert text(f"<main><h1>Found</h1><{wrapper}><article>{story}</article>{end}</main>") == "Found The long story of this page."
+        assert text(f"<{wrapper}>{story}{end}<div>end</div>") == "The long story of this page. end"
+    for name in ("post comments-open", "related", "ad"):
+        assert text(f"<p>around</p><article class='{name}'>{story}</article>") == "The long story of this page."
+    for name in ("sidebar", "sidebar-left", "left-sidebar", "cookieNotice", "x social"):
+        assert text(f"<div class='{name}'><p>away</p></div>{story}") == "The long story of this page."
+        assert text(f"<article>{story}<div class='{name}'><article><p>away</p></article></div></article>") == "The long story of this page."
+        assert text(f"<article>{story}</article><div class='{name}'><article><p>away</p></article></div>") == "The long story of this page."
+
+
 def test_template_removal(spark):
     box = "<div><p>Our shop has been here since 1900.</p><ul><li>Phone</li></ul></div>"
     pages = [(i, f"https://a.example/{i}", f"<body>{box}<div id=x{i}><p>Story {i}</p><p>more {i}</p></div></body>") for i in range(40)]
