@@ -248,12 +248,13 @@ def main_text(page: str, template: frozenset[int] | set[int]) -> str:
 HOST = r"^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?//(?:[^/?#@]*@)?([^/?#:]*)"
 
 
-def extract(pages: DataFrame, share: float = 0.2, least: int = 10) -> DataFrame:
+def extract(pages: DataFrame, share: float = 0.2, least: int = 10, few: int = 3) -> DataFrame:
     """page_id, url, text, n_chars of every page.
 
     A subtree is part of a host's template if at least ``least`` different pages
-    and a ``share`` of the host's different pages have it; so a host has at most
-    its subtrees a page divided by ``share`` such subtrees, a bounded list.
+    of the host have it; on a host of fewer than ``least / share`` pages a
+    ``share`` of its pages is enough, but at least ``few``.  Each page meets the
+    counts of its own subtrees, so a host may have any number of such subtrees.
     Copies of a page (equal html on one host) count as one page, so that many of
     them do not make its own text a template.  Articles and the paragraphs in
     them are never deleted as template.  Null or empty html gives an empty text
@@ -270,17 +271,21 @@ def extract(pages: DataFrame, share: float = 0.2, least: int = 10) -> DataFrame:
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(found, pa.list_(pa.int64()))],
                                              names=["_host", "_page", "_nodes"])
 
-    seen = src.where("html <> ''").select("_host", "_page", "html").mapInArrow(
-        tidy(hashes), "_host string, _page long, _nodes array<long>").dropDuplicates(["_host", "_page"])
+    key = ["_host", "_page"]
+    seen = staged(src.where("html <> ''").select(*key, "html").mapInArrow(
+        tidy(hashes), "_host string, _page long, _nodes array<long>").dropDuplicates(key))
     # a null node stands for the page itself, so one count gives both numbers
     counts = (seen.select("_host", F.explode(F.concat(F.array(F.lit(None).cast("long")), "_nodes")).alias("_node"))
-              .groupBy("_host", "_node").agg(F.count("*").alias("_n")).where((F.col("_n") >= least) | F.col("_node").isNull()))
+              .groupBy("_host", "_node").agg(F.count("*").alias("_n")).where((F.col("_n") >= few) | F.col("_node").isNull()))
     counts = staged(counts)
     hosts = counts.where(F.col("_node").isNull()).select("_host", F.col("_n").alias("_pages"))
-    common = (counts.where(F.col("_node").isNotNull()).join(hosts, "_host")
-              .where((F.col("_n") >= least) & (F.col("_n") >= share * F.col("_pages"))))
-    template = staged(common.groupBy("_host").agg(F.collect_list("_node").alias("_template")))
-    joined = src.join(small(template, 20_000), "_host", "left").select("page_id", "url", "html", "_template")
+    enough = F.least(F.lit(float(least)), F.greatest(F.lit(float(few)), share * F.col("_pages")))
+    common = staged(counts.where(F.col("_node").isNotNull()).join(hosts, "_host")
+                    .where(F.col("_n") >= enough).select("_host", "_node"))
+    # one list per different page, of at most its own subtrees
+    template = staged(seen.select(*key, F.explode("_nodes").alias("_node")).join(small(common), ["_host", "_node"])
+                      .groupBy(*key).agg(F.collect_list("_node").alias("_template")))
+    joined = src.join(small(template, 20_000), key, "left").select("page_id", "url", "html", "_template")
 
     def texts(batches):
         for b in batches:

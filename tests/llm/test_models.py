@@ -162,6 +162,19 @@ def test_copies_of_a_page_are_no_template(spark):
         assert all(by[i] == "The copied story." and by[100 + i] == f"Story {i}" for i in range(30))
 
 
+def test_template_of_rotating_parts_and_small_hosts(spark):
+    """Six notices in turn are a template of a host however many pages it has,
+    and so is a box of a host with fewer than ten pages."""
+    rows = [(i, "https://big.example/", f"<body><div><p>Notice {i % 6}</p></div><div><p>Story {i}</p></div></body>") for i in range(90)]
+    rows += [(100 + i, "https://big.example/s", f"<body><ul><li>Section box</ul><div><p>Tale {i}</p></div></body>") for i in range(12)]
+    rows += [(200 + i, "https://small.example/", f"<body><div><p>Our box</p></div><div><p>Text {i}</p></div></body>") for i in range(4)]
+    rows += [(300 + i, "https://two.example/", f"<body><div><p>Said twice</p></div><div><p>Text {i}</p></div></body>") for i in range(2)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(4)
+    by = {r["page_id"]: r["text"] for r in collected(html_extract.extract(df))}
+    assert len(by) == len(rows) and all(by[i] == f"Story {i}" for i in range(90)) and all(by[100 + i] == f"Tale {i}" for i in range(12))
+    assert all(by[200 + i] == f"Text {i}" for i in range(4)) and all(by[300 + i] == f"Said twice Text {i}" for i in range(2))
+
+
 def test_articles_of_the_tables(spark):
     """The page writer's articles come out whole, on all pages."""
     import html
