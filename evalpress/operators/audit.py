@@ -3,7 +3,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -54,6 +54,11 @@ def string_columns(schema: T.StructType, prefix: str = "") -> list[str]:
     return out
 
 
+def rule_hits(v: Column, rules: Sequence[tuple[str, str]]) -> Column:
+    """Names of the rules that a value matches."""
+    return F.filter(F.array(*[F.when(v.rlike(p), F.lit(n)) for n, p in rules]), lambda x: x.isNotNull())
+
+
 def leak_columns(df: DataFrame, keys: Sequence[str], columns: Sequence[str],
                  rules: Sequence[tuple[str, str]]) -> DataFrame:
     """Unpivot the string columns, test each value against every rule and
@@ -63,12 +68,38 @@ def leak_columns(df: DataFrame, keys: Sequence[str], columns: Sequence[str],
     stack = ", ".join(f"'{c}', `{c}`" if "." not in c else f"'{c}', {c}" for c in columns)
     long = df.selectExpr(*[f"`{k}`" for k in keys], f"stack({len(columns)}, {stack}) AS (column_name, v)")
     long = long.where(F.col("v").isNotNull())
-    hits = F.filter(F.array(*[F.when(F.col("v").rlike(p), F.lit(n)) for n, p in rules]),
-                    lambda x: x.isNotNull())
-    found = long.select("column_name", F.explode(hits).alias("rule"))
+    found = long.select("column_name", F.explode(rule_hits(F.col("v"), rules)).alias("rule"))
     return found.groupBy("column_name", "rule").agg(F.count(F.lit(1)).alias("n"))
 
 
+def string_leaves(schema: T.StructType, prefix: str = "") -> list[tuple[str, int]]:
+    """(path, arrays around it) of every string leaf, those in arrays included."""
+    out = []
+    for f in schema.fields:
+        dt, depth = f.dataType, 0
+        while isinstance(dt, T.ArrayType):
+            dt, depth = dt.elementType, depth + 1
+        if isinstance(dt, T.StringType):
+            out.append((f"{prefix}{f.name}", depth))
+        elif isinstance(dt, T.StructType):
+            out.extend((p, depth + d) for p, d in string_leaves(dt, f"{prefix}{f.name}."))
+    return out
+
+
+def leak_all(df: DataFrame, rules: Sequence[tuple[str, str]]) -> DataFrame:
+    """``leak_columns`` over every string of a table, those in structs and
+    arrays included: findings per (column, rule)."""
+    cells = []
+    for path, depth in string_leaves(df.schema):
+        v = F.col(path) if depth else F.array(F.col(path))
+        for _ in range(depth - 1):
+            v = F.flatten(v)
+        cells.append(F.struct(F.lit(path).alias("column_name"), v.alias("v")))
+    cell = df.select(F.explode(F.array(*cells)).alias("c")).select("c.column_name", F.explode("c.v").alias("v"))
+    return cell.select("column_name", F.explode(rule_hits(F.col("v"), rules)).alias("rule")).groupBy("column_name", "rule").agg(
+        F.count(F.lit(1)).alias("n"))
+
+
 def leak_text(df: DataFrame, key: str, text: str, rules: Sequence[tuple[str, str]], cut: int = 40) -> DataFrame:
     """One finding per match, the match cut to ``cut`` characters.  One pass
     over the table: every rule is a literal-pattern ``regexp_extract_all``,

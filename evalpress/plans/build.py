@@ -45,8 +45,9 @@ def emit_dataset(spark: SparkSession, sf: str, target: str | None = None) -> Dat
         part = written[cfg].select(F.lit(cfg).alias("config"), *[c for c, _ in HEADER])
         header = part if header is None else header.unionByName(part)
     counts = audit.expected_counts(header, EXPECTED_ROWS)
-    strings = [c for c, t in HEADER if t.simpleString() == "string"]
-    leaks = audit.leak_columns(header, ["run_id"], strings, LEAK_RULES)
+    leaks = audit.leak_all(jsonl, LEAK_RULES)
+    for cfg in CONFIGS:
+        leaks = leaks.unionByName(audit.leak_all(written[cfg], LEAK_RULES))
     ids = (header.select(F.col("model_id").alias("id")).union(header.select("base_model_id"))
            .where(F.col("id").isNotNull()).distinct())
     status = L.registry_status(ids, fx.fx7_status_cache(spark, sf), fx.fx7_store(spark, sf), fx.CACHE_MODE)

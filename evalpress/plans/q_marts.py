@@ -200,7 +200,10 @@ WHERE u.v IS NOT NULL AND regexp_matches(u.v, r.pattern) GROUP BY u.column_name,
 def q_verdict(spark, sf):
     h = runs.header_union(spark, sf)
     counts = audit.expected_counts(h, EXPECTED_ROWS)
-    leaks = audit.leak_columns(h, ["run_id"], list(_HDR_STRINGS), LEAK_RULES)
+    marts = runs.marts(spark, sf)
+    leaks = audit.leak_all(runs.runs_table(spark, sf, marts), LEAK_RULES)
+    for cfg, columns in TABLE_COLUMNS.items():
+        leaks = leaks.unionByName(audit.leak_all(marts[cfg].select(*[c for c, _ in columns]), LEAK_RULES))
     ids = (h.select(F.col("model_id").alias("id")).union(h.select("base_model_id"))
            .where(F.col("id").isNotNull()).distinct())
     st = L.registry_status(ids, fx.fx7_status_cache(spark, sf), fx.fx7_store(spark, sf), fx.CACHE_MODE)

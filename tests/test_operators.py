@@ -182,3 +182,19 @@ def test_zero_as_boolean(spark):
     df = spark.sql("SELECT * FROM VALUES (0, 'x'), (3, ''), (null, null) t(n, s)")
     got = [tuple(r) for r in project_typed(df, [("n", T.BooleanType()), ("s", T.BooleanType())]).collect()]
     assert got == [(False, True), (True, None), (None, None)]
+
+
+def test_verdict_scans_every_string(spark, monkeypatch):
+    """A store path in a column outside the shared header, or in a list of the
+    run metadata, is a leak of the build verdict."""
+    from evalpress.plans import q_marts, runs
+    from tests.conftest import SMALL
+    marts, table = dict(runs.marts(spark, SMALL)), runs.runs_table
+    path = F.lit("/hf_models/x")
+    n = marts["tts_de"].count()
+    assert n > 0
+    clean = q_marts.q_verdict(spark, SMALL).first()["n_leaks"]
+    monkeypatch.setattr(runs, "marts", lambda *a: {**marts, "tts_de": marts["tts_de"].withColumn("voice_id", path)})
+    monkeypatch.setattr(runs, "runs_table", lambda *a: table(spark, SMALL, marts).withColumn("excluded", F.array(path, path)))
+    runs_n = table(spark, SMALL, marts).count()
+    assert q_marts.q_verdict(spark, SMALL).first()["n_leaks"] >= clean + n + 2 * runs_n
