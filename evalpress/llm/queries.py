@@ -6,8 +6,8 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
-from evalpress.llm import (bpe_codec, html_extract, lang_id, line_dedup, minhash_dedup, packing, quality_rules,
-                           simhash, suffix_dedup, toxicity)
+from evalpress.llm import (bpe_codec, html_extract, lang_id, line_dedup, minhash_dedup, packing, periodic_runs,
+                           quality_rules, simhash, suffix_dedup, toxicity)
 from evalpress.llm.common import read
 
 
@@ -60,8 +60,12 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(read(spark, sf_dir, "documents"))
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.periodic_runs(read(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (op1_suffix_dedup, op2_packing, op3_html_extract, op4_bpe_codec, op5_lang_id, op6_line_dedup,
-                                   op7_minhash_dedup, op8_simhash, op9_toxicity, op10_quality_rules)}
+                                   op7_minhash_dedup, op8_simhash, op9_toxicity, op10_quality_rules, op11_periodic_runs)}
 #: no operator of this list can be stated in SQL that runs on whole tables in
 #: bounded time; tests/llm checks each against brute force or the library
 ORACLES: dict[str, str] = {}
