@@ -7,7 +7,7 @@ import uuid
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from evalpress.session import scratch_path
@@ -56,6 +56,27 @@ def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.count() <= rows else df
 
 
+def sampled(docs: DataFrame, known: DataFrame, most: int, seed: int = 3) -> tuple[DataFrame, dict]:
+    """Texts of at most ``most`` ids of each label, and the number of all ids of
+    each label.  ``known``: staged (doc_id, _label), an id once.
+
+    Labels are counted first; only ids whose hash lies below the share that
+    gives twice the sample are ranked, so no task ranks more than that however
+    large the table is.  An id with several texts gives the least of them."""
+    ids = staged(known.join(docs.where(F.col("text").isNotNull()).select("doc_id").distinct(), "doc_id", "left_semi"))
+    counts = {r["_label"]: r["n"] for r in ids.groupBy("_label").agg(F.count("*").alias("n")).collect()}
+    share = F.lit(0.0)
+    for label, n in counts.items():
+        share = F.when(F.col("_label") == label, F.lit(2.0 * most / n)).otherwise(share)
+    h = F.xxhash64(F.lit(seed), "doc_id")
+    order = Window.partitionBy("_label").orderBy("_hash", "doc_id")
+    few = (ids.withColumn("_hash", h).where(F.pmod("_hash", F.lit(1 << 30)) < share * (1 << 30))
+           .withColumn("_rank", F.row_number().over(order)).where(F.col("_rank") <= most).select("doc_id", "_label"))
+    texts = (docs.where(F.col("text").isNotNull()).select("doc_id", "text").join(small(staged(few)), "doc_id")
+             .groupBy("doc_id").agg(F.min("text").alias("text"), F.first("_label").alias("_label")))
+    return texts, counts
+
+
 def bounded_batches(df: DataFrame, rows: int = 1000) -> DataFrame:
     """``df``; its session hands Python at most ``rows`` rows at a time (unless
     a smaller number is set), since a row can be a long text."""

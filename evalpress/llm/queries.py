@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 
 from evalpress.llm import (bpe_codec, conversation_repair, html_extract, lang_id, line_dedup, minhash_dedup, packing, periodic_runs,
-                           quality_rules, simhash, suffix_dedup, toxicity)
+                           quality_rules, quality_votes, simhash, suffix_dedup, toxicity)
 from evalpress.llm.common import read
 
 
@@ -68,8 +68,12 @@ def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_repair.conversation_repair(read(spark, sf_dir, "conversations"))
 
 
+def op13_quality_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_votes.quality(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 QUERIES = {f.__name__: f for f in (op1_suffix_dedup, op2_packing, op3_html_extract, op4_bpe_codec, op5_lang_id, op6_line_dedup,
-                                   op7_minhash_dedup, op8_simhash, op9_toxicity, op10_quality_rules, op11_periodic_runs, op12_conversation_repair)}
+                                   op7_minhash_dedup, op8_simhash, op9_toxicity, op10_quality_rules, op11_periodic_runs, op12_conversation_repair, op13_quality_votes)}
 #: no operator of this list can be stated in SQL that runs on whole tables in
 #: bounded time; tests/llm checks each against brute force or the library
 ORACLES: dict[str, str] = {}
