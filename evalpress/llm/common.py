@@ -77,12 +77,15 @@ def sampled(docs: DataFrame, known: DataFrame, most: int, seed: int = 3) -> tupl
     return texts, counts
 
 
-def bounded_batches(df: DataFrame, rows: int = 1000) -> DataFrame:
-    """``df``; its session hands Python at most ``rows`` rows at a time (unless
-    a smaller number is set), since a row can be a long text."""
-    key, conf = "spark.sql.execution.arrow.maxRecordsPerBatch", df.sparkSession.conf
-    if not 0 < int(conf.get(key, "10000")) <= rows:
-        conf.set(key, str(rows))
+def bounded_batches(df: DataFrame, rows: int = 1000, size: int = 8 << 20) -> DataFrame:
+    """``df``; its session hands Python at most ``rows`` rows and about ``size``
+    bytes at a time (unless smaller numbers are set), since a row can be a long
+    text.  Spark reads both settings when the plan runs, so they stay set."""
+    conf = df.sparkSession.conf
+    for key, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", rows), ("spark.sql.execution.arrow.maxBytesPerBatch", size)):
+        now = conf.get(key).removesuffix("b")
+        if not now.isdigit() or not 0 < int(now) <= most:
+            conf.set(key, str(most))
     return df
 
 

@@ -10,26 +10,30 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from evalpress.llm.common import bounded_batches, fraction_class, tidy
+from evalpress.llm.common import bounded_batches, fraction_class, sampled, staged, tidy
 
 UNKNOWN = "und"
 
 
 @dataclass(frozen=True)
 class Params:
-    """Bounds of the training sample: at most ``per_lang`` rows of each of the
-    ``langs`` most frequent languages, chosen by a hash of the id among rows of
-    at most ``train_chars`` characters.  Everything else sees whole texts."""
+    """Bounds of the training sample: at most ``per_lang`` ids of each of the
+    ``langs`` most frequent languages and ``rows`` in all, chosen by a hash of
+    the id, with one stretch of ``piece`` characters of a longer text.  Rarer
+    languages have no class.  Predictions see whole texts: a text's score is the
+    mean over its pieces of ``piece`` characters, by length, so the hashed
+    n-grams of a long text do not fill up."""
 
     grams: int = 3
     bits: int = 13
     per_lang: int = 300
     langs: int = 200
-    train_chars: int = 20_000
+    rows: int = 12_000
+    piece: int = 8_000
     landmarks: int = 32  # per language
     ridge: float = 1e-2
 
@@ -63,9 +67,20 @@ class Model:
     weights: np.ndarray  # landmarks x languages
     params: Params
 
-    def scores(self, texts: list[str]) -> np.ndarray:
+    def scores(self, texts: list[str], batch: int = 256) -> np.ndarray:
+        """One row per text, one column per language."""
         p = self.params
-        return (presence(texts, p.grams, p.bits) @ self.landmarks) @ self.weights
+        step = self.landmarks @ self.weights[:-1]
+        parts = [(i, t[at:at + p.piece]) for i, t in enumerate(texts) for at in range(0, len(t), p.piece)]
+        out, size = np.zeros((len(texts), len(self.langs))), np.zeros(len(texts))
+        for at in range(0, len(parts), batch):
+            some = parts[at:at + batch]
+            owner = np.array([i for i, _ in some])
+            weight = np.array([len(t) for _, t in some], np.float64)
+            x = presence([t for _, t in some], p.grams, p.bits) @ step + self.weights[-1]
+            np.add.at(out, owner, x * weight[:, None])
+            np.add.at(size, owner, weight)
+        return out / np.maximum(size, 1)[:, None]
 
 
 def fit(texts: list[str], langs: list[str], params: Params) -> Model:
@@ -94,25 +109,23 @@ def fit(texts: list[str], langs: list[str], params: Params) -> Model:
 
 
 def training_rows(docs: DataFrame, learn: Column, params: Params) -> tuple[list[str], list[str]]:
-    """The bounded sample: ranks by a hash of the id within each language; the
-    rank limit is applied before the shuffle, so no language meets in a task."""
-    rows = (docs.where(learn & F.col("lang").isNotNull() & F.col("text").isNotNull()
-                       & (F.length("text") <= params.train_chars))
-            .select(F.col("lang").cast("string").alias("lang"), "doc_id"))
-    common = [r["lang"] for r in rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(params.langs).collect()]
+    """The bounded sample; an id with several languages takes the first by name."""
+    docs = docs.where(learn & F.col("text").isNotNull())
+    known = staged(docs.where(F.col("lang").isNotNull()).groupBy("doc_id").agg(F.min(F.col("lang").cast("string")).alias("_label")))
+    common = [r["_label"] for r in known.groupBy("_label").count().orderBy(F.desc("count"), "_label").limit(params.langs).collect()]
     if not common:
         return [], []
-    order = Window.partitionBy("lang").orderBy(F.xxhash64(F.lit(5), "doc_id"), "doc_id")
-    ids = (rows.where(F.col("lang").isin(common)).withColumn("_rank", F.row_number().over(order))
-           .where(F.col("_rank") <= params.per_lang).select("doc_id"))
-    picked = (docs.where(learn & F.col("lang").isNotNull() & (F.length("text") <= params.train_chars))
-              .join(F.broadcast(ids.distinct()), "doc_id", "left_semi")  # at most langs x per_lang ids
-              .select("lang", "text", "doc_id").orderBy(F.xxhash64(F.lit(5), "doc_id"), "doc_id", "text")
-              .limit(params.langs * params.per_lang).collect())
-    return [r["text"] for r in picked], [r["lang"] for r in picked]
+    most = min(params.per_lang, max(1, params.rows // len(common)))
+    texts, _ = sampled(docs, known.where(F.col("_label").isin(common)), most, seed=5)
+    h = F.xxhash64(F.lit(5), "doc_id")
+    start = F.when(F.length("text") > params.piece, F.pmod(h, F.length("text") - params.piece + 1)).otherwise(0) + 1
+    picked = (texts.select("_label", F.substring("text", start.cast("int"), F.lit(params.piece)).alias("text"), h.alias("_h"), "doc_id")
+              .collect())
+    picked.sort(key=lambda r: (r["_h"], r["doc_id"]))
+    return [r["text"] for r in picked], [r["_label"] for r in picked]
 
 
-def predict(docs: DataFrame, model: Model, id_cols: list[str], text_col: str = "text", batch: int = 256) -> DataFrame:
+def predict(docs: DataFrame, model: Model, id_cols: list[str], text_col: str = "text") -> DataFrame:
     """``id_cols`` plus lang_pred and score of every row.
 
     ``und`` with score 0 for a null text, a text without a letter, or a model
@@ -124,18 +137,13 @@ def predict(docs: DataFrame, model: Model, id_cols: list[str], text_col: str = "
 
     def run(batches):
         m: Model = shared.value
-        land = m.landmarks @ m.weights[:-1] if len(m.langs) else None
         for b in batches:
             texts = b.column(len(id_cols)).to_pylist()
             lang, score = [UNKNOWN] * len(texts), [0.0] * len(texts)
             todo = [i for i, t in enumerate(texts) if t and m.langs and any(map(str.isalpha, t))]
-            for at in range(0, len(todo), batch):
-                part = todo[at:at + batch]
-                x = presence([texts[i] for i in part], m.params.grams, m.params.bits)
-                s = x @ land + m.weights[-1]
-                best = s.argmax(1)
-                for i, k, v in zip(part, best.tolist(), s.max(1).tolist()):
-                    lang[i], score[i] = m.langs[k], min(1.0, max(0.0, v))
+            s = m.scores([texts[i] for i in todo]) if todo else np.zeros((0, 1))
+            for i, k, v in zip(todo, s.argmax(1).tolist(), s.max(1).tolist()):
+                lang[i], score[i] = m.langs[k], min(1.0, max(0.0, v))
             yield pa.RecordBatch.from_arrays(
                 [b.column(k) for k in range(len(id_cols))] + [pa.array(lang, pa.string()), pa.array(score, pa.float64())],
                 names=id_cols + ["lang_pred", "score"])

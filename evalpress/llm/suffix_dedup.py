@@ -42,14 +42,17 @@ GRAM = 27  # three levels of triples
 class Params:
     """``length`` bytes of a repeat (at least 40); ``hot``: different blocks of
     an anchor in one batch from which its windows are dealt out by their own
-    bytes; ``piece`` and ``batch``: bytes handled at once (memory only).  An
-    anchor whose different blocks have more than ``batch`` bytes over all
-    batches is dealt out by window too."""
+    bytes.  An anchor whose different blocks have more than ``batch`` bytes over
+    all batches is dealt out by window too.  Memory only: ``piece`` bytes are
+    hashed and ``batch`` bytes sorted at once, ``send`` bytes are held before
+    they leave, and a task gets the blocks of ``share`` bytes of text."""
 
     length: int = 100
     hot: int = 256
     piece: int = 1 << 18
-    batch: int = 1 << 20
+    batch: int = 1 << 18
+    send: int = 8 << 20
+    share: int = 16 << 20
 
 
 # ---------------------------------------------------------------- anchors
@@ -219,7 +222,7 @@ def later_windows(datas: list[bytes], n: np.ndarray, length: int) -> np.ndarray:
     total = int(n.sum())
     block = np.repeat(np.arange(len(n)), n)
     window = offset[block] + np.arange(total) - np.repeat(np.cumsum(n) - n, n)
-    rank = suffix_ranks(text.astype(np.int64) + 1, length)
+    rank = suffix_ranks(text.astype(np.int64) + 1, length).astype(np.int32 if len(text) < 1 << 31 else np.int64)
     order = np.argsort(rank[window], kind="stable")
     sorted_window = window[order]
     equal = same_prefix(text, sorted_window[:-1], sorted_window[1:], length)
@@ -394,7 +397,7 @@ def texts_after_marks(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[Marks
 
 def open_blocks(p: Params, parts: int):
     """Texts with open blocks: the blocks' bytes to the task of the anchor, or,
-    for a hot anchor, a hash of each window to the task of the hash.  Later
+    for a hot anchor, a hash (128 bits) of each window to the task of the hash.  Later
     copies of a window in what leaves at once are settled here, so a common
     window is sent once a time."""
 
@@ -407,13 +410,12 @@ def open_blocks(p: Params, parts: int):
             nonlocal keep, hot, size
             out: list[tuple] = []
             if hot:
-                i, h, k, names = (np.concatenate(c) for c in zip(*hot))
-                order = np.lexsort((k, h, i, names))
-                i, h, k, names = (c[order] for c in (i, h, k, names))
-                new = firsts(names, i, h, k)  # a repeated row is one text
-                lead = firsts(names)
-                out += dealt(target(names[lead], parts), WINDOW, i[lead], h[lead], k[lead],
-                             np.ones(int(lead.sum()), np.int64), names[lead])
+                i, h, k, names, more = (np.concatenate(c) for c in zip(*hot))
+                order = np.lexsort((k, h, i, more, names))
+                i, h, k, names, more = (c[order] for c in (i, h, k, names, more))
+                new = firsts(names, more, i, h, k)  # a repeated row is one text
+                lead = firsts(names, more)
+                out += dealt(target(names[lead], parts), WINDOW, i[lead], h[lead], k[lead], more[lead], names[lead])
                 i, h, k = (c[new & ~lead] for c in (i, h, k))
                 order = np.lexsort((k, h, i))
                 i, h, k = (c[order] for c in (i, h, k))
@@ -438,10 +440,11 @@ def open_blocks(p: Params, parts: int):
                     keep.append([i, h, at, n, v, text[at:at + n + p.length - 1]])
                     size += n + p.length
                 elif state == BY_WINDOW:
-                    names = np.array([xxhash.xxh3_64_intdigest(text[k:k + p.length]) for k in range(at, at + n)], U)
-                    hot.append((np.full(n, i, np.int64), np.full(n, h, np.int64), np.arange(at, at + n), names))
-                    size += 40 * n
-            if size >= 8 * p.batch:
+                    both = b"".join(xxhash.xxh3_128_digest(text[k:k + p.length]) for k in range(at, at + n))
+                    names, more = np.frombuffer(both, U).reshape(-1, 2).T
+                    hot.append((np.full(n, i, np.int64), np.full(n, h, np.int64), np.arange(at, at + n), names, more))
+                    size += 48 * n
+            if size >= p.send:
                 yield rows_batch(flush())
         yield rows_batch(flush())
 
@@ -460,15 +463,18 @@ def resolve(p: Params, parts: int):
     """Open blocks and hot windows to removed windows."""
 
     def run(batches):
-        rows = list(table_rows(batches))
-        yield rows_batch([(r[0], SETTLED, *r[2:8]) for r in rows if r[1] == SETTLED])
-        ids, hs, at, n, names = unpacked((r[2:7] for r in rows if r[1] == WINDOW), np.int64, np.int64, np.int64, np.int64, U)
+        rows: list[tuple] = []
+        for b in batches:
+            here = list(table_rows([b]))
+            yield rows_batch([(r[0], SETTLED, *r[2:8]) for r in here if r[1] == SETTLED])
+            rows += [r for r in here if r[1] != SETTLED]
+        ids, hs, at, more, names = unpacked((r[2:7] for r in rows if r[1] == WINDOW), np.int64, np.int64, np.int64, U, U)
         if len(ids):
-            order = np.lexsort((at, hs, ids, names))
-            ids, hs, at, names = (c[order] for c in (ids, hs, at, names))
-            new = firsts(names, ids, hs, at)  # a repeated row is one text
-            ids, hs, at, names = (c[new] for c in (ids, hs, at, names))
-            gone = ~firsts(names)
+            order = np.lexsort((at, hs, ids, more, names))
+            ids, hs, at, more, names = (c[order] for c in (ids, hs, at, more, names))
+            new = firsts(names, more, ids, hs, at)  # a repeated row is one text
+            ids, hs, at, more, names = (c[new] for c in (ids, hs, at, more, names))
+            gone = ~firsts(names, more)
             ids, hs, at = ids[gone], hs[gone], at[gone]
             one = np.ones(len(ids), np.int64)
             yield rows_batch(list(dealt(home(ids, hs, parts), SETTLED, ids, hs, at, one, np.zeros(len(ids), np.int8), one)))
@@ -583,7 +589,8 @@ def removed(docs: DataFrame, p: Params = Params(), full: bool = False) -> DataFr
 
     Only texts with marks are shuffled.  They are picked by a broadcast of
     their keys while these are few, else by a shuffle join."""
-    parts = shuffle_parts(docs.sparkSession)
+    size = docs.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
+    parts = max(shuffle_parts(docs.sparkSession), -(-size // p.share))
     texts = keyed(bounded_batches(docs), F.col("text"), F.col("doc_id"))
     deal = lambda d: d.repartition(parts, "part")
     states = staged(deal(texts.mapInArrow(tidy(find_blocks(p, parts)), ROW)).mapInArrow(tidy(settle(p, parts)), ROW))
