@@ -54,50 +54,68 @@ def string_columns(schema: T.StructType, prefix: str = "") -> list[str]:
     return out
 
 
-def rule_hits(v: Column, rules: Sequence[tuple[str, str]]) -> Column:
-    """Names of the rules that a value matches."""
-    return F.filter(F.array(*[F.when(v.rlike(p), F.lit(n)) for n, p in rules]), lambda x: x.isNotNull())
-
-
-def leak_columns(df: DataFrame, keys: Sequence[str], columns: Sequence[str],
-                 rules: Sequence[tuple[str, str]]) -> DataFrame:
-    """Unpivot the string columns, test each value against every rule and
-    count findings per (column, rule).  Each rule is its own ``rlike`` with a
-    literal pattern (compiled once per task, no pairing of rows with a rule
-    table); the matched rule names are exploded and counted."""
-    stack = ", ".join(f"'{c}', `{c}`" if "." not in c else f"'{c}', {c}" for c in columns)
-    long = df.selectExpr(*[f"`{k}`" for k in keys], f"stack({len(columns)}, {stack}) AS (column_name, v)")
-    long = long.where(F.col("v").isNotNull())
-    found = long.select("column_name", F.explode(rule_hits(F.col("v"), rules)).alias("rule"))
-    return found.groupBy("column_name", "rule").agg(F.count(F.lit(1)).alias("n"))
-
-
-def string_leaves(schema: T.StructType, prefix: str = "") -> list[tuple[str, int]]:
-    """(path, arrays around it) of every string leaf, those in arrays included."""
-    out = []
-    for f in schema.fields:
-        dt, depth = f.dataType, 0
-        while isinstance(dt, T.ArrayType):
-            dt, depth = dt.elementType, depth + 1
-        if isinstance(dt, T.StringType):
-            out.append((f"{prefix}{f.name}", depth))
-        elif isinstance(dt, T.StructType):
-            out.extend((p, depth + d) for p, d in string_leaves(dt, f"{prefix}{f.name}."))
-    return out
+def _matches(pattern: str):
+    return lambda x: x.rlike(pattern)
+
+
+def _field(name: str):
+    return lambda x: x.getField(name)
+
+
+def _counted(df: DataFrame, cells: Sequence[tuple[str, Column, bool]], rules: Sequence[tuple[str, str]]) -> DataFrame:
+    """Findings per (column, rule) by one aggregate: a counter for each pair,
+    so no row is multiplied and nothing but the counters is shuffled.  A cell is
+    (name, value, whether the value is an array of strings)."""
+    names, counters = [], []
+    for name, v, many in cells:
+        for rule, pattern in rules:
+            hits = (F.sum(F.size(F.filter(v, _matches(pattern)))) if many else F.count_if(v.rlike(pattern)))
+            counters.append(F.coalesce(hits, F.lit(0)).cast("long").alias(f"_{len(names)}"))
+            names.append((name, rule))
+    one = df.agg(*counters)
+    rows = F.array(*[F.struct(F.lit(c).alias("column_name"), F.lit(r).alias("rule"), F.col(f"_{k}").alias("n"))
+                     for k, (c, r) in enumerate(names)])
+    return one.select(F.inline(rows)).where("n > 0")
+
+
+def leak_columns(df: DataFrame, columns: Sequence[str], rules: Sequence[tuple[str, str]]) -> DataFrame:
+    """Values of the string columns that match a rule, per (column, rule)."""
+    return _counted(df, [(c, F.col(c if "." in c else f"`{c}`"), False) for c in columns], rules)
+
+
+def _leaves(v: Column, dt: T.DataType, path: str) -> list[tuple[str, Column, bool]]:
+    """(path, value, in an array) of every string leaf, through structs, arrays
+    and map values."""
+    if isinstance(dt, T.StringType):
+        return [(path, v, False)]
+    if isinstance(dt, T.StructType):
+        return [x for f in dt.fields for x in _leaves(v.getField(f.name), f.dataType, f"{path}.{f.name}")]
+    if isinstance(dt, T.MapType):
+        return _leaves(F.map_values(v), T.ArrayType(dt.valueType), path)
+    if not isinstance(dt, T.ArrayType):
+        return []
+    inner = dt.elementType
+    if isinstance(inner, T.StringType):
+        return [(path, v, True)]
+    if isinstance(inner, T.StructType):
+        return [x for f in inner.fields
+                for x in _leaves(F.transform(v, _field(f.name)), T.ArrayType(f.dataType), f"{path}.{f.name}")]
+    if isinstance(inner, T.MapType):
+        return _leaves(F.flatten(F.transform(v, lambda m: F.map_values(m))), T.ArrayType(inner.valueType), path)
+    return _leaves(F.flatten(v), inner, path) if isinstance(inner, T.ArrayType) else []
 
 
 def leak_all(df: DataFrame, rules: Sequence[tuple[str, str]]) -> DataFrame:
-    """``leak_columns`` over every string of a table, those in structs and
-    arrays included: findings per (column, rule)."""
-    cells = []
-    for path, depth in string_leaves(df.schema):
-        v = F.col(path) if depth else F.array(F.col(path))
-        for _ in range(depth - 1):
-            v = F.flatten(v)
-        cells.append(F.struct(F.lit(path).alias("column_name"), v.alias("v")))
-    cell = df.select(F.explode(F.array(*cells)).alias("c")).select("c.column_name", F.explode("c.v").alias("v"))
-    return cell.select("column_name", F.explode(rule_hits(F.col("v"), rules)).alias("rule")).groupBy("column_name", "rule").agg(
-        F.count(F.lit(1)).alias("n"))
+    """``leak_columns`` over every string of a table, those in structs, arrays
+    and maps included: findings per (column, rule)."""
+    return _counted(df, [x for f in df.schema.fields for x in _leaves(F.col(f"`{f.name}`"), f.dataType, f.name)], rules)
+
+
+def leak_files(spark: SparkSession, paths: str | Sequence[str], rules: Sequence[tuple[str, str]], cut: int = 40) -> DataFrame:
+    """(file, rule, match) of every finding in written text files, whatever they
+    hold; each line is read once."""
+    lines = spark.read.text(paths).select("value", F.col("_metadata.file_path").alias("file"))
+    return leak_text(lines, "file", "value", rules, cut)
 
 
 def leak_text(df: DataFrame, key: str, text: str, rules: Sequence[tuple[str, str]], cut: int = 40) -> DataFrame:

@@ -136,13 +136,19 @@ def rank_within(df: DataFrame, part: Sequence[str], order: Sequence[Column], out
             .drop("_pid", "_rn", "_off"))
 
 
-def discover_keys(df: DataFrame, map_col: str, position: str, hidden: Sequence[str] = ()) -> DataFrame:
-    """Keys whose value is numeric in any row, in first-seen order (row
-    position, then key position inside the row), minus hidden keys."""
-    e = df.select(F.col(position), F.posexplode(F.col(map_col)).alias("kpos", "key", "value"))
-    e = e.where(F.col("value").isNotNull() & ~F.col("key").isin(list(hidden)))
-    return (e.groupBy("key").agg(F.min(F.struct(F.col(position), F.col("kpos"))).alias("_first"))
-            .select("key", F.col("_first")[position].alias("first_row"), F.col("_first")["kpos"].alias("first_kpos")))
+def discover_json_keys(df: DataFrame, json_col: str, position: str, hidden: Sequence[str] = ()) -> DataFrame:
+    """Names whose value is a JSON number in any row's object, whatever the
+    names are: (key, first_row, first_kpos) by the least row and the place of
+    the key in that row's text, minus hidden keys.  Values are typed as VARIANT,
+    so the text "1" is no number; unreadable text gives no keys."""
+    d = df.select(F.col(position).alias("_row"), F.col(json_col).alias("_json"), F.try_parse_json(json_col).alias("_v"))
+    d = d.where(F.schema_of_variant("_v").startswith("OBJECT"))
+    e = d.lateralJoin(df.sparkSession.tvf.variant_explode(F.col("_v").outer()))
+    number = F.schema_of_variant("value").rlike("^(BIGINT|DOUBLE|FLOAT|DECIMAL.*)$")
+    e = (e.where(number & ~F.col("key").isin(list(hidden)))
+         .select("key", F.struct("_row", (F.array_position(F.json_object_keys("_json"), F.col("key")) - 1).alias("_kpos")).alias("_at")))
+    return (e.groupBy("key").agg(F.min("_at").alias("_first"))
+            .select("key", F.col("_first._row").alias("first_row"), F.col("_first._kpos").cast("int").alias("first_kpos")))
 
 
 def typed_sort_keys(df: DataFrame, cell: str) -> DataFrame:

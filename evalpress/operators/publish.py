@@ -74,28 +74,54 @@ def raw_paths(schema: T.StructType, exempt: Iterable[str] = (), top_level_only:
         if top_level_only:
             continue
         dt = f.dataType
-        while isinstance(dt, T.ArrayType):
-            dt = dt.elementType
+        while isinstance(dt, (T.ArrayType, T.MapType)):
+            dt = dt.elementType if isinstance(dt, T.ArrayType) else dt.valueType
         if isinstance(dt, T.StructType):
             out.extend(raw_paths(dt, exempt, False, path + "."))
     return out
 
 
+def _without_raw(col: Column, dt: T.DataType, exempt: set[str], path: str) -> Column | None:
+    """``col`` without raw fields at any depth, through structs, arrays and map
+    values; None if there is nothing to remove."""
+    if isinstance(dt, T.ArrayType):
+        if _without_raw(F.lit(None), dt.elementType, exempt, path) is None:
+            return None
+        return F.transform(col, lambda x: _without_raw(x, dt.elementType, exempt, path))
+    if isinstance(dt, T.MapType):
+        if _without_raw(F.lit(None), dt.valueType, exempt, path) is None:
+            return None
+        return F.transform_values(col, lambda _, v: _without_raw(v, dt.valueType, exempt, path))
+    if not isinstance(dt, T.StructType):
+        return None
+    kept, changed = [], False
+    for f in dt.fields:
+        own = f"{path}.{f.name}"
+        if is_raw_field(f.name) and own not in exempt:
+            changed = True
+            continue
+        inner = _without_raw(col.getField(f.name), f.dataType, exempt, own)
+        changed = changed or inner is not None
+        kept.append((col.getField(f.name) if inner is None else inner).alias(f.name))
+    if not changed:
+        return None
+    if not kept:
+        raise PublicationError(f"every field of {path} is a raw field")
+    return F.when(col.isNotNull(), F.struct(*kept))
+
+
 def drop_raw_fields(df: DataFrame, exempt: Iterable[str] = ()) -> DataFrame:
-    """Remove raw fields: top-level columns by ``drop``, nested struct fields
-    by ``dropFields``."""
+    """Remove raw fields at any depth: columns, fields of structs, of structs in
+    arrays and in map values.  Paths name fields only (``cases.response``)."""
     exempt = set(exempt)
-    top = [f.name for f in df.schema.fields if is_raw_field(f.name) and f.name not in exempt]
-    out = df.drop(*top)
-    for f in out.schema.fields:
-        if isinstance(f.dataType, T.StructType):
-            nested = [p for p in raw_paths(f.dataType, exempt, prefix=f.name + ".")]
-            if nested:
-                col = F.col(f.name)
-                for p in sorted(nested, key=len, reverse=True):
-                    col = col.dropFields(p.split(".", 1)[1])
-                out = out.withColumn(f.name, col)
-    return out
+    out = []
+    for f in df.schema.fields:
+        if is_raw_field(f.name) and f.name not in exempt:
+            continue
+        col = F.col(f"`{f.name}`")
+        clean = _without_raw(col, f.dataType, exempt, f.name)
+        out.append(col if clean is None else clean.alias(f.name))
+    return df.select(*out)
 
 
 def assert_no_raw_fields(df: DataFrame, origin: str = "", exempt: Iterable[str] = (),
@@ -121,8 +147,8 @@ def raw_field_report(spark: SparkSession, tables: dict[str, T.StructType],
             path = prefix + f.name
             rows.append((tname, path, is_raw_field(f.name) and path not in exempt, prefix == ""))
             dt = f.dataType
-            while isinstance(dt, T.ArrayType):
-                dt = dt.elementType
+            while isinstance(dt, (T.ArrayType, T.MapType)):
+                dt = dt.elementType if isinstance(dt, T.ArrayType) else dt.valueType
             if isinstance(dt, T.StructType):
                 walk(tname, dt, path + ".")
 

@@ -48,6 +48,8 @@ def emit_dataset(spark: SparkSession, sf: str, target: str | None = None) -> Dat
     leaks = audit.leak_all(jsonl, LEAK_RULES)
     for cfg in CONFIGS:
         leaks = leaks.unionByName(audit.leak_all(written[cfg], LEAK_RULES))
+    in_files = audit.leak_files(spark, f"{target}/runs_jsonl", LEAK_RULES).groupBy("file", "rule").agg(F.count(F.lit(1)).alias("n"))
+    leaks = leaks.unionByName(in_files.withColumnRenamed("file", "column_name"))
     ids = (header.select(F.col("model_id").alias("id")).union(header.select("base_model_id"))
            .where(F.col("id").isNotNull()).distinct())
     status = L.registry_status(ids, fx.fx7_status_cache(spark, sf), fx.fx7_store(spark, sf), fx.CACHE_MODE)

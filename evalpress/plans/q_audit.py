@@ -2,13 +2,15 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from evalpress.constants import LEAK_RULES, WITHHELD_FIELD_PATTERN
 from evalpress.operators import audit
 from evalpress.operators.state import change_date
+from evalpress.operators.versions import Versions
 from evalpress.plans import fixtures as fx
 from evalpress.plans.registry import query
-from evalpress.sources.tables import table
+from evalpress.sources.tables import sf_tag, table
 
 W = fx.with_
 
@@ -35,8 +37,8 @@ FROM (SELECT {k} AS k, unnest(['{"', '".join(cols)}']) AS column_name, unnest([{
 WHERE u.v IS NOT NULL AND regexp_matches(u.v, r.pattern) GROUP BY u.column_name, r.rule""" for t, k, cols in _SCANNED))
 def q_leak_columns(spark, sf):
     out = None
-    for t, k, cols in _SCANNED:
-        part = audit.leak_columns(table(spark, sf, t), [k], list(cols), RULES).select(
+    for t, _, cols in _SCANNED:
+        part = audit.leak_columns(table(spark, sf, t), list(cols), RULES).select(
             F.lit(t).alias("table_name"), "column_name", "rule", "n")
         out = part if out is None else out.unionByName(part)
     return out
@@ -73,5 +75,8 @@ NEW_STAMP = "2024-02-01"
   CASE WHEN p.hash IS NULL THEN 'new' WHEN p.hash = sha256(n.text) THEN 'unchanged' ELSE 'changed' END AS change
 FROM new_docs n LEFT JOIN prev p ON p.doc_id = n.doc_id""")
 def q_snapshot(spark, sf):
-    return change_date(fx.fx11_new(spark, sf), fx.fx11_previous(spark, sf), "doc_id",
-                       F.sha2("text", 256), F.lit(NEW_STAMP))
+    """The state that an earlier build left is read from its stored version, and
+    the next version is stored; the result is what the next build will read."""
+    state = Versions(spark, f"snapshot-{sf_tag(sf)}", T.StructType.fromDDL("doc_id long, hash string, stamp string, change string"))
+    state.publish(fx.fx11_previous(spark, sf).withColumn("change", F.lit("new")))
+    return state.publish(change_date(fx.fx11_new(spark, sf), state.read(), "doc_id", F.sha2("text", 256), F.lit(NEW_STAMP)))

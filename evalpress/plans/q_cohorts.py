@@ -12,6 +12,9 @@ from evalpress.plans import cohorts
 from evalpress.plans import sqlfn as S
 from evalpress.plans.registry import query
 from evalpress.plans.schemas import LLM_COLUMNS
+from evalpress.session import scratch_path
+from evalpress.sources import lists
+from evalpress.sources.tables import sf_tag
 
 W = fx.with_
 BASE = cohorts.BASE_SQL
@@ -40,14 +43,21 @@ def q_pick_latest(spark, sf):
 @query("filter_public_playbooks", W(fx.FX1_SQL) + f"""SELECT run_dir, playbook, count(*) AS n_cases
 FROM fx1 WHERE playbook IN {ALLOWED_IN} GROUP BY run_dir, playbook""")
 def q_filter_public(spark, sf):
-    cases = publish.filter_allowed(fx.fx1_cases(spark, sf), "playbook", ALLOWED)
-    return cases.groupBy("run_dir", "playbook").agg(F.count(F.lit(1)).alias("n_cases"))
+    """The allow-list is read from its text, where every playbook has a block
+    and the released ones say so."""
+    cases = fx.fx1_cases(spark, sf)
+    seen = cases.select("playbook").distinct().withColumn("public", F.col("playbook").isin(list(ALLOWED)))
+    path = lists.write_list(seen, scratch_path(spark, "lists", sf_tag(sf), "playbooks"), "playbook", "public", "public")
+    kept = lists.keep_listed(cases, "playbook", lists.read_list(spark, path, "public"))
+    return kept.groupBy("run_dir", "playbook").agg(F.count(F.lit(1)).alias("n_cases"))
 
 
 @query("filter_excluded_models", W(*BASE) + """SELECT run_dir, count(*) AS n_reports
 FROM rows WHERE name NOT IN (SELECT name FROM deny) GROUP BY run_dir""")
 def q_filter_excluded(spark, sf):
-    rows = publish.exclude_subjects(cohorts.report_rows(spark, sf), "name", cohorts.deny(spark, sf))
+    """The deny-list is read from its text."""
+    path = lists.write_list(fx.deny_list(spark, sf), scratch_path(spark, "lists", sf_tag(sf), "excluded"), "name")
+    rows = lists.drop_listed(cohorts.report_rows(spark, sf), "name", lists.read_list(spark, path))
     return rows.groupBy("run_dir").agg(F.count(F.lit(1)).alias("n_reports"))
 
 

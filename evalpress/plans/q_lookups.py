@@ -8,12 +8,13 @@ from pyspark.sql import types as T
 from evalpress.functions import columns as C
 from evalpress.operators import lookups as L
 from evalpress.operators import pick
+from evalpress.operators.versions import Versions
 from evalpress.plans import fixtures as fx
 from evalpress.plans import cohorts
 from evalpress.plans import sqlfn as S
 from evalpress.plans.registry import query
 from evalpress.sources import config_text as CT
-from evalpress.sources.tables import table
+from evalpress.sources.tables import sf_tag, table
 
 W = fx.with_
 BASE = cohorts.BASE_SQL
@@ -106,7 +107,12 @@ UNION ALL
 SELECT i.id, 'anon', CASE WHEN i.id IN (SELECT id FROM store) THEN 'ok' ELSE 'undetermined' END, 'looked up', 'new'
 FROM ids i WHERE i.id NOT IN (SELECT id FROM status_cache WHERE mode = 'anon')""")
 def q_merge_cache(spark, sf):
-    return L.merge_status_cache(_ids(spark, sf), fx.fx7_status_cache(spark, sf), fx.fx7_store(spark, sf), fx.CACHE_MODE)
+    """The cache of an earlier run is read from its stored version; the result
+    is the version that the next run reads."""
+    state = Versions(spark, f"status-cache-{sf_tag(sf)}",
+                     T.StructType.fromDDL("id string, mode string, status string, detail string, origin string"))
+    state.publish(fx.fx7_status_cache(spark, sf).withColumn("origin", F.lit("cached")))
+    return state.publish(L.merge_status_cache(_ids(spark, sf), state.read().drop("origin"), fx.fx7_store(spark, sf), fx.CACHE_MODE))
 
 
 @query("audit_metadata_gaps", W(*BASE, fx.FX6_SQL, fx.FX7_LIC_SQL) + f"""SELECT name, missing FROM (

@@ -3,6 +3,7 @@ summary, audits of the written dataset, sinks and report-file sources."""
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from evalpress.constants import EXPECTED_ROWS, LEAK_RULES
 from evalpress.functions import columns as C
@@ -13,7 +14,7 @@ from evalpress.plans import modal, runs
 from evalpress.plans import sqlfn as S
 from evalpress.plans.q_lookups import REG_SQL
 from evalpress.plans.registry import query
-from evalpress.plans.schemas import RUNS, T2I_COLUMNS, TABLE_COLUMNS
+from evalpress.plans.schemas import RUNS, TABLE_COLUMNS
 from evalpress.session import scratch_path
 from evalpress.sources import reports_json as RJ
 from evalpress.sources import sinks
@@ -173,30 +174,30 @@ def q_one_to_one(spark, sf):
     return audit.one_to_one(runs.header_union(spark, sf, m), runs.runs_table(spark, sf, m))
 
 
-_HDR_STRINGS = ("run_id", "model_id", "base_model_id", "served_model_ref", "model_revision",
-                "quantization", "served_by", "hardware")
+def _leak_sql(rel: str, cols) -> str:
+    """Matches of every leak rule in the text columns ``cols`` of ``rel``."""
+    unp = " UNION ALL ".join(f"SELECT {c} AS v FROM {rel}" for c in cols)
+    hits = " + ".join(f"count_if(regexp_matches(v, '{p}'))" for _, p in LEAK_RULES)
+    return f"(SELECT coalesce({hits}, 0) FROM ({unp}) u WHERE v IS NOT NULL)"
 
 
-def _leak_sql(rel: str, cols, key: str) -> str:
-    rules = " UNION ALL ".join(f"SELECT '{n}' AS rule, '{p}' AS pattern" for n, p in LEAK_RULES)
-    unp = " UNION ALL ".join(f"SELECT {key} AS k, '{c}' AS column_name, {c} AS v FROM {rel}" for c in cols)
-    return f"""SELECT u.column_name, r.rule, count(*) AS n FROM ({unp}) u, ({rules}) r
-WHERE u.v IS NOT NULL AND regexp_matches(u.v, r.pattern) GROUP BY u.column_name, r.rule"""
+def _strings(cfg) -> list[str]:
+    return [c for c, t in TABLE_COLUMNS[cfg] if t == T.StringType()]
+
+
+#: nested run metadata holds the ids and header texts once more, and constants of this build
+_LEAKS_SQL = " + ".join(_leak_sql(runs.MART_CTE[cfg], _strings(cfg)) for cfg in TABLE_COLUMNS)
+_COUNTS_SQL = """(SELECT bool_and(coalesce(a.actual, 0) = coalesce(e.expected, -1))
+   FROM (SELECT config, count(*) AS actual FROM hdr GROUP BY config) a FULL OUTER JOIN expected e
+   ON a.config = e.config)"""
 
 
 @query("build_verdict", W(*ALL, HDR, _EXPECTED_SQL, fx.FX7_CACHE_SQL,
                           "ids AS (SELECT DISTINCT id FROM (SELECT model_id AS id FROM hdr UNION ALL "
-                          "SELECT base_model_id FROM hdr) u WHERE id IS NOT NULL)", REG_SQL) + f"""SELECT
-  (SELECT bool_and(coalesce(a.actual, 0) = coalesce(e.expected, -1))
-   FROM (SELECT config, count(*) AS actual FROM hdr GROUP BY config) a FULL OUTER JOIN expected e
-   ON a.config = e.config) AS counts_ok,
-  (SELECT coalesce(sum(n), 0) FROM ({_leak_sql('hdr', _HDR_STRINGS, 'run_id')})) AS n_leaks,
-  (SELECT count(*) FROM reg WHERE status = 'missing') AS n_missing,
-  (SELECT bool_and(coalesce(a.actual, 0) = coalesce(e.expected, -1))
-   FROM (SELECT config, count(*) AS actual FROM hdr GROUP BY config) a FULL OUTER JOIN expected e
-   ON a.config = e.config)
-  AND (SELECT coalesce(sum(n), 0) FROM ({_leak_sql('hdr', _HDR_STRINGS, 'run_id')})) = 0
-  AND (SELECT count(*) FROM reg WHERE status = 'missing') = 0 AS passed""")
+                          "SELECT base_model_id FROM hdr) u WHERE id IS NOT NULL)", REG_SQL,
+                          f"leaked AS (SELECT {_LEAKS_SQL} AS n)") + f"""SELECT {_COUNTS_SQL} AS counts_ok,
+  (SELECT n FROM leaked) AS n_leaks, (SELECT count(*) FROM reg WHERE status = 'missing') AS n_missing,
+  {_COUNTS_SQL} AND (SELECT n FROM leaked) = 0 AND (SELECT count(*) FROM reg WHERE status = 'missing') = 0 AS passed""")
 def q_verdict(spark, sf):
     h = runs.header_union(spark, sf)
     counts = audit.expected_counts(h, EXPECTED_ROWS)
@@ -215,19 +216,37 @@ def _sink_dir(spark, sf, name):
     return scratch_path(spark, "dataset", sf_tag(sf), name)
 
 
-@query("sink_metric_parquet", modal.image_mart_sql())
+def _published(spark, sf, name):
+    """The five metric tables, each published as the next version of its name
+    and read back from its files."""
+    out = {}
+    for cfg, columns in TABLE_COLUMNS.items():
+        df = runs.marts(spark, sf)[cfg].select(*[c for c, _ in columns])
+        out[cfg] = sinks.publish_metric_parquet(df, f"{name}-{sf_tag(sf)}-{cfg}", cfg)
+    return out
+
+
+@query("sink_metric_parquet", W(*ALL) + " UNION ALL BY NAME ".join(
+    f"SELECT '{cfg}' AS config, {', '.join(c for c, _ in columns)} FROM {runs.MART_CTE[cfg]}"
+    for cfg, columns in TABLE_COLUMNS.items()))
 def q_sink_parquet(spark, sf):
-    t2i = runs.marts(spark, sf)["t2i"].select(*[c for c, _ in T2I_COLUMNS])
-    return sinks.write_metric_parquet(t2i, _sink_dir(spark, sf, "data/t2i"), "t2i")
+    """All columns of all five tables, as their files hold them."""
+    out = None
+    for cfg, df in _published(spark, sf, "metric").items():
+        part = df.select(F.lit(cfg).alias("config"), "*")
+        out = part if out is None else out.unionByName(part, allowMissingColumns=True)
+    return out
 
 
-@query("src_readback", W(*modal.IMG_CTES) + " UNION ALL ".join(
-    f"SELECT '{c}' AS column_name, count({c}) AS n_nonnull, {i} AS position FROM img_mart"
-    for i, (c, _) in enumerate(T2I_COLUMNS)))
+@query("src_readback", W(*ALL) + " UNION ALL ".join(
+    f"SELECT '{cfg}' AS config, '{c}' AS column_name, count({c}) AS n_nonnull, {i} AS position FROM {runs.MART_CTE[cfg]}"
+    for cfg, columns in TABLE_COLUMNS.items() for i, (c, _) in enumerate(columns)))
 def q_readback(spark, sf):
-    t2i = runs.marts(spark, sf)["t2i"].select(*[c for c, _ in T2I_COLUMNS])
-    back = sinks.write_metric_parquet(t2i, _sink_dir(spark, sf, "data/t2i_readback"), "t2i")
-    return sinks.column_profile(back).select("column_name", "n_nonnull", "position")
+    out = None
+    for cfg, df in _published(spark, sf, "readback").items():
+        part = sinks.column_profile(df).select(F.lit(cfg).alias("config"), "column_name", "n_nonnull", "position")
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 @query("sink_runs_jsonl", runs.runs_sql())

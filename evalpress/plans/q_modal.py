@@ -149,10 +149,9 @@ FROM (SELECT label, k.key, k.kpos, k.v FROM fx2,
 WHERE v IS NOT NULL AND key NOT IN {fx.sql_in(GUARD_HIDDEN_METRICS)}
 GROUP BY key""")
 def q_discover(spark, sf):
-    g = M.guard_rows(spark, sf)
-    m = F.create_map(*[x for k in _NUMERIC_KEYS for x in (F.lit(k), F.col("metrics")[k].cast("double"))])
-    keys = pick.discover_keys(g.select("label", m.alias("m")), "m", "label", GUARD_HIDDEN_METRICS)
-    return keys.select("key", "first_row", "first_kpos")
+    """Nothing here names a metric: the keys come from the reports' JSON text."""
+    g = M.guard_rows(spark, sf).select("label", F.to_json("metrics", {"ignoreNullFields": "false"}).alias("json"))
+    return pick.discover_json_keys(g, "json", "label", GUARD_HIDDEN_METRICS)
 
 
 @query("sort_wer", W(fx.FX3_RESCORE_SQL) + """SELECT regexp_replace(run, '^\\d{4}-\\d{2}-\\d{2}_suite_', '') AS voice,

@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 from evalpress.plans import fixtures as fx
 from evalpress.plans.schemas import REPORT
 from evalpress.session import scratch_path
+from evalpress.sources.feeds import folder, whole_files
 from evalpress.sources.tables import sf_tag
 
 # FIXED VALUE: report files whose names match this are not reports
@@ -71,6 +72,16 @@ def write_reports(spark: SparkSession, sf: str, root: str | None = None, decoys:
     return root
 
 
+def read_whole_reports(spark: SparkSession, root: str, pattern: str = "*/*.json") -> DataFrame:
+    """Report files as they are dropped, ``<run directory>/<stem>.json``, each a
+    pretty-printed object; the same columns as :func:`read_reports`."""
+    schema = T.StructType([f for f in REPORT.fields if f.name != "_corrupt"])
+    df = whole_files(spark, f"{root}/{pattern}", schema)
+    stem = F.regexp_replace(folder("path", 1), r"\.json$", "")
+    return df.select(*schema.names, "_corrupt", folder("path", 2).alias("run_dir"), stem.alias("stem"), "path",
+                     F.col("file_time").alias("mtime"))
+
+
 def read_reports(spark: SparkSession, root: str, dir_glob: str = "*") -> DataFrame:
     """Report records with run directory, file stem, path and file time."""
     df = (spark.read.schema(READ_SCHEMA)
@@ -118,13 +129,16 @@ def reports_from_records(records: DataFrame) -> DataFrame:
     """
     recs = valid_records(records)
     e = recs.select("run_dir", "stem", "meta", "summary", F.explode("playbooks").alias("playbook", "pb"))
-    perf = F.filter(F.col("pb.results"), lambda r: r["test_id"] == F.lit("perf_benchmark"))
+    # a result's place: as written by a slice, else its place in the list
+    placed = F.transform("pb.results", lambda r, i: F.struct(
+        F.coalesce(r["pos"], i.cast("long")).alias("pos"), r["response"].alias("response"), r["test_id"].alias("test_id")))
+    perf = F.filter(placed, lambda r: r["test_id"] == F.lit("perf_benchmark"))
     first_perf = F.try_element_at(F.array_sort(F.transform(perf, lambda r: F.struct(r["pos"], r["response"]))),
                                   F.lit(1))
     sl = e.select(
         "run_dir", "stem", "meta", "summary", "playbook",
         F.col("pb.pass_rate").alias("pass_rate"), F.col("pb.mean_score").alias("mean_score"),
-        F.col("pb.passed").alias("passed"),
+        F.col("pb.passed").alias("passed"), F.col("pb.total").alias("_total"),
         F.coalesce(F.size("pb.results"), F.lit(0)).alias("n_results"),
         F.coalesce(F.size(F.filter(F.col("pb.results"), lambda r: r["verdict"] == F.lit("error"))), F.lit(0))
         .alias("n_err"),
@@ -133,7 +147,7 @@ def reports_from_records(records: DataFrame) -> DataFrame:
     pb = sl.groupBy("run_dir", "stem", "playbook").agg(
         F.max("meta").alias("meta"), F.max("summary").alias("summary"),
         F.max("pass_rate").alias("pass_rate"), F.max("mean_score").alias("mean_score"),
-        F.sum("n_results").cast("int").alias("total"), F.max("passed").alias("passed"),
+        F.coalesce(F.max("_total"), F.sum("n_results")).cast("int").alias("total"), F.max("passed").alias("passed"),
         F.sum("n_ko").cast("int").alias("n_knockouts"), F.sum("n_err").cast("int").alias("n_error"),
         F.min("perf").alias("perf"))
     entry = F.struct(F.col("pass_rate"), F.col("mean_score"), F.col("total"), F.col("passed"),

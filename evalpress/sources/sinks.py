@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from evalpress.operators.publish import assert_no_raw_fields
+from evalpress.operators.versions import Versions
 
 
 def write_metric_parquet(df: DataFrame, path: str, origin: str = "") -> DataFrame:
@@ -20,6 +21,14 @@ def write_metric_parquet(df: DataFrame, path: str, origin: str = "") -> DataFram
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def publish_metric_parquet(df: DataFrame, name: str, origin: str = "") -> DataFrame:
+    """As :func:`write_metric_parquet`, but as the next version of the table
+    ``name``: readers of the version before keep their files, and a build that
+    fails leaves the newest version as it was."""
+    assert_no_raw_fields(df, origin)
+    return Versions(df.sparkSession, name, df.schema).publish(df)
+
+
 def write_runs_jsonl(df: DataFrame, path: str, schema: T.StructType | None = None) -> DataFrame:
     """JSON lines with nulls written out (the default would drop null fields);
     read back with ``schema`` (default: the written DataFrame's schema)."""
