@@ -13,10 +13,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from evalpress.llm.common import bounded_batches, fraction_class, small, staged, tidy
+from evalpress.llm.common import bounded_batches, fraction_class, sampled, small, staged, tidy
 
 
 @dataclass(frozen=True)
@@ -24,8 +24,8 @@ class Params:
     """``landmarks``: most words taken as landmarks, among words in at least
     ``least_docs`` toxic documents; ``decay``: factor for each skipped letter;
     ``span``: letters that a subsequence may stretch over; ``floor``: kernel
-    values below it count as 0; ``rows``: training rows of a label at most (the
-    fitting sample, drawn by a hash of the id)."""
+    values below it count as 0; ``rows``: training ids of a label at most, a text
+    each (the fitting sample, drawn by a hash of the id)."""
 
     landmarks: int = 192
     least_docs: int = 4
@@ -44,7 +44,21 @@ SPACED = re.compile(r"(?:^|(?<=\s))(?:\w\s){2,}\w(?=\s|$)")
 
 def clean(token: str) -> str:
     """A word without the characters between its letters."""
-    return LETTERS.sub("", token)
+    return token if token.isalpha() else LETTERS.sub("", token)
+
+
+#: which code points are white space; none above U+3000 is
+SPACE = np.array([chr(c).isspace() for c in range(0x3002)])
+
+
+def may_be_spaced(text: str) -> bool:
+    """Whether two single characters stand between blanks next to each other,
+    as in every match of ``SPACED``."""
+    code = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
+    blank = np.ones(len(code) + 2, bool)  # the text's ends count as blanks
+    blank[1:-1] = SPACE[np.minimum(code, 0x3001)]
+    lone = blank[:-2] & ~blank[1:-1] & blank[2:]
+    return bool((lone[:-2] & lone[2:]).any())
 
 
 def units(text: str, step: int) -> set[str]:
@@ -52,7 +66,8 @@ def units(text: str, step: int) -> set[str]:
     count as one word; longer words count as overlapping stretches."""
     low = text.casefold()
     out = set(low.split())
-    out.update("".join(m.split()) for m in SPACED.findall(low))
+    if may_be_spaced(low):
+        out.update("".join(m.split()) for m in SPACED.findall(low))
     long = [w for w in out if len(w) > step]
     for w in long:
         out.discard(w)
@@ -89,8 +104,13 @@ class Landmarks:
         for j, x in enumerate(profiles):
             for k, v in x.items():
                 self.matrix[at[k], j] = v
+        # a triple's greatest weight in any landmark, and in any of a few like-spelled ones
+        self.most = self.matrix.max(1, initial=0)
+        alike = sorted(range(len(words)), key=words.__getitem__)
+        self.coarse = np.stack([self.matrix[:, alike[i:i + 8]].max(1) for i in range(0, len(words), 8)] or [self.most], 1)
         self.known = known
         self.settled: set[str] = set()
+        self.before: set[str] = set()  # words settled earlier, next to be forgotten
         self.vectors: dict[str, np.ndarray] = {}  # of the settled words with a value of floor or more
         self.maybe = np.zeros(1 << 18, bool)
         self.maybe[self._slot(self.codes)] = True
@@ -102,8 +122,9 @@ class Landmarks:
     def values(self, words: list[str], chunk: int = 2048) -> tuple[np.ndarray, np.ndarray]:
         """(indices of words with a value of ``floor`` or more, their values).
 
-        The share of a word's weight on landmark triples bounds its kernel
-        values, so most words are settled without a product."""
+        No kernel value of a word exceeds the sum over its triples of weight
+        times the greatest weight that any landmark gives the triple, so most
+        words are settled without a product."""
         p = self.p
         text = "".join(words)
         size = np.fromiter(map(len, words), np.int64, len(words))
@@ -133,8 +154,9 @@ class Landmarks:
         if not hit_w:
             return np.zeros(0, np.int64), np.zeros((0, len(self.words)), np.float32)
         ow, ok, ov = np.concatenate(hit_w), np.concatenate(hit_k), np.concatenate(hit_v)
-        share = np.bincount(ow, ov * ov, minlength=len(words)) / np.maximum(whole, 1e-9)
-        left_over = np.flatnonzero(share >= p.floor ** 2 / 4)  # a repeated triple counts up to twice here
+        bound = np.bincount(ow, ov * self.most[ok], minlength=len(words))
+        left_over = np.flatnonzero(bound >= (p.floor - 1e-6) * np.sqrt(whole))
+        left_over = left_over[whole[left_over] > 0]
         place = np.full(len(words), -1)
         place[left_over] = np.arange(len(left_over))
         pick = place[ow] >= 0
@@ -144,14 +166,21 @@ class Landmarks:
         norm = np.sqrt(whole[left_over]).astype(np.float32)
         kept, rows = [], []
         first = np.searchsorted(ow, np.arange(len(left_over) + 1))
+        ov = ov.astype(np.float32)
         for at in range(0, len(left_over), chunk):  # sums of landmark rows, by word
             end = min(at + chunk, len(left_over))
-            lo, hi = first[at], first[end]
-            v = np.add.reduceat(self.matrix[ok[lo:hi]] * ov[lo:hi, None].astype(np.float32), first[at:end] - lo)
-            v = np.minimum(v / norm[at:end, None], 1.0)
-            good = np.flatnonzero(v.max(1) >= p.floor)
-            kept.append(left_over[at + good])
-            v = v[good]
+            lo, hi, head = first[at], first[end], first[at:end] - first[at]
+            v = np.add.reduceat(self.coarse[ok[lo:hi]] * ov[lo:hi, None], head)
+            good = at + np.flatnonzero(v.max(1) >= (p.floor - 1e-4) * norm[at:end])
+            if not len(good):
+                continue
+            size = first[good + 1] - first[good]
+            some = np.repeat(first[good] - (np.cumsum(size) - size), size) + np.arange(size.sum())
+            v = np.add.reduceat(self.matrix[ok[some]] * ov[some, None], np.cumsum(size) - size)
+            v = np.minimum(v / norm[good, None], 1.0)
+            best = v.max(1) >= p.floor
+            kept.append(left_over[good[best]])
+            v = v[best]
             v[v < p.floor] = 0
             rows.append(v)
         if not kept:
@@ -161,7 +190,7 @@ class Landmarks:
     def features(self, texts: list[str | None], piece: int = 2_000_000) -> np.ndarray:
         """One row per text: its best value against each landmark.  Texts are
         taken up to ``piece`` characters at a time; words settled before are
-        remembered, up to ``known`` of them."""
+        remembered, up to ``known`` of them, the later half if more come."""
         out = np.zeros((len(texts), len(self.words)), np.float32)
         at = 0
         while at < len(texts):
@@ -170,15 +199,16 @@ class Landmarks:
                 size += len(texts[end] or "")
                 end += 1
             each = [units(t, self.p.unit) if t else set() for t in texts[at:end]]
-            every = set().union(*each)
-            if len(self.settled) + len(every - self.settled) > self.known:
-                self.settled, self.vectors = set(), {}
-            new = list(every - self.settled)
+            new = list(set().union(*each).difference(self.settled, self.before))
+            if len(self.settled) + len(new) > self.known // 2:
+                self.before, self.settled = self.settled, set()
+                self.vectors = {u: v for u, v in self.vectors.items() if u in self.before}
+                new = list(set().union(*each).difference(self.before))
             self.settled.update(new)
             hits, v = self.values([clean(u) for u in new])
             self.vectors.update((new[k], row) for k, row in zip(hits.tolist(), v))
             for o, found in zip(out[at:end], each):
-                for u in found & self.vectors.keys():
+                for u in filter(self.vectors.__contains__, found):
                     np.maximum(o, self.vectors[u], out=o)
             at = end
         return out
@@ -267,9 +297,8 @@ def fit(docs: DataFrame, labels: DataFrame, p: Params = Params()) -> Model:
     none = Model(land, np.zeros((0, 0)), None, (1.0, 0.0))
     if not land.words:
         return none
-    order = Window.partitionBy("_toxic").orderBy(F.xxhash64(F.lit(3), "doc_id"), "doc_id")
-    ids = rows.select("doc_id", "_toxic").withColumn("_rank", F.row_number().over(order)).where(F.col("_rank") <= p.rows)
-    sample = rows.join(F.broadcast(ids.select("doc_id").distinct()), "doc_id", "left_semi")  # at most 2 x rows ids
+    known = rows.groupBy("doc_id").agg(F.max("_toxic").alias("_label"))
+    sample, _ = sampled(rows, known, p.rows)
     shared = docs.sparkSession.sparkContext.broadcast(land)
 
     def featurise(batches):
@@ -277,7 +306,7 @@ def fit(docs: DataFrame, labels: DataFrame, p: Params = Params()) -> Model:
             f = shared.value.features(b.column(1).to_pylist())
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([x.tobytes() for x in f], pa.binary())], names=["y", "f"])
 
-    got = sample.select(F.col("_toxic").alias("y"), "text").mapInArrow(tidy(featurise), "y int, f binary").collect()
+    got = sample.select(F.col("_label").alias("y"), "text").mapInArrow(tidy(featurise), "y int, f binary").collect()
     if not got:
         return none
     f = np.stack([np.frombuffer(r["f"], np.float32) for r in got]).astype(np.float64)

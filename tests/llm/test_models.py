@@ -188,3 +188,63 @@ def test_articles_of_the_tables(spark):
         want[r["page_id"]] = " ".join(html.unescape(re.sub(r"</?b>", "", inner)).split())
     got = {r["page_id"]: r["text"] for r in html_extract.extract(pages).collect()}
     assert sum(got[k] == want[k] for k in want) >= 0.99 * len(want)
+
+
+def test_language_of_very_long_texts():
+    rng = random.Random(7)
+    texts, langs = zip(*[(prose(rng, lang, rng.randrange(20, 200)), lang) for _ in range(100) for lang in TONGUES])
+    model = lang_id.fit(list(texts), list(langs), lang_id.Params(per_lang=100))
+    letters = "abcdefghijklmnopqrstuvwxyzäéßøşž"
+
+    def noisy(lang: str, size: int, share: float) -> str:
+        out, length = [], 0
+        while length < size:
+            w = prose(rng, lang, 1) if rng.random() >= share else "".join(rng.choice(letters) for _ in range(7))
+            out.append(w)
+            length += len(w) + 1
+        return " ".join(out)
+
+    long = [noisy(lang, 1_000_000, share) for lang in TONGUES for share in (0.1, 0.3)]
+    got = [model.langs[k] for k in model.scores(long).argmax(1)]
+    assert got == [lang for lang in TONGUES for _ in (0.1, 0.3)]
+    short = [texts[0], texts[1][:500]]
+    plain = lang_id.presence(short, 3, 13) @ model.landmarks @ model.weights[:-1] + model.weights[-1]
+    assert np.allclose(model.scores(short), plain, atol=1e-4)
+
+
+def test_toxicity_bounds_are_exact():
+    """Words settled by a bound alone have no kernel value of the floor or more."""
+    rng = random.Random(9)
+    p = toxicity.Params()
+    bad = ["grobnik", "veltrasse", "morduk", "skenfar", "vela", "moruk", "aaaa", "abab"] + ["w" + "".join(rng.choice("abcd") for _ in range(6)) for _ in range(20)]
+    words = ["".join(rng.choice("abcdgromnk") for _ in range(rng.randrange(0, 12))) for _ in range(3000)] + bad
+    words += [w[:3] + "x" + w[3:] for w in bad]
+    land = toxicity.Landmarks(bad, p)
+    hit, values = land.values(words)
+    got = {int(k): v for k, v in zip(hit, values)}
+    profiles = [toxicity.profile(b, p) for b in bad]
+    for i, w in enumerate(words):
+        own, whole = {}, 0.0
+        for a, b, x in toxicity.offsets(p):  # a repeated triple counts one by one in a word's length
+            for at in range(len(w) - b):
+                k = ord(w[at]) << 42 | ord(w[at + a]) << 21 | ord(w[at + b])
+                own[k], whole = own.get(k, 0) + x, whole + x * x
+        want = np.array([min(1, sum(own.get(k, 0) * v for k, v in q.items()) / max(whole, 1e-9) ** 0.5) for q in profiles])
+        want[want < p.floor] = 0
+        near = np.abs(want - p.floor) < 1e-4
+        assert np.allclose(got.get(i, np.zeros(len(bad)))[~near], want[~near], atol=1e-3), w
+
+
+def test_words_are_forgotten_by_halves():
+    p = toxicity.Params()
+    texts = [" ".join(f"w{k}x{j}" for j in range(40)) + " grobnik" for k in range(50)]
+    whole = toxicity.Landmarks(["grobnik", "morduk"], p).features(texts, piece=300)
+    few = toxicity.Landmarks(["grobnik", "morduk"], p, known=100)
+    assert np.array_equal(few.features(texts, piece=300), whole) and len(few.before) + len(few.settled) <= 200
+
+
+def test_spaced_words():
+    assert "moronx" in toxicity.units("you  m o r o n x", 32)
+    for t in ("a b c", "x a b", "a b", "", "a  b  c", "it is a b c", "a\tb\nc", "é è ê"):
+        want = {"".join(m.split()) for m in toxicity.SPACED.findall(t)} | set(t.split())
+        assert toxicity.units(t, 32) == want, t
