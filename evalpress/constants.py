@@ -86,6 +86,12 @@ BEST_DIRECTION = {
     "Präz.": "max", "Acc": "max", "FN-Rate": "min", "Lat ø": "min", "Lat p95": "min",
 }
 GUARD_HIDDEN_METRICS = ("n_unsafe", "n_safe", "fn_rate", "latency_ms_p95")
+# --- fixed values: shown names of known guard metrics (an unknown one shows its own) ---
+GUARD_KEY_LABEL = {
+    "n_unsafe": "Unsafe", "n_safe": "Safe", "recall": "Recall", "fn_rate": "FN-Rate", "fpr": "FPR",
+    "trap_fpr": "Trap-FPR", "precision": "Präz.", "f1": "F1", "accuracy": "Acc",
+    "latency_ms_mean": "Lat ø", "latency_ms_p95": "Lat p95",
+}
 GUARD_NAME = {
     "granite-guardian": "Granite-Guardian-4.1-8B", "gpt-oss-safeguard": "gpt-oss-safeguard-20b",
     "nemotron-3-5": "Nemotron-3.5-Content-Safety", "nemotron-3": "Nemotron-3-Content-Safety",

@@ -131,8 +131,33 @@ def leak_text(df: DataFrame, key: str, text: str, rules: Sequence[tuple[str, str
     return found.select(key, F.col("f.rule").alias("rule"), F.substring("f.m", 1, cut).alias("match"))
 
 
-def json_keys(df: DataFrame, col: str) -> DataFrame:
-    return df.select(F.explode(F.json_object_keys(F.col(col))).alias("key"))
+def json_paths(df: DataFrame, col: str) -> DataFrame:
+    """(key, n) of every key in the JSON objects of a column, at any depth:
+    ``a.b`` is b in a, ``a[].b`` is b in an object of the array a; n counts the
+    values.  Levels are exploded until none has an object or array left, which a
+    look for one row tells, so nothing is cut at a fixed depth.  Text that is no
+    JSON object gives no keys."""
+    v = df.select(F.try_parse_json(col).alias("_v"))
+    explode = df.sparkSession.tvf.variant_explode
+    level = v.where(F.schema_of_variant("_v").startswith("OBJECT")).select(F.lit("").alias("_at"), "_v")
+    found = None
+    while not level.isEmpty():
+        e = level.lateralJoin(explode(F.col("_v").outer())).select(
+            F.when(F.col("key").isNull(), F.concat("_at", F.lit("[]")))
+            .when(F.col("_at") == "", F.col("key")).otherwise(F.concat("_at", F.lit("."), "key")).alias("_at"),
+            F.col("key").isNotNull().alias("_named"), F.col("value").alias("_v"))
+        names = e.where("_named").select(F.col("_at").alias("key"))
+        found = names if found is None else found.unionByName(names)
+        level = e.where(F.schema_of_variant("_v").rlike("^(OBJECT|ARRAY)")).select("_at", "_v")
+    if found is None:
+        return df.sparkSession.createDataFrame([], "key string, n long")
+    return found.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+
+
+def withheld(key: Column | str, pattern: str) -> Column:
+    """Whether a part of a key path has a name that is never published."""
+    k = F.col(key) if isinstance(key, str) else key
+    return F.exists(F.split(F.regexp_replace(k, r"\[\]", ""), r"\."), lambda part: part.rlike(pattern))
 
 
 def field_names(spark: SparkSession, tables: Mapping[str, T.StructType], pattern: str) -> DataFrame:
@@ -154,10 +179,15 @@ def field_names(spark: SparkSession, tables: Mapping[str, T.StructType], pattern
     return spark.createDataFrame(rows, "table string, path string, withheld boolean")
 
 
-def verdict(counts: DataFrame, leaks: DataFrame, status: DataFrame) -> DataFrame:
-    """One row: all counts as expected, no leak finding, no missing id."""
+def verdict(counts: DataFrame, leaks: DataFrame, status: DataFrame, fields: DataFrame | None = None) -> DataFrame:
+    """One row: all counts as expected, no leak finding, no missing id and, if
+    ``fields`` (with a flag ``withheld``) is given, no withheld field."""
     c = counts.agg(F.bool_and("ok").alias("counts_ok"))
     lk = leaks.agg(F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("n_leaks"))
     ms = status.agg(F.count_if(F.col("status") == MISSING).alias("n_missing"))
     one = c.crossJoin(lk).crossJoin(ms)
-    return one.withColumn("passed", F.col("counts_ok") & (F.col("n_leaks") == 0) & (F.col("n_missing") == 0))
+    passed = F.col("counts_ok") & (F.col("n_leaks") == 0) & (F.col("n_missing") == 0)
+    if fields is not None:
+        one = one.crossJoin(fields.agg(F.count_if("withheld").alias("n_withheld")))
+        passed = passed & (F.col("n_withheld") == 0)
+    return one.withColumn("passed", passed)

@@ -14,7 +14,7 @@ import json
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from evalpress.constants import CONFIGS, EXPECTED_ROWS, LEAK_RULES
+from evalpress.constants import CONFIGS, EXPECTED_ROWS, LEAK_RULES, WITHHELD_FIELD_PATTERN
 from evalpress.operators import audit, lookups as L
 from evalpress.operators.publish import assert_no_raw_fields
 from evalpress.plans import fixtures as fx
@@ -53,7 +53,12 @@ def emit_dataset(spark: SparkSession, sf: str, target: str | None = None) -> Dat
     ids = (header.select(F.col("model_id").alias("id")).union(header.select("base_model_id"))
            .where(F.col("id").isNotNull()).distinct())
     status = L.registry_status(ids, fx.fx7_status_cache(spark, sf), fx.fx7_store(spark, sf), fx.CACHE_MODE)
-    verdict = audit.verdict(counts, leaks, status)
+    # names of every column of the written tables, and of every key in the written lines
+    tables = {**{cfg: written[cfg].schema for cfg in CONFIGS}, "runs": RUNS}
+    fields = audit.field_names(spark, tables, WITHHELD_FIELD_PATTERN).select("withheld")
+    lines = audit.json_paths(spark.read.text(f"{target}/runs_jsonl"), "value")
+    fields = fields.unionByName(lines.select(audit.withheld("key", WITHHELD_FIELD_PATTERN).alias("withheld")))
+    verdict = audit.verdict(counts, leaks, status, fields)
     one = audit.one_to_one(header, jsonl).agg(F.bool_and("one_to_one").alias("one_to_one"))
     return verdict.crossJoin(one)
 

@@ -62,9 +62,8 @@ def q_leak_text(spark, sf):
 @query("audit_field_names", f"""SELECT key, count(*) AS n_rows, regexp_matches(key, '{WITHHELD_FIELD_PATTERN}') AS withheld
 FROM (SELECT unnest(json_keys(props)) AS key FROM events) t GROUP BY key""")
 def q_field_names(spark, sf):
-    keys = audit.json_keys(table(spark, sf, "events"), "props")
-    return keys.groupBy("key").agg(F.count(F.lit(1)).alias("n_rows")).withColumn(
-        "withheld", F.col("key").rlike(WITHHELD_FIELD_PATTERN))
+    keys = audit.json_paths(table(spark, sf, "events"), "props")
+    return keys.select("key", F.col("n").alias("n_rows"), audit.withheld("key", WITHHELD_FIELD_PATTERN).alias("withheld"))
 
 
 NEW_STAMP = "2024-02-01"

@@ -3,7 +3,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from evalpress.constants import BEST_DIRECTION, GUARD_HIDDEN_METRICS, NO_VALUE
+from evalpress.constants import BEST_DIRECTION, GUARD_HIDDEN_METRICS, GUARD_KEY_LABEL, NO_VALUE
 from evalpress.functions import columns as C
 from evalpress.operators import lookups as L, pick
 from evalpress.plans import fixtures as fx
@@ -182,42 +182,70 @@ def q_report_saas(spark, sf):
 # ------------------------------------------------------------------ guards
 _GUARD_KEYS = ("n_unsafe", "n_safe", "recall", "fn_rate", "fpr", "trap_fpr", "precision", "f1",
                "accuracy", "latency_ms_mean", "latency_ms_p95")
-_KEY_LABEL = {"n_unsafe": "Unsafe", "n_safe": "Safe", "recall": "Recall", "fn_rate": "FN-Rate", "fpr": "FPR",
-              "trap_fpr": "Trap-FPR", "precision": "Präz.", "f1": "F1", "accuracy": "Acc",
-              "latency_ms_mean": "Lat ø", "latency_ms_p95": "Lat p95"}
-_INT_KEYS = ("n_unsafe", "n_safe")
-
-
-def _guard_long_sql() -> str:
-    items = ", ".join(f"{{'key': '{k}', 'kpos': {i}, 'v': CAST({k} AS DOUBLE), "
-                      f"'dir': '{BEST_DIRECTION.get(_KEY_LABEL[k], '')}'}}" for i, k in enumerate(_GUARD_KEYS))
-    return f"""glong AS (SELECT label, k.key, k.kpos, k.v, k.dir FROM fx2, unnest([{items}]) t(k)),
-gkeys AS (SELECT key FROM glong WHERE v IS NOT NULL AND key NOT IN {fx.sql_in(GUARD_HIDDEN_METRICS)} GROUP BY key)"""
-
-
-@query("report_guards", W(fx.FX2_SQL, _guard_long_sql()) + f"""SELECT g.label, g.key AS column_name,
-  CASE WHEN g.v IS NULL THEN '{NO_VALUE}'
-       WHEN g.key IN {fx.sql_in(_INT_KEYS)} THEN CAST(CAST(g.v AS BIGINT) AS VARCHAR)
-       ELSE printf('%.3f', round_even(g.v, 3)) END AS cell,
-  coalesce(CASE g.dir WHEN 'max' THEN g.v = max(g.v) OVER (PARTITION BY g.key)
-                      WHEN 'min' THEN g.v = min(g.v) OVER (PARTITION BY g.key) END, false) AS best
-FROM glong g WHERE g.key IN (SELECT key FROM gkeys)""")
+
+#: link of a report's detail page, below the site's address
+DETAIL_PAGE = ("g/", ".html")
+FIRST_COLUMN, LAST_COLUMN = "Release", "Lizenz"
+
+
+def _guard_sql() -> list[str]:
+    items = ", ".join(f"{{'key': '{k}', 'kpos': {i}, 'v': CAST({k} AS DOUBLE)}}" for i, k in enumerate(_GUARD_KEYS))
+    label = "CASE key " + " ".join(f"WHEN '{k}' THEN '{GUARD_KEY_LABEL[k]}'" for k in _GUARD_KEYS) + " ELSE key END"
+    way = "CASE column_name " + " ".join(f"WHEN '{c}' THEN '{d}'" for c, d in BEST_DIRECTION.items()) + " END"
+    return [f"""grow AS (SELECT g.*, {S.slugify('g.label')} AS slug, coalesce(gm.name, '') AS full_name
+  FROM fx2 g LEFT JOIN guard_map gm ON gm.slug = {S.slugify('g.label')})""",
+            f"glong AS (SELECT label, k.key, k.kpos, k.v FROM fx2, unnest([{items}]) t(k))",
+            f"""gkeys AS (SELECT key, {label} AS column_name, row_number() OVER (ORDER BY min((label, kpos))) AS position
+  FROM glong WHERE v IS NOT NULL AND key NOT IN {fx.sql_in(GUARD_HIDDEN_METRICS)} GROUP BY key)""",
+            f"""gcells AS (SELECT label, position, column_name, {S.fmt_num('v')} AS cell, {way} AS way,
+    TRY_CAST({S.fmt_num('v')} AS DOUBLE) AS shown FROM glong JOIN gkeys USING (key)
+  UNION ALL SELECT g.label, 0, '{FIRST_COLUMN}', {_release_sql('m.release_date')}, NULL, NULL
+  FROM grow g LEFT JOIN fx6 m ON m.name = g.full_name
+  UNION ALL SELECT g.label, (SELECT count(*) + 1 FROM gkeys), '{LAST_COLUMN}', coalesce(nullif(m.license, ''), '{NO_VALUE}'), NULL, NULL
+  FROM grow g LEFT JOIN fx6 m ON m.name = g.full_name)"""]
+
+
+@query("report_guards", W(fx.FX2_SQL, fx.GUARD_MAP_SQL, fx.FX6_SQL, *_guard_sql()) + f"""SELECT c.label,
+  CASE WHEN g.has_detail THEN '{DETAIL_PAGE[0]}' || g.slug || '{DETAIL_PAGE[1]}' ELSE '' END AS link,
+  CAST(c.position AS INTEGER) AS position, c.column_name, c.cell,
+  coalesce(CASE c.way WHEN 'max' THEN c.shown = max(c.shown) OVER (PARTITION BY c.column_name)
+                      WHEN 'min' THEN c.shown = min(c.shown) OVER (PARTITION BY c.column_name) END, false) AS best
+FROM gcells c JOIN grow g ON g.label = c.label""")
 def q_report_guards(spark, sf):
-    g = modal.guard_rows(spark, sf)
-    items = [F.struct(F.lit(k).alias("key"), F.col("metrics")[k].cast("double").alias("v"),
-                      F.lit(BEST_DIRECTION.get(_KEY_LABEL[k], "")).alias("dir")) for k in _GUARD_KEYS]
-    long = g.select("label", F.explode(F.array(*items)).alias("k")).select("label", "k.*")
-    keys = (long.where(F.col("v").isNotNull() & ~F.col("key").isin(list(GUARD_HIDDEN_METRICS)))
-            .select("key").distinct())
-    long = long.join(keys, "key", "left_semi")
-    ext = long.groupBy("key").agg(F.max("v").alias("_mx"), F.min("v").alias("_mn"))
-    j = long.join(ext, "key")
-    best = F.coalesce(F.when(F.col("dir") == "max", F.col("v") == F.col("_mx"))
-                      .when(F.col("dir") == "min", F.col("v") == F.col("_mn")), F.lit(False))
-    cell = (F.when(F.col("v").isNull(), F.lit(NO_VALUE))
-            .when(F.col("key").isin(list(_INT_KEYS)), F.col("v").cast("bigint").cast("string"))
-            .otherwise(F.format_string("%.3f", F.bround("v", 3))))
-    return j.select("label", F.col("key").alias("column_name"), cell.alias("cell"), best.alias("best"))
+    """One row per guard and column: the release, the metrics found in the
+    reports in first-seen order, the license.  Best marks compare what is shown."""
+    g = modal.guard_rows(spark, sf).withColumn("_json", F.to_json("metrics", {"ignoreNullFields": "false"}))
+    meta = fx.fx6_meta(spark, sf).select(F.col("name").alias("full_name"), "release_date", "license")
+    g = g.join(meta, "full_name", "left")
+    link = F.when(F.col("has_detail"), F.concat(F.lit(DETAIL_PAGE[0]), "slug", F.lit(DETAIL_PAGE[1]))).otherwise(F.lit(""))
+    found = pick.discover_json_keys(g, "_json", "label", GUARD_HIDDEN_METRICS)
+    # one row with the names of the metrics in order, as many as reports have names for them
+    names = found.agg(F.array_sort(F.collect_list(F.struct("first_row", "first_kpos", "key"))).alias("_keys"))
+    values = F.from_json("_json", "map<string, string>")
+    g = g.crossJoin(F.broadcast(names)).withColumn("_values", values)
+    cells = F.transform("_keys", lambda k, i: F.struct(
+        (i + 1).alias("position"), _shown_name(k["key"]).alias("column_name"), _shown(F.col("_values")[k["key"]]).alias("cell")))
+    ends = [F.array(F.struct(at.alias("position"), F.lit(name).alias("column_name"), cell.alias("cell")))
+            for at, name, cell in ((F.lit(0), FIRST_COLUMN, R.release_cell(F.col("release_date"))),
+                                   (F.size("_keys") + 1, LAST_COLUMN, F.coalesce(C.nz("license"), F.lit(NO_VALUE))))]
+    long = g.select("label", link.alias("link"), F.inline(F.concat(ends[0], cells, ends[1])))
+    way = F.create_map(*[F.lit(x) for kv in BEST_DIRECTION.items() for x in kv])[F.col("column_name")]
+    long = long.withColumn("_shown", F.when(way.isNotNull(), F.expr("try_cast(cell AS double)"))).withColumn("_way", way)
+    edge = long.where("_shown IS NOT NULL").groupBy("column_name").agg(
+        F.when(F.first("_way") == "max", F.max("_shown")).otherwise(F.min("_shown")).alias("_best"))
+    return (long.join(edge, "column_name", "left")
+            .select("label", "link", "position", "column_name", "cell",
+                    F.coalesce(F.col("_shown") == F.col("_best"), F.lit(False)).alias("best")))
+
+
+def _shown_name(key):
+    return F.coalesce(F.create_map(*[F.lit(x) for kv in GUARD_KEY_LABEL.items() for x in kv])[key], key)
+
+
+def _shown(text):
+    """A JSON number as shown: whole numbers as they are, others with three digits."""
+    return (F.when(text.isNull(), F.lit(NO_VALUE)).when(text.rlike(r"^-?\d+$"), text)
+            .otherwise(F.format_string("%.3f", F.bround(text.cast("double"), 3))))
 
 
 # ------------------------------------------------------------------- image

@@ -164,3 +164,23 @@ def test_leak_in_a_written_file_is_found(spark):
     df.coalesce(1).write.mode("overwrite").json(root + "/runs_jsonl")
     got = audit.leak_files(spark, root + "/runs_jsonl", (("path", r"/secret/\w+"),)).collect()
     assert [(r["rule"], r["match"]) for r in got] == [("path", "/secret/store")] and "/runs_jsonl/part-" in got[0]["file"]
+
+
+def test_key_paths_at_any_depth(spark):
+    df = spark.createDataFrame([('{"a": 1, "b": {"pii_score": 2, "c": [{"d": {"e": 1}}, {"f": 2}, [3]]}}',), ('{"a": null}',),
+                                ("no json",), (None,), ('[{"z": 1}]',)], "j string")
+    keys = audit.json_paths(df, "j")
+    assert {r["key"]: r["n"] for r in keys.collect()} == {"a": 2, "b": 1, "b.pii_score": 1, "b.c": 1, "b.c[].d": 1, "b.c[].d.e": 1, "b.c[].f": 1}
+    flagged = {r["key"] for r in keys.where(audit.withheld("key", "^pii_")).collect()}
+    assert flagged == {"b.pii_score"}
+    assert audit.json_paths(df.where("j = 'no json'"), "j").collect() == []
+
+
+def test_verdict_turns_on_each_fault(spark):
+    def verdict(ok=True, leaks=0, status="ok", held=False):
+        return audit.verdict(spark.createDataFrame([(ok,)], "ok boolean"), spark.createDataFrame([(leaks,)], "n long"),
+                             spark.createDataFrame([(status,)], "status string"),
+                             spark.createDataFrame([(held,)], "withheld boolean")).first()["passed"]
+
+    assert verdict() is True
+    assert [verdict(ok=False), verdict(leaks=1), verdict(status="missing"), verdict(held=True)] == [False] * 4
