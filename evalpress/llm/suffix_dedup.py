@@ -569,15 +569,30 @@ def keyed(docs: DataFrame, text: Column, doc_id: Column) -> DataFrame:
                        F.xxhash64(own).alias("_h"), own.cast("binary").alias("_text"))
 
 
-def marked_texts(marks: DataFrame, open_only: bool) -> DataFrame:
-    """(_id, _h) of the texts that have marks, or open ones."""
+def marked_texts(marks: DataFrame, open_only: bool, most: int = 1 << 20) -> DataFrame:
+    """(_id, _h) of the texts that have marks, or open ones.  A task names a text
+    once, or once more after ``most`` others, however many marks it has."""
 
     def run(batches):
+        held, size = [], 0
+
+        def flush():
+            nonlocal held, size
+            both = np.unique(np.concatenate(held), axis=0) if held else np.zeros((0, 2), np.int64)
+            held, size = [both], 0
+            return both
+
+        def rows(both):
+            return pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], names=["_id", "_h"])
+
         for b in batches:
             ids, hs, _, _, state = unpacked((r[2:7] for r in table_rows([b])), np.int64, np.int64, np.int64, np.int64, np.int8)
             pick = state != SETTLED if open_only else np.ones(len(state), bool)
-            both = np.unique(np.stack([ids[pick], hs[pick]], 1), axis=0)
-            yield pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], names=["_id", "_h"])
+            held.append(np.unique(np.stack([ids[pick], hs[pick]], 1), axis=0))
+            size += len(held[-1])
+            if size > most and len(flush()) > most:
+                yield rows(held.pop())
+        yield rows(flush())
 
     return staged(marks.mapInArrow(tidy(run), "_id long, _h long").distinct())
 

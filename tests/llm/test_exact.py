@@ -472,3 +472,18 @@ def test_compression_bands():
     assert quality_rules.judge(prose, conf, comp)["kept"]
     for bad in (" ".join(chr(97 + i % 26) * 3 for i in range(60)) * 40, " ".join(noise[i:i + 20] for i in range(0, 3000, 20))):
         assert not quality_rules.judge(bad, conf, comp)["kept"]
+
+
+def test_marked_texts_are_named_once_a_task(spark):
+    rng = random.Random(4)
+    marks = [(rng.randrange(40), rng.randrange(3), k, 1, rng.choice([suffix_dedup.SETTLED, suffix_dedup.BY_ANCHOR]), 9) for k in range(3000)]
+    rows = [tuple([0, suffix_dedup.SETTLED, *[np.array([m[c] for m in marks[at:at + 7]], t).tobytes() for c, t in
+                                               enumerate((np.int64, np.int64, np.int64, np.int64, np.int8, np.uint64))], b""])
+            for at in range(0, len(marks), 7)]
+    df = spark.createDataFrame(rows, suffix_dedup.ROW)
+    for only in (True, False):
+        want = {(m[0], m[1]) for m in marks if not only or m[4] != suffix_dedup.SETTLED}
+        for most in (5, 1 << 20):
+            got = suffix_dedup.marked_texts(df, only, most).collect()
+            assert sorted((r["_id"], r["_h"]) for r in got) == sorted(want)
+    assert suffix_dedup.marked_texts(df.limit(0), True).collect() == []
