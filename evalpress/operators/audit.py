@@ -54,8 +54,8 @@ def string_columns(schema: T.StructType, prefix: str = "") -> list[str]:
     return out
 
 
-def _matches(pattern: str):
-    return lambda x: x.rlike(pattern)
+def _named(name: str):
+    return lambda v: F.struct(F.lit(name).alias("column_name"), v.alias("v"))
 
 
 def _field(name: str):
@@ -63,19 +63,16 @@ def _field(name: str):
 
 
 def _counted(df: DataFrame, cells: Sequence[tuple[str, Column, bool]], rules: Sequence[tuple[str, str]]) -> DataFrame:
-    """Findings per (column, rule) by one aggregate: a counter for each pair,
-    so no row is multiplied and nothing but the counters is shuffled.  A cell is
-    (name, value, whether the value is an array of strings)."""
-    names, counters = [], []
-    for name, v, many in cells:
-        for rule, pattern in rules:
-            hits = (F.sum(F.size(F.filter(v, _matches(pattern)))) if many else F.count_if(v.rlike(pattern)))
-            counters.append(F.coalesce(hits, F.lit(0)).cast("long").alias(f"_{len(names)}"))
-            names.append((name, rule))
-    one = df.agg(*counters)
-    rows = F.array(*[F.struct(F.lit(c).alias("column_name"), F.lit(r).alias("rule"), F.col(f"_{k}").alias("n"))
-                     for k, (c, r) in enumerate(names)])
-    return one.select(F.inline(rows)).where("n > 0")
+    """Findings per (column, rule).  A value is tested once against all rules at
+    once; only values with a finding become rows, which are tested rule by rule
+    and counted.  A cell is (name, value, whether the value is an array of strings)."""
+    any_rule = "|".join(f"(?:{p})" for _, p in rules)
+    values = F.flatten(F.array(*[F.transform(F.coalesce(v if many else F.array(v), F.array().cast("array<string>")), _named(name))
+                                 for name, v, many in cells]))
+    found = df.select(F.explode(F.filter(values, lambda c: c["v"].rlike(any_rule))).alias("c"))
+    hits = F.filter(F.array(*[F.when(F.col("c.v").rlike(p), F.lit(n)) for n, p in rules]), lambda x: x.isNotNull())
+    return (found.select("c.column_name", F.explode(hits).alias("rule"))
+            .groupBy("column_name", "rule").agg(F.count(F.lit(1)).alias("n")))
 
 
 def leak_columns(df: DataFrame, columns: Sequence[str], rules: Sequence[tuple[str, str]]) -> DataFrame:
