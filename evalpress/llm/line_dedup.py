@@ -3,8 +3,9 @@
 Two lines are alike if one edit at most (a character inserted, deleted or
 replaced) turns one into the other.  All steps are DataFrame expressions:
 
-1. Equal lines meet on two hashes of the line.
-2. Alike lines agree on their first or on their second half, so only lines that
+1. Equal lines, of any length but blank, meet on two hashes of the line.
+2. Only lines of ``min_chars`` characters at least can be alike without being
+   equal: one edit makes another word of a short one.  Alike lines agree on their first or on their second half, so only lines that
    share a half with another line go on.  These are seen as stretches of
    ``stretch`` characters: alike lines agree on everything outside one stretch,
    so only stretches go on whose outside another line shares.
@@ -24,9 +25,9 @@ MIN_CHARS = 20
 BLANK = " \t\r\f\v"
 
 
-def lines(docs: DataFrame, min_chars: int) -> DataFrame:
+def lines(docs: DataFrame, min_chars: int = 1) -> DataFrame:
     """(_id, _h, _pos, _line): every trimmed line of ``min_chars`` characters
-    at least, with its document's keys."""
+    at least (1: all but blank ones), with its document's keys."""
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID).cast("long")).alias("_id"),
                        F.xxhash64(text).alias("_h"), F.posexplode(F.split(text, "\n")).alias("_pos", "_raw"))
@@ -125,9 +126,10 @@ def alike_lines(docs: DataFrame, table: DataFrame, stretch: int, min_chars: int)
 def repeated_lines(docs: DataFrame, min_chars: int = MIN_CHARS, stretch: int = STRETCH) -> DataFrame:
     """(_id, _h, _gone): the numbers of the lines to remove, per document that
     has some; rows repeating id and text are one document."""
-    rows = staged(lines(docs, min_chars).select(
-        "_id", "_h", "_pos", F.xxhash64("_line").alias("_a"), F.xxhash64(F.lit(1), "_line").alias("_b"),
-        half_keys(F.col("_line"), min_chars).alias("_halves")))
+    line = F.col("_line")
+    halves = F.when(F.char_length(line) >= min_chars, half_keys(line, min_chars)).otherwise(F.array().cast("array<bigint>"))
+    rows = staged(lines(docs).select("_id", "_h", "_pos", F.xxhash64(line).alias("_a"), F.xxhash64(F.lit(1), line).alias("_b"),
+                                     halves.alias("_halves")))
     equal = (rows.groupBy("_a", "_b").agg(F.min(F.struct("_id", "_h", "_pos")).alias("first"), F.count("*").alias("n"))
              .where("n > 1").select("_a", "_b", "first"))
     near = alike_lines(docs, rows, stretch, min_chars).withColumn("near", F.lit(True))
@@ -156,10 +158,10 @@ def with_kept(docs: DataFrame, min_chars: int, stretch: int) -> DataFrame:
 def line_counts(docs: DataFrame, min_chars: int = MIN_CHARS, stretch: int = STRETCH) -> DataFrame:
     """doc_id, n_lines, n_removed, kept_chars, kept_sha256 of every document.
 
-    A line (split at ``\\n``, trimmed) of ``min_chars`` characters at least is
-    removed if an earlier line of the corpus (smaller doc_id, or earlier in the
-    same document) is equal or one edit away, whether that one stays or not.
-    Shorter and blank lines always stay.  A null text is an empty one (one
+    A line (split at ``\\n``, trimmed) that is not blank is removed if an earlier
+    line of the corpus (smaller doc_id, or earlier in the same document) is
+    equal, or one edit away and both have ``min_chars`` characters at least,
+    whether that one stays or not.  Blank lines always stay.  A null text is an empty one (one
     blank line).  Documents of one id are in order of a hash of their texts,
     those without an id come first; rows that repeat id and text are one
     document.  An empty table gives no rows; other columns are ignored."""

@@ -132,30 +132,35 @@ def cut_documents(docs: DataFrame, path: str, eos: int, size: int, unit: int) ->
                 [b.column(0).take(pa.array(cols[0])), b.column(2).take(pa.array(cols[0]))] + [pa.array(c) for c in cols[1:]],
                 names=["doc_id", "_mix", "start", "length", "ids_crc32", "doc_tokens"])
 
-    src = bounded_batches(docs).select("doc_id", "text", F.xxhash64(F.lit(11), "doc_id", F.length("text")).alias("_mix"))
+    src = bounded_batches(docs).select("doc_id", "text", F.xxhash64(F.lit(11), "doc_id", "text").alias("_mix"))
     kind = src.schema["doc_id"].dataType.simpleString()
     return src.mapInArrow(tidy(run), f"doc_id {kind}, _mix long, start long, length long, ids_crc32 long, doc_tokens long")
 
 
 def pack(docs: DataFrame, path: str, eos: int = 1, size: int = 2048, unit: int = 256,
-         group_docs: int = 8192) -> DataFrame:
+         group_docs: int = 8192, block: int = 64) -> DataFrame:
     """Pack every document into sequences of at most ``size`` tokens.
 
     Returns one row per piece: doc_id, start, length, ids_crc32, doc_tokens,
     sequence_id, offset.  The groups are drawn by a hash of the document, about
-    ``group_docs`` documents each, so a group has a bounded size whatever the
-    input and is packed by one task; only piece lengths are shuffled, never
-    texts or ids.  Null texts are empty ones; rows without an id and repeated
+    ``group_docs`` documents each, and a group is packed by one task; only piece
+    lengths are shuffled, never texts or ids.  Rows that repeat id and text would
+    all have one hash: their pieces are counted first, and each ``block`` of the
+    copies draws a group of its own, so no group grows with them.  Null texts are empty ones; rows without an id and repeated
     rows are packed like any other; an empty table gives no rows; extra columns
     are ignored.  Pieces of equal length keep (doc_id, start) order."""
     groups = max(1, -(-docs.count() // group_docs))
-    cut = cut_documents(docs, path, eos, size, unit).withColumn("_group", F.pmod("_mix", F.lit(groups)))
+    cut = cut_documents(docs, path, eos, size, unit)
+    copies = cut.groupBy(*cut.columns).agg(F.count("*").alias("_n"))
+    blocks = copies.select("*", F.explode(F.sequence(F.lit(0), F.col("_n") - 1, F.lit(block).cast("long"))).alias("_from"))
+    cut = blocks.select(*cut.columns, F.least(F.col("_n") - F.col("_from"), F.lit(block)).alias("_copies"),
+                        F.pmod(F.xxhash64("_mix", "_from"), F.lit(groups)).alias("_group"))
     key = cut.schema["doc_id"]
     out = T.StructType([key] + [T.StructField(c, T.LongType()) for c in
                                 ("start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")])
 
     def run(g: pd.DataFrame) -> pd.DataFrame:
-        g = g.sort_values(["doc_id", "start", "ids_crc32", "length"], kind="stable")
+        g = g.loc[g.index.repeat(g["_copies"])].sort_values(["doc_id", "start", "ids_crc32", "length"], kind="stable")
         where, offset = first_fit_decreasing(g["length"].to_numpy(np.int64), size)
         return g.assign(sequence_id=(int(g["_group"].iloc[0]) << 32) + where, offset=offset)[[f.name for f in out]]
 

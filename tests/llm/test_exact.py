@@ -165,6 +165,16 @@ def test_packing(spark):
     assert collected(packing.pack(docs(spark, []), path)) == []
 
 
+def test_packing_spreads_repeated_rows(spark):
+    path = tokenizer_file("byte_bpe_50k.json")
+    rows = [(None, None)] * 4000 + [(7, "the same text")] * 4000 + [(i, "own text %d" % i) for i in range(100, 4100)]
+    got = packing.pack(docs(spark, rows), path, group_docs=500)
+    sizes = [r["n"] for r in got.groupBy(F.shiftright("sequence_id", 32).alias("g")).agg(F.count("*").alias("n")).collect()]
+    assert sum(sizes) == 12000 and len(sizes) == 24 and max(sizes) < 2 * 500
+    assert got.select("sequence_id", "offset").distinct().count() == 12000
+    assert Counter(r["doc_id"] for r in got.collect())[7] == 4000
+
+
 def test_first_fit_decreasing_matches_plain_search():
     rng = np.random.default_rng(1)
     n = rng.integers(1, 2049, 500)
@@ -228,7 +238,7 @@ def test_line_dedup_brute_force(spark):
         k = rng.randrange(len(s) + 1)
         return rng.choice([s, s[:k] + "Z" + s[k:], s[:k] + s[k + 1:], s[:k] + "Y" + s[k + 1:], s[:k] + "ZZ" + s[k:]])
 
-    rows = [(i, "\n".join(rng.choice([edit(rng.choice(pool)), "short", "", "  " + rng.choice(pool) + " ", words(rng, 12)])
+    rows = [(i, "\n".join(rng.choice([edit(rng.choice(pool)), rng.choice(["short", "shor", "x", " Read more", "nineteen characters", "é.", "\t"]), "", "  " + rng.choice(pool) + " ", words(rng, 12)])
                           for _ in range(rng.randrange(1, 9)))) for i in range(60)]
     rows += [(100, None), (101, ""), (102, rows[0][1]), (103, "\n".join(pool * 3)), (104, "y" * 5000), (105, "y" * 5001 + "\nok")]
     got = {r["doc_id"]: r for r in collected(line_dedup.line_counts(docs(spark, rows, clash=True).repartition(4)))}
@@ -238,8 +248,8 @@ def test_line_dedup_brute_force(spark):
         kept, n = [], 0
         for line in (t or "").split("\n"):
             s = line.strip()
-            if len(s) >= 20:
-                if any(distance_at_most_one(s, e) for e in earlier):
+            if s:
+                if any(e == s or min(len(s), len(e)) >= 20 and distance_at_most_one(s, e) for e in earlier):
                     n += 1
                 else:
                     kept.append(line)
