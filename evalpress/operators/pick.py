@@ -14,6 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from evalpress.functions import columns as C
 
 
 def _cols(xs) -> list[Column]:
@@ -79,6 +80,16 @@ def best_in_column(df: DataFrame, directions: dict[str, str], prefix: str = "bes
     return joined.withColumns(flags).drop(*[f"_ext_{c}" for c in directions])
 
 
+def best_shown(df: DataFrame, directions: dict[str, str]) -> DataFrame:
+    """Flag the best of what is shown: a cell counts with its number as shown
+    (unit and rounding included), so cells that look equal are marked alike and
+    cells without a number never are.  ``x_cell`` gives ``best_x``."""
+    numbers = {f"_shown_{c}": C.cell_number(c) for c in directions}
+    marked = best_in_column(df.withColumns(numbers), {f"_shown_{c}": d for c, d in directions.items()})
+    names = {f"best__shown_{c}": f"best_{c.removesuffix('_cell')}" for c in directions}
+    return marked.drop(*numbers).withColumnsRenamed(names)
+
+
 def forward_fill(df: DataFrame, part: str, order: str, value: str, out: str,
                  chunk: int = 4096) -> DataFrame:
     """Attach to each row the last non-null ``value`` at or before it within
@@ -155,7 +166,6 @@ def typed_sort_keys(df: DataFrame, cell: str) -> DataFrame:
     """Sort keys for a display column: numeric when every non-blank cell is a
     number with optional unit, else natural text order; blanks last.  The
     column type is decided by one global aggregate (one row, broadcast)."""
-    from evalpress.functions import columns as C
     k = df.withColumns({"_blank": C.cell_blank(cell), "_num": C.cell_number(cell)})
     kind = k.agg(F.min(F.col("_blank") | F.col("_num").isNotNull()).alias("_all_num"))
     k = k.crossJoin(F.broadcast(kind))

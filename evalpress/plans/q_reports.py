@@ -24,16 +24,13 @@ ROSTER_SQL = [
     """lreps AS (SELECT r.name, arg_max_null(r.stem, r.stem) AS stem, arg_max_null(r.total, r.stem) AS total,
    arg_max_null(r.total > 0 AND r.err * 10 <= r.total * 3, r.stem) AS valid,
    arg_max_null(CASE WHEN r.total > 0 THEN CAST(r.err AS DOUBLE) / r.total ELSE 1.0 END, r.stem) AS err_rate,
-   arg_max_null(r.profile, r.stem) AS profile, arg_max_null(r.knockouts, r.stem) AS knockouts,
-   arg_max_null(q.pass_rate, r.stem) AS quality
- FROM rows r LEFT JOIN fx1_pb q ON q.run_dir = r.run_dir AND q.stem = r.stem AND q.playbook = '01_quality'
- WHERE r.run_dir IN (SELECT run_dir FROM local_cohort) AND NOT r.is_saas
+   arg_max_null(r.profile, r.stem) AS profile, arg_max_null(r.knockouts, r.stem) AS knockouts
+ FROM rows r WHERE r.run_dir IN (SELECT run_dir FROM local_cohort) AND NOT r.is_saas
    AND r.name NOT IN (SELECT name FROM deny) GROUP BY r.name)""",
-    """vset AS (SELECT name, f.pass_rate AS pass_rate, f.overall AS overall, f.knockouts AS knockouts, f.quality AS quality
- FROM (SELECT s.name, arg_max({'pass_rate': s.pass_rate, 'overall': s.overall, 'knockouts': s.knockouts, 'quality': q.pass_rate},
+    """vset AS (SELECT name, f.pass_rate AS pass_rate, f.overall AS overall, f.knockouts AS knockouts, f.stem AS stem, f.profile AS profile
+ FROM (SELECT s.name, arg_max({'pass_rate': s.pass_rate, 'overall': s.overall, 'knockouts': s.knockouts, 'stem': s.stem, 'profile': s.profile},
                               (-coalesce(TRY_CAST(nullif(s.pass_rate, '') AS DOUBLE), 0), s.stem)) AS f
-       FROM sized s JOIN local_cohort c USING (run_dir)
-       LEFT JOIN fx1_pb q ON q.run_dir = s.run_dir AND q.stem = s.stem AND q.playbook = '01_quality' GROUP BY s.name) k)""",
+       FROM sized s JOIN local_cohort c USING (run_dir) GROUP BY s.name) k)""",
     f"""rs AS (SELECT coalesce(o.name, r.name) AS name,
    CASE WHEN o.name IS NULL THEN CASE WHEN r.valid THEN 'valid' ELSE 'degraded' END
         WHEN v.name IS NOT NULL THEN 'valid'
@@ -44,8 +41,8 @@ ROSTER_SQL = [
    o.name IS NOT NULL AS in_roster, r.name IS NOT NULL AS has_report, r.valid AS report_valid,
    v.name IS NOT NULL AS in_valid_set, coalesce(nullif(o.profile, ''), r.profile, '') AS profile,
    r.err_rate, v.pass_rate AS valid_pass_rate, coalesce(o.active, false) AS active, coalesce(o.na, false) AS na,
-   v.overall AS v_overall, v.knockouts AS v_knockouts, v.quality AS v_quality,
-   r.knockouts AS r_knockouts, r.quality AS r_quality
+   v.overall AS v_overall, v.knockouts AS v_knockouts, v.stem AS v_stem, v.profile AS v_profile,
+   r.knockouts AS r_knockouts, r.stem AS r_stem
  FROM roster o FULL OUTER JOIN lreps r ON o.name = r.name LEFT JOIN vset v ON v.name = coalesce(o.name, r.name)
  WHERE o.name IS NULL OR o.active OR o.na OR r.name IS NOT NULL)""",
     """rsr AS (SELECT *, CASE status WHEN 'valid' THEN 0 WHEN 'running' THEN 1 WHEN 'degraded' THEN 2
@@ -120,18 +117,32 @@ _LOCAL_LICENSE_SQL = f"""coalesce(CASE WHEN lc.license <> '' AND lc.license <> '
   nullif(m.license, ''), '{NO_VALUE}')"""
 
 
-@query("report_llm_local", W(*ROSTER_CTES, fx.FX6_SQL, fx.FX7_LIC_SQL) + f"""SELECT x.name, x.status,
+#: detail page of a report, by its file name
+LLM_DETAIL_PAGE = ("m/", ".html")
+_MED, _TTFT = S.json_number("w.perf_response", "throughput_median_tok_s"), S.json_number("w.perf_response", "ttft_p50_ms")
+_PERF_CELLS = f"""CASE WHEN {_MED} IS NOT NULL THEN printf('%.1f', round_even({_MED}, 1)) ELSE '{NO_VALUE}' END AS tok_s_cell,
+  CASE WHEN {_TTFT} IS NOT NULL THEN CAST(CAST(round_even({_TTFT}, 0) AS BIGINT) AS VARCHAR) || ' ms' ELSE '{NO_VALUE}' END AS ttft_cell"""
+_PB_CELLS = ", ".join(f"{_pct_sql(f'w.pr_{c}')} AS {c}_cell" for _, c in R.SHOWN_PLAYBOOKS)
+
+
+@query("report_llm_local", W(*ROSTER_CTES, cohorts.pb_wide_sql(), fx.FX6_SQL, fx.FX7_LIC_SQL, f"""cells AS (SELECT x.name, x.status,
+  CASE WHEN x.status = 'valid' THEN {S.hub_link('x.v_profile')} ELSE '' END AS link,
+  CASE WHEN x.status = 'valid' AND x.v_stem IS NOT NULL
+       THEN '{LLM_DETAIL_PAGE[0]}' || x.v_stem || '{LLM_DETAIL_PAGE[1]}' ELSE '' END AS detail,
   {position_sql("x")} AS position, {_release_sql('m.release_date')} AS release,
   CASE x.status WHEN 'valid' THEN {_overall_sql('x.v_overall', 'x.valid_pass_rate')}
                 WHEN 'degraded' THEN CAST(CAST(round_even(x.err_rate * 100, 0) AS BIGINT) AS VARCHAR) || '{ERROR_SHARE_SUFFIX}'
                 ELSE '{NO_VALUE}' END AS overall_cell,
   CASE x.status WHEN 'valid' THEN CAST(coalesce(x.v_knockouts, 0) AS VARCHAR)
                 WHEN 'degraded' THEN CAST(coalesce(x.r_knockouts, 0) AS VARCHAR) ELSE '{NO_VALUE}' END AS ko_cell,
-  CASE x.status WHEN 'valid' THEN {_pct_sql('x.v_quality')} WHEN 'degraded' THEN {_pct_sql('x.r_quality')}
-                ELSE '{NO_VALUE}' END AS quality_cell,
-  {_LOCAL_LICENSE_SQL} AS license
-FROM rsr x LEFT JOIN fx6 m ON m.name = x.name LEFT JOIN lic_cache lc ON lc.profile = x.profile""")
+  {_PB_CELLS}, {_PERF_CELLS}, {_LOCAL_LICENSE_SQL} AS license
+FROM rsr x LEFT JOIN fx6 m ON m.name = x.name LEFT JOIN lic_cache lc ON lc.profile = x.profile
+LEFT JOIN (SELECT pbw.* FROM pbw JOIN local_cohort USING (run_dir)) w
+  ON w.stem = CASE x.status WHEN 'valid' THEN x.v_stem WHEN 'degraded' THEN x.r_stem END)""")
+  + f"SELECT *, {S.best_shown(R.BEST_LLM)} FROM cells")
 def q_report_local(spark, sf):
+    """The roster with what its reports show; an entry that is neither valid nor
+    degraded shows no values.  Marks compare the shown numbers of all rows."""
     rs = R.roster_status(spark, sf).withColumn("is_saas", F.lit(False))
     meta = fx.fx6_meta(spark, sf)
     rs = L.with_license(rs, fx.fx7_license_cache(spark, sf), meta)
@@ -143,35 +154,33 @@ def q_report_local(spark, sf):
                .otherwise(F.lit(NO_VALUE)))
     ko = (F.when(st == "valid", F.coalesce("v_knockouts", F.lit(0)).cast("string"))
           .when(st == "degraded", F.coalesce("r_knockouts", F.lit(0)).cast("string")).otherwise(F.lit(NO_VALUE)))
-    quality = (F.when(st == "valid", R.pct_cell(F.col("v_quality")))
-               .when(st == "degraded", R.pct_cell(F.col("r_quality"))).otherwise(F.lit(NO_VALUE)))
-    cells = rs.select("name", "status", "status_rank", "in_valid_set", "valid_pass_rate",
-                      R.release_cell(F.col("release_date")).alias("release"), overall.alias("overall_cell"),
-                      ko.alias("ko_cell"), quality.alias("quality_cell"), "license")
-    ranked = pick.rank_within(cells, [], R.sort_key(cells), out="position")
-    return ranked.select("name", "status", "position", "release", "overall_cell", "ko_cell", "quality_cell", "license")
+    rs = rs.withColumn("_shown", F.when(st == "valid", F.col("v_shown")).when(st == "degraded", F.col("r_shown")))
+    valid = (st == "valid") & F.col("v_shown").isNotNull()
+    link = F.when(valid, C.hub_link_from_profile("v_shown.profile")).otherwise(F.lit(""))
+    detail = F.when(valid, F.concat(F.lit(LLM_DETAIL_PAGE[0]), "v_shown.stem", F.lit(LLM_DETAIL_PAGE[1]))).otherwise(F.lit(""))
+    cells = rs.select("name", "status", "status_rank", "in_valid_set", "valid_pass_rate", link.alias("link"), detail.alias("detail"),
+                      R.release_cell(F.col("release_date")).alias("release"), overall.alias("overall_cell"), ko.alias("ko_cell"),
+                      *[R.pct_cell(F.col(f"_shown.{c}")).alias(f"{c}_cell") for _, c in R.SHOWN_PLAYBOOKS],
+                      R.tok_cell(F.col("_shown.tok_s")).alias("tok_s_cell"), R.ttft_cell(F.col("_shown.ttft")).alias("ttft_cell"), "license")
+    ranked = pick.rank_within(cells, [], R.sort_key(cells), out="position").drop("status_rank", "in_valid_set", "valid_pass_rate")
+    return pick.best_shown(ranked, R.BEST_LLM)
 
 
 def _llm_report_sql(kind: str) -> str:
     cohort = "local_cohort" if kind == "local" else "saas_cohort"
-    med = S.json_number("w.perf_response", "throughput_median_tok_s")
-    ttft = S.json_number("w.perf_response", "ttft_p50_ms")
-    has = f"({med} IS NOT NULL OR {ttft} IS NOT NULL)"
     link = (f"(CASE WHEN s.is_saas THEN {S.provider('s.profile', 2, '')} ELSE {S.hub_link('s.profile')} END)")
     lic = f"""CASE WHEN s.is_saas THEN {S.provider('s.profile', 1, 'proprietär (API)')} ELSE {_LOCAL_LICENSE_SQL} END"""
-    pbs = ", ".join(f"{_pct_sql(f'w.pr_{c}')} AS {c}_cell" for c in ("quality", "german", "bias", "code"))
-    return W(*cohorts.BASE_SQL, cohorts.pb_wide_sql(), fx.FX6_SQL, fx.FX7_LIC_SQL) + f"""SELECT s.stem, s.name,
+    cells = f"""cells AS (SELECT s.stem, s.name,
   CASE WHEN {link} = '' AND nullif(m.hf_repo, '') IS NOT NULL THEN 'https://huggingface.co/' || m.hf_repo
        ELSE {link} END AS link,
   {_release_sql('m.release_date')} AS release, {_overall_sql('s.overall', 's.pass_rate')} AS overall_cell,
-  CAST(coalesce(s.knockouts, 0) AS VARCHAR) AS ko_cell, {pbs},
-  CASE WHEN {has} AND {med} IS NOT NULL THEN printf('%.1f', round_even({med}, 1)) ELSE '{NO_VALUE}' END AS tok_s_cell,
-  CASE WHEN {has} AND {ttft} IS NOT NULL THEN CAST(CAST(round_even({ttft}, 0) AS BIGINT) AS VARCHAR) || ' ms'
-       ELSE '{NO_VALUE}' END AS ttft_cell,
+  CAST(coalesce(s.knockouts, 0) AS VARCHAR) AS ko_cell, {_PB_CELLS}, {_PERF_CELLS},
   {lic} AS license,
   row_number() OVER (ORDER BY coalesce(TRY_CAST(nullif(s.pass_rate, '') AS DOUBLE), 0) DESC, s.stem) AS position
 FROM sized s JOIN {cohort} c USING (run_dir) JOIN pbw w ON w.run_dir = s.run_dir AND w.stem = s.stem
-LEFT JOIN fx6 m ON m.name = s.name LEFT JOIN lic_cache lc ON lc.profile = coalesce(s.profile, '')"""
+LEFT JOIN fx6 m ON m.name = s.name LEFT JOIN lic_cache lc ON lc.profile = coalesce(s.profile, ''))"""
+    return (W(*cohorts.BASE_SQL, cohorts.pb_wide_sql(), fx.FX6_SQL, fx.FX7_LIC_SQL, cells)
+            + f"SELECT *, {S.best_shown(R.BEST_LLM)} FROM cells")
 
 
 @query("report_llm_saas", _llm_report_sql("saas"))
@@ -249,7 +258,7 @@ def _shown(text):
 
 
 # ------------------------------------------------------------------- image
-@query("report_image", W(*modal.IMG_CTES[:4], fx.FX6_SQL) + f"""SELECT d.model,
+@query("report_image", W(*modal.IMG_CTES[:4], fx.FX6_SQL, f"""cells AS (SELECT d.model,
   CASE WHEN x.dir IS NOT NULL THEN 'https://huggingface.co/' || {S.replace_first_dashes('x.dir')} ELSE '' END AS link,
   {_release_sql('m.release_date')} AS release, {S.fmt_int('d.generated')} AS generated_cell,
   {S.fmt_num('d.gen_seconds_mean')} AS gen_seconds_cell, {S.fmt_num('d.text_rendering_cer_mean')} AS cer_cell,
@@ -259,7 +268,8 @@ def _shown(text):
                                     first_path))
              FROM (SELECT model, arg_max_null(gen_seconds_mean, run_dir) AS gen_seconds_mean,
                           min(run_dir) AS first_path FROM fx4 GROUP BY model)) AS fastest
-FROM img_latest d LEFT JOIN img_dirs x ON x.name = d.model LEFT JOIN fx6 m ON m.name = d.model""")
+FROM img_latest d LEFT JOIN img_dirs x ON x.name = d.model LEFT JOIN fx6 m ON m.name = d.model)""")
+  + f"SELECT *, {S.best_shown(R.BEST_IMAGE)} FROM cells")
 def q_report_image(spark, sf):
     imgs = fx.fx4_images(spark, sf)
     latest = imgs.groupBy("model").agg(F.max_by(F.struct(*[c for c in imgs.columns if c != "model"]), "run_dir")
@@ -271,7 +281,7 @@ def q_report_image(spark, sf):
     meta = fx.fx6_meta(spark, sf).select(F.col("name").alias("_m_name"), "release_date", "license")
     d = (latest.join(dirs, latest["model"] == dirs["_dir_name"], "left")
          .join(meta, F.col("model") == F.col("_m_name"), "left").crossJoin(F.broadcast(fastest)))
-    return d.select(
+    cells = d.select(
         "model", F.when(F.col("dir").isNotNull(), F.concat(F.lit("https://huggingface.co/"),
                                                            C.replace_first_dashes("dir"))).otherwise(F.lit("")).alias("link"),
         R.release_cell(F.col("release_date")).alias("release"), C.fmt_int("generated").alias("generated_cell"),
@@ -279,14 +289,16 @@ def q_report_image(spark, sf):
         F.lit(NO_VALUE).alias("exact_cell"), C.fmt_num("adherence_score_mean").alias("adherence_cell"),
         F.coalesce(C.nz("license"), F.lit(NO_VALUE)).alias("license"),
         (F.col("model") == F.col("_fastest")).alias("fastest"))
+    return pick.best_shown(cells, R.BEST_IMAGE)
 
 
 # --------------------------------------------------------------------- TTS
-@query("report_tts", W(fx.FX3_RESCORE_SQL, fx.FX3_SUMMARY_SQL, modal.TTS_ROWS_SQL, fx.FX6_SQL) + f"""SELECT t.voice,
+@query("report_tts", W(fx.FX3_RESCORE_SQL, fx.FX3_SUMMARY_SQL, modal.TTS_ROWS_SQL, fx.FX6_SQL, f"""cells AS (SELECT t.voice,
   row_number() OVER (ORDER BY coalesce(t.wer_judge2_mean, 9), t.dir) AS position, t.hf AS link,
   {_release_sql('m.release_date')} AS release, {S.fmt_num('t.wer_judge1_mean')} AS wer_whisper_cell,
   {S.fmt_num('t.wer_judge2_mean')} AS wer_voxtral_cell, coalesce(nullif(m.license, ''), '{NO_VALUE}') AS license
-FROM tts t LEFT JOIN fx6 m ON m.name = coalesce(t.engine, '')""")
+FROM tts t LEFT JOIN fx6 m ON m.name = coalesce(t.engine, ''))""")
+  + f"SELECT *, {S.best_shown(R.BEST_TTS)} FROM cells")
 def q_report_tts(spark, sf):
     t = modal.tts_rows(spark, sf)
     meta = fx.fx6_meta(spark, sf).select(F.col("name").alias("_m_name"), "release_date", "license")
@@ -297,5 +309,6 @@ def q_report_tts(spark, sf):
                      C.fmt_num("wer_judge2_mean").alias("wer_voxtral_cell"),
                      F.coalesce(C.nz("license"), F.lit(NO_VALUE)).alias("license"))
     key = F.coalesce(F.col("wer_judge2_mean"), F.lit(9.0))
-    return pick.rank_within(cells, [], [key, F.col("dir")], out="position").select(
+    ranked = pick.rank_within(cells, [], [key, F.col("dir")], out="position").select(
         "voice", "position", "link", "release", "wer_whisper_cell", "wer_voxtral_cell", "license")
+    return pick.best_shown(ranked, R.BEST_TTS)

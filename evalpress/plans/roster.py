@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from evalpress.constants import NO_VALUE, STATUS_RANK
+from evalpress.constants import BEST_DIRECTION, NO_VALUE, STATUS_RANK
 from evalpress.functions import columns as C
 from evalpress.operators import gates, lookups as L, pick
 from evalpress.operators.publish import exclude_subjects
@@ -14,6 +14,7 @@ from evalpress.plans import cohorts
 
 # parameter: the profile currently being served (status "running")
 RUNNING_PROFILE = "owner6--u1000"
+SHOWN_PLAYBOOKS = (("01_quality", "quality"), ("02_german_language", "german"), ("03_bias", "bias"), ("05_code", "code"))
 NA_PATTERN = r"\bN/?A\b"
 
 
@@ -34,6 +35,15 @@ def build_roster(raw: DataFrame, deny: DataFrame) -> DataFrame:
     return exclude_subjects(r, "name", deny)
 
 
+def shown(prefix: str) -> Column:
+    """What the display table shows of a report beyond its header."""
+    median, ttft = perf_values(F.col("playbooks"))
+    return F.struct(
+        F.col("stem").alias("stem"), F.col("profile").alias("profile"),
+        *[F.col("pb")[k]["pass_rate"].alias(c) for k, c in SHOWN_PLAYBOOKS],
+        median.alias("tok_s"), ttft.alias("ttft")).alias(f"{prefix}_shown")
+
+
 def local_reports(spark: SparkSession, sf: str, rows: DataFrame | None = None) -> DataFrame:
     """All non-SaaS reports of the chosen local cohort directory, valid or not;
     last file per name wins."""
@@ -55,13 +65,13 @@ def roster_status(spark: SparkSession, sf: str, running: str | None = RUNNING_PR
     valid = (cohorts.cohort_rows(spark, sf, "local")
              .select("name", F.col("pass_rate").alias("_v_pass_rate"), F.lit(True).alias("_in_valid"),
                      F.col("overall").alias("v_overall"), F.col("knockouts").alias("v_knockouts"),
-                     F.col("pb")["01_quality"]["pass_rate"].alias("v_quality"), F.col("stem").alias("_v_stem")))
+                     F.col("stem").alias("_v_stem"), shown("v")))
     valid = pick.latest_per_key(valid, ["name"], [-F.coalesce(C.lenient_double("_v_pass_rate"), F.lit(0.0)), "_v_stem"]
                                 ).drop("_v_stem")
     rep_cols = reps.select(F.col("name").alias("_r_name"), F.col("profile").alias("_r_profile"),
                            F.col("total").alias("_r_total"), F.col("valid").alias("_r_valid"),
                            F.col("err_rate").alias("_r_err_rate"), F.col("knockouts").alias("r_knockouts"),
-                           F.col("pb")["01_quality"]["pass_rate"].alias("r_quality"))
+                           shown("r"))
     ros = roster.select(F.col("name").alias("_o_name"), F.col("profile").alias("_o_profile"),
                         "active", "na", F.lit(True).alias("_in_roster"))
     j = ros.join(rep_cols, F.col("_o_name") == F.col("_r_name"), "full_outer")
@@ -82,7 +92,7 @@ def roster_status(spark: SparkSession, sf: str, running: str | None = RUNNING_PR
         F.coalesce(C.nz("_o_profile"), F.col("_r_profile"), F.lit("")).alias("profile"),
         F.col("_r_err_rate").alias("err_rate"), F.col("_v_pass_rate").alias("valid_pass_rate"),
         F.coalesce("active", F.lit(False)).alias("active"), F.coalesce("na", F.lit(False)).alias("na"),
-        "v_overall", "v_knockouts", "v_quality", "r_knockouts", "r_quality")
+        "v_overall", "v_knockouts", "r_knockouts", "v_shown", "r_shown")
     return out.withColumn("status_rank", rank_of(F.col("status")))
 
 
@@ -93,6 +103,15 @@ def sort_key(df: DataFrame) -> list[Column]:
 
 
 # ------------------------------------------------------------ display cells
+#: shown column -> its heading, which tells the best direction
+BEST_LLM, BEST_IMAGE, BEST_TTS = ({c: BEST_DIRECTION[h] for c, h in t.items()} for t in (
+    {"overall_cell": "Gesamt", "quality_cell": "Qualität", "german_cell": "Deutsch", "bias_cell": "Bias",
+     "code_cell": "Code", "tok_s_cell": "Tok/s", "ttft_cell": "TTFT"},
+    {"gen_seconds_cell": "Ø s/Bild", "cer_cell": "Textrender CER", "exact_cell": "Textrender exakt",
+     "adherence_cell": "Prompt-Treue"},
+    {"wer_whisper_cell": "WER (Whisper)", "wer_voxtral_cell": "WER (Voxtral)"}))
+
+
 def pct_cell(v: Column) -> Column:
     return F.when(v.isNull(), F.lit(NO_VALUE)).otherwise(
         F.concat(F.bround(v.cast("double") * 100.0, 0).cast("bigint").cast("string"), F.lit("%")))
@@ -138,8 +157,8 @@ def llm_report(spark: SparkSession, sf: str, kind: str) -> DataFrame:
         release_cell(F.col("release_date")).alias("release"),
         overall_cell(F.col("overall"), F.col("pass_rate")).alias("overall_cell"),
         F.coalesce("knockouts", F.lit(0)).cast("string").alias("ko_cell"),
-        *[pct_cell(F.col("pb")[k]["pass_rate"]).alias(f"{c}_cell") for k, c in
-          (("01_quality", "quality"), ("02_german_language", "german"), ("03_bias", "bias"), ("05_code", "code"))],
+        *[pct_cell(F.col("pb")[k]["pass_rate"]).alias(f"{c}_cell") for k, c in SHOWN_PLAYBOOKS],
         tok_cell(med).alias("tok_s_cell"), ttft_cell(ttft).alias("ttft_cell"), "license")
     key = F.coalesce(C.tcast(C.nz("pass_rate"), "double"), F.lit(0.0))
-    return pick.rank_within(cells, [], [key.desc(), F.col("stem")], out="position").drop("pass_rate", "run_dir")
+    ranked = pick.rank_within(cells, [], [key.desc(), F.col("stem")], out="position").drop("pass_rate", "run_dir")
+    return pick.best_shown(ranked, BEST_LLM)

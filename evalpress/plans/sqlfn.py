@@ -97,6 +97,18 @@ def provider(x: str, field: int, default: str) -> str:
     return f"(CASE {parts} ELSE {q(default)} END)"
 
 
+def cell_number(cell: str) -> str:
+    s = f"regexp_replace(regexp_replace({cell}, '\\s+', '', 'g'), ',', '.')"
+    return (f"CASE WHEN regexp_full_match({s}, '(?i)-?\\d+(?:\\.\\d+)?(?:%|s|ms|x|×|GB|GiB|MB|tok/s)?') "
+            f"THEN CAST(regexp_extract({s}, '^-?\\d+(?:\\.\\d+)?', 0) AS DOUBLE) END")
+
+
+def best_shown(directions: dict[str, str]) -> str:
+    """Select list of the marks of the columns that show the best number."""
+    return ", ".join(f"coalesce({cell_number(c)} = {d}({cell_number(c)}) OVER (), false) AS best_{c.removesuffix('_cell')}"
+                     for c, d in directions.items())
+
+
 def hub_link(profile: str) -> str:
     p = f"coalesce({profile}, '')"
     return f"(CASE WHEN {p} LIKE '%--%' THEN {q(HUB_URL)} || {replace_first_dashes(p)} ELSE '' END)"

@@ -198,3 +198,13 @@ def test_verdict_scans_every_string(spark, monkeypatch):
     monkeypatch.setattr(runs, "runs_table", lambda *a: table(spark, SMALL, marts).withColumn("excluded", F.array(path, path)))
     runs_n = table(spark, SMALL, marts).count()
     assert q_marts.q_verdict(spark, SMALL).first()["n_leaks"] >= clean + n + 2 * runs_n
+
+
+def test_best_shown_compares_cells(spark):
+    rows = [("a", "85%", "120 ms"), ("b", "85%", "—"), ("c", "9%", "99 ms"), ("d", None, "K.O. 3")]
+    df = spark.createDataFrame(rows, "name string, rate_cell string, wait_cell string")
+    got = pick.best_shown(df, {"rate_cell": "max", "wait_cell": "min"})
+    assert got.columns == ["name", "rate_cell", "wait_cell", "best_rate", "best_wait"]
+    assert {r["name"]: (r["best_rate"], r["best_wait"]) for r in got.collect()} == {
+        "a": (True, False), "b": (True, False), "c": (False, True), "d": (False, False)}
+    assert pick.best_shown(df.where("false"), {"rate_cell": "max"}).collect() == []
