@@ -10,10 +10,12 @@ from pyspark.sql import types as T
 from evalpress.operators.lookups import MISSING
 
 
-def expected_counts(rows: DataFrame, expected: Mapping[str, int], config: str = "config") -> DataFrame:
-    """Actual rows per config against the expectation table (full outer)."""
-    spark = rows.sparkSession
-    exp = spark.createDataFrame(list(expected.items()), f"{config} string, expected int")
+def expected_counts(rows: DataFrame, expected: Mapping[str, int] | DataFrame, config: str = "config") -> DataFrame:
+    """Actual rows per config against the expectations, given as a mapping or as
+    a table (config, expected) (full outer)."""
+    exp = expected
+    if not isinstance(expected, DataFrame):
+        exp = rows.sparkSession.createDataFrame(list(expected.items()), f"{config} string, expected int")
     act = rows.groupBy(config).agg(F.count(F.lit(1)).alias("actual"))
     j = act.join(exp, config, "full_outer")
     return j.select(config, F.coalesce("actual", F.lit(0)).alias("actual"), "expected",
@@ -34,12 +36,13 @@ def one_to_one(rows: DataFrame, runs: DataFrame, key: str = "run_id", config: st
     return j.withColumn("one_to_one", F.col("n_unmatched") == 0)
 
 
-def unmatched_keys(rows: DataFrame, runs: DataFrame, key: str = "run_id") -> DataFrame:
-    """Keys missing on either side or duplicated."""
-    a = rows.groupBy(key).agg(F.count(F.lit(1)).alias("n_rows"))
-    b = runs.groupBy(key).agg(F.count(F.lit(1)).alias("n_runs"))
-    j = a.join(b, key, "full_outer").fillna(0, ["n_rows", "n_runs"])
-    return j.where((F.col("n_rows") != 1) | (F.col("n_runs") != 1))
+def unmatched_keys(rows: DataFrame, runs: DataFrame, key: str = "run_id", config: str | None = None) -> DataFrame:
+    """Keys (of a ``config``, if given) missing on either side, duplicated or
+    null.  One aggregation over both sides, as in ``one_to_one``."""
+    by = [key] if config is None else [config, key]
+    side = lambda d, r, m: d.select(*by, F.lit(r).alias("_r"), F.lit(m).alias("_m"))
+    per = side(rows, 1, 0).unionByName(side(runs, 0, 1)).groupBy(*by).agg(F.sum("_r").alias("n_rows"), F.sum("_m").alias("n_runs"))
+    return per.where((F.col("n_rows") != 1) | (F.col("n_runs") != 1) | F.col(key).isNull())
 
 
 def string_columns(schema: T.StructType, prefix: str = "") -> list[str]:
@@ -179,9 +182,11 @@ def field_names(spark: SparkSession, tables: Mapping[str, T.StructType], pattern
     return spark.createDataFrame(rows, "table string, path string, withheld boolean")
 
 
-def verdict(counts: DataFrame, leaks: DataFrame, status: DataFrame, fields: DataFrame | None = None) -> DataFrame:
+def verdict(counts: DataFrame, leaks: DataFrame, status: DataFrame, fields: DataFrame | None = None,
+            matched: DataFrame | None = None) -> DataFrame:
     """One row: all counts as expected, no leak finding, no missing id and, if
-    ``fields`` (with a flag ``withheld``) is given, no withheld field."""
+    ``fields`` (with a flag ``withheld``) is given, no withheld field, and, if
+    ``matched`` (of ``one_to_one``) is given, every key once on both sides."""
     c = counts.agg(F.bool_and("ok").alias("counts_ok"))
     lk = leaks.agg(F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("n_leaks"))
     ms = status.agg(F.count_if(F.col("status") == MISSING).alias("n_missing"))
@@ -190,4 +195,7 @@ def verdict(counts: DataFrame, leaks: DataFrame, status: DataFrame, fields: Data
     if fields is not None:
         one = one.crossJoin(fields.agg(F.count_if("withheld").alias("n_withheld")))
         passed = passed & (F.col("n_withheld") == 0)
+    if matched is not None:
+        one = one.crossJoin(matched.agg(F.coalesce(F.bool_and("one_to_one"), F.lit(True)).alias("one_to_one")))
+        passed = passed & F.col("one_to_one")
     return one.withColumn("passed", passed)

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import argparse
 import json
+from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,26 +26,39 @@ from evalpress.sources import sinks
 from evalpress.sources.tables import sf_tag
 
 
-def emit_dataset(spark: SparkSession, sf: str, target: str | None = None) -> DataFrame:
-    """Write the dataset and return the one-row verdict computed from the
-    files that were written (counts, one-to-one, leaks, missing ids)."""
+def emit_dataset(spark: SparkSession, sf: str, target: str | None = None,
+                 expected: Mapping[str, int] | DataFrame = EXPECTED_ROWS) -> DataFrame:
+    """Write the dataset and return the one-row verdict of ``audit_dataset``."""
     target = target or scratch_path(spark, "dataset_build", sf_tag(sf))
     marts = runs.marts(spark, sf)
-    written = {}
     for cfg in CONFIGS:
         cols = [c for c, _ in TABLE_COLUMNS[cfg]]
         df = marts[cfg].select(*cols)
         assert_no_raw_fields(df, cfg)
-        written[cfg] = sinks.write_metric_parquet(df, f"{target}/data/{cfg}", cfg)
+        sinks.write_metric_parquet(df, f"{target}/data/{cfg}", cfg)
     run_meta = runs.runs_table(spark, sf, marts)
-    jsonl = sinks.write_runs_jsonl(run_meta, f"{target}/runs_jsonl", RUNS)
+    sinks.write_runs_jsonl(run_meta, f"{target}/runs_jsonl", RUNS)
     sinks.write_runs_parquet(run_meta, f"{target}/data/runs")
+    return audit_dataset(spark, sf, target, expected)
 
+
+def expectations(spark: SparkSession, path: str) -> DataFrame:
+    """The expected rows of every config, from JSON lines (config, expected)."""
+    return spark.read.schema("config string, expected int").json(path)
+
+
+def audit_dataset(spark: SparkSession, sf: str, target: str, expected: Mapping[str, int] | DataFrame = EXPECTED_ROWS) -> DataFrame:
+    """The one-row verdict of a written dataset, from its files alone: rows per
+    config as ``expected``, one run per row, no leak in a value or a line of
+    text, no withheld column or key, no id that the registry misses.  Keys that
+    are not exactly once on both sides are listed in ``audit/unmatched_keys``."""
+    written = {cfg: spark.read.parquet(f"{target}/data/{cfg}") for cfg in CONFIGS}
+    jsonl = spark.read.schema(RUNS).json(f"{target}/runs_jsonl")
     header = None
     for cfg in CONFIGS:
         part = written[cfg].select(F.lit(cfg).alias("config"), *[c for c, _ in HEADER])
         header = part if header is None else header.unionByName(part)
-    counts = audit.expected_counts(header, EXPECTED_ROWS)
+    counts = audit.expected_counts(header, expected)
     leaks = audit.leak_all(jsonl, LEAK_RULES)
     for cfg in CONFIGS:
         leaks = leaks.unionByName(audit.leak_all(written[cfg], LEAK_RULES))
@@ -54,13 +68,12 @@ def emit_dataset(spark: SparkSession, sf: str, target: str | None = None) -> Dat
            .where(F.col("id").isNotNull()).distinct())
     status = L.registry_status(ids, fx.fx7_status_cache(spark, sf), fx.fx7_store(spark, sf), fx.CACHE_MODE)
     # names of every column of the written tables, and of every key in the written lines
-    tables = {**{cfg: written[cfg].schema for cfg in CONFIGS}, "runs": RUNS}
+    tables = {**{cfg: written[cfg].schema for cfg in CONFIGS}, "runs": spark.read.parquet(f"{target}/data/runs").schema}
     fields = audit.field_names(spark, tables, WITHHELD_FIELD_PATTERN).select("withheld")
     lines = audit.json_paths(spark.read.text(f"{target}/runs_jsonl"), "value")
     fields = fields.unionByName(lines.select(audit.withheld("key", WITHHELD_FIELD_PATTERN).alias("withheld")))
-    verdict = audit.verdict(counts, leaks, status, fields)
-    one = audit.one_to_one(header, jsonl).agg(F.bool_and("one_to_one").alias("one_to_one"))
-    return verdict.crossJoin(one)
+    audit.unmatched_keys(header, jsonl, config="config").write.mode("overwrite").json(f"{target}/audit/unmatched_keys")
+    return audit.verdict(counts, leaks, status, fields, audit.one_to_one(header, jsonl))
 
 
 SITE_TABLES = ("report_llm_local", "report_llm_saas", "report_guards", "report_image", "report_tts")
@@ -88,6 +101,7 @@ def main() -> None:
     ap.add_argument("--sf", required=True)
     ap.add_argument("--target", default=None)
     ap.add_argument("--reports", default=None, help="read LLM reports from this file drop")
+    ap.add_argument("--expected", default=None, help="JSON lines with the expected rows of every config")
     ap.add_argument("--site", action="store_true", help="also write the display tables and summary")
     a = ap.parse_args()
     from evalpress.session import build_session
@@ -95,11 +109,14 @@ def main() -> None:
     if a.reports:
         from evalpress.plans.cohorts import use_report_files
         use_report_files(spark, a.sf, a.reports)
-    row = emit_dataset(spark, a.sf, a.target).first().asDict()
+    expected = expectations(spark, a.expected) if a.expected else EXPECTED_ROWS
+    row = emit_dataset(spark, a.sf, a.target, expected).first().asDict()
     print(json.dumps(row))
     if a.site:
         site = a.target + "/site" if a.target else None
         print(json.dumps({r["table"]: r["rows"] for r in emit_site_tables(spark, a.sf, site).collect()}))
+    if not row["passed"]:
+        raise SystemExit("the dataset did not pass its audit")
 
 
 if __name__ == "__main__":

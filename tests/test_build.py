@@ -1,8 +1,12 @@
 """Pipeline-level behaviour on the smallest tables."""
+import json
+from pathlib import Path
+
 from pyspark.sql import functions as F
 
+from evalpress.constants import CONFIGS
 from evalpress.plans import cohorts, roster
-from evalpress.plans.build import emit_dataset
+from evalpress.plans.build import audit_dataset, emit_dataset, expectations
 from evalpress.session import scratch_root
 from tests.conftest import SMALL
 
@@ -40,6 +44,27 @@ def test_emit_dataset_verdict(spark, tmp_path):
     assert written.count() > 0
 
 
+def test_verdict_follows_expectations_and_planted_faults(spark, tmp_path):
+    target = str(tmp_path / "ds")
+    assert emit_dataset(spark, SMALL, target).first()["counts_ok"] is False  # the fixed counts are of another site
+    counts = {c: spark.read.parquet(f"{target}/data/{c}").count() for c in CONFIGS}
+    path = tmp_path / "expected.jsonl"
+    path.write_text("".join(json.dumps({"config": c, "expected": n}) + "\n" for c, n in counts.items()))
+    expected = expectations(spark, str(path))
+    good = audit_dataset(spark, SMALL, target, expected).first()
+    assert good["passed"] is True and spark.read.text(f"{target}/audit/unmatched_keys").count() == 0
+
+    lines = f"{target}/runs_jsonl"
+    first = json.loads(spark.read.text(lines).first()[0])
+    planted = Path(lines) / "part-planted.json"
+    planted.write_text(json.dumps({**first, "pii_score": 1, "source": "/home/someone/x"}) + "\n")
+    bad = audit_dataset(spark, SMALL, target, expected).first()
+    assert bad["passed"] is False and bad["one_to_one"] is False and bad["n_leaks"] > 0 and bad["counts_ok"] is True
+    listed = spark.read.json(f"{target}/audit/unmatched_keys").collect()
+    assert [(r["run_id"], r["n_rows"], r["n_runs"]) for r in listed] == [(first["run_id"], 1, 2)]
+    assert audit_dataset(spark, SMALL, target, {**counts, "t2i": counts["t2i"] + 1}).first()["counts_ok"] is False
+
+
 def test_use_report_files_switches_source(spark, tmp_path):
     import tempfile
     from evalpress.plans import stage
