@@ -49,7 +49,7 @@ def components(edges: DataFrame) -> DataFrame:
 def bucket_classes(buckets: DataFrame, sets: Callable[[DataFrame], DataFrame],
                    verify: Callable[[DataFrame, DataFrame], DataFrame],
                    shared: Callable[[DataFrame], DataFrame], parities: Callable[[DataFrame], DataFrame],
-                   least: float, stars: int = 5) -> DataFrame:
+                   least: float, weighted: bool = False, stars: int = 5) -> DataFrame:
     """(node, label): components of the verified links among nodes that share
     a bucket; nodes without a link are left out.
 
@@ -68,7 +68,12 @@ def bucket_classes(buckets: DataFrame, sets: Callable[[DataFrame], DataFrame],
     ``parities`` gives (node, bits) of sets: ``PARITY_WORDS`` longs, whose bits
     are the parities of the items of as many residues; each bit in which two
     sets differ needs an item that only one of them has, and alike sets have few
-    such items.  A round without new links is the last before the pairs.
+    such items.  If ``weighted``, items, n and u count occurrences.  With shares
+    p and q of an item in two sets, their probability Jaccard similarity is at
+    most the sum of min(p, q), as each of its terms 1 / sum_i max(p_i/p, q_i/q)
+    is at most min(p, q).  So it is at most min(1 - u/n) of the two, and alike
+    sets of x <= y occurrences differ in at most 2 (1 - least) x + y - x of
+    them.  A round without new links is the last before the pairs.
     Classes between the rounds need not be whole (two classes may be one
     component), so two rounds of stars do there."""
     company = staged(buckets.join(buckets.groupBy("key").agg(F.count("*").alias("_c")).where("_c > 1"), "key")
@@ -84,11 +89,16 @@ def bucket_classes(buckets: DataFrame, sets: Callable[[DataFrame], DataFrame],
 
     def alike(x: str, y: str) -> Column:
         n, u = (lambda k: F.col(f"{k}.n")), (lambda k: F.col(f"{k}.u"))
+        if weighted:  # each side alone bounds it, and nodes below the bound are gone
+            return F.lit(True)
         common = F.least(n(x) - u(x), n(y) - u(y))
         return common * (1 + least) >= (n(x) + n(y)) * least - 1e-6
 
     def few_differ(x: str, y: str) -> Column:
         differ = sum((F.bit_count(F.col(f"{x}.bits")[k].bitwiseXOR(F.col(f"{y}.bits")[k])) for k in range(PARITY_WORDS)), F.lit(0))
+        if weighted:
+            few, many = F.least(f"{x}.n", f"{y}.n"), F.greatest(f"{x}.n", f"{y}.n")
+            return differ <= 2 * (1 - least) * few + many - few + 1e-6
         return differ * (1 + least) <= (F.col(f"{x}.n") + F.col(f"{y}.n")) * (1 - least) + 1e-6
 
     turn = 0

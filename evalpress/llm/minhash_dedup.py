@@ -4,7 +4,7 @@ Every shingle is a Poisson process whose rate is its number of occurrences;
 its arrivals fall on random registers, a register keeps the earliest one, and a
 shingle stops when it can no longer win any.  Registers agree with the
 probability Jaccard similarity of two texts.  Bands of registers bring
-candidates together; the exact Jaccard similarity of the shingle sets decides.
+candidates together; the exact probability Jaccard similarity decides.
 """
 from __future__ import annotations
 
@@ -23,13 +23,13 @@ from evalpress.llm.components import PARITY_WORDS, bucket_classes
 @dataclass(frozen=True)
 class Params:
     """``bands`` x ``rows`` registers: texts of similarity 0.8 share a band with
-    probability 1 - (1 - 0.8^5)^24 > 0.9999.  Each different shingle weighs 1,
-    for which the probability Jaccard similarity is the Jaccard similarity of
-    the shingle sets; with ``weighted`` it weighs as often as it occurs."""
+    probability 1 - (1 - 0.8^5)^24 > 0.9999.  A shingle weighs as often as it
+    occurs; without ``weighted`` each different one weighs 1, for which the
+    probability Jaccard similarity is the Jaccard similarity of the shingle sets."""
 
     words: int = 5
     similarity: float = 0.8
-    weighted: bool = False
+    weighted: bool = True
     bands: int = 24
     rows: int = 5
 
@@ -137,7 +137,7 @@ def signatures(docs: DataFrame, p: Params) -> DataFrame:
 
 def shingle_sets(docs: DataFrame, texts: DataFrame, nodes: DataFrame, p: Params) -> DataFrame:
     """(node, s, w) of the text nodes: their shingles as ascending 32-bit
-    hashes, and their weights if they have any."""
+    hashes, and their weights, empty if all are 1."""
     need = staged(nodes.join(texts.select("node", "_id"), "node"))
     src = docs.select(order_id().alias("_id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("node"), "text")
 
@@ -148,7 +148,8 @@ def shingle_sets(docs: DataFrame, texts: DataFrame, nodes: DataFrame, p: Params)
                 v, w = shingles(t or "", p.words)
                 v, at = np.unique((v >> np.uint64(32)).astype(np.uint32), return_index=True)
                 item.append(v.tobytes())
-                weight.append(w[at].astype(np.float32).tobytes() if p.weighted else b"")
+                w = np.add.reduceat(w, at).astype(np.uint32) if len(at) else np.zeros(0, np.uint32)
+                weight.append(w.tobytes() if p.weighted and (w != 1).any() else b"")
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(item, pa.binary()), pa.array(weight, pa.binary())],
                                              names=["node", "s", "w"])
 
@@ -156,34 +157,49 @@ def shingle_sets(docs: DataFrame, texts: DataFrame, nodes: DataFrame, p: Params)
                   .mapInArrow(tidy(sets), "node long, s binary, w binary").dropDuplicates(["node"]))
 
 
+def item_weights(s: bytes, w: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """The items of a written set and their weights."""
+    items = np.frombuffer(s, np.uint32)
+    return items, np.frombuffer(w, np.uint32) if w else np.ones(len(items), np.uint32)
+
+
 def shared_items(own: DataFrame) -> DataFrame:
-    """(node, n, u) of shingle sets: the shingles of each node, and how many no other node has."""
+    """(node, n, u) of weighted sets: the weight of each node's items, and of those that no other node has."""
 
     def items(batches):
         for b in batches:
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array([np.frombuffer(s, np.uint32).astype(np.int64) for s in b.column(1).to_pylist()], pa.list_(pa.int64()))],
-                names=["node", "items"])
+            out = [(x.astype(np.uint64) | w.astype(np.uint64) << np.uint64(32)).view(np.int64)
+                   for x, w in map(item_weights, b.column(1).to_pylist(), b.column(2).to_pylist())]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.list_(pa.int64())),
+                                              pa.array([int((x >> 32).sum()) for x in out], pa.int64())],
+                                             names=["node", "items", "n"])
 
-    single = (own.mapInArrow(tidy(items), "node long, items array<long>").select("node", F.explode("items").alias("item"))
-              .groupBy("item").agg(F.count("*").alias("c"), F.min("node").alias("node")).where("c = 1")
-              .groupBy("node").agg(F.count("*").alias("u")))
-    return own.select("node", (F.octet_length("s") / 4).alias("n")).join(single, "node", "left").select(
-        "node", "n", F.coalesce("u", F.lit(0)).alias("u"))
+    listed = staged(own.select("node", "s", "w").mapInArrow(tidy(items), "node long, items array<long>, n long"))
+    single = (listed.select("node", F.explode("items").alias("item"))
+              .groupBy(F.col("item").bitwiseAND(0xFFFFFFFF).alias("item"))
+              .agg(F.count("*").alias("c"), F.min("node").alias("node"), F.min(F.shiftrightunsigned("item", 32)).alias("w"))
+              .where("c = 1").groupBy("node").agg(F.sum("w").alias("u")))
+    return listed.select("node", "n").join(single, "node", "left").select("node", "n", F.coalesce("u", F.lit(0)).alias("u"))
 
 
 def item_parities(own: DataFrame) -> DataFrame:
-    """(node, bits) of shingle sets: bit b is the parity of the number of
-    shingles whose hash modulo the number of bits is b."""
+    """(node, bits) of weighted sets: bit b is the parity of the number of
+    (item, occurrence) pairs whose hash modulo the number of bits is b, so two
+    sets differ in no more bits than their weights differ in all."""
     size = 64 * PARITY_WORDS
 
+    def parity(s: bytes, w: bytes) -> np.ndarray:
+        items, weights = item_weights(s, w)
+        nth = np.arange(int(weights.sum())) - np.repeat(np.cumsum(weights.astype(np.int64)) - weights, weights)
+        slot = mix(np.repeat(items, weights).astype(np.uint64) + nth.astype(np.uint64) * M1) % np.uint64(size)
+        return np.packbits((np.bincount(slot.astype(np.int64), minlength=size) & 1).astype(np.uint8)).view(np.int64)
+
     def run(batches):
         for b in batches:
-            bits = [np.packbits((np.bincount(np.frombuffer(s, np.uint32) % size, minlength=size) & 1).astype(np.uint8)).view(np.int64)
-                    for s in b.column(1).to_pylist()]
+            bits = [parity(*x) for x in zip(b.column(1).to_pylist(), b.column(2).to_pylist())]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(bits, pa.list_(pa.int64()))], names=["node", "bits"])
 
-    return own.select("node", "s").mapInArrow(tidy(run), "node long, bits array<long>")
+    return own.select("node", "s", "w").mapInArrow(tidy(run), "node long, bits array<long>")
 
 
 def verified(pairs: DataFrame, own: DataFrame, p: Params) -> DataFrame:
@@ -193,10 +209,8 @@ def verified(pairs: DataFrame, own: DataFrame, p: Params) -> DataFrame:
             .select("a", "b", "x.s", F.col("y.s").alias("t"), "x.w", F.col("y.w").alias("u")))
 
     def alike(s: bytes, t: bytes, w: bytes, u: bytes) -> bool:
-        a, b = np.frombuffer(s, np.uint32), np.frombuffer(t, np.uint32)
-        value = (probability_jaccard(a, np.frombuffer(w, np.float32), b, np.frombuffer(u, np.float32)) if p.weighted
-                 else jaccard(a, b))
-        return value >= p.similarity - 1e-9
+        (a, wa), (b, wb) = item_weights(s, w), item_weights(t, u)
+        return (probability_jaccard(a, wa, b, wb) if w or u else jaccard(a, b)) >= p.similarity - 1e-9
 
     def check(batches):
         for b in batches:
@@ -214,10 +228,8 @@ def near_classes(docs: DataFrame, p: Params = Params()) -> DataFrame:
     texts = staged(rows.groupBy("_h", "_g").agg(F.min("_id").alias("_id"), F.first("keys").alias("keys"))
                    .select(F.col("_h").alias("node"), "_g", "_id", "keys"))
     buckets = staged(texts.select(F.explode("keys").alias("key"), "node"))
-    # a weighted similarity is not bounded by the items in common: any pair may be alike
-    bound = 0.0 if p.weighted else p.similarity
     labels = bucket_classes(buckets, lambda nodes: shingle_sets(docs, texts, nodes, p),
-                            lambda pairs, own: verified(pairs, own, p), shared_items, item_parities, bound)
+                            lambda pairs, own: verified(pairs, own, p), shared_items, item_parities, p.similarity, p.weighted)
     labelled = texts.join(labels, "node", "left").select("node", "_g", "_id", F.coalesce("label", "node").alias("label"))
     classes = labelled.groupBy("label").agg(F.min(F.struct("_id", "node", "_g")).alias("_first"), F.count("*").alias("class_texts"))
     of_text = labelled.join(classes, "label").select(F.col("node").alias("_h"), "_g", "_first", "class_texts")
@@ -229,9 +241,9 @@ def near_classes(docs: DataFrame, p: Params = Params()) -> DataFrame:
 def near_duplicates(docs: DataFrame, p: Params = Params()) -> DataFrame:
     """doc_id, class_id, class_texts, stays of every document.
 
-    A class is a component of the links between different texts whose sets of
-    ``words``-word shingles have a (probability) Jaccard similarity of
-    ``similarity`` or more; equal texts are always one class (a null text is an empty one).  Its
+    A class is a component of the links between different texts whose
+    ``words``-word shingles, weighted by their occurrences, have a probability
+    Jaccard similarity of ``similarity`` or more; equal texts are always one class (a null text is an empty one).  Its
     id is its least doc_id, whose document stays; rows repeating both id and
     text have the same result; rows without an id come first and have the class
     id null if they lead it.  A text of fewer words than a shingle is alike to

@@ -274,10 +274,17 @@ def test_line_dedup_stage_and_repeated_rows(spark):
 
 # ---------------------------------------------------------------- 7 near duplicates
 
-def brute_classes(rows: list[tuple], k: int = 5, least: float = 0.8) -> dict:
-    def shingle(t: str) -> frozenset:
+def brute_alike(a: Counter, b: Counter) -> float:
+    """Probability Jaccard similarity as its definition has it."""
+    both, every = a.keys() & b.keys(), a.keys() | b.keys()
+    return sum(1 / sum(max(a[i] / a[d], b[i] / b[d]) for i in every) for d in both)
+
+
+def brute_classes(rows: list[tuple], k: int = 5, least: float = 0.8, weighted: bool = False) -> dict:
+    def shingle(t: str) -> Counter:
         w = (t or "").lower().split()
-        return frozenset(tuple(w[i:i + k]) for i in range(max(1, len(w) - k + 1))) if w else frozenset()
+        n = Counter(tuple(w[i:i + k]) for i in range(max(1, len(w) - k + 1))) if w else Counter()
+        return n if weighted else Counter(n.keys())
 
     texts = sorted({r[1] or "" for r in rows})
     sets = [shingle(t) for t in texts]
@@ -291,7 +298,8 @@ def brute_classes(rows: list[tuple], k: int = 5, least: float = 0.8) -> dict:
     for i in range(len(texts)):
         for j in range(i):
             a, b = sets[i], sets[j]
-            if a and b and len(a & b) >= least * len(a | b):
+            if a and b and (len(a.keys() & b.keys()) >= least * len(a.keys() | b.keys()) if not weighted
+                            else 3 * len(a) > len(b) and 3 * len(b) > len(a) and brute_alike(a, b) >= least - 1e-9):
                 up[root(i)] = root(j)
     first: dict[int, int] = {}
     where = {t: root(i) for i, t in enumerate(texts)}
@@ -313,14 +321,15 @@ def near_rows() -> list[tuple]:
     return rows
 
 
-def test_near_duplicates_brute_force(spark):
-    rows = near_rows()
-    want = brute_classes(rows)
-    got = collected(minhash_dedup.near_duplicates(docs(spark, rows, clash=True).repartition(4)))
+@pytest.mark.parametrize("weighted", [False, True])
+def test_near_duplicates_brute_force(spark, weighted):
+    rows, p = near_rows(), minhash_dedup.Params(weighted=weighted)
+    want = brute_classes(rows, weighted=weighted)
+    got = collected(minhash_dedup.near_duplicates(docs(spark, rows, clash=True).repartition(4), p))
     assert {r["doc_id"]: r["class_id"] for r in got} == want
     assert all(r["stays"] == (r["doc_id"] == r["class_id"]) for r in got)
     assert len(set(want.values())) < 120
-    kept = collected(minhash_dedup.keep_one(docs(spark, rows + [rows[0]], clash=True)))
+    kept = collected(minhash_dedup.keep_one(docs(spark, rows + [rows[0]], clash=True), p))
     assert sorted(r["doc_id"] for r in kept) == sorted(set(want.values()))
     assert collected(minhash_dedup.near_duplicates(docs(spark, []))) == []
     assert collected(minhash_dedup.keep_one(docs(spark, []))) == []
@@ -333,7 +342,8 @@ def test_parity_bits_never_exceed_the_difference(spark):
     rng = np.random.default_rng(5)
     sets = [np.unique(rng.integers(0, 2 ** 32, int(k), dtype=np.uint32)) for k in (0, 1, 30, 400, 5000)]
     sets.append(np.concatenate([sets[3][10:], sets[2]]))
-    own = spark.createDataFrame([(i, bytearray(np.sort(s).tobytes())) for i, s in enumerate(sets)], "node long, s binary")
+    own = spark.createDataFrame([(i, bytearray(np.sort(s).tobytes()), bytearray()) for i, s in enumerate(sets)],
+                                "node long, s binary, w binary")
     bits = {r.node: np.array(r.bits, np.int64).view(np.uint64) for r in minhash_dedup.item_parities(own).collect()}
     for i, a in enumerate(sets):
         for j, b in enumerate(sets):
@@ -346,12 +356,40 @@ def test_weighted_classes(spark):
     rng = random.Random(70)
     head, line = words(rng, 60, 5000), " ".join(["same old words come again"] * 80)
     rows = [(1, head), (2, head + " " + line), (3, words(rng, 60, 5000) + " " + line)]
-    plain = collected(minhash_dedup.near_duplicates(docs(spark, rows)))
+    plain = collected(minhash_dedup.near_duplicates(docs(spark, rows), minhash_dedup.Params(weighted=False)))
     assert {r["doc_id"]: r["class_id"] for r in plain} == {1: 1, 2: 1, 3: 3}
     by_weight = collected(minhash_dedup.near_duplicates(docs(spark, rows), minhash_dedup.Params(weighted=True, similarity=0.6)))
     assert {r["doc_id"]: r["class_id"] for r in by_weight} == {1: 1, 2: 2, 3: 2}
 
 
+def test_weighted_bounds_never_exclude_alike_texts(spark):
+    rng, texts = random.Random(71), []
+    line = " ".join(["old words come again now"] * 12)
+    for n in (40, 80, 160):
+        t = words(rng, n, 5000)
+        texts += [t, t + " " + line, line + " " + t + " " + line, " ".join(t.split()[:-4]) + " " + line, t + " " + t]
+    own, counts = [], []
+    for i, t in enumerate(texts):
+        v, w = minhash_dedup.shingles(t, 5)
+        v, at = np.unique((v >> np.uint64(32)).astype(np.uint32), return_index=True)
+        own.append((i, bytearray(v.tobytes()), bytearray(np.add.reduceat(w, at).astype(np.uint32).tobytes())))
+        counts.append(Counter(dict(zip(v.tolist(), np.add.reduceat(w, at).tolist()))))
+    own = spark.createDataFrame(own, "node long, s binary, w binary")
+    bits = {r.node: np.array(r.bits, np.int64).view(np.uint64) for r in minhash_dedup.item_parities(own).collect()}
+    weight = {r.node: (r.n, r.u) for r in minhash_dedup.shared_items(own).collect()}
+    alike = 0
+    for i, a in enumerate(counts):
+        only = sum(c for x, c in a.items() if sum(x in b for b in counts) == 1)
+        assert weight[i] == (sum(a.values()), only)
+        for j, b in enumerate(counts[:i]):
+            value, differ = brute_alike(a, b), int(np.bitwise_count(bits[i] ^ bits[j]).sum())
+            few, many = sorted((weight[i][0], weight[j][0]))
+            assert differ <= sum(abs(a[x] - b[x]) for x in a.keys() | b.keys()) <= 2 * (1 - value) * few + many - few + 1e-6
+            assert min(1 - u / n for n, u in (weight[i], weight[j])) >= value - 1e-9
+            alike += value >= 0.5
+    assert alike > 5
+
+
 def test_registers_estimate_weighted_similarity():
     rng = np.random.default_rng(2)
     items = rng.integers(1, 2 ** 62, 400).astype(np.uint64)
