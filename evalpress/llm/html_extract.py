@@ -9,6 +9,7 @@ from __future__ import annotations
 import html
 import re
 from bisect import bisect_left, bisect_right
+from collections import defaultdict
 from collections.abc import Callable
 from dataclasses import dataclass
 from itertools import accumulate
@@ -44,13 +45,20 @@ AROUND = {"ad", "ads", "adv", "advert", "adverts", "advertisement", "advertising
           "widget", "menu", "nav", "navbar", "navigation", "breadcrumb", "breadcrumbs", "pagination", "pager",
           "comment", "comments", "disqus", "respond", "share", "sharing", "social", "related", "recommended",
           "newsletter", "subscribe", "subscription", "popup", "modal", "overlay", "footer", "masthead", "topbar",
-          "toolbar", "login", "signup", "search", "skip", "contentinfo", "complementary"}
+          "toolbar", "login", "signup", "search", "skip", "contentinfo", "complementary", "adbox", "adslot"}
+#: names of what readers wrote, which may be longer than the article
+READERS = {"comment", "comments", "disqus", "respond", "reply", "replies", "responses", "discussion", "discussions"}
 NAMED = re.compile(r"""(?:^|\s)(class|id|role|aria-label)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.I)
 HIDDEN = re.compile(r"""(?:^|\s)(?:hidden(?=[\s>=/]|$)|aria-hidden\s*=\s*["']?true|style\s*=\s*["'][^"']*display\s*:\s*none)""", re.I)
 WORDS = re.compile(r"[a-z]+")
 #: words that make a name tell of a state of something else: no-sidebar, has-banner, comments-open
 STATE = {"no", "not", "non", "has", "have", "with", "without", "is", "hide", "show", "open", "opened", "closed", "none", "free",
          "enabled", "disabled", "active", "inactive", "on", "off"}
+#: paragraphs, which go from an article only if most pages of its host have them and others remain
+SOFT = {"p", "li", "blockquote"}
+FENCE = {"article", "main", "td"}
+#: subtree hashes are polynomials of token hashes modulo a prime
+PRIME, BASE = (1 << 61) - 1, 0x1D8E4E27C47D124F
 #: elements whose text tells where a page's main part is
 PROSE = {"p", "pre", "blockquote"}
 
@@ -58,26 +66,30 @@ PROSE = {"p", "pre", "blockquote"}
 @dataclass
 class Page:
     """``texts``: (offset, raw text, kept); ``breaks``: offsets of block
-    borders; ``nodes``: (start, end, protected) of the containers."""
+    borders; ``nodes``: (start, end, kind, hash) of the containers that may be
+    template, where kind is whether it is a paragraph of an article."""
 
     texts: list[tuple[int, str, bool]]
     breaks: list[int]
-    nodes: list[tuple[int, int, bool]]
+    nodes: list[tuple[int, int, bool, int]]
     article: bool
 
 
-def around(attrs: str) -> bool:
-    """Whether the attributes name a part around the article: one of their
-    names is such a word, or begins or ends with one (sidebar, sidebar-left,
-    left-sidebar) and does not begin or end with a word of state."""
+def around(attrs: str) -> int:
+    """Whether the attributes name a part around the article (1) or what
+    readers wrote (2): one of their names is such a word, or begins or ends
+    with one (sidebar, sidebar-left, left-sidebar) and does not begin or end
+    with a word of state."""
     if "=" not in attrs:
-        return False
+        return 0
+    found = 0
     for _, value in NAMED.findall(attrs):
         for name in value.strip("\"'").split():
             parts = WORDS.findall(re.sub(r"(?<=[a-z])(?=[A-Z])", " ", name).lower())
-            if parts and not AROUND.isdisjoint((parts[0], parts[-1])) and STATE.isdisjoint((parts[0], parts[-1])):
-                return True
-    return False
+            ends = (parts[0], parts[-1]) if parts else ()
+            if parts and STATE.isdisjoint(ends):
+                found = max(found, 0 if (AROUND | READERS).isdisjoint(ends) else 1 if READERS.isdisjoint(ends) else 2)
+    return found
 
 
 def hidden(attrs: str) -> bool:
@@ -99,15 +111,22 @@ def covered(spans: list[tuple[int, int]]) -> Callable[[int], bool]:
     return holds
 
 
-def named_parts(named: list[tuple[int, int, bool]], texts: list[tuple[int, str, bool, bool, bool]]) -> list[tuple[int, int]]:
+def named_parts(named: list[tuple[int, int, bool, int]], texts: list[tuple[int, str, bool, bool, bool]]) -> list[tuple[int, int]]:
     """(start, end) of the named elements that are left out.  One stays if it
-    holds most of the page's paragraph text, or if it holds an article and no
-    paragraph of an article or main element is outside of all such parts."""
+    holds most of the page's paragraph text, unless its name tells of readers
+    and a paragraph is outside of all such parts, or if it holds an article and
+    no paragraph of an article or main element is outside of all parts."""
     prose = [(o, len(t.strip()), inside) for o, t, skip, inside, within in texts if within and not skip]
     at = [o for o, _, _ in prose]
     before = [0, *accumulate(n for _, n, _ in prose)]
     amount = lambda s, e: before[bisect_left(at, e)] - before[bisect_left(at, s)]
-    gone = [(s, e, holds) for s, e, holds in named if 2 * amount(s, e) <= before[-1]]
+    readers = [(s, e) for s, e, holds, kind in named if kind == 2 and not holds]
+    written = covered(readers)
+    any_inside = any(n and inside for _, n, inside in prose)
+    if not any(n and (inside or not any_inside) and not written(o) for o, n, inside in prose):
+        readers = []
+    theirs = set(readers)
+    gone = [(s, e, holds) for s, e, holds, _ in named if (s, e) in theirs or 2 * amount(s, e) <= before[-1]]
     if any(holds for _, _, holds in gone):
         out = covered([(s, e) for s, e, _ in gone])
         outside = any(n and inside and not out(o) for o, n, inside in prose)
@@ -115,40 +134,74 @@ def named_parts(named: list[tuple[int, int, bool]], texts: list[tuple[int, str,
     return [(s, e) for s, e, _ in gone]
 
 
+def token_hash(text: str) -> int:
+    return xxhash.xxh3_64_intdigest(" ".join(text.split()).encode("utf-8", "surrogatepass")) % PRIME
+
+
 def parse(page: str) -> Page:
     """One pass over the tags with implied ends (a block closes an open
-    paragraph, an item the item before).  Text outside every article or main
-    element counts only if the page has none.  An element named as a part
-    around the article is left out with all below it (see ``named_parts``); an
-    article is never left out by its own name."""
+    paragraph, an item the item before), in time linear in the page: places of
+    open tags are kept by name, and a subtree's hash is the difference of two
+    prefix hashes of the tokens (white space, comments and what is in scripts do
+    not count).  Text outside every article or main element counts only if the
+    page has none.  An element named as a part around the article is left out
+    with all below it (see ``named_parts``); an article so named only within
+    another one or beside one that is not."""
     texts: list[tuple[int, str, bool, bool, bool]] = []  # offset, text, skipped, in an article, in a paragraph
     breaks: list[int] = []
-    nodes: list[tuple[int, int, bool]] = []
-    stack: list[tuple[str, int, bool, bool, bool, bool]] = []  # tag, start, skipped, in an article, in a paragraph, named
+    nodes: list[tuple[int, int, bool, int]] = []
+    # tag, start, first token, skipped, in an article, in a paragraph, named
+    stack: list[tuple[str, int, int, bool, bool, bool, int]] = []
+    places: defaultdict[str, list[int]] = defaultdict(list)  # of open tags in the stack
+    blocks: list[int] = []
+    bounds: list[int] = []
+    fences: list[int] = []
+    prefix = [0]
+    known: dict[str, int] = {}  # of short tokens
     articles: list[int] = []
-    named: list[tuple[int, int, bool]] = []  # start, end, whether it holds an article and is in none
+    named: list[tuple[int, int, bool, int]] = []  # start, end, whether it holds an article and is in none, kind
+    named_articles: list[tuple[int, int, bool, int]] = []
     at = 0
     skipped = inside = prose = False
+    titles_end = True
+
+    def note(text: str) -> None:
+        value = known.get(text)
+        if value is None:
+            value = token_hash(text)
+            if len(text) < 80:
+                known[text] = value
+        prefix.append((prefix[-1] * BASE + value + 1) % PRIME)
 
     def pop(to: int, end: int) -> None:
         nonlocal skipped, inside, prose
         while len(stack) > to:
-            tag, start, skip, within, _, by_name = stack.pop()
+            tag, start, first, skip, within, _, by_name = stack.pop()
+            places[tag].pop()
+            for group in (blocks, bounds, fences):
+                if group and group[-1] == len(stack):
+                    group.pop()
             if by_name:
-                named.append((start, end, not any(x[0] == "article" for x in stack)
-                              and bool(articles) and articles[-1] > start))
-            if tag in CONTAINER:
-                nodes.append((start, end, tag in ("article", "main") or within and tag in ("p", "li", "blockquote")))
+                holds = not places["article"] and bool(articles) and articles[-1] > start
+                (named_articles if tag in ("article", "main") and not within else named).append((start, end, holds, by_name))
+            if tag in CONTAINER and tag not in ("article", "main"):
+                soft = within and tag in SOFT
+                value = (prefix[-1] - prefix[first] * pow(BASE, len(prefix) - 1 - first, PRIME)) % PRIME
+                nodes.append((start, end, soft, -value - 1 if soft else value))
             if tag in BLOCK:
                 breaks.append(end)
-        skipped, inside, prose = stack[-1][2:5] if stack else (False, False, False)
+        skipped, inside, prose = (stack[-1][3], stack[-1][4] or stack[-1][0] in ("article", "main"), stack[-1][5]) if stack else (
+            False, False, False)
 
     pos, size = 0, len(page)
     while pos < size:
         m = TOKEN.search(page, pos)
         end = m.start() if m else size
         if end > at:
-            texts.append((at, page[at:end], skipped, inside, prose))
+            text = page[at:end]
+            texts.append((at, text, skipped, inside, prose))
+            if not text.isspace():
+                note(text)
         if not m:
             break
         pos = at = m.end()
@@ -156,99 +209,99 @@ def parse(page: str) -> Page:
         if tag is None:
             if m["cdata"]:
                 texts.append((m.start(), html.escape(m["cdata"]), skipped, inside, prose))
+                note(m["cdata"])
             continue
         tag = tag.lower()
         if m["close"]:
+            note(m[0])
             if tag == "br" or tag in BLOCK:
                 breaks.append(m.start())
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] == tag:
-                    pop(k, m.end())
-                    break
-                if stack[k][0] in ("article", "main", "td") and tag not in BLOCK:
-                    break  # a stray inline end tag does not close the article
+            k = places[tag][-1] if places[tag] else -1
+            # a stray inline end tag does not close the article
+            if k >= 0 and (tag in BLOCK or not fences or fences[-1] <= k):
+                pop(k, m.end())
             continue
         if tag in BLOCK:
             breaks.append(m.start())
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] == "p" and tag not in ("br",):
-                    pop(k, m.start())
-                    break
-                if stack[k][0] in BLOCK:
-                    break
+            if blocks and stack[blocks[-1]][0] == "p" and tag != "br":
+                pop(blocks[-1], m.start())
         if tag in CLOSES:
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] in CLOSES[tag]:
-                    pop(k, m.start())
-                    break
-                if stack[k][0] in BOUND:
-                    break
+            k = max((places[t][-1] for t in CLOSES[tag] if places[t]), default=-1)
+            if k > (bounds[-1] if bounds else -1):
+                pop(k, m.start())
         attrs = m["attrs"]
         if tag in VOID or attrs.endswith("/>") and tag in RAW:
+            note(m[0])
             continue
         if tag in RAW:  # its content is no markup
-            stop = re.compile(f"</{re.escape(tag)}\\s*(?:>|\\Z)", re.I).search(page, pos)
+            note(tag)
+            stop = None
+            if tag != "title" or titles_end:
+                stop = re.compile(f"</{re.escape(tag)}\\s*(?:>|\\Z)", re.I).search(page, pos)
             if stop is None and tag == "title":
+                titles_end = False
                 continue
             pos = at = stop.end() if stop else size
             continue
         article = tag in ("article", "main")
         skip = skipped or tag in SKIP or tag == "header" and not inside or tag not in ("html", "body", "main") and hidden(attrs)
-        by_name = not skip and not article and tag not in ("html", "body") and around(attrs)
-        if article and not skip:
+        by_name = 0 if skip or tag in ("html", "body") else around(attrs)
+        if article and not skip and not by_name:
             articles.append(m.start())
-        stack.append((tag, m.start(), skip, inside or article, prose or tag in PROSE, by_name))
+        place = len(stack)
+        places[tag].append(place)
+        for group, tags in ((blocks, BLOCK), (bounds, BOUND), (fences, FENCE)):
+            if tag in tags:
+                group.append(place)
+        stack.append((tag, m.start(), len(prefix) - 1, skip, inside, prose or tag in PROSE, by_name))
+        note(m[0])
         skipped, inside, prose = skip, inside or article, prose or tag in PROSE
     pop(0, size)
+    if articles:
+        named += named_articles
+    else:
+        articles = [s for s, _, _, _ in named_articles]
     out = covered(named_parts(named, texts) if named else [])
     has_article = any(not out(o) for o in articles)
     return Page([(o, t, not skip and (within or not has_article) and not out(o)) for o, t, skip, within, _ in texts],
                 breaks, nodes, has_article)
 
 
-def subtree_hash(page: str, start: int, end: int) -> int:
-    """Hash of an element's source with white space runs as one space."""
-    return xxhash.xxh3_64_intdigest(" ".join(page[start:end].split()).encode("utf-8", "surrogatepass")) - (1 << 63)
-
-
 def subtree_hashes(page: str) -> set[int]:
-    return {subtree_hash(page, s, e) for s, e, protected in parse(page).nodes if not protected}
+    """Hashes of what may be template; those of paragraphs of articles are negative."""
+    return {h for _, _, _, h in parse(page).nodes}
 
 
 def main_text(page: str, template: frozenset[int] | set[int]) -> str:
-    """The kept blocks, white space runs as one space, joined by one space."""
+    """The kept blocks, white space runs as one space, joined by one space.  A
+    paragraph of an article goes as template only if other text of the article remains."""
     p = parse(page)
-    gone: list[tuple[int, int]] = []
-    if template:
-        for s, e, protected in p.nodes:
-            if not protected and subtree_hash(page, s, e) in template:
-                gone.append((s, e))
-    gone.sort()
-    starts = [s for s, _ in gone]
-    ends: list[int] = []
-    for _, e in gone:
-        ends.append(max(e, ends[-1]) if ends else e)
+    gone = [(s, e) for s, e, soft, h in p.nodes if not soft and h in template]
+    often = [(s, e) for s, e, soft, h in p.nodes if soft and h in template]
+    if often:
+        out, recurs = covered(gone), covered(often)
+        own = covered([(s, e) for s, e, soft, h in p.nodes if soft and h not in template])
+        if any(kept and own(o) and not recurs(o) and not out(o) and not t.isspace() for o, t, kept in p.texts):
+            gone += often
+    dropped = covered(gone)
     borders = sorted(set(p.breaks))
-    out: list[str] = []
+    out_texts: list[str] = []
     block = -1
     for offset, text, kept in p.texts:
-        if not kept:
-            continue
-        k = bisect_right(starts, offset) - 1
-        if k >= 0 and offset < ends[k]:
+        if not kept or dropped(offset):
             continue
         b = bisect_right(borders, offset)
         if b != block:
-            out.append(" ")
+            out_texts.append(" ")
             block = b
-        out.append(text)
-    return " ".join(html.unescape("".join(out)).split())
+        out_texts.append(text)
+    return " ".join(html.unescape("".join(out_texts)).split())
 
 
 HOST = r"^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?//(?:[^/?#@]*@)?([^/?#:]*)"
 
 
-def extract(pages: DataFrame, share: float = 0.2, least: int = 10, few: int = 3) -> DataFrame:
+def extract(pages: DataFrame, share: float = 0.2, least: int = 10, few: int = 3, most: float = 0.5) -> DataFrame:
     """page_id, url, text, n_chars of every page.
 
     A subtree is part of a host's template if at least ``least`` different pages
@@ -256,8 +309,10 @@ def extract(pages: DataFrame, share: float = 0.2, least: int = 10, few: int = 3)
     ``share`` of its pages is enough, but at least ``few``.  Each page meets the
     counts of its own subtrees, so a host may have any number of such subtrees.
     Copies of a page (equal html on one host) count as one page, so that many of
-    them do not make its own text a template.  Articles and the paragraphs in
-    them are never deleted as template.  Null or empty html gives an empty text
+    them do not make its own text a template.  Articles are never deleted as
+    template; a paragraph or item in one is if at least a share ``most`` of the
+    host's pages, and ``least`` of them, have it in an article, and others of
+    its page remain.  Null or empty html gives an empty text
     and counts as no page; a null url belongs to the host ''; an empty table
     gives no rows; other columns are ignored.  Pages are made distinct and
     counted with partial results, so a host with most pages or a page with most
@@ -279,7 +334,8 @@ def extract(pages: DataFrame, share: float = 0.2, least: int = 10, few: int = 3)
               .groupBy("_host", "_node").agg(F.count("*").alias("_n")).where((F.col("_n") >= few) | F.col("_node").isNull()))
     counts = staged(counts)
     hosts = counts.where(F.col("_node").isNull()).select("_host", F.col("_n").alias("_pages"))
-    enough = F.least(F.lit(float(least)), F.greatest(F.lit(float(few)), share * F.col("_pages")))
+    enough = (F.when(F.col("_node") < 0, F.greatest(F.lit(float(least)), most * F.col("_pages")))
+              .otherwise(F.least(F.lit(float(least)), F.greatest(F.lit(float(few)), share * F.col("_pages")))))
     common = staged(counts.where(F.col("_node").isNotNull()).join(hosts, "_host")
                     .where(F.col("_n") >= enough).select("_host", "_node"))
     # one list per different page, of at most its own subtrees

@@ -2,6 +2,7 @@
 from __future__ import annotations
 
 import random
+import time
 import zlib
 
 import numpy as np
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 
 from evalpress.llm import html_extract, lang_id, toxicity
 from tests.conftest import SMALL
-from tests.llm.helpers import collected, docs
+from tests.llm.helpers import collected, docs, words
 
 TONGUES = {"aa": ["tha", "ing", "er", "on", "ed", "st", "wh"], "bb": ["sch", "ung", "ein", "ver", "keit", "ä"],
            "cc": ["eau", "eux", "ment", "qu", "é", "tre"]}
@@ -149,6 +150,60 @@ def test_template_removal(spark):
     assert collected(html_extract.extract(df.limit(0))) == []
 
 
+def test_paragraphs_most_articles_of_a_host_have_are_template(spark):
+    rng, rows, want = random.Random(21), [], {}
+    for k in range(40):
+        own, half = words(rng, 30), " Shared by some." if k % 3 == 0 else ""
+        rows.append((k, f"http://a.org/{k}", f"<article><p>{own}</p>{'<p>Shared by some.</p>' if half else ''}"
+                                             f"<!-- {k} --><p>Subscribe to   our newsletter today</p></article>"))
+        want[k] = own + half
+    rows.append((50, "http://a.org/50", "<article><p>Subscribe to our newsletter today</p></article>"))  # nothing else remains
+    rows += [(60 + k, "http://b.org/%d" % k, f"<article><p>{k} own</p><p>Subscribe to our newsletter today</p></article>") for k in range(5)]
+    want |= {50: "Subscribe to our newsletter today"} | {60 + k: f"{k} own Subscribe to our newsletter today" for k in range(5)}
+    got = collected(html_extract.extract(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)))
+    assert {r["page_id"]: r["text"] for r in got} == want
+
+
+def test_reader_comments_of_any_length_and_adverts_go():
+    own, many = "<article><h1>T</h1><p>one two three</p>{}</article>{}", "<p>I like this very much indeed, thank you</p>" * 9
+    text = lambda inner, after="": html_extract.main_text(own.format(inner, after), set())
+    for part in ("<div class='replies'>{}</div>", "<section class='discussion'>{}</section>", "<div class='adbox'>buy</div>",
+                 "<div id='comments'>{}</div>", "<article class='comment'>{}</article>"):
+        assert text(part.format(many)) == "T one two three", part
+        assert text("", part.format(many)) == "T one two three", part
+    # names alone never empty a page
+    assert html_extract.main_text("<div class='comments'><p>only this</p></div>", set()) == "only this"
+    assert html_extract.main_text("<article class='social'><p>only this</p></article>", set()) == "only this"
+
+
+def test_subtree_hashes_equal_where_the_tokens_are():
+    rng = random.Random(22)
+
+    def tree(depth: int) -> str:
+        if depth == 0 or rng.random() < 0.2:
+            return rng.choice(["x", "y", "x y"])
+        tag = rng.choice(["div", "section", "ul"])
+        return f"<{tag}>" + "".join(tree(depth - 1) for _ in range(rng.randrange(1, 4))) + f"</{tag}>"
+
+    kinds: dict[str, set] = {}
+    for _ in range(200):
+        page = tree(5)
+        for start, end, soft, value in html_extract.parse(page).nodes:
+            assert not soft and value >= 0
+            kinds.setdefault(page[start:end], set()).add(value)
+    assert all(len(v) == 1 for v in kinds.values())
+    assert len({next(iter(v)) for v in kinds.values()}) == len(kinds) > 100
+
+
+def test_hostile_pages_take_linear_time():
+    for page in ("<span>" * 40000 + "</b>" * 40000, "<b><article>" + "<span>" * 40000 + "</b>" * 40000, "<div>" * 100000 + "x",
+                 "<title>x" * 40000, "<li>" * 60000, "<p><i>" * 40000):
+        start = time.process_time()
+        html_extract.subtree_hashes(page)
+        html_extract.main_text(page, {1})
+        assert time.process_time() - start < 30  # minutes if it were quadratic
+
+
 def test_copies_of_a_page_are_no_template(spark):
     """30 copies of a page among 60 pages of a host keep their text, with and
     without an article; what different pages share still goes."""
