@@ -95,3 +95,40 @@ def test_ingest_to_parquet_roundtrip(spark):
     cols = ["run_dir", "stem", "model", "pass_rate", "total_tests"]
     assert a.select(cols).exceptAll(b.select(cols)).count() == 0
     assert a.count() == b.count()
+
+
+def test_report_files_without_an_index_of_all_files(spark):
+    """Names as Spark reads them, lines in ranges of bytes, nothing kept on the driver."""
+    root = tempfile.mkdtemp(prefix="evalpress-many-")
+    rows = [("2024-01-01", f"u{i}", f"s{i % 3}") for i in range(40)] + [("2024-01-08", "a/b=c %1", "long"), ("2025-01-06", "u1", "x")]
+    recs = spark.createDataFrame(rows, "run_dir string, stem string, source string").select(
+        "run_dir", "stem", F.struct(F.lit("m").alias("model"), "source").alias("meta"),
+        F.struct(F.when(F.col("source") == "long", 9).alias("total_tests")).alias("summary"), F.create_map().cast("map<string,string>").alias("playbooks"))
+    recs = recs.withColumn("n", F.explode(F.sequence(F.lit(1), F.when(F.col("meta.source") == "long", 50).otherwise(2)))).drop("n")
+    assert RJ.write_files(recs, root, most=100) == 42
+    os.makedirs(f"{root}/run_dir=2024-01-01/stem=broken")
+    with open(f"{root}/run_dir=2024-01-01/stem=broken/part-0.txt", "w") as f:
+        f.write('{"meta": {"model": \n\n')
+    with open(f"{root}/run_dir=2024-01-01/stem=u1/.half", "w") as f:
+        f.write("{}\n")
+    index = spark.read.schema(RJ.READ_SCHEMA).option("columnNameOfCorruptRecord", "_corrupt").option("basePath", root).json(root)
+    want = sorted(map(tuple, index.select("run_dir", "stem", "meta.model", "meta.source", "summary.total_tests", "_corrupt").collect()), key=str)
+    got = RJ.read_reports(spark, root).select("run_dir", "stem", "meta.model", "meta.source", "summary.total_tests", "_corrupt")
+    assert sorted(map(tuple, got.collect()), key=str) == want and len(want) == 40 * 2 + 50 + 2 + 1
+    for size in (1, 7, 64):
+        lines = RJ.local_lines(spark, root, size=size).groupBy("stem").count().collect()
+        assert {r["stem"]: r["count"] for r in lines} == {**{f"u{i}": 2 for i in range(40)}, "u1": 4, "a/b=c %1": 50, "broken": 1}
+    files = RJ.list_report_files(spark, root, "2024-*")
+    assert "binaryFile" not in files._jdf.queryExecution().toString()
+    assert files.count() == 41 and files.where("length > 0 and modificationTime > '2024-01-01'").count() == 41
+    assert RJ.list_report_files(spark, root, "1999-*").count() == 0
+
+
+def test_large_report_is_dealt_out_over_files(spark):
+    root = tempfile.mkdtemp(prefix="evalpress-hot-")
+    recs = spark.range(600).select(
+        F.lit("d").alias("run_dir"), F.lit("u").alias("stem"), F.struct(F.col("id").cast("string").alias("model")).alias("meta"),
+        F.struct(F.lit(1000).alias("total_tests")).alias("summary"), F.create_map().cast("map<string,string>").alias("playbooks"))
+    assert RJ.write_files(recs, root, most=100) == 11
+    assert RJ.read_reports(spark, root).select("meta.model").distinct().count() == 600
+    assert max(r["count"] for r in RJ.local_lines(spark, root).groupBy("file").count().collect()) < 120
