@@ -31,3 +31,17 @@ def test_gate_hot_report(spark):
                                        F.when(F.col("id") % 4 == 0, F.lit("error")).otherwise(F.lit("pass")).alias("verdict"))
     c = {r["stem"]: (r["total"], r["err"]) for r in gates.case_counts(cases, ["run_dir", "stem"]).collect()}
     assert c["hot"] == (99000, 24750) and c["cold"] == (1000, 250)
+
+
+def test_dimensions_do_not_pass_through_the_driver(spark):
+    """A table that others look things up in is joined by sorting, however small its compressed columns look."""
+    from pyspark.sql import functions as F
+
+    from evalpress.plans import fixtures as fx
+    from tests.conftest import SMALL
+    rows = spark.createDataFrame([("u1",), (None,)], "k string")
+    for build, key in ((fx.fx6_meta, "name"), (fx.fx7_store, "id"), (fx.fx7_status_cache, "id"),
+                       (fx.fx7_license_cache, "profile"), (fx.fx8_profile_text, "profile")):
+        right = build(spark, SMALL).select(F.col(key).alias("_k"), "*")
+        plan = rows.join(right, F.col("k") == F.col("_k"), "left")._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Broadcast" not in plan, build.__name__
