@@ -36,9 +36,9 @@ def emit_dataset(spark: SparkSession, sf: str, target: str | None = None,
         df = marts[cfg].select(*cols)
         assert_no_raw_fields(df, cfg)
         sinks.write_metric_parquet(df, f"{target}/data/{cfg}", cfg)
-    run_meta = runs.runs_table(spark, sf, marts)
+    # the lines are written from the files, so run metadata is built once
+    run_meta = sinks.write_runs_parquet(runs.runs_table(spark, sf, marts), f"{target}/data/runs")
     sinks.write_runs_jsonl(run_meta, f"{target}/runs_jsonl", RUNS)
-    sinks.write_runs_parquet(run_meta, f"{target}/data/runs")
     return audit_dataset(spark, sf, target, expected)
 
 

@@ -83,3 +83,16 @@ def test_emit_site_tables(spark, tmp_path):
     got = {r["table"]: r["rows"] for r in emit_site_tables(spark, SMALL, str(tmp_path / "site")).collect()}
     assert set(got) == set(SITE_TABLES) | {"summary"}
     assert got["summary"] == 1 and all(v > 0 for v in got.values())
+
+
+def test_run_metadata_is_built_once(spark, tmp_path, monkeypatch):
+    """The JSON lines are written from the Parquet files, with the same rows."""
+    from evalpress.plans import build
+    from evalpress.plans.schemas import RUNS
+    write, seen = build.sinks.write_runs_jsonl, []
+    monkeypatch.setattr(build.sinks, "write_runs_jsonl", lambda df, *a: seen.append(df.inputFiles()) or write(df, *a))
+    target = str(tmp_path / "once")
+    emit_dataset(spark, SMALL, target)
+    assert seen and all("/data/runs/" in f for f in seen[0])
+    lines, files = spark.read.schema(RUNS).json(f"{target}/runs_jsonl"), spark.read.parquet(f"{target}/data/runs")
+    assert lines.count() == files.count() > 0 and lines.exceptAll(files).count() == 0
