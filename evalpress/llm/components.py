@@ -46,10 +46,32 @@ def components(edges: DataFrame) -> DataFrame:
     return least_linked(star_edges(edges))
 
 
+def most_apart(x: str, y: str, least: float) -> tuple[Column, Column]:
+    """How far apart two weighted sets of probability Jaccard similarity
+    ``least`` or more can be: (only, differ), the weight of the items that only
+    one has, and the sum of the differences of all items' weights.  ``x`` and
+    ``y`` name structs or tables with n, the weight of a set, and r, its part
+    beyond the first occurrence of each item.
+
+    Let S be the sum of max(x_i, y_i), and e the differences in common items.
+    A term 1 / sum_i max(x_i/x_d, y_i/y_d) is at most max(x_d, y_d) / S, so the
+    similarity is at most 1 - only / S.  With shares p and q of an item in the
+    sets it is at most the sum of min(p, q), so S <= many + (1 - least) few.
+    This bounds ``only``, and ``differ`` = 2 S - n - n.  As S is also
+    (n + n + only + e) / 2 and e <= r + r, only (1 + least) <= (1 - least)
+    (n + n + r + r), and with e added (1 + least) differ <= (1 - least) (n + n)
+    + 2 (r + r).  Without repeated items that is the bound of the Jaccard similarity."""
+    n, r = F.col(f"{x}.n") + F.col(f"{y}.n"), F.col(f"{x}.r") + F.col(f"{y}.r")
+    few, many = F.least(f"{x}.n", f"{y}.n"), F.greatest(f"{x}.n", f"{y}.n")
+    far = 1 - least
+    return (F.least((many + few * far) * far, (n + r) * (far / (1 + least))) + 1e-6,
+            F.least(many - few + few * (2 * far), (n * far + r * 2) / (1 + least)) + 1e-6)
+
+
 def bucket_classes(buckets: DataFrame, sets: Callable[[DataFrame], DataFrame],
                    verify: Callable[[DataFrame, DataFrame], DataFrame],
                    shared: Callable[[DataFrame], DataFrame], parities: Callable[[DataFrame], DataFrame],
-                   least: float, weighted: bool = False, stars: int = 5) -> DataFrame:
+                   least: float, stars: int = 5) -> DataFrame:
     """(node, label): components of the verified links among nodes that share
     a bucket; nodes without a link are left out.
 
@@ -59,27 +81,23 @@ def bucket_classes(buckets: DataFrame, sets: Callable[[DataFrame], DataFrame],
     bucket and pairs it with the members of other classes, so a bucket of n
     alike nodes costs n pairs.  The first hubs are the nodes with most company,
     the next those with fewest items of their own, the others are drawn among
-    nodes with about as few.  Buckets that still hold several classes after the rounds get their pairs between
-    different classes, each pair in one bucket, so no link between classes is
-    missed, but for those that cannot be alike: ``shared`` gives (node, n, u) of
-    sets, their sizes and how many of their items no other node of
-    an open bucket has.  Two sets have min(n - u) items in common at most,
-    which bounds their Jaccard similarity; ``least`` is what a link needs.
-    ``parities`` gives (node, bits) of sets: ``PARITY_WORDS`` longs, whose bits
-    are the parities of the items of as many residues; each bit in which two
-    sets differ needs an item that only one of them has, and alike sets have few
-    such items.  If ``weighted``, items, n and u count occurrences.  With shares
-    p and q of an item in two sets, their probability Jaccard similarity is at
-    most the sum of min(p, q), as each of its terms 1 / sum_i max(p_i/p, q_i/q)
-    is at most min(p, q).  So it is at most min(1 - u/n) of the two, and alike
-    sets of x <= y occurrences differ in at most 2 (1 - least) x + y - x of
-    them.  A round without new links is the last before the pairs.
+    nodes with about as few.  Buckets that still hold several classes after the
+    rounds get their pairs between different classes, each pair in one bucket,
+    so no link between classes is missed: left out are only pairs further apart than ``most_apart`` allows links of
+    ``least`` similarity.  ``shared`` gives (node, n, u, r) of sets, their weight,
+    that of the items that no other node of an open bucket has, and that beyond
+    the first occurrence of each item.  Two sets have u + u of items that only
+    one has, and at most min(n - u) in common.  ``parities`` gives (node, bits,
+    kinds) of sets: ``PARITY_WORDS`` longs each, whose bits are the parities of
+    the occurrences, and of the different items, of as many residues; each bit
+    in which two sets differ needs an occurrence, or item, that only one of them
+    has.  A round without new links is the last before the pairs.
     Classes between the rounds need not be whole (two classes may be one
     component), so two rounds of stars do there."""
     company = staged(buckets.join(buckets.groupBy("key").agg(F.count("*").alias("_c")).where("_c > 1"), "key")
                      .groupBy("node").agg(F.sum("_c").alias("c"), F.collect_list("key").alias("keys")))  # at most its bands
     rows = company.select(F.explode("keys").alias("key"), "node", (-F.col("c")).cast("double").alias("rank"),
-                          F.lit(0.0).alias("n"), F.lit(0.0).alias("u"))
+                          F.lit(0.0).alias("n"), F.lit(0.0).alias("u"), F.lit(0.0).alias("r"))
     links = labels = own = None
 
     def labelled() -> DataFrame:
@@ -89,23 +107,22 @@ def bucket_classes(buckets: DataFrame, sets: Callable[[DataFrame], DataFrame],
 
     def alike(x: str, y: str) -> Column:
         n, u = (lambda k: F.col(f"{k}.n")), (lambda k: F.col(f"{k}.u"))
-        if weighted:  # each side alone bounds it, and nodes below the bound are gone
-            return F.lit(True)
+        only, differ = most_apart(x, y, least)
         common = F.least(n(x) - u(x), n(y) - u(y))
-        return common * (1 + least) >= (n(x) + n(y)) * least - 1e-6
+        return (u(x) + u(y) <= only) & (n(x) + n(y) - common * 2 <= differ)
 
     def few_differ(x: str, y: str) -> Column:
-        differ = sum((F.bit_count(F.col(f"{x}.bits")[k].bitwiseXOR(F.col(f"{y}.bits")[k])) for k in range(PARITY_WORDS)), F.lit(0))
-        if weighted:
-            few, many = F.least(f"{x}.n", f"{y}.n"), F.greatest(f"{x}.n", f"{y}.n")
-            return differ <= 2 * (1 - least) * few + many - few + 1e-6
-        return differ * (1 + least) <= (F.col(f"{x}.n") + F.col(f"{y}.n")) * (1 - least) + 1e-6
+        def bits(name: str) -> Column:
+            return sum((F.bit_count(F.col(f"{x}.{name}")[k].bitwiseXOR(F.col(f"{y}.{name}")[k])) for k in range(PARITY_WORDS)), F.lit(0))
+
+        only, differ = most_apart(x, y, least)
+        return (bits("kinds") <= only) & (bits("bits") <= differ)
 
     turn = 0
     while turn <= stars:
         now = staged(labelled())
         hubs = (now.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.min(F.struct(
-            (F.col("rank") if turn < 2 else F.floor(F.col("rank") * 50)).alias("rank"), F.xxhash64("node", F.lit(turn)).alias("draw"), "node", "label", "n", "u")).alias("y"))
+            (F.col("rank") if turn < 2 else F.floor(F.col("rank") * 50)).alias("rank"), F.xxhash64("node", F.lit(turn)).alias("draw"), "node", "label", "n", "u", "r")).alias("y"))
             .where("lo <> hi").select("key", "y"))
         if turn < stars:
             pairs = (now.alias("x").join(hubs, "key").where((F.col("x.label") != F.col("y.label")) & alike("x", "y"))
@@ -137,6 +154,6 @@ def bucket_classes(buckets: DataFrame, sets: Callable[[DataFrame], DataFrame],
             own = sets(held.select("node").distinct())
             known = shared(own).where(F.col("n") - F.col("u") >= F.col("n") * least)
             rows = staged(held.join(known, "node").select("key", "node", (F.col("u") / F.col("n")).alias("rank"),
-                                                          F.col("n").cast("double").alias("n"), F.col("u").cast("double").alias("u")))
+                                                          *[F.col(k).cast("double").alias(k) for k in ("n", "u", "r")]))
         turn = stars if last and turn < stars else turn + 1
     return labels if labels is not None else buckets.select("node", F.col("node").alias("label")).limit(0)

@@ -164,42 +164,53 @@ def item_weights(s: bytes, w: bytes) -> tuple[np.ndarray, np.ndarray]:
 
 
 def shared_items(own: DataFrame) -> DataFrame:
-    """(node, n, u) of weighted sets: the weight of each node's items, and of those that no other node has."""
+    """(node, n, u, r) of weighted sets: the weight of each node's items, of
+    those that no other node has, and of what goes beyond each item's first occurrence."""
 
     def items(batches):
         for b in batches:
             out = [(x.astype(np.uint64) | w.astype(np.uint64) << np.uint64(32)).view(np.int64)
                    for x, w in map(item_weights, b.column(1).to_pylist(), b.column(2).to_pylist())]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.list_(pa.int64())),
-                                              pa.array([int((x >> 32).sum()) for x in out], pa.int64())],
-                                             names=["node", "items", "n"])
+            n = [int((x >> 32).sum()) for x in out]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.list_(pa.int64())), pa.array(n, pa.int64()),
+                                              pa.array([k - len(x) for k, x in zip(n, out)], pa.int64())],
+                                             names=["node", "items", "n", "r"])
 
-    listed = staged(own.select("node", "s", "w").mapInArrow(tidy(items), "node long, items array<long>, n long"))
+    listed = staged(own.select("node", "s", "w").mapInArrow(tidy(items), "node long, items array<long>, n long, r long"))
     single = (listed.select("node", F.explode("items").alias("item"))
               .groupBy(F.col("item").bitwiseAND(0xFFFFFFFF).alias("item"))
               .agg(F.count("*").alias("c"), F.min("node").alias("node"), F.min(F.shiftrightunsigned("item", 32)).alias("w"))
               .where("c = 1").groupBy("node").agg(F.sum("w").alias("u")))
-    return listed.select("node", "n").join(single, "node", "left").select("node", "n", F.coalesce("u", F.lit(0)).alias("u"))
+    return listed.select("node", "n", "r").join(single, "node", "left").select("node", "n", F.coalesce("u", F.lit(0)).alias("u"), "r")
 
 
 def item_parities(own: DataFrame) -> DataFrame:
-    """(node, bits) of weighted sets: bit b is the parity of the number of
-    (item, occurrence) pairs whose hash modulo the number of bits is b, so two
-    sets differ in no more bits than their weights differ in all."""
+    """(node, bits, kinds) of weighted sets: bit b of ``bits`` is the parity of
+    the number of (item, occurrence) pairs whose hash modulo the number of bits
+    is b, so two sets differ in no more bits than their weights differ in all;
+    ``kinds`` counts each item once, so it differs in no more bits than there
+    are items that only one set has."""
     size = 64 * PARITY_WORDS
 
-    def parity(s: bytes, w: bytes) -> np.ndarray:
+    def parity(hashed: np.ndarray) -> np.ndarray:
+        slot = mix(hashed) % np.uint64(size)
+        return np.packbits((np.bincount(slot.astype(np.int64), minlength=size) & 1).astype(np.uint8)).view(np.int64)
+
+    def parities(s: bytes, w: bytes) -> tuple[np.ndarray, np.ndarray]:
         items, weights = item_weights(s, w)
+        kinds = parity(items.astype(np.uint64))
+        if not w:
+            return kinds, kinds
         nth = np.arange(int(weights.sum())) - np.repeat(np.cumsum(weights.astype(np.int64)) - weights, weights)
-        slot = mix(np.repeat(items, weights).astype(np.uint64) + nth.astype(np.uint64) * M1) % np.uint64(size)
-        return np.packbits((np.bincount(slot.astype(np.int64), minlength=size) & 1).astype(np.uint8)).view(np.int64)
+        return parity(np.repeat(items, weights).astype(np.uint64) + nth.astype(np.uint64) * M1), kinds
 
     def run(batches):
         for b in batches:
-            bits = [parity(*x) for x in zip(b.column(1).to_pylist(), b.column(2).to_pylist())]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(bits, pa.list_(pa.int64()))], names=["node", "bits"])
+            out = [parities(*x) for x in zip(b.column(1).to_pylist(), b.column(2).to_pylist())]
+            yield pa.RecordBatch.from_arrays([b.column(0), *[pa.array([x[k] for x in out], pa.list_(pa.int64())) for k in (0, 1)]],
+                                             names=["node", "bits", "kinds"])
 
-    return own.select("node", "s", "w").mapInArrow(tidy(run), "node long, bits array<long>")
+    return own.select("node", "s", "w").mapInArrow(tidy(run), "node long, bits array<long>, kinds array<long>")
 
 
 def verified(pairs: DataFrame, own: DataFrame, p: Params) -> DataFrame:
@@ -229,7 +240,7 @@ def near_classes(docs: DataFrame, p: Params = Params()) -> DataFrame:
                    .select(F.col("_h").alias("node"), "_g", "_id", "keys"))
     buckets = staged(texts.select(F.explode("keys").alias("key"), "node"))
     labels = bucket_classes(buckets, lambda nodes: shingle_sets(docs, texts, nodes, p),
-                            lambda pairs, own: verified(pairs, own, p), shared_items, item_parities, p.similarity, p.weighted)
+                            lambda pairs, own: verified(pairs, own, p), shared_items, item_parities, p.similarity)
     labelled = texts.join(labels, "node", "left").select("node", "_g", "_id", F.coalesce("label", "node").alias("label"))
     classes = labelled.groupBy("label").agg(F.min(F.struct("_id", "node", "_g")).alias("_first"), F.count("*").alias("class_texts"))
     of_text = labelled.join(classes, "label").select(F.col("node").alias("_h"), "_g", "_first", "class_texts")

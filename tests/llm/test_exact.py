@@ -12,6 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from evalpress.llm import bpe_codec, line_dedup, minhash_dedup, packing, quality_rules, simhash, suffix_dedup
+from evalpress.llm.components import most_apart
 from evalpress.llm.queries import tokenizer_file
 from tests.conftest import SMALL
 from tests.llm.helpers import collected, docs, words
@@ -390,6 +391,49 @@ def test_weighted_bounds_never_exclude_alike_texts(spark):
     assert alike > 5
 
 
+def test_most_apart_holds_for_weighted_sets(spark):
+    rng, rows = random.Random(72), []
+    for k in range(300):
+        a = Counter({i: rng.choice([1, 1, 1, 2, rng.randrange(1, 30)]) if k % 3 else 1 for i in range(rng.randrange(1, 40))})
+        b = Counter({i: c if rng.random() < 0.7 else rng.randrange(1, 2 + (k % 3) * c) for i, c in a.items() if rng.random() < 0.95})
+        b.update({100 + i: rng.randrange(1, 2 + k % 3) for i in range(rng.randrange(0, 4))})
+        b = b or Counter([1])
+        only = sum(c for i, c in (a | b).items() if not (a[i] and b[i]))
+        differ = sum(abs(a[i] - b[i]) for i in a | b)
+        side = [{"n": float(sum(s.values())), "r": float(sum(s.values()) - len(s))} for s in (a, b)]
+        rows.append((*side, brute_alike(a, b), only, differ, not side[0]["r"] and not side[1]["r"]))
+    shape = "n double, r double"
+    df = spark.createDataFrame(rows, f"x struct<{shape}>, y struct<{shape}>, least double, o double, d double, plain boolean")
+    both = most_apart("x", "y", F.col("least"))
+    got = df.select("*", both[0].alias("only"), both[1].alias("differ")).where("least > 0").collect()
+    assert len(got) > 250 and all(r.o <= r.only and r.d <= r.differ for r in got)
+    assert all(abs(r.o - r.only) < 1e-4 and abs(r.d - r.differ) < 1e-4 for r in got if r.plain)
+    assert sum(r.plain for r in got) > 30
+
+
+def test_group_of_near_copies_makes_few_pairs(spark, monkeypatch):
+    rng, seen, verified = random.Random(73), [], minhash_dedup.verified
+    line = " ".join(["same old words come again"] * 4)
+    base = (words(rng, 110, 9000) + " " + line + " " + words(rng, 80, 9000)).split()
+    rows = []
+    for i in range(80):  # three edits each: too far from most others, near enough for their buckets
+        t = list(base)
+        for k in rng.sample(range(len(t)), 3):
+            t[k] = "edit%d" % rng.randrange(10 ** 6)
+        rows.append((i, " ".join(t)))
+    rows.append((80, rows[0][1] + " end"))
+
+    def counting(pairs, own, p):
+        seen.append(pairs.count())
+        return verified(pairs, own, p)
+
+    monkeypatch.setattr(minhash_dedup, "verified", counting)
+    got = collected(minhash_dedup.near_duplicates(docs(spark, rows)))
+    assert {r["doc_id"]: r["class_id"] for r in got} == brute_classes(rows, weighted=True)
+    assert len({r["class_id"] for r in got}) > 10
+    assert max(seen) < 6 * len(rows)
+
+
 def test_registers_estimate_weighted_similarity():
     rng = np.random.default_rng(2)
     items = rng.integers(1, 2 ** 62, 400).astype(np.uint64)
