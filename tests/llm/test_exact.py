@@ -401,7 +401,7 @@ def test_most_apart_holds_for_weighted_sets(spark):
         only = sum(c for i, c in (a | b).items() if not (a[i] and b[i]))
         differ = sum(abs(a[i] - b[i]) for i in a | b)
         side = [{"n": float(sum(s.values())), "r": float(sum(s.values()) - len(s))} for s in (a, b)]
-        rows.append((*side, brute_alike(a, b), only, differ, not side[0]["r"] and not side[1]["r"]))
+        rows.append((*side, float(brute_alike(a, b)), float(only), float(differ), not side[0]["r"] and not side[1]["r"]))
     shape = "n double, r double"
     df = spark.createDataFrame(rows, f"x struct<{shape}>, y struct<{shape}>, least double, o double, d double, plain boolean")
     both = most_apart("x", "y", F.col("least"))
